@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 LOOKUP_SALTS = 32
 HASH_BUCKETS = 1 << 14
@@ -124,15 +124,22 @@ def running_totals(df: DataFrame, groups: Sequence[str], value: str, sums: Seque
         *[F.col(f"total_{c}") for c in sums])
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Writes df to the checkpoint folder, so later reads see the same rows in the same place."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a new local one only in local runs."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="ebbtide-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """Writes df to the checkpoint folder, so later reads see the same rows in the same place."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -33,10 +33,16 @@ def stratified_folds(df: DataFrame, label: str, k: int, key: str, *, salt: str =
     return ranked.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank")
 
 
+def split_roles(df: DataFrame, key: str, *, salt: str = "split",
+                private_of_4: int = 1) -> DataFrame:
+    """Adds role: holdout (cohort 0), private (a quarter of the others) or public."""
+    private = hash_bucket(F.col(key), salt, 4) < private_of_4
+    return df.withColumn("role", F.when(F.col("cohort") == 0, "holdout")
+                         .when(private, "private").otherwise("public"))
+
+
 def train_population(df: DataFrame, key: str, *, salt: str = "split",
                      private_of_4: int = 1) -> DataFrame:
-    """Active, eligible rows with a role: holdout (cohort 0), public (3/4) or private (1/4)."""
-    private = hash_bucket(F.col(key), salt, 4) < private_of_4
-    return df.where((F.col("active_last_week") == 1) & (F.col("train_eligible") == 1)).withColumn(
-        "role", F.when(F.col("cohort") == 0, "holdout").when(private, "private")
-        .otherwise("public"))
+    """Active, eligible rows with their role."""
+    rows = df.where((F.col("active_last_week") == 1) & (F.col("train_eligible") == 1))
+    return split_roles(rows, key, salt=salt, private_of_4=private_of_4)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from ebbtide.config import DEVICE_TYPES, GENRES, PRODUCTS, SEGMENT_PRODUCTS
 from ebbtide.oracles.blocks import (
-    ALL_GENRES, ALL_RELEASES, APP_TYPE, MIX_NAMES, NAMES, PRODUCT, RELEASES, TIME_NAMES, first_valid,
-    lst, number, rounded, shown, with_tables)
+    ALL_GENRES, ALL_RELEASES, APP_TYPE, MIX_NAMES, NAMES, PRODUCT, RELEASES, T, TIME_NAMES,
+    first_valid, lst, number, rounded, shown, with_tables)
 
 STW = [f"stw_{w}" for w in range(15)]
 DATES = ("min_date", "max_date", "max_feature_date", "last_week_start")
@@ -25,7 +25,8 @@ def factor_names(product: str, kind: str) -> list[str]:
     return [f"{product}_{kind}_f{i}" for i in range(20 if product == "audio" else 10)]
 
 
-def feature_set(product: str) -> str:
+def feature_set_columns(product: str) -> list[str]:
+    """Select list of the product's feature set."""
     audio = product == "audio"
     other = "video" if audio else "audio"
     columns: list[str] = [
@@ -78,6 +79,16 @@ def feature_set(product: str) -> str:
         ["audio_subscribes", "audio_bookmarks"] if audio else ["video_programme_follows"])
         for p in ("13w", "lastweek")]
     columns += [f"{rounded('h.' + n)} AS {product}_{n}" for n in TIME_NAMES]
+    return columns
+
+
+def feature_set_names(product: str) -> list[str]:
+    return [c.rsplit(" AS ", 1)[-1].strip().split(".")[-1] for c in feature_set_columns(product)]
+
+
+def feature_set(product: str) -> str:
+    audio = product == "audio"
+    other = "video" if audio else "audio"
 
     def left(table: str, alias: str, condition: str = "") -> str:
         return (f"LEFT JOIN {table} {alias} ON {alias}.user_id = t.user_id "
@@ -93,12 +104,15 @@ def feature_set(product: str) -> str:
         left("times", "h", f" AND h.product = '{product}'")]
     if audio:
         joins.append(left("mix", "x"))
-    return with_tables(f"""
-SELECT {lst(columns)}
+    return f"""
+SELECT {lst(feature_set_columns(product))}
 FROM targets t
 JOIN demographics p ON p.user_id = t.user_id AND p.fresh = t.fresh
 {lst(joins, chr(10))}
-WHERE t{own}""")
+WHERE t{own}"""
+
+
+T["features_video"], T["features_audio"] = feature_set("video"), feature_set("audio")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -187,8 +201,8 @@ FROM activity GROUP BY 1, 2"""),
         "marketing_optin": shown("optin", drop=["server_time"]),
         "marketing_activity": shown("mail"),
         "follow_counts": shown("follows"),
-        "feature_set_assemble": feature_set("video"),
-        "feature_set_assemble_audio": feature_set("audio"),
+        "feature_set_assemble": shown("features_video"),
+        "feature_set_assemble_audio": shown("features_audio"),
         "random_sample_n": with_tables(
             "SELECT event_id, user_id, event_type FROM events "
             f"ORDER BY {number('event_id', 'sample')}, event_id LIMIT 500"),
