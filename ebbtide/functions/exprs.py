@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
 
-def hash_number(key: Column, salt: str) -> Column:
+def hash_number(key: str, salt: str) -> Column:
     """Uniform number in [0, 2^32) that depends on key and salt only."""
-    digest = F.md5(F.concat(key.cast("string"), F.lit(salt)))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return F.expr(f"CAST(conv(substr(md5(concat(CAST(`{key}` AS STRING), '{salt}')), 1, 8), "
+                  "16, 10) AS BIGINT)")
 
 
-def hash_bucket(key: Column, salt: str, n: int) -> Column:
-    return (hash_number(key, salt) % F.lit(n)).cast("int")
+def hash_bucket(key: str, salt: str, n: int) -> Column:
+    return (hash_number(key, salt) % n).cast("int")
 
 
 def week_of(day: Column) -> Column:
@@ -43,38 +42,43 @@ def tleo_level(columns: Sequence[str], sentinels: Iterable[str]) -> Column:
         *[F.when(clean(F.col(c), sentinels).isNotNull(), F.lit(c)) for c in columns])
 
 
-def share(part: Column, total: Column) -> Column:
-    return F.when(total > 0, part.cast("double") / total.cast("double")).otherwise(F.lit(0.0))
+# The builders below return SQL text: long generated lists are parsed in one go
+# by selectExpr or expr, where column objects would each cost several JVM calls.
 
+def share(part: str, total: str) -> str:
+    return (f"CASE WHEN {total} > 0 THEN CAST({part} AS DOUBLE) / CAST({total} AS DOUBLE) "
+            "ELSE 0.0D END")
 
-def argmax_label(shares: Sequence[tuple[Column, str]]) -> Column:
+
+def argmax_label(shares: Sequence[tuple[str, str]]) -> str:
     """Label of the greatest share; the earlier label wins a tie."""
-    top = F.greatest(*[value for value, _ in shares])
-    picks = [F.when(value == top, F.lit(label)) for value, label in shares]
-    return F.coalesce(*picks, F.lit(shares[-1][1]))
+    top = "greatest(" + ", ".join(value for value, _ in shares) + ")"
+    arms = " ".join(f"WHEN {value} = {top} THEN '{label}'" for value, label in shares)
+    return f"CASE {arms} ELSE '{shares[-1][1]}' END"
+
+
+def conditional_sum(condition: str, measure: str, zero: str = "0") -> str:
+    return f"sum(CASE WHEN {condition} THEN {measure} ELSE {zero} END)"
+
 
+def plus(columns: Iterable[str]) -> str:
+    return "(" + " + ".join(columns) + ")"
 
-def conditional_sum(condition: Column, measure: Column) -> Column:
-    return F.sum(F.when(condition, measure).otherwise(F.lit(0)))
 
+def exprs(texts: Iterable[str]) -> list[Column]:
+    return [F.expr(t) for t in texts]
 
-def distinct_days(day: Column, origin: Column, condition: Column | None = None) -> Column:
+
+def distinct_days(day: str, origin: str, condition: str = "TRUE") -> Column:
     """count(distinct day) for days within 91 days of origin.
 
     Each day is one bit of two longs, so the count is an ordinary hash
     aggregate: it combines on the map side and needs one shuffle, not two.
     """
-    offset = F.datediff(day, origin)
-    keep = F.lit(True) if condition is None else condition
-    one = F.lit(1).cast("bigint")
-
-    def bits(low: int, high: int) -> Column:
-        bit = F.call_function("shiftleft", one, offset - F.lit(low))
-        inside = keep & (offset >= low) & (offset < high)
-        return F.bit_count(F.bit_or(F.when(inside, bit).otherwise(F.lit(0).cast("bigint"))))
-
-    return (F.coalesce(bits(0, 60), F.lit(0)) + F.coalesce(bits(60, 120), F.lit(0))).cast("bigint")
+    offset = f"datediff({day}, {origin})"
 
+    def bits(low: int, high: int) -> str:
+        return (f"bit_count(bit_or(CASE WHEN {condition} AND {offset} BETWEEN {low} AND {high} "
+                f"THEN shiftleft(1L, {offset} - {low}) ELSE 0L END))")
 
-def sum_columns(columns: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns)
+    return F.expr(f"CAST({bits(0, 59)} + {bits(60, 119)} AS BIGINT)")

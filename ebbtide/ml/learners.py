@@ -62,8 +62,9 @@ def make_estimator(learner: Learner, rows: int, label: str, seed: int = 0):
     out = {"labelCol": label, "predictionCol": ""}
     if learner.algorithm == "gbt":
         settings = {**BOOSTED, **learner.params}
-        return GBTClassifier(featuresCol=x, validationIndicatorCol=VALIDATION, seed=seed,
-                             rawPredictionCol="", probabilityCol="p_", **out, **settings)
+        return GBTClassifier(
+            featuresCol=x, validationIndicatorCol=VALIDATION, seed=seed, **out,
+            **settings).setRawPredictionCol("").setProbabilityCol("p_")
     if learner.algorithm == "rf":
         return RandomForestClassifier(featuresCol=x, seed=seed, rawPredictionCol="",
                                       probabilityCol="p_", **out, **learner.params)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ebbtide.functions.skew import stable
 from ebbtide.ml.metrics import median_by, mode_by
 
 
@@ -78,7 +79,7 @@ def representative_users(profiled: DataFrame, modifiers: DataFrame, numeric: Seq
 
     ``score`` takes wide users and their key columns and returns key columns and ``p``.
     """
-    base = average_users(profiled, numeric, categorical, segments or default_segments())
+    base = stable(average_users(profiled, numeric, categorical, segments or default_segments()))
     changed = modified_users(base, modifiers)
     before = score(wide_users(base, ["user_id"], "baseval", numeric, categorical), ["user_id"])
     after = score(wide_users(changed, ["user_id", "mod_column"], "newval", numeric, categorical),
@@ -99,5 +100,5 @@ def representative_scores(profiled: DataFrame, numeric: Sequence[str],
                           predict: Callable[[DataFrame], DataFrame], *,
                           segments: Mapping[str, Column] | None = None) -> DataFrame:
     """Predictions of every learner for the average user of each segment."""
-    base = average_users(profiled, numeric, categorical, segments or default_segments())
+    base = stable(average_users(profiled, numeric, categorical, segments or default_segments()))
     return predict(wide_users(base, ["user_id"], "baseval", numeric, categorical))

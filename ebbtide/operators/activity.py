@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ebbtide.config import GENRES, ChurnConfig
-from ebbtide.functions.exprs import distinct_days, sum_columns, week_of
+from ebbtide.functions.exprs import conditional_sum, distinct_days, plus, week_of
 from ebbtide.operators.cohorts import within_window
 
 
@@ -29,11 +29,12 @@ def destination_product(cfg: ChurnConfig, destination: str = "destination",
     return out
 
 
-def genre_conditional_sums(genre: Column, measure: Column, *, names: str = "genre_st_{}",
+def genre_conditional_sums(genre: str, measure: str, *, names: str = "genre_st_{}",
                            suffix: int = 0) -> list[Column]:
     """One sum per genre prefix. ``suffix`` 0 or 2 picks the column of GENRES used in names."""
-    return [F.sum(F.when(genre.startswith(g[1]), measure).otherwise(F.lit(0)))
-            .cast("double").alias(names.format(g[suffix])) for g in GENRES]
+    return [F.expr(f"CAST({conditional_sum(f'startswith({genre}, {prefix!r})', measure)} "
+                   "AS DOUBLE)").alias(names.format((short, prefix, plural)[suffix]))
+            for short, prefix, plural in GENRES]
 
 
 def activity_weekly_rollup(scan: DataFrame, cfg: ChurnConfig) -> DataFrame:
@@ -42,14 +43,14 @@ def activity_weekly_rollup(scan: DataFrame, cfg: ChurnConfig) -> DataFrame:
     rows = scan.select(
         "user_id", destination_product(cfg).alias("destination"), week.alias("week"),
         "date_of_event", "genre_names", "playback_time", "page_views")
-    known = sum_columns([F.col(f"genre_st_{g[0]}") for g in GENRES])
+    known = plus(f"genre_st_{g[0]}" for g in GENRES)
     return rows.groupBy("user_id", "destination", "week").agg(
         F.count(F.lit(1)).alias("events"),
         F.sum("playback_time").cast("double").alias("streaming_time"),
-        distinct_days(F.col("date_of_event"), F.col("week")).alias("distinct_days"),
+        distinct_days("date_of_event", "week").alias("distinct_days"),
         F.sum("page_views").cast("double").alias("page_views"),
-        *genre_conditional_sums(F.col("genre_names"), F.col("playback_time")),
-    ).withColumn("genre_st_other", F.col("streaming_time") - known)
+        *genre_conditional_sums("genre_names", "playback_time"),
+    ).withColumn("genre_st_other", F.expr(f"streaming_time - {known}"))
 
 
 def windowed_activity(activity: DataFrame, cfg: ChurnConfig, *, start: str = "min_date",

@@ -7,6 +7,8 @@ to an event log.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ebbtide.config import FRESH_COHORT, ChurnConfig
@@ -15,27 +17,26 @@ from ebbtide.functions.exprs import hash_bucket, week_of
 DATE_COLUMNS = ("min_date", "max_date", "max_feature_date", "last_week_start")
 
 
-def cohort_date(name: str, cohort: Column, cfg: ChurnConfig) -> Column:
-    """One of the cohort's dates as an expression of the cohort number."""
-    newest = F.lit(cfg.max_date)
-    weeks = cohort * 7
-    feature_end = F.date_add(newest, -(weeks + 14))
-    return {
-        "min_date": F.date_add(newest, -(weeks + 7 * 15) + 1),
-        "max_date": F.date_add(newest, -weeks),
+def cohort_date(name: str, cfg: ChurnConfig) -> Column:
+    """One of the cohort's dates as an expression of the ``cohort`` column."""
+    newest = f"DATE'{cfg.max_date}'"
+    feature_end = f"date_sub({newest}, 7 * cohort + 14)"
+    return F.expr({
+        "min_date": f"date_sub({newest}, 7 * (cohort + 15) - 1)",
+        "max_date": f"date_sub({newest}, 7 * cohort)",
         "max_feature_date": feature_end,
-        "max_week": week_of(F.date_add(newest, -weeks)),
-        "last_week_start": week_of(feature_end),
-    }[name]
+        "max_week": f"CAST(date_trunc('week', date_sub({newest}, 7 * cohort)) AS DATE)",
+        "last_week_start": f"CAST(date_trunc('week', {feature_end}) AS DATE)",
+    }[name])
 
 
 def with_dates(df: DataFrame, cfg: ChurnConfig, names=DATE_COLUMNS) -> DataFrame:
-    return df.withColumns({n: cohort_date(n, F.col("cohort"), cfg) for n in names})
+    return df.withColumns({n: cohort_date(n, cfg) for n in names})
 
 
 def expand_cohorts(df: DataFrame, cfg: ChurnConfig) -> DataFrame:
     """Each row twice: as training history (fresh = 0) and as scoring history (fresh = 1)."""
-    training = hash_bucket(F.col("user_id"), cfg.salt, cfg.n_cohorts)
+    training = hash_bucket("user_id", cfg.salt, cfg.n_cohorts)
     roles = F.array(
         F.struct(F.lit(0).alias("fresh"), training.alias("cohort")),
         F.struct(F.lit(1).alias("fresh"), F.lit(FRESH_COHORT).alias("cohort")))
@@ -49,12 +50,11 @@ def within_window(df: DataFrame, cfg: ChurnConfig, day: str, *,
 
     The literal bounds come first: they reach the scan and skip whole partitions.
     """
-    cohort, date = F.col("cohort"), F.col(day).cast("date")
-    bounded = df.where((F.col(day) >= F.lit(cfg.window_min_date))
-                       & (F.col(day) < F.date_add(F.lit(cfg.window_max_date), 1)))
-    return expand_cohorts(bounded.where(F.col("user_id").isNotNull()), cfg).where(
-        (date >= cohort_date(start, cohort, cfg))
-        & (date <= cohort_date("max_feature_date", cohort, cfg)))
+    after = cfg.window_max_date + timedelta(days=1)
+    bounded = df.where(f"`{day}` >= DATE'{cfg.window_min_date}' AND `{day}` < DATE'{after}' "
+                       "AND user_id IS NOT NULL")
+    return expand_cohorts(bounded, cfg).where(F.col(day).cast("date").between(
+        cohort_date(start, cfg), cohort_date("max_feature_date", cfg)))
 
 
 def cohort_dates(spark: SparkSession, cfg: ChurnConfig) -> DataFrame:

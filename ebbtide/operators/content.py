@@ -44,24 +44,19 @@ def content_mode_genre(catalogue: DataFrame, cfg: ChurnConfig) -> DataFrame:
         "brand_simplified", simplified_brand(F.col("masterbrand"), cfg))
 
 
-def content_attributes(catalogue: DataFrame, factors: DataFrame, cfg: ChurnConfig) -> DataFrame:
-    """(content): genre, simplified brand and recommender factors."""
-    return content_mode_genre(catalogue, cfg).drop("masterbrand").join(
-        unique_by(factors, ["content_id"]), "content_id", "full")
-
-
-def activation_asof(activations: DataFrame, catalogue: DataFrame, factors: DataFrame,
-                    cfg: ChurnConfig, product: str, cohorts: DataFrame | None = None
-                    ) -> DataFrame:
+def activation_asof(activations: DataFrame, catalogue: DataFrame, contents: DataFrame,
+                    factors: DataFrame, cfg: ChurnConfig, product: str,
+                    cohorts: DataFrame | None = None) -> DataFrame:
     """(user, fresh): the latest activation up to the last feature week, with its content.
 
-    Video activations name a version, audio activations an episode.
+    Video activations name a version, audio activations an episode. ``contents``
+    is the result of content_mode_genre.
     """
     key = "version_id" if product == "video" else "episode_id"
     seen = expand_cohorts(activations.where(
         (F.col("week_beginning") <= F.lit(cfg.window_max_date))
         & F.col("user_id").isNotNull()), cfg)
-    start = cohort_date("last_week_start", F.col("cohort"), cfg)
+    start = cohort_date("last_week_start", cfg)
     latest = seen.where(F.col("week_beginning") <= start).groupBy("user_id", "fresh").agg(
         F.max(F.struct("week_beginning", key)).alias("_a"), F.max(start).alias("_start")).select(
         "user_id", "fresh", F.col("_a.week_beginning").alias("activation_week"),
@@ -76,8 +71,7 @@ def activation_asof(activations: DataFrame, catalogue: DataFrame, factors: DataF
     else:
         dim = episodes
     names = [f"f{i}" for i in range(cfg.factors[product])]
-    described = content_mode_genre(catalogue, cfg).join(
-        unique_by(factors, ["content_id"]), "content_id", "left")
+    described = contents.join(unique_by(factors, ["content_id"]), "content_id", "left")
     dim = dim.join(described, "content_id", "left")
     out = lookup_join(only_cohort_users(latest, cohorts), dim, [key]).select(
         "user_id", "fresh", "activation_week",
@@ -90,31 +84,35 @@ def activation_asof(activations: DataFrame, catalogue: DataFrame, factors: DataF
     return fill_cohorts(out, cohorts)
 
 
-def favourite_content(windowed: DataFrame, catalogue: DataFrame, factors: DataFrame,
-                      cfg: ChurnConfig, product: str) -> DataFrame:
-    """(user, fresh): the content used on most days; ties go to the smaller id."""
-    raw = [d for d, p in cfg.destinations.items() if p == product]
-    origin = cohort_date("min_date", F.col("cohort"), cfg)
-    content = tleo_ladder(FAVOURITE_LADDER[:2], NULL_SENTINEL)
-    level = tleo_level(FAVOURITE_LADDER[:2], NULL_SENTINEL)
+def favourite_pick(windowed: DataFrame, cfg: ChurnConfig) -> DataFrame:
+    """(user, fresh): per product the content used on most days; ties go to the smaller id."""
+    content = F.coalesce(tleo_ladder(FAVOURITE_LADDER[:2], NULL_SENTINEL),
+                         F.col(FAVOURITE_LADDER[2]))
+    level = F.coalesce(tleo_level(FAVOURITE_LADDER[:2], NULL_SENTINEL),
+                       F.lit(FAVOURITE_LADDER[2]))
     days = windowed.where(
-        F.col("destination").isin(*raw) & (F.col("playback_time") >= cfg.event_seconds)).select(
-        "user_id", "fresh", "date_of_event", origin.alias("_origin"),
-        F.coalesce(content, F.col(FAVOURITE_LADDER[2])).alias("content_id"),
-        F.coalesce(level, F.lit(FAVOURITE_LADDER[2])).alias("level")
-    ).where(F.col("content_id").isNotNull()).groupBy(
-        "user_id", "fresh", "content_id", "level").agg(
-        distinct_days(F.col("date_of_event"), F.col("_origin")).alias("events"))
-    best = days.groupBy("user_id", "fresh").agg(F.min(F.struct(
-        (-F.col("events")).alias("n"), "content_id", "level")).alias("_b")).select(
-        "user_id", "fresh", F.col("_b.content_id").alias("content_id"),
-        F.col("_b.level").alias(f"{product}_fav_content_level"))
-    names = [f"f{i}" for i in range(cfg.factors[product])]
-    return lookup_join(best, content_attributes(catalogue, factors, cfg), ["content_id"]).select(
-        "user_id", "fresh", F.col("content_id").alias(f"{product}_fav_content_id"),
-        f"{product}_fav_content_level",
-        F.col("genre").alias(f"{product}_fav_content_genre"),
-        F.col("brand_simplified").alias(f"{product}_fav_content_masterbrand"),
-        *[F.col(n).alias(f"{product}_fav_{n}") for n in names])
-
-
+        F.col("destination").isin(*cfg.destinations)
+        & (F.col("playback_time") >= cfg.event_seconds)).select(
+        "user_id", "fresh", "destination", "date_of_event",
+        cohort_date("min_date", cfg).alias("_origin"), content.alias("content_id"),
+        level.alias("level")).where(F.col("content_id").isNotNull()).groupBy(
+        "user_id", "fresh", "destination", "content_id", "level").agg(
+        distinct_days("date_of_event", "_origin").alias("events"))
+    picks = [F.expr(f"min(CASE WHEN destination = '{raw}' THEN "
+                    f"struct(-events AS n, content_id, level) END) AS _{product}")
+             for raw, product in cfg.destinations.items()]
+    return days.groupBy("user_id", "fresh").agg(*picks).selectExpr("user_id", "fresh", *[
+        f"_{p}.{c} AS {p}_fav_{name}" for p in cfg.destinations.values()
+        for c, name in (("content_id", "content_id"), ("level", "content_level"))])
+
+
+def favourite_content(picked: DataFrame, contents: DataFrame, factors: DataFrame,
+                      cfg: ChurnConfig, product: str) -> DataFrame:
+    """Adds genre, brand and factors of the product's favourite content."""
+    key = f"{product}_fav_content_id"
+    described = contents.drop("masterbrand").join(
+        unique_by(factors, ["content_id"]), "content_id", "full").selectExpr(
+        f"content_id AS {key}", f"genre AS {product}_fav_content_genre",
+        f"brand_simplified AS {product}_fav_content_masterbrand",
+        *[f"f{i} AS {product}_fav_f{i}" for i in range(cfg.factors[product])])
+    return lookup_join(picked, described, [key])

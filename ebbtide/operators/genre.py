@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.config import FEATURE_WEEKS, GENRES, TITLE_SENTINELS, ChurnConfig
-from ebbtide.functions.exprs import share, sum_columns, tleo_ladder, week_of
+from ebbtide.functions.exprs import exprs, plus, share, tleo_ladder, week_of
 from ebbtide.operators.activity import genre_conditional_sums
 from ebbtide.operators.cohorts import cohort_date, expand_cohorts
 from ebbtide.operators.target import KEY, effective_week
@@ -27,14 +27,12 @@ def genre_affinity(weekly: DataFrame, cfg: ChurnConfig, *, floor: int | None = N
     rows = expand_cohorts(weekly.where(F.col("destination") != "radio"), cfg)
     totals = rows.where(effective_week(cfg).between(floor, FEATURE_WEEKS[-1])).groupBy(*KEY).agg(
         F.sum("events").alias("events"), F.sum("distinct_days").alias("distinct_days"),
-        *[F.sum(c).alias(c) for c in sums])
-    watched = [(F.col(f"genre_st_{n}") > 0).cast("int") for n in NAMES]
-    return totals.withColumns({
-        **{f"genre_share_{n}": share(F.col(f"genre_st_{n}"), F.col("streaming_time"))
-           for n in NAMES},
-        **{f"genre_watch_{n}": w for n, w in zip(NAMES, watched)},
-        "genre_distinct_count": sum_columns(watched),
-    })
+        *exprs(f"sum({c}) AS {c}" for c in sums))
+    watched = {n: f"CAST(genre_st_{n} > 0 AS INT)" for n in NAMES}
+    return totals.selectExpr(
+        "*", *[f"{share(f'genre_st_{n}', 'streaming_time')} AS genre_share_{n}" for n in NAMES],
+        *[f"{w} AS genre_watch_{n}" for n, w in watched.items()],
+        f"{plus(watched.values())} AS genre_distinct_count")
 
 
 def genre_schedule(catalogue: DataFrame) -> DataFrame:
@@ -46,24 +44,22 @@ def genre_schedule(catalogue: DataFrame) -> DataFrame:
         product.alias("destination"), "media_type",
         tleo_ladder(TITLES, TITLE_SENTINELS).alias("tleo"),
         week_of(shown).alias("week"), "genre_names").distinct()
-    known = sum_columns([F.col(f"releases_{n}") for n in RELEASES[:-1]])
+    known = plus(f"releases_{n}" for n in RELEASES[:-1])
     return programmes.groupBy("destination", "week").agg(
-        *genre_conditional_sums(F.col("genre_names"), F.lit(1), names="releases_{}", suffix=2),
+        *genre_conditional_sums("genre_names", "1", names="releases_{}", suffix=2),
         F.count(F.lit(1)).cast("double").alias("_all"),
-    ).withColumn("releases_other", F.col("_all") - known).drop("_all")
+    ).withColumn("releases_other", F.expr(f"_all - {known}")).drop("_all")
 
 
 def schedule_moving_average(schedule: DataFrame, cfg: ChurnConfig, *, rows: int = 13) -> DataFrame:
     """Releases divided by their moving average; the table has one row per product and week."""
-    recent = Window.partitionBy("destination").orderBy("week").rowsBetween(1 - rows, 0)
-
-    def scaled(name: str) -> Column:
-        average = F.avg(f"releases_{name}").over(recent)
-        return F.when(average == 0, F.lit(1.0)).otherwise(
-            F.try_divide(F.col(f"releases_{name}"), average))
-
-    return schedule.where(F.col("week") >= F.lit(cfg.schedule_since)).select(
-        "destination", "week", *[scaled(n).alias(f"scaled_releases_{n}") for n in RELEASES])
+    recent = (f"OVER (PARTITION BY destination ORDER BY week "
+              f"ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)")
+    averages = schedule.where(F.col("week") >= F.lit(cfg.schedule_since)).selectExpr(
+        "*", *[f"avg(releases_{n}) {recent} AS _{n}" for n in RELEASES])
+    return averages.selectExpr("destination", "week", *[
+        f"CASE WHEN _{n} = 0 THEN 1.0D ELSE try_divide(releases_{n}, _{n}) END "
+        f"AS scaled_releases_{n}" for n in RELEASES])
 
 
 def schedule_match_index(affinity: DataFrame, schedule: DataFrame, scaled: DataFrame,
@@ -75,10 +71,10 @@ def schedule_match_index(affinity: DataFrame, schedule: DataFrame, scaled: DataF
     """
     weeks = schedule.join(scaled, ["destination", "week"], "left")
     joined = affinity.withColumn(
-        "week", cohort_date("max_week", F.col("cohort"), cfg)).join(
+        "week", cohort_date("max_week", cfg)).join(
         F.broadcast(weeks), ["destination", "week"], "left").drop("week")
-    match = {n: (F.col(f"scaled_releases_{r}") - 1) * F.col(f"genre_share_{n}")
+    match = {n: f"(scaled_releases_{r} - 1) * genre_share_{n}"
              for n, r in zip(NAMES[:-1], RELEASES[:-1])}
-    return joined.withColumns({
-        **{f"sched_match_index_{n}": m for n, m in match.items()},
-        "sched_match_index": sum_columns(match.values())})
+    return joined.selectExpr(
+        "*", *[f"{m} AS sched_match_index_{n}" for n, m in match.items()],
+        f"{plus(match.values())} AS sched_match_index")

@@ -58,7 +58,7 @@ def lastweek_views(activity: DataFrame, cfg: ChurnConfig) -> DataFrame:
     """(user, fresh, destination, product, version): days watched in the last feature week."""
     rows = windowed_activity(activity, cfg, start="last_week_start",
                              min_playback=cfg.last_week_seconds)
-    start = cohort_date("last_week_start", F.col("cohort"), cfg)
+    start = cohort_date("last_week_start", cfg)
     raw = F.col("destination")
     product = F
     for name, value in cfg.destinations.items():
@@ -67,7 +67,7 @@ def lastweek_views(activity: DataFrame, cfg: ChurnConfig) -> DataFrame:
         "user_id", "fresh", product.alias("destination"),
         destination_product(cfg).alias("product"), "version_id", "date_of_event",
         start.alias("_origin")).groupBy(*ID, "product", "version_id").agg(
-        distinct_days(F.col("date_of_event"), F.col("_origin")).alias("events"))
+        distinct_days("date_of_event", "_origin").alias("events"))
 
 
 def _version_titles(catalogue: DataFrame) -> DataFrame:

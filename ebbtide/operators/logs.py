@@ -21,7 +21,7 @@ def segment_pivot(segments: DataFrame, cfg: ChurnConfig, cohorts: DataFrame | No
             F.lit(cfg.window_min_date), F.date_add(F.lit(cfg.window_max_date), 7))
         & F.lower("product").isin(*products) & F.col("user_id").isNotNull())
     rows = expand_cohorts(inside, cfg).where(
-        week == cohort_date("last_week_start", F.col("cohort"), cfg))
+        week == cohort_date("last_week_start", cfg))
     pivot = rows.groupBy(*KEY).agg(*[
         F.max(F.when(F.lower("product") == p, F.col("segment"))).alias(f"freq_seg_{p}")
         for p in products])
@@ -35,7 +35,7 @@ def marketing_optin(newsletter: DataFrame, cfg: ChurnConfig, cohorts: DataFrame
         (F.lower("activity_type") == "follows") & (F.col("resource_type") == "newsletter")
         & (F.col("resource_domain") == "profile") & (F.col("resource_id") == newsletter_id)
         & (F.col("action_date") <= F.lit(cfg.window_max_date)) & F.col("user_id").isNotNull())
-    end = cohort_date("max_feature_date", F.col("cohort"), cfg)
+    end = cohort_date("max_feature_date", cfg)
     latest = expand_cohorts(actions, cfg).where(F.col("action_date") <= end).groupBy(*KEY).agg(
         F.max(F.struct("server_time", "action")).alias("_a"), F.max(end).alias("_end"))
     days = F.datediff(F.col("_end"), F.col("_a.server_time").cast("date"))
@@ -53,7 +53,7 @@ def _distinct_sends(mail: DataFrame, cfg: ChurnConfig, name: str) -> DataFrame:
     Sends are first made unique with a last-week flag, so both counts come from
     one pass and no row is duplicated for the second distinct.
     """
-    start = cohort_date("last_week_start", F.col("cohort"), cfg)
+    start = cohort_date("last_week_start", cfg)
     rows = within_window(mail, cfg, "event_ts")
     sends = rows.select(*KEY, "send_id", (F.col("event_ts") >= start).cast("int").alias("_lw")
                         ).groupBy(*KEY, "send_id").agg(F.max("_lw").alias("_lw"))
@@ -84,7 +84,7 @@ def follow_counts(actions: DataFrame, cfg: ChurnConfig, cohorts: DataFrame | Non
     for rule in matched.values():
         wanted = wanted | rule
     rows = within_window(actions.where(wanted), cfg, "action_date")
-    recent = F.col("action_date") >= cohort_date("last_week_start", F.col("cohort"), cfg)
+    recent = F.col("action_date") >= cohort_date("last_week_start", cfg)
     columns = []
     for name, rule in matched.items():
         columns += [F.count_if(rule).alias(f"{name}_13w"),

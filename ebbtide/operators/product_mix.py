@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ebbtide.config import ID_SENTINELS, LISTENING_COARSE, LISTENING_DETAIL, ChurnConfig
-from ebbtide.functions.exprs import argmax_label, distinct_days, share, sum_columns, tleo_ladder
+from ebbtide.functions.exprs import (
+    argmax_label, conditional_sum, distinct_days, exprs, plus, share, tleo_ladder)
 from ebbtide.functions.skew import lookup_join, unique_by
 from ebbtide.operators.cohorts import cohort_date
 
@@ -76,38 +77,37 @@ def listening_type(rows: DataFrame, catalogue: DataFrame, podcast_list: DataFram
 def audio_listening(windowed: DataFrame, cfg: ChurnConfig) -> DataFrame:
     """(user, fresh, title, version, broadcast type): time and days with an event."""
     raw = [d for d, product in cfg.destinations.items() if product == "audio"]
-    origin = cohort_date("min_date", F.col("cohort"), cfg)
+    origin = cohort_date("min_date", cfg)
     rows = windowed.where(F.col("destination").isin(*raw) & (F.col("playback_time") > 0))
     return rows.withColumns({
         "tleo_id": tleo_ladder(ID_LADDER, ID_SENTINELS), "_origin": origin,
     }).groupBy("user_id", "fresh", "tleo_id", "version_id", "broadcast_type").agg(
         F.sum("playback_time").cast("double").alias("streaming_time"),
-        distinct_days(F.col("date_of_event"), F.col("_origin"),
-                      F.col("playback_time") >= cfg.event_seconds)
+        distinct_days("date_of_event", "_origin", f"playback_time >= {cfg.event_seconds}")
         .cast("double").alias("events"))
 
 
-def preferred_listening(measure: str, *, detail: bool) -> Column:
+def preferred_listening(measure: str, *, detail: bool) -> str:
     """Label of the greatest share; ties go to the label listed first."""
     names = LISTENING_DETAIL if detail else [(n, label) for n, label, _ in LISTENING_COARSE]
-    return argmax_label([(F.col(f"audio_prod_{n}_{measure}_perc"), label) for n, label in names])
+    return argmax_label([(f"audio_prod_{n}_{measure}_perc", label) for n, label in names])
 
 
 def product_mix(typed: DataFrame) -> DataFrame:
     """(user, fresh): 9 times, 9 event counts, 18 shares, 4 preferred labels."""
-    kind, measures = F.col("listening_type"), {"st": "streaming_time", "ev": "events"}
-    sums = typed.groupBy("user_id", "fresh").agg(
-        *[F.sum(c).alias(f"_total_{m}") for m, c in measures.items()],
-        *[F.sum(F.when(kind == n, F.col(c)).otherwise(F.lit(0.0))).alias(f"audio_prod_{m}_{n}")
-          for m, c in measures.items() for n, _ in LISTENING_DETAIL])
-    mixed = sums.withColumns({
-        f"audio_prod_{m}_{n}": sum_columns([F.col(f"audio_prod_{m}_{p}") for p in parts])
-        for m in measures for n, _, parts in LISTENING_COARSE})
+    measures = {"st": "streaming_time", "ev": "events"}
+    sums = typed.groupBy("user_id", "fresh").agg(*exprs([
+        *[f"sum({c}) AS _total_{m}" for m, c in measures.items()],
+        *[conditional_sum(f"listening_type = '{n}'", c, "0.0D") + f" AS audio_prod_{m}_{n}"
+          for m, c in measures.items() for n, _ in LISTENING_DETAIL]]))
+    mixed = sums.selectExpr("*", *[
+        plus(f"audio_prod_{m}_{p}" for p in parts) + f" AS audio_prod_{m}_{n}"
+        for m in measures for n, _, parts in LISTENING_COARSE])
     names = [*[n for n, _ in LISTENING_DETAIL], *[n for n, _, _ in LISTENING_COARSE]]
-    shares = mixed.withColumns({
-        f"audio_prod_{n}_{m}_perc": share(F.col(f"audio_prod_{m}_{n}"), F.col(f"_total_{m}"))
-        for m in measures for n in names})
-    return shares.withColumns({
-        f"audio_prod_{m}_preferred_listening{'_detail' if detail else ''}":
-            preferred_listening(m, detail=detail)
-        for m in measures for detail in (True, False)}).drop("_total_st", "_total_ev")
+    shares = mixed.selectExpr("*", *[
+        share(f"audio_prod_{m}_{n}", f"_total_{m}") + f" AS audio_prod_{n}_{m}_perc"
+        for m in measures for n in names])
+    return shares.selectExpr("*", *[
+        preferred_listening(m, detail=detail)
+        + f" AS audio_prod_{m}_preferred_listening{'_detail' if detail else ''}"
+        for m in measures for detail in (True, False)]).drop("_total_st", "_total_ev")

@@ -33,7 +33,7 @@ def profile_demographics(profile: DataFrame, extension: DataFrame, genders: Data
     for dim in (extension, genders, ages):
         people = people.join(unique_by(dim, ["user_id"]), "user_id", "left")
     rows = expand_cohorts(people, cfg)
-    days = F.datediff(cohort_date("max_week", F.col("cohort"), cfg), F.col("created_date"))
+    days = F.datediff(cohort_date("max_week", cfg), F.col("created_date"))
     ranges = F.when(F.col("age_range").isin(*ADULT_AGE_RANGES), 1).when(
         F.col("age_range").isNotNull(), 0)
     predicted = F.when(F.col("predicted_age") == "16-34", 1).otherwise(0)

@@ -16,7 +16,7 @@ def random_sample_n(df: DataFrame, n: int, key: str, salt: str) -> DataFrame:
     No task and no driver ever holds the sample: rows past the n-th hash are
     dropped by comparing with the counts of hash slices.
     """
-    return rank_by_hash(df, hash_number(F.col(key), salt), [], F.col(key),
+    return rank_by_hash(df, hash_number(key, salt), [], F.col(key),
                         alias="_rank", at_most=n).drop("_rank")
 
 
@@ -28,7 +28,7 @@ def sample_with_replacement(df: DataFrame, n: int, rows: int, seed: int) -> Data
 def stratified_folds(df: DataFrame, label: str, k: int, key: str, *, salt: str = "fold",
                      groups: Sequence[str] = ()) -> DataFrame:
     """Adds fold in 0..k-1; each label is dealt out evenly over the folds."""
-    ranked = rank_by_hash(df, hash_number(F.col(key), salt), [*groups, label], F.col(key),
+    ranked = rank_by_hash(df, hash_number(key, salt), [*groups, label], F.col(key),
                           alias="_rank")
     return ranked.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank")
 
@@ -36,7 +36,7 @@ def stratified_folds(df: DataFrame, label: str, k: int, key: str, *, salt: str =
 def split_roles(df: DataFrame, key: str, *, salt: str = "split",
                 private_of_4: int = 1) -> DataFrame:
     """Adds role: holdout (cohort 0), private (a quarter of the others) or public."""
-    private = hash_bucket(F.col(key), salt, 4) < private_of_4
+    private = hash_bucket(key, salt, 4) < private_of_4
     return df.withColumn("role", F.when(F.col("cohort") == 0, "holdout")
                          .when(private, "private").otherwise("public"))
 

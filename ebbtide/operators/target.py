@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ebbtide.config import FEATURE_WEEKS, PIVOT_WEEKS, PRODUCTS, ChurnConfig
-from ebbtide.functions.exprs import hash_bucket, sum_columns, weeks_between
+from ebbtide.functions.exprs import conditional_sum, exprs, hash_bucket, plus, weeks_between
 from ebbtide.operators.cohorts import cohort_date, expand_cohorts
 
 KEY = ("user_id", "destination", "cohort", "fresh")
@@ -27,22 +27,16 @@ def weekly_pivot(weekly: DataFrame, cfg: ChurnConfig) -> DataFrame:
     """(user, product, cohort, fresh): streaming time and events of 15 weeks."""
     rows = expand_cohorts(weekly.where(F.col("destination") != "radio").select(
         "user_id", "destination", "week", "events", "streaming_time"), cfg)
-    k = F.col("_k")
-
-    def at(week: int, measure: str, zero) -> Column:
-        return F.sum(F.when(k == week, F.col(measure)).otherwise(F.lit(zero)))
-
-    features = k.between(FEATURE_WEEKS[0], FEATURE_WEEKS[-1])
-    return rows.withColumn("_k", effective_week(cfg)).groupBy(*KEY).agg(
-        *[at(w, "streaming_time", 0.0).alias(f"stw_{w}") for w in PIVOT_WEEKS],
-        F.sum(F.when(features, F.col("streaming_time")).otherwise(F.lit(0.0)))
-        .alias("streaming_time_13w"),
-        *[at(w, "events", 0).alias(f"ew_{w}") for w in PIVOT_WEEKS])
+    times = {f"stw_{w}": f"_k = {w}" for w in PIVOT_WEEKS}
+    times["streaming_time_13w"] = f"_k BETWEEN {FEATURE_WEEKS[0]} AND {FEATURE_WEEKS[-1]}"
+    return rows.withColumn("_k", effective_week(cfg)).groupBy(*KEY).agg(*exprs([
+        *[f"{conditional_sum(rule, 'streaming_time', '0.0D')} AS {n}"
+          for n, rule in times.items()],
+        *[f"{conditional_sum(f'_k = {w}', 'events')} AS ew_{w}" for w in PIVOT_WEEKS]]))
 
 
 def weekly_flags(pivot: DataFrame) -> DataFrame:
-    return pivot.withColumns(
-        {f"aw_{w}": (F.col(f"ew_{w}") > 0).cast("int") for w in PIVOT_WEEKS})
+    return pivot.selectExpr("*", *[f"CAST(ew_{w} > 0 AS INT) AS aw_{w}" for w in PIVOT_WEEKS])
 
 
 def linreg_13w(pivot: DataFrame) -> DataFrame:
@@ -53,32 +47,29 @@ def linreg_13w(pivot: DataFrame) -> DataFrame:
     xs = {w: i + 1 for i, w in enumerate(FEATURE_WEEKS)}
     n, sx, sxx = len(xs), sum(xs.values()), sum(x * x for x in xs.values())
     spread = n * sxx - sx * sx
-    y = {w: F.col(f"ew_{w}").cast("double") for w in xs}
-    sums = pivot.withColumns({
-        "sx": F.lit(float(sx)),
-        "sy": sum_columns(y.values()),
-        "sxx": F.lit(float(sxx)),
-        "sxy": sum_columns([y[w] * x for w, x in xs.items()]),
-        "syy": sum_columns([v * v for v in y.values()]),
-    })
-    beta, alpha = F.col("beta_hat"), F.col("alpha_hat")
-    fit = sums.withColumn("beta_hat", (n * F.col("sxy") - sx * F.col("sy")) / spread)
-    fit = fit.withColumn("alpha_hat", F.col("sy") / n - beta * sx / n)
-    fit = fit.withColumn("se2", F.greatest(F.lit(0.0), (
-        n * F.col("syy") - F.col("sy") * F.col("sy") - beta * beta * spread) / (n * (n - 2))))
-    fit = fit.withColumn("sb2", n * F.col("se2") / spread)
-    fit = fit.withColumn("sa2", F.col("sb2") * sxx / n)
-    return fit.withColumns({
-        "beta_lower": beta - T_11 * F.sqrt("sb2"),
-        "beta_upper": beta + T_11 * F.sqrt("sb2"),
-        "alpha_lower": alpha - T_11 * F.sqrt("sa2"),
-        "alpha_upper": alpha + T_11 * F.sqrt("sa2"),
-        "x_intercept": F.when(beta < 0, -alpha / beta),
-    })
-
-
-def is_active(cfg: ChurnConfig) -> Column:
-    return (F.col("ew_2") > 0) & (F.col("streaming_time_13w") > cfg.active_seconds)
+    sums = pivot.selectExpr(
+        "*", f"{sx}.0D AS sx", f"CAST({plus(f'ew_{w}' for w in xs)} AS DOUBLE) AS sy",
+        f"{sxx}.0D AS sxx",
+        f"CAST({plus(f'ew_{w} * {x}' for w, x in xs.items())} AS DOUBLE) AS sxy",
+        f"CAST({plus(f'ew_{w} * ew_{w}' for w in xs)} AS DOUBLE) AS syy")
+    fit = sums.selectExpr("*", f"({n} * sxy - {sx} * sy) / {spread} AS beta_hat")
+    fit = fit.selectExpr(
+        "*", f"sy / {n} - beta_hat * {sx} / {n} AS alpha_hat",
+        f"greatest(0.0D, ({n} * syy - sy * sy - beta_hat * beta_hat * {spread}) "
+        f"/ {n * (n - 2)}) AS se2")
+    fit = fit.selectExpr("*", f"{n} * se2 / {spread} AS sb2",
+                         f"{n} * se2 / {spread} * {sxx} / {n} AS sa2")
+    t = f"{T_11}D"
+    return fit.selectExpr(
+        "*", f"beta_hat - {t} * sqrt(sb2) AS beta_lower",
+        f"beta_hat + {t} * sqrt(sb2) AS beta_upper",
+        f"alpha_hat - {t} * sqrt(sa2) AS alpha_lower",
+        f"alpha_hat + {t} * sqrt(sa2) AS alpha_upper",
+        "CASE WHEN beta_hat < 0 THEN -alpha_hat / beta_hat END AS x_intercept")
+
+
+def is_active(cfg: ChurnConfig) -> str:
+    return f"(ew_2 > 0 AND streaming_time_13w > {cfg.active_seconds})"
 
 
 def linreg_pivot(linreg: DataFrame, cfg: ChurnConfig, own: str | None = None,
@@ -88,25 +79,18 @@ def linreg_pivot(linreg: DataFrame, cfg: ChurnConfig, own: str | None = None,
     ``own`` names the product whose activity flag also needs enough viewing time;
     its ``own_columns`` are carried along.
     """
-    columns = [F.max(F.when(F.col("destination") == own, F.col(c))).alias(c)
-               for c in own_columns]
-    for product in PRODUCTS:
-        here = F.col("destination") == product
-        active = is_active(cfg) if product == own else F.col("ew_2") > 0
-
-        def pick(value: Column, name: str) -> Column:
-            return F.max(F.when(here, value)).alias(f"{product}_{name}")
-
+    columns = [f"max(CASE WHEN destination = '{own}' THEN {c} END) AS {c}" for c in own_columns]
+    for p in PRODUCTS:
+        here = f"destination = '{p}'"
+        active = is_active(cfg) if p == own else "ew_2 > 0"
+        values = {"lin_reg_coeff": "beta_hat", "13w_yintercept": "alpha_hat",
+                  "13w_xintercept": "x_intercept"}
         columns += [
-            F.max(here.cast("int")).alias(f"{product}_user"),
-            F.max((here & active).cast("int")).alias(f"{product}_active_last_week"),
-            pick(F.col("beta_hat"), "lin_reg_coeff"),
-            pick(F.col("alpha_hat"), "13w_yintercept"),
-            pick(F.col("x_intercept"), "13w_xintercept"),
-            F.max((here & F.col("x_intercept").isNotNull()).cast("int"))
-            .alias(f"{product}_lin_reg_churn_flag"),
-        ]
-    return linreg.groupBy("user_id", "fresh").agg(*columns)
+            f"max(CAST({here} AS INT)) AS {p}_user",
+            f"max(CAST({here} AND {active} AS INT)) AS {p}_active_last_week",
+            *[f"max(CASE WHEN {here} THEN {c} END) AS {p}_{n}" for n, c in values.items()],
+            f"max(CAST({here} AND x_intercept IS NOT NULL AS INT)) AS {p}_lin_reg_churn_flag"]
+    return linreg.groupBy("user_id", "fresh").agg(*exprs(columns))
 
 
 def churn_target(pivot: DataFrame, cfg: ChurnConfig, keep: Sequence[str] = ()) -> DataFrame:
@@ -115,13 +99,13 @@ def churn_target(pivot: DataFrame, cfg: ChurnConfig, keep: Sequence[str] = ()) -
         return F.when(F.col("fresh") == 0, (F.col(f"ew_{week}") == 0).cast("int"))
 
     cohort = F.col("cohort")
-    held = hash_bucket(F.col("user_id"), cfg.salt + "-train", 5) == 4
+    held = hash_bucket("user_id", cfg.salt + "-train", 5) == 4
     return pivot.select(
         "user_id", "destination", "cohort",
-        cohort_date("max_week", cohort, cfg).alias("target_week_start_date"),
-        cohort_date("max_date", cohort, cfg).alias("target_week_end_date"),
+        cohort_date("max_week", cfg).alias("target_week_start_date"),
+        cohort_date("max_date", cfg).alias("target_week_end_date"),
         "fresh",
         churned(1).alias("target_churn_this_week"),
         churned(0).alias("target_churn_next_week"),
-        is_active(cfg).cast("int").alias("active_last_week"),
+        F.expr(is_active(cfg)).cast("int").alias("active_last_week"),
         F.when(held, 0).otherwise(1).alias("train"), *keep)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.config import HOUR_BANDS, WEEKDAYS, ChurnConfig
-from ebbtide.functions.exprs import conditional_sum, share, sum_columns
+from ebbtide.functions.exprs import conditional_sum, exprs, plus, share
 from ebbtide.operators.activity import destination_product
 
 
@@ -20,10 +20,10 @@ def time_of_day_shares(windowed: DataFrame, cfg: ChurnConfig,
         keys.append("product")
     else:
         rows = rows.where(F.col("product") == product)
-    bands = {f"tod_{n}": F.col("_hour").between(a, b) for n, a, b in HOUR_BANDS}
-    days = {f"dow_{n}": F.col("_day") == i for i, n in enumerate(WEEKDAYS)}
-    sums = rows.groupBy(*keys).agg(
-        *[conditional_sum(rule, F.col("playback_time")).alias(f"_{n}")
-          for n, rule in {**bands, **days}.items()])
-    total = sum_columns([F.col(f"_{n}") for n in days])
-    return sums.select(*keys, *[share(F.col(f"_{n}"), total).alias(n) for n in [*bands, *days]])
+    bands = {f"tod_{n}": f"_hour BETWEEN {a} AND {b}" for n, a, b in HOUR_BANDS}
+    days = {f"dow_{n}": f"_day = {i}" for i, n in enumerate(WEEKDAYS)}
+    sums = rows.groupBy(*keys).agg(*exprs(
+        f"{conditional_sum(rule, 'playback_time')} AS _{n}"
+        for n, rule in {**bands, **days}.items()))
+    total = plus(f"_{n}" for n in days)
+    return sums.selectExpr(*keys, *[f"{share(f'_{n}', total)} AS {n}" for n in [*bands, *days]])

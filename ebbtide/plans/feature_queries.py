@@ -20,7 +20,8 @@ QUERIES: dict[str, Query] = {}
 
 def register(function: Callable[[Blocks], DataFrame]) -> Callable[[Blocks], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return presented(function(Blocks(SampleTables(spark, folder), CONFIG)))
+        stage = function.__name__.startswith("feature_set")
+        return presented(function(Blocks(SampleTables(spark, folder), CONFIG, stage=stage)))
 
     QUERIES[function.__name__.removesuffix("_query")] = run
     return function
@@ -30,15 +31,15 @@ def presented(df: DataFrame) -> DataFrame:
     """Days as text, fractions rounded to six places, flags as numbers."""
     columns = []
     for f in df.schema:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, (T.DateType, T.TimestampType)):
-            c = c.cast("string")
+            c = f"CAST({c} AS STRING)"
         elif isinstance(f.dataType, T.DoubleType):
-            c = F.when(F.abs(c) < 0.0000005, F.lit(0.0)).otherwise(F.round(c, 6))
+            c = f"CASE WHEN abs({c}) < 0.0000005D THEN 0.0D ELSE round({c}, 6) END"
         elif isinstance(f.dataType, T.BooleanType):
-            c = c.cast("int")
-        columns.append(c.alias(f.name))
-    return df.select(*columns)
+            c = f"CAST({c} AS INT)"
+        columns.append(f"{c} AS `{f.name}`")
+    return df.selectExpr(*columns)
 
 
 @register
@@ -61,7 +62,7 @@ def activity_weekly_rollup(b: Blocks) -> DataFrame:
 @register
 def genre_conditional_sums(b: Blocks) -> DataFrame:
     return b.sources.activity.groupBy("device_type").agg(
-        *activity.genre_conditional_sums(F.col("genre_names"), F.col("playback_time")))
+        *activity.genre_conditional_sums("genre_names", "playback_time"))
 
 
 @register

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ebbtide.config import GENRES, PIVOT_WEEKS, PRODUCTS, SEGMENT_PRODUCTS
-from ebbtide.config import ChurnConfig
+from ebbtide.config import GENRES, PIVOT_WEEKS, PRODUCTS, SEGMENT_PRODUCTS, ChurnConfig
+from ebbtide.functions.skew import stable
 from ebbtide.operators import (
     activity, cohorts, content, devices, genre, last_week, logs, product_mix, profile, target,
     time_of_day)
@@ -20,10 +20,18 @@ KEY = ["user_id", "fresh"]
 
 
 class Blocks:
-    """Lazily built feature blocks over a set of sources."""
+    """Lazily built feature blocks over a set of sources.
 
-    def __init__(self, sources, cfg: ChurnConfig):
-        self.sources, self.cfg = sources, cfg
+    With ``stage`` the tables that several blocks read are written once to the
+    checkpoint folder: the weekly roll-up and the content table, both much
+    smaller than the activity they come from.
+    """
+
+    def __init__(self, sources, cfg: ChurnConfig, *, stage: bool = False):
+        self.sources, self.cfg, self.stage = sources, cfg, stage
+
+    def _shared(self, df: DataFrame) -> DataFrame:
+        return stable(df) if self.stage else df
 
     @cached_property
     def scan(self) -> DataFrame:
@@ -31,7 +39,7 @@ class Blocks:
 
     @cached_property
     def weekly(self) -> DataFrame:
-        return activity.activity_weekly_rollup(self.scan, self.cfg)
+        return self._shared(activity.activity_weekly_rollup(self.scan, self.cfg))
 
     @cached_property
     def cohorts(self) -> DataFrame:
@@ -117,17 +125,36 @@ class Blocks:
     def time_of_day(self, product: str | None = None) -> DataFrame:
         return time_of_day.time_of_day_shares(self.windowed, self.cfg, product)
 
-    def _factors(self, product: str) -> DataFrame:
+    def factors(self, product: str) -> DataFrame:
         return self.sources.item_factors(product, self.cfg.factors[product])
 
+    @cached_property
+    def contents(self) -> DataFrame:
+        return self._shared(content.content_mode_genre(self.sources.catalogue, self.cfg))
+
     def activation(self, product: str, users: DataFrame | None = None) -> DataFrame:
-        events = getattr(self.sources, f"{product}_activations")
         return content.activation_asof(
-            events, self.sources.catalogue, self._factors(product), self.cfg, product, users)
+            getattr(self.sources, f"{product}_activations"), self.sources.catalogue,
+            self.contents, self.factors(product), self.cfg, product, users)
+
+    @cached_property
+    def favourite_pick(self) -> DataFrame:
+        return content.favourite_pick(self.windowed, self.cfg)
 
     def favourite(self, product: str) -> DataFrame:
+        mine = self.favourite_pick.select(
+            "user_id", "fresh", f"{product}_fav_content_id", f"{product}_fav_content_level")
         return content.favourite_content(
-            self.windowed, self.sources.catalogue, self._factors(product), self.cfg, product)
+            mine.where(F.col(f"{product}_fav_content_id").isNotNull()), self.contents,
+            self.factors(product), self.cfg, product)
+
+    def favourites(self) -> DataFrame:
+        """Favourites of both products from one pass over the activity."""
+        out = self.favourite_pick
+        for product in PRODUCTS:
+            out = content.favourite_content(
+                out, self.contents, self.factors(product), self.cfg, product)
+        return out
 
     def demographics(self, users: DataFrame | None = None) -> DataFrame:
         s = self.sources
@@ -152,12 +179,12 @@ class Blocks:
         return feature_set_assemble(self, product)
 
 
-def _flag(column: str) -> Column:
-    return F.coalesce((F.col(column) == "true").cast("int"), F.lit(0))
+def _flag(column: str) -> str:
+    return f"coalesce(CAST({column} = 'true' AS INT), 0)"
 
 
-def _zero(column: str, name: str | None = None) -> Column:
-    return F.coalesce(F.col(column), F.lit(0)).alias(name or column)
+def _zero(column: str, name: str | None = None) -> str:
+    return f"coalesce({column}, 0) AS {name or column}"
 
 
 def _base(blocks: Blocks, product: str) -> DataFrame:
@@ -174,21 +201,22 @@ def _base(blocks: Blocks, product: str) -> DataFrame:
     return target.churn_target(mine, blocks.cfg, keep=[*weeks, *trends])
 
 
-def feature_columns(product: str) -> list[Column]:
+def feature_columns(product: str) -> list[str]:
     """The output contract of the product's feature set, in order."""
     audio = product == "audio"
+    other = "video" if audio else "audio"
+    factors = range(20 if audio else 10)
     trend = ["user", "active_last_week", "lin_reg_coeff", "13w_yintercept", "13w_xintercept",
              "lin_reg_churn_flag"]
-    age = F.when(F.col("age").between(0, 120), F.col("age"))
-    columns: list = [
+    columns = [
         "user_id", "fresh", "target_week_start_date", "destination",
         "target_churn_this_week", "target_churn_next_week", "active_last_week", "train",
         "train_eligible", "cohort",
-        _flag("enable_personalisation").alias("profile_enablepersonalisation"),
-        _flag("mail_verified").alias("profile_mailverified"),
-        F.col("acc_age_days").alias("profile_acc_age_days"),
-        age.alias("profile_age"),
-        *[F.col(c).alias(f"profile_{c}") for c in (
+        f"{_flag('enable_personalisation')} AS profile_enablepersonalisation",
+        f"{_flag('mail_verified')} AS profile_mailverified",
+        "acc_age_days AS profile_acc_age_days",
+        "CASE WHEN age BETWEEN 0 AND 120 THEN age END AS profile_age",
+        *[f"{c} AS profile_{c}" for c in (
             "age_1634_enriched", "gender_enriched", "nation", "uk_flag", "barb_region",
             "acorn_type_description", "acorn_group_description", "acorn_category_description")],
         "streaming_time_13w",
@@ -200,7 +228,7 @@ def feature_columns(product: str) -> list[Column]:
         names += [n for n, _, _ in product_mix.LISTENING_COARSE]
         columns += [_zero(f"audio_prod_{m}_{n}") for m in ("st", "ev") for n in names]
         columns += [_zero(f"audio_prod_{n}_{m}_perc") for m in ("st", "ev") for n in names]
-        columns += [F.coalesce(c, F.lit("Unknown")).alias(c) for c in (
+        columns += [f"coalesce({c}, 'Unknown') AS {c}" for c in (
             f"audio_prod_{m}_preferred_listening{d}"
             for m in ("st", "ev") for d in ("_detail", ""))]
     columns += [
@@ -210,16 +238,12 @@ def feature_columns(product: str) -> list[Column]:
         *[_zero(c, f"lw_{c}") for c in (
             "distinct_series", "distinct_episodes", *([] if audio else ["series_premieres"]),
             "series_finales", "watched_finale_flag", "avg_episode_repeats")],
-        *[F.coalesce(f"freq_seg_{p}", F.lit(logs.SEGMENT_DEFAULT)).alias(f"freq_seg_latest_{p}")
+        *[f"coalesce(freq_seg_{p}, '{logs.SEGMENT_DEFAULT}') AS freq_seg_latest_{p}"
           for p in SEGMENT_PRODUCTS],
         "audio_device_count", "video_device_count",
         *[f"device_{product}_{m}_{n}_perc" for m in ("st", "ev") for n, _ in
           devices.DEVICE_TYPES],
         *[f"device_{p}_{m}_preferred" for m in ("st", "ev") for p in PRODUCTS],
-    ]
-    factors = range(20 if audio else 10)
-    other = "video" if audio else "audio"
-    columns += [
         *[f"{product}_activ_f{i}" for i in factors],
         *[f"{product}_{c}" for c in (
             "weeks_since_activation", "activating_genre", "activating_masterbrand",
@@ -231,7 +255,7 @@ def feature_columns(product: str) -> list[Column]:
         *[_zero(f"{n}_{w}") for n in (
             ["audio_subscribes", "audio_bookmarks"] if audio else ["video_programme_follows"])
           for w in ("13w", "lastweek")],
-        *[F.col(c).alias(f"{product}_{c}") for c in (
+        *[f"{c} AS {product}_{c}" for c in (
             *[f"tod_{n}" for n, _, _ in time_of_day.HOUR_BANDS],
             *[f"dow_{n}" for n in time_of_day.WEEKDAYS])],
     ]
@@ -241,7 +265,6 @@ def feature_columns(product: str) -> list[Column]:
 def feature_set_assemble(blocks: Blocks, product: str) -> DataFrame:
     """(user, fresh) rows of the product's users that have a profile, about 200 columns."""
     own = F.col("destination") == product
-    other = "video" if product == "audio" else "audio"
     drop = ["destination", "cohort"]
     parts = [
         blocks.schedule_match.where(own).drop(*drop, "events", "streaming_time"),
@@ -249,9 +272,7 @@ def feature_set_assemble(blocks: Blocks, product: str) -> DataFrame:
         blocks.segments(),
         blocks.device_features,
         blocks.activation(product),
-        blocks.favourite(product),
-        blocks.favourite(other).select(
-            *KEY, f"{other}_fav_content_genre", f"{other}_fav_content_masterbrand"),
+        blocks.favourites(),
         blocks.optin(), blocks.mail(), blocks.follows(),
         blocks.time_of_day(product),
     ]
@@ -260,7 +281,7 @@ def feature_set_assemble(blocks: Blocks, product: str) -> DataFrame:
     out = _base(blocks, product).join(blocks.demographics(), KEY)
     for part in parts:
         out = out.join(part, KEY, "left")
-    return out.select(*feature_columns(product))
+    return out.selectExpr(*feature_columns(product))
 
 
 def training_rows(features: DataFrame, product: str) -> DataFrame:
@@ -270,6 +291,3 @@ def training_rows(features: DataFrame, product: str) -> DataFrame:
 def scoring_rows(features: DataFrame, product: str) -> DataFrame:
     return features.where((F.col("fresh") == 1) & (F.col(f"{product}_active_last_week") == 1))
 
-
-__all__ = ["Blocks", "feature_columns", "feature_set_assemble", "scoring_rows",
-           "training_rows"]

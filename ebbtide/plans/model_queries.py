@@ -21,6 +21,7 @@ from ebbtide.sources.sample_tables import CONFIG, SampleTables
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 FOLDS = 3
+SAMPLE = 1000
 SMALL = {"gbt": {"maxIter": 5, "maxDepth": 3}, "logr": {"maxIter": 50}}
 PRODUCT = "audio"
 RUN_AT = datetime(2001, 7, 30, 12, 0, 0)
@@ -32,8 +33,9 @@ class Lab:
     _made: dict[tuple, Lab] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.blocks = spark, Blocks(SampleTables(spark, folder), CONFIG)
-        self._features = self._prepared = self._stack = None
+        self.spark, self.blocks = spark, Blocks(
+            SampleTables(spark, folder), CONFIG, stage=True)
+        self._features = self._prepared = self._stack = self._profiled = None
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> Lab:
@@ -77,6 +79,18 @@ class Lab:
                 self.prepared.rows, training.LABEL, chosen, FOLDS, keys=training.KEYS)
         return self._stack
 
+    @property
+    def profiled(self) -> DataFrame:
+        """Fresh rows, imputed, with the profile facts the segments are cut by."""
+        if self._profiled is None:
+            filled = self.prepared.preparation.imputer.transform(
+                self.features.where(F.col("fresh") == 1))
+            facts = score_sample_profile(
+                filled, self.sources.profile, self.sources.profile_extension)
+            self._profiled = training.stable(
+                filled.join(facts.drop("nation"), "user_id", "left"))
+        return self._profiled
+
     @property
     def predictions(self) -> DataFrame:
         return training.score(
@@ -90,7 +104,7 @@ class Lab:
         rows = self.prepared.rows.select(
             "user_id", "role", *prepare.filled_features(learner.features, learner.with_nulls))
         sample = sampling.random_sample_n(
-            rows.where(F.col("role") != "public"), 20, "user_id", "explain")
+            rows.where(F.col("role") != "public"), SAMPLE, "user_id", "explain")
         background = sampling.random_sample_n(
             rows.where(F.col("role") == "public"), 50, "user_id", "background")
         values = explain.shapley_sampled(
@@ -303,11 +317,8 @@ def attribution_export(lab: Lab) -> DataFrame:
 # ---- what-if --------------------------------------------------------------
 
 def _segments_source(lab: Lab) -> tuple[DataFrame, list[str], list[str]]:
-    preparation = lab.prepared.preparation
-    filled = preparation.imputer.transform(lab.features.where(F.col("fresh") == 1))
-    facts = score_sample_profile(
-        filled, lab.sources.profile, lab.sources.profile_extension)
-    return filled.join(facts, "user_id", "left"), list(preparation.numeric), list(preparation.encoder.categories)
+    return lab.profiled, list(lab.prepared.preparation.numeric), list(
+        lab.prepared.preparation.encoder.categories)
 
 
 @register

@@ -7,6 +7,7 @@ customers become profiles, and the event log becomes user actions and mail.
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -54,15 +55,18 @@ class SampleTables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def _fit(self, name: str, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                            for f in schemas.SOURCES[name]])
 
-    @property
+    @cached_property
     def activity(self) -> DataFrame:
         lines = self.table("lineitem")
         orders = self.table("orders")
@@ -92,7 +96,7 @@ class SampleTables:
             ((F.col("l_quantity") - 1) * 60).alias("playback_time"),
             F.col("l_linenumber").alias("page_views")))
 
-    @property
+    @cached_property
     def catalogue(self) -> DataFrame:
         last = (self.table("lineitem").groupBy(F.col("l_partkey").alias("p_partkey"))
                 .agg(F.max("l_shipdate").cast("date").alias("tx")))
@@ -132,7 +136,7 @@ class SampleTables:
             F.when(key % 9 == 0, "Podcast version").otherwise("Original").alias("version_type"),
             F.when(key % 19 == 0, "clip").otherwise("episode").alias("pips_kind")))
 
-    @property
+    @cached_property
     def podcast_list(self) -> DataFrame:
         return self.table("part").where(F.col("p_brand").isin("Brand#5", "Brand#6")).select(
             F.col("p_brand").alias("tleo_id")).distinct()
@@ -141,15 +145,15 @@ class SampleTables:
         return self.table("part").where(F.col("p_partkey") % step == 0).select(
             _id("e", "p_partkey").alias("episode_id"))
 
-    @property
+    @cached_property
     def mixes_list(self) -> DataFrame:
         return self._episodes(23)
 
-    @property
+    @cached_property
     def mix_exceptions(self) -> DataFrame:
         return self._episodes(29)
 
-    @property
+    @cached_property
     def profile(self) -> DataFrame:
         key = F.col("c_custkey")
         people = self.table("customer").select(
@@ -164,7 +168,7 @@ class SampleTables:
             F.when(key % 41 == 0, "deleted").when(key % 97 != 0, "active").alias("status"))
         return self._fit("profile", people.unionByName(people.where(F.col("user_id") % 53 == 0)))
 
-    @property
+    @cached_property
     def profile_extension(self) -> DataFrame:
         key = F.col("c_custkey")
         ranges = F.array(*[F.lit(r) for r in AGE_RANGES])
@@ -183,7 +187,7 @@ class SampleTables:
             .alias("acorn_category_description"),
             (F.col("c_nationkey") % 6 + 1).alias("acorn_category")))
 
-    @property
+    @cached_property
     def gender_predictions(self) -> DataFrame:
         return self._fit("gender_predictions", self.table("customer").where(
             F.col("c_custkey") % 8 == 0).select(
@@ -191,14 +195,14 @@ class SampleTables:
             F.when(F.col("c_acctbal") < 5000, "male").otherwise("female")
             .alias("predicted_gender")))
 
-    @property
+    @cached_property
     def age_predictions(self) -> DataFrame:
         return self._fit("age_predictions", self.table("customer").where(
             F.col("c_custkey") % 3 == 0).select(
             F.col("c_custkey").alias("user_id"),
             F.when(F.col("c_acctbal") < 3000, "16-34").otherwise("35+").alias("predicted_age")))
 
-    @property
+    @cached_property
     def segments(self) -> DataFrame:
         low, status = F.col("o_orderpriority"), F.col("o_orderstatus")
         product = (F.when(low == "1-URGENT", "Video").when(low == "2-HIGH", "Audio")
@@ -223,11 +227,11 @@ class SampleTables:
             _id("e", "l_partkey").alias("episode_id"),
             _id("v", "l_partkey").alias("version_id"))
 
-    @property
+    @cached_property
     def audio_activations(self) -> DataFrame:
         return self._fit("audio_activations", self._activations("O"))
 
-    @property
+    @cached_property
     def video_activations(self) -> DataFrame:
         return self._fit("video_activations", self._activations("F"))
 
@@ -238,13 +242,13 @@ class SampleTables:
             .otherwise(F.concat(F.lit("s"), (key - 25).cast("string"))).alias("content_id"),
             *[F.get("embedding", F.lit(i)).cast("double").alias(f"f{i}") for i in range(n)])
 
-    @property
+    @cached_property
     def _events(self) -> DataFrame:
         return self.table("events").withColumn(
             "at", (F.col("ts") - F.make_dt_interval(days=F.lit(EVENT_SHIFT_DAYS)))
             .cast("timestamp"))
 
-    @property
+    @cached_property
     def user_actions(self) -> DataFrame:
         kind = F.col("event_type")
         return self._fit("user_actions", self._events.select(
@@ -256,7 +260,7 @@ class SampleTables:
             F.when(kind == "click", "tv").when(kind.isin("view", "purchase"), "music")
             .otherwise("radio").alias("resource_domain")))
 
-    @property
+    @cached_property
     def newsletter_actions(self) -> DataFrame:
         return self._fit("newsletter_actions", self._events.where(
             F.col("event_type").isin("signup", "error")).select(
@@ -272,20 +276,20 @@ class SampleTables:
         return self._events.where(F.col("event_type") == kind).select(
             "user_id", (F.col("event_id") % 40).alias("send_id"), F.col("at").alias("event_ts"))
 
-    @property
+    @cached_property
     def email_opens(self) -> DataFrame:
         return self._fit("email_opens", self._mail("view"))
 
-    @property
+    @cached_property
     def email_clicks(self) -> DataFrame:
         return self._fit("email_clicks", self._mail("click"))
 
-    @property
+    @cached_property
     def _scores(self) -> DataFrame:
         score = 1 / (1 + F.exp(-(F.col("value") - 50) / 50))
         return self.table("events").withColumn("score", F.round(score, 4))
 
-    @property
+    @cached_property
     def scored(self) -> DataFrame:
         """Labelled scores for the metric operators."""
         return self._scores.select(
@@ -293,7 +297,7 @@ class SampleTables:
             (F.col("event_type") == "purchase").cast("int").alias("label"), "score",
             (F.col("event_id") % 5).cast("int").alias("fold"))
 
-    @property
+    @cached_property
     def score_history(self) -> DataFrame:
         """Score records, one learner per event type."""
         meta = F.col("event_type") == "purchase"
