@@ -65,6 +65,11 @@ def plus(columns: Iterable[str]) -> str:
     return "(" + " + ".join(columns) + ")"
 
 
+def quoted(value: str) -> str:
+    """SQL literal of a text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def exprs(texts: Iterable[str]) -> list[Column]:
     return [F.expr(t) for t in texts]
 

@@ -12,6 +12,8 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ebbtide.functions.exprs import quoted
+
 MAX_BACKGROUND = 200
 
 
@@ -70,9 +72,9 @@ def linear_contributions(df: DataFrame, coefficients: dict[str, float], *,
 
 def long_inputs(df: DataFrame, features: Sequence[str], *, key: str) -> DataFrame:
     """(row, feature): input value."""
-    parts = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("input_value"))
-             for c in features]
-    return df.select(key, F.explode(F.array(*parts)).alias("_p")).select(key, "_p.*")
+    parts = ", ".join(f"struct({quoted(c)} AS feature, CAST(`{c}` AS DOUBLE) AS input_value)"
+                      for c in features)
+    return df.selectExpr(key, f"inline(array({parts}))")
 
 
 def attribution_table(attributions: DataFrame, inputs: DataFrame, *, key: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.pipeline import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ebbtide.ml.prepare import columns_with_nulls, filled_features, input_names
+from ebbtide.ml.prepare import columns_with_nulls, filled_texts, input_names, maxabs_fit
 
 # The learners' settings.
 LOGISTIC = {"maxIter": 200, "fitIntercept": True, "elasticNetParam": 0.0}
@@ -48,8 +48,8 @@ class Learner:
 
     def vector_column(self) -> Column:
         """The features as one vector; built by one expression, not by a model stage."""
-        return array_to_vector(F.array(*filled_features(self.features, self.with_nulls))).alias(
-            self.vector)
+        values = filled_texts(self.features, self.with_nulls).values()
+        return array_to_vector(F.expr(f"array({', '.join(values)})")).alias(self.vector)
 
 
 def make_estimator(learner: Learner, rows: int, label: str, seed: int = 0):
@@ -133,12 +133,10 @@ def feature_select_rfe(df: DataFrame, label: str, features: Sequence[str], n: in
     The rows become one stored vector; each round only selects from it.
     """
     left = list(features)
-    maxes = df.agg(*[F.max(F.abs(F.coalesce(F.col(c).cast("double"), F.lit(0.0)))).alias(c)
-                     for c in left]).first()
-    scaled = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) / F.lit(maxes[c] or 1.0)
-              for c in left}
+    maxes = maxabs_fit(df, left)
+    scaled = [f"{text} / {maxes[c]!r}D" for c, text in filled_texts(left, ()).items()]
     data = df.select(F.col(label).cast("double").alias("_y"),
-                     F.array(*scaled.values()).alias("_all")).persist()
+                     F.expr(f"array({', '.join(scaled)})").alias("_all")).persist()
     rows = data.count()
     place = {c: i for i, c in enumerate(left)}
     while len(left) > n:

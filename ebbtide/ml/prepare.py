@@ -7,14 +7,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ebbtide.functions.exprs import exprs, quoted
 from ebbtide.functions.skew import stable
 from ebbtide.ml import registry
 from ebbtide.operators.quality import invariate_columns
@@ -31,7 +34,7 @@ def sqrt_transform(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def maxabs_fit(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Greatest absolute value per column; 1 where a column is empty or all zero."""
-    row = df.agg(*[F.max(F.abs(F.col(c).cast("double"))).alias(c) for c in columns]).first()
+    row = df.agg(*exprs(f"max(abs(CAST(`{c}` AS DOUBLE))) AS `{c}`" for c in columns)).first()
     return {c: row[c] or 1.0 for c in columns}
 
 
@@ -76,16 +79,16 @@ class OneHot:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Fixed 0/1 columns in a fixed order; unknown and missing values give all zeros."""
-        return df.withColumns({
-            out: F.coalesce(F.col(c).cast("string").isin(*values).cast("int"), F.lit(0))
-            for c, pairs in self.categories.items() for out, values in pairs})
+        return df.selectExpr("*", *[
+            f"coalesce(CAST(CAST(`{c}` AS STRING) IN ({', '.join(map(quoted, values))}) AS INT), 0)"
+            f" AS `{out}`" for c, pairs in self.categories.items() for out, values in pairs])
 
 
 # ---- imputation -----------------------------------------------------------
 
 def _helpers_filled(df: DataFrame, helpers: Sequence[str]) -> DataFrame:
-    return df.withColumns({
-        f"_h_{h}": F.coalesce(F.col(h).cast("double"), F.lit(0.0)) for h in helpers})
+    return df.selectExpr("*", *[
+        f"coalesce(CAST(`{h}` AS DOUBLE), 0.0D) AS `_h_{h}`" for h in helpers])
 
 
 @dataclass
@@ -98,32 +101,38 @@ class Imputer:
 
     @classmethod
     def fit(cls, df: DataFrame, strategies: Mapping[str, str], helpers: Sequence[str], *,
-            key: str = "user_id", cap: int = 100_000) -> Imputer:
-        """At most ``cap`` known rows train each model."""
+            key: str = "user_id", cap: int = 100_000, threads: int = 4) -> Imputer:
+        """At most ``cap`` known rows train each model; the fits run side by side."""
         out = cls(list(helpers))
         inputs = [f"_h_{h}" for h in helpers]
         assembler = VectorAssembler(inputCols=inputs, outputCol="_hx")
         filled = _helpers_filled(df.select(key, *helpers, *strategies), helpers)
-        for column, strategy in strategies.items():
+
+        def fit_one(job: tuple[str, str]) -> None:
+            column, strategy = job
             known = random_sample_n(
                 filled.where(F.col(column).isNotNull()), cap, key, f"impute-{column}")
             if known.isEmpty():
-                continue
+                return
             if strategy == "regression":
                 rows = assembler.transform(known.withColumn("_y", F.col(column).cast("double")))
                 model = LinearRegression(
                     featuresCol="_hx", labelCol="_y", solver="normal", regParam=1e-6).fit(rows)
                 out.linear[column] = (model.intercept, [float(c) for c in model.coefficients])
-            else:
-                indexer = StringIndexer(inputCol=column, outputCol="_y",
-                                        stringOrderType="alphabetAsc")
-                labels = indexer.fit(known)
-                tree = DecisionTreeClassifier(
-                    featuresCol="_hx", labelCol="_y", predictionCol="_guess",
-                    rawPredictionCol="", probabilityCol="", maxDepth=8, seed=1)
-                model = tree.fit(assembler.transform(labels.transform(known)))
-                back = IndexToString(inputCol="_guess", outputCol="_text", labels=labels.labels)
-                out.trees[column] = PipelineModel([assembler, model, back])
+                return
+            indexer = StringIndexer(inputCol=column, outputCol="_y",
+                                    stringOrderType="alphabetAsc")
+            labels = indexer.fit(known)
+            tree = DecisionTreeClassifier(
+                featuresCol="_hx", labelCol="_y", predictionCol="_guess",
+                rawPredictionCol="", probabilityCol="", maxDepth=8, seed=1)
+            model = tree.fit(assembler.transform(labels.transform(known)))
+            back = IndexToString(inputCol="_guess", outputCol="_text", labels=labels.labels)
+            out.trees[column] = PipelineModel([assembler, model, back])
+
+        with ThreadPoolExecutor(threads) as pool:
+            list(pool.map(inheritable_thread_target(df.sparkSession)(fit_one),
+                          strategies.items()))
         return out
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -135,7 +144,7 @@ class Imputer:
             for h, c in zip(self.helpers, coefficients):
                 guess = guess + F.col(f"_h_{h}") * F.lit(c)
             done = done.withColumn(column, F.coalesce(F.col(column).cast("double"), guess))
-        for column, model in self.trees.items():
+        for column, model in sorted(self.trees.items()):
             done = model.transform(done).withColumn(
                 column, F.coalesce(F.col(column), F.col("_text"))).drop(
                 "_hx", "_guess", "_text")
@@ -191,7 +200,7 @@ class Preparation:
 # ---- missing values for the learners --------------------------------------
 
 def columns_with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    row = df.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in columns]).first()
+    row = df.agg(*exprs(f"max(CAST(`{c}` IS NULL AS INT)) AS `{c}`" for c in columns)).first()
     return [c for c in columns if row[c]]
 
 
@@ -199,17 +208,21 @@ def missing_flag(column: str) -> str:
     return f"{column}__missing"
 
 
-def filled_features(features: Sequence[str], with_nulls: Sequence[str]) -> list[Column]:
+def filled_texts(features: Sequence[str], with_nulls: Sequence[str]) -> dict[str, str]:
     """Each feature as a number, 0 where missing, and an indicator where training had gaps."""
     gaps = set(with_nulls)
-    out = []
+    out = {}
     for c in features:
-        out.append(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c))
+        out[c] = f"coalesce(CAST(`{c}` AS DOUBLE), 0.0D)"
         if c in gaps:
-            out.append(F.col(c).isNull().cast("double").alias(missing_flag(c)))
+            out[missing_flag(c)] = f"CAST(`{c}` IS NULL AS DOUBLE)"
     return out
 
 
+def filled_features(features: Sequence[str], with_nulls: Sequence[str]) -> list[Column]:
+    return exprs(f"{text} AS `{n}`" for n, text in filled_texts(features, with_nulls).items())
+
+
 def input_names(features: Sequence[str], with_nulls: Sequence[str]) -> list[str]:
     gaps = set(with_nulls)
     return [n for c in features for n in ([c, missing_flag(c)] if c in gaps else [c])]

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ebbtide.functions.exprs import quoted
 from ebbtide.functions.skew import stable
 from ebbtide.ml.metrics import median_by, mode_by
 
@@ -33,10 +34,9 @@ def average_users(profiled: DataFrame, numeric: Sequence[str], categorical: Sequ
     tagged = profiled.select(*numeric, *categorical, F.explode(member).alias("user_id"))
 
     def long(columns: Sequence[str], kind: str) -> DataFrame:
-        parts = [F.struct(F.lit(c).alias("feature"), F.col(c).cast(kind).alias("value"))
-                 for c in columns]
-        return tagged.select("user_id", F.explode(F.array(*parts)).alias("_p")).select(
-            "user_id", "_p.*")
+        parts = ", ".join(f"struct({quoted(c)} AS feature, CAST(`{c}` AS {kind}) AS value)"
+                          for c in columns)
+        return tagged.selectExpr("user_id", f"inline(array({parts}))")
 
     frames = []
     if numeric:
@@ -68,7 +68,8 @@ def wide_users(long: DataFrame, keys: Sequence[str], value: str, numeric: Sequen
     """One row per average user, numbers as numbers."""
     names = [*numeric, *categorical]
     wide = long.groupBy(*keys).pivot("feature", names).agg(F.first(value))
-    return wide.select(*keys, *[F.col(c).cast("double").alias(c) for c in numeric], *categorical)
+    return wide.selectExpr(*keys, *[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in numeric],
+                           *categorical)
 
 
 def representative_users(profiled: DataFrame, modifiers: DataFrame, numeric: Sequence[str],

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ebbtide.functions.exprs import exprs, quoted
+
 
 class CheckFailed(Exception):
     pass
@@ -33,28 +35,28 @@ def duplicate_key_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _one_row_per_column(df: DataFrame, columns: Sequence[str], measures: dict) -> DataFrame:
-    """One pass over df; measures is name -> function(column name) -> aggregate."""
-    row = df.agg(*[
-        F.struct(*[F.lit(c).alias("column_name"),
-                   *[m(c).alias(n) for n, m in measures.items()]]).alias(f"_{i}")
-        for i, c in enumerate(columns)])
-    packed = F.explode(F.array(*[F.col(f"_{i}") for i in range(len(columns))])).alias("_r")
-    return row.select(packed).select("_r.*")
+    """One pass over df; measures is name -> function(column) -> aggregate as SQL text."""
+    row = df.agg(*exprs(
+        f"struct({quoted(c)} AS column_name, "
+        + ", ".join(f"{m(f'`{c}`')} AS {n}" for n, m in measures.items()) + f") AS _{i}"
+        for i, c in enumerate(columns)))
+    packed = ", ".join(f"_{i}" for i in range(len(columns)))
+    return row.selectExpr(f"inline(array({packed}))")
 
 
 def na_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column): number of NULLs, all columns in one aggregation."""
     return _one_row_per_column(df, columns or df.columns, {
-        "n_null": lambda c: F.count_if(F.col(c).isNull())})
+        "n_null": lambda c: f"count_if({c} IS NULL)"})
 
 
 def invariate_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column): population variance, whether it is empty, whether models should drop it."""
     table = _one_row_per_column(df, columns, {
-        "n_values": lambda c: F.count(c),
-        "variance": lambda c: F.var_pop(F.col(c).cast("double")),
-        "low": lambda c: F.min(F.col(c).cast("double")),
-        "high": lambda c: F.max(F.col(c).cast("double"))})
+        "n_values": lambda c: f"count({c})",
+        "variance": lambda c: f"var_pop(CAST({c} AS DOUBLE))",
+        "low": lambda c: f"min(CAST({c} AS DOUBLE))",
+        "high": lambda c: f"max(CAST({c} AS DOUBLE))"})
     empty = F.col("n_values") == 0
     flat = empty | (F.col("low") == F.col("high"))
     return table.select(
