@@ -74,11 +74,11 @@ def exprs(texts: Iterable[str]) -> list[Column]:
     return [F.expr(t) for t in texts]
 
 
-def distinct_days(day: str, origin: str, condition: str = "TRUE") -> Column:
-    """count(distinct day) for days within 91 days of origin.
+def distinct_days(day: str, origin: str, condition: str = "TRUE", *, span: int = 91) -> Column:
+    """count(distinct day) for days within ``span`` days of origin.
 
-    Each day is one bit of two longs, so the count is an ordinary hash
-    aggregate: it combines on the map side and needs one shuffle, not two.
+    Each day is one bit of a long, so the count is an ordinary hash aggregate:
+    it combines on the map side and needs one shuffle, not two.
     """
     offset = f"datediff({day}, {origin})"
 
@@ -86,4 +86,5 @@ def distinct_days(day: str, origin: str, condition: str = "TRUE") -> Column:
         return (f"bit_count(bit_or(CASE WHEN {condition} AND {offset} BETWEEN {low} AND {high} "
                 f"THEN shiftleft(1L, {offset} - {low}) ELSE 0L END))")
 
-    return F.expr(f"CAST({bits(0, 59)} + {bits(60, 119)} AS BIGINT)")
+    masks = plus(bits(low, low + 59) for low in range(0, span, 60))
+    return F.expr(f"CAST({masks} AS BIGINT)")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -131,16 +132,20 @@ def checkpoint_folder(spark: SparkSession) -> str:
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="ebbtide-checkpoint-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ebbtide-checkpoint-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """Writes df to the checkpoint folder, so later reads see the same rows in the same place."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    """Writes df as a table in the checkpoint folder and reads it back.
+
+    Later steps see the same rows in the same place even if executors are lost,
+    read only the columns they need, and know the table's size.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/ebbtide-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def rank_by_range(df: DataFrame, groups: Sequence[str], order: Sequence[Column], *,

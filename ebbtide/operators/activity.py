@@ -47,7 +47,7 @@ def activity_weekly_rollup(scan: DataFrame, cfg: ChurnConfig) -> DataFrame:
     return rows.groupBy("user_id", "destination", "week").agg(
         F.count(F.lit(1)).alias("events"),
         F.sum("playback_time").cast("double").alias("streaming_time"),
-        distinct_days("date_of_event", "week").alias("distinct_days"),
+        distinct_days("date_of_event", "week", span=7).alias("distinct_days"),
         F.sum("page_views").cast("double").alias("page_views"),
         *genre_conditional_sums("genre_names", "playback_time"),
     ).withColumn("genre_st_other", F.expr(f"streaming_time - {known}"))

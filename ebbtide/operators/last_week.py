@@ -67,7 +67,7 @@ def lastweek_views(activity: DataFrame, cfg: ChurnConfig) -> DataFrame:
         "user_id", "fresh", product.alias("destination"),
         destination_product(cfg).alias("product"), "version_id", "date_of_event",
         start.alias("_origin")).groupBy(*ID, "product", "version_id").agg(
-        distinct_days("date_of_event", "_origin").alias("events"))
+        distinct_days("date_of_event", "_origin", span=7).alias("events"))
 
 
 def _version_titles(catalogue: DataFrame) -> DataFrame:

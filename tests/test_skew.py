@@ -117,4 +117,5 @@ def test_unique_by_picks_the_smallest(spark):
 def test_checkpoints_go_to_the_named_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert skew.checkpoint_folder(spark) == folder
-    assert folder in spark.sparkContext.getCheckpointDir()
+    stored = skew.stable(spark.range(5))
+    assert stored.count() == 5 and folder in stored.inputFiles()[0]
