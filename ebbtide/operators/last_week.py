@@ -25,7 +25,7 @@ def series_schedule(catalogue: DataFrame) -> DataFrame:
     day = F.coalesce(F.try_to_date("tx_date", "yyyy-MM-dd"), F.lit(NO_DATE).cast("date"))
     time = F.coalesce(clean(F.col("tx_start"), ["null"]), F.lit(NO_TIME))
     episodes = catalogue.where(
-        (F.col("pips_kind") == "episode") & ~F.col("series_id").isin(*ID_SENTINELS)
+        (F.col("content_kind") == "episode") & ~F.col("series_id").isin(*ID_SENTINELS)
         & F.col("episode_id").isNotNull())
     first = episodes.groupBy("series_id", "episode_id").agg(F.min(F.struct(
         day.alias("day"), time.alias("time"), "version_id", "programme_title",

@@ -109,7 +109,7 @@ SELECT 'v' || p_partkey AS version_id, 'e' || p_partkey AS episode_id,
     WHEN p_brand IN ('Brand#16', 'Brand#17') THEN 'Local Radio ' || p_brand
     ELSE p_brand END AS master_brand_name,
   CASE WHEN p_partkey % 9 = 0 THEN 'Podcast version' ELSE 'Original' END AS version_type,
-  CASE WHEN p_partkey % 19 = 0 THEN 'clip' ELSE 'episode' END AS pips_kind
+  CASE WHEN p_partkey % 19 = 0 THEN 'clip' ELSE 'episode' END AS content_kind
 FROM part LEFT JOIN (SELECT l_partkey, CAST(max(l_shipdate) AS DATE) AS tx
                      FROM lineitem GROUP BY l_partkey) ON l_partkey = p_partkey"""
 
@@ -522,7 +522,7 @@ T["first_shown"] = """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_id, episode_id
   ORDER BY CASE WHEN tx_date = 'null' THEN '2099-01-01' ELSE tx_date END,
     CASE WHEN tx_start = 'null' THEN '99:99:99' ELSE tx_start END, version_id) AS rn
-  FROM catalogue WHERE pips_kind = 'episode' AND series_id <> 'null') WHERE rn = 1"""
+  FROM catalogue WHERE content_kind = 'episode' AND series_id <> 'null') WHERE rn = 1"""
 
 T["episodes"] = """
 SELECT episode_id, version_id AS version_id_first_broadcast, series_id, programme_title,

@@ -134,7 +134,7 @@ class SampleTables:
                   F.concat(F.lit("Local Radio "), "p_brand"))
             .otherwise(F.col("p_brand")).alias("master_brand_name"),
             F.when(key % 9 == 0, "Podcast version").otherwise("Original").alias("version_type"),
-            F.when(key % 19 == 0, "clip").otherwise("episode").alias("pips_kind")))
+            F.when(key % 19 == 0, "clip").otherwise("episode").alias("content_kind")))
 
     @cached_property
     def podcast_list(self) -> DataFrame:

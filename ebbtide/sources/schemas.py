@@ -27,7 +27,7 @@ CATALOGUE = _struct(
     "episode_title string, presentation_title string, clip_title string, genre_names string, "
     "genre_list string, tx_date string, tx_start string, programme_duration string, "
     "format_names string, "
-    "master_brand_id string, master_brand_name string, version_type string, pips_kind string")
+    "master_brand_id string, master_brand_name string, version_type string, content_kind string")
 PROFILE = _struct(
     "user_id string, enable_personalisation string, mail_verified string, created_date date, "
     "age string, gender string, location string, status string")

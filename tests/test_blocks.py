@@ -122,7 +122,7 @@ def test_favourite_needs_days_not_seconds(make, spark):
 
 
 def test_series_order_with_unknown_dates(make):
-    base = {"pips_kind": "episode", "series_id": "s", "genre_list": "g;h"}
+    base = {"content_kind": "episode", "series_id": "s", "genre_list": "g;h"}
     rows = make(
         schemas.CATALOGUE,
         {**base, "episode_id": "e1", "version_id": "v1", "tx_date": "null", "tx_start": "null"},
@@ -134,7 +134,7 @@ def test_series_order_with_unknown_dates(make):
          "tx_start": "09:00:00"},
         {**base, "episode_id": "e4", "version_id": "v5", "series_id": "null",
          "tx_date": "2020-01-01"},
-        {**base, "episode_id": "e5", "version_id": "v6", "pips_kind": "clip",
+        {**base, "episode_id": "e5", "version_id": "v6", "content_kind": "clip",
          "tx_date": "2020-01-01"})
     schedule = last_week.series_schedule(rows)
     got = {r.episode_id: (r.episode_number, r.version_id_first_broadcast, r.tx_date)
