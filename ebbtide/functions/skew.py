@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -19,12 +20,10 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
+    """Spark's own broadcast threshold in bytes; -1 means never."""
     text = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-    units = {"kb": 1 << 10, "mb": 1 << 20, "gb": 1 << 30, "b": 1}
-    for unit, factor in units.items():
-        if text.lower().endswith(unit):
-            return int(text[: -len(unit)]) * factor
-    return int(text)
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", text.strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], *,
@@ -83,6 +82,7 @@ def value_slices(df: DataFrame, groups: Sequence[str], value: str,
                  buckets: int = VALUE_BUCKETS) -> DataFrame:
     """Cut points per group as a local table: at most buckets numbers per group.
 
+    For few groups, such as folds, learners or features.
     They only balance the work and never change a result. They are fetched once
     so that every use, and every retry after a lost executor, cuts alike.
     """

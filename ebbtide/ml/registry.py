@@ -158,8 +158,9 @@ def _rules(stack: str, product: str) -> dict[str, tuple[str, Callable[[str], boo
                 "big_gbt": ("gbt", everything), "little_gbt": ("gbt", everything),
                 "demo_gbt": ("gbt", demographic)}
     if stack == "simple":
+        # cherry_logr starts from the features big_gbt selects, so it comes after it
         rules = {"event_logr": ("logr", events), "index_logr": ("logr", index),
-                 "cherry_logr": ("logr", everything), "big_gbt": ("gbt", everything),
+                 "big_gbt": ("gbt", everything), "cherry_logr": ("logr", everything),
                  "demo_gbt": ("gbt", demographic)}
         if product == "video":
             rules["explorer_gbt"] = ("gbt", explorer)

@@ -314,6 +314,18 @@ def attribution_export(lab: Lab) -> DataFrame:
         sinks.scratch(lab.spark, "attributions"))
 
 
+@register
+def dependence_pairs(lab: Lab) -> DataFrame:
+    values, inputs = lab.attributions
+    return explain.dependence_pairs(
+        explain.attribution_table(values, inputs, key="user_id"), "sched_match_index")
+
+
+@register
+def decision_paths(lab: Lab) -> DataFrame:
+    return explain.decision_paths(lab.attributions[0], key="user_id", start=0.0)
+
+
 # ---- what-if --------------------------------------------------------------
 
 def _segments_source(lab: Lab) -> tuple[DataFrame, list[str], list[str]]:

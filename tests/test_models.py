@@ -68,7 +68,7 @@ def test_roles():
     ("logistic", "video", ["Content", "Behaviour", "Marketing", "Cross-Sell", "RFE-Optimised",
                            "RFE-Boosted"]),
     ("boosted", "audio", ["event_gbt", "index_gbt", "big_gbt", "little_gbt", "demo_gbt"]),
-    ("simple", "video", ["event_logr", "index_logr", "cherry_logr", "big_gbt", "demo_gbt",
+    ("simple", "video", ["event_logr", "index_logr", "big_gbt", "cherry_logr", "demo_gbt",
                          "explorer_gbt"])])
 def test_stack_configs(stack, product, names):
     columns = ["genre_share_news", "ew_3", "freq_seg_latest_video_A", "freq_seg_latest_audio_A",

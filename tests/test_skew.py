@@ -114,6 +114,17 @@ def test_unique_by_picks_the_smallest(spark):
     assert sorted(map(tuple, skew.unique_by(df, ["k"]).collect())) == [("a", 1), ("b", 5)]
 
 
+@pytest.mark.parametrize("text, size", [
+    ("10485760", 10485760), ("10MB", 10 << 20), ("1g", 1 << 30), ("5b", 5), ("-1", -1)])
+def test_broadcast_limit(spark, text, size):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+        assert skew.broadcast_limit(spark.range(1)) == size
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_checkpoints_go_to_the_named_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert skew.checkpoint_folder(spark) == folder
