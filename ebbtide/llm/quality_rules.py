@@ -66,35 +66,44 @@ def measures(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> Dat
     split = rows.select(
         "doc", F.xxhash64("text").alias("tid"), "text",
         F.array_remove(F.split("text", BLANKS), "").alias("words"),
-        F.filter(F.split("text", "\n"), lambda x: x.rlike("[^ \\t-\\r]")).alias("lines"))
+        F.filter(F.split("text", "\n"), lambda x: x.rlike("[^ \\t-\\r]")).alias("lines"),
+        F.regexp_replace("text", "[^#*$%&|<>!?\\p{Lu}]+", "").alias("signs"))
     counted = split.select(
         "doc", "tid", "words",
         F.size("words").cast("long").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        left_over(F.col("text"), "[^#*$%&|<>]+").cast("long").alias("n_symbols"),
-        left_over(F.col("text"), "\\P{Lu}+").cast("long").alias("n_upper"),
+        left_over(F.col("signs"), "[^#*$%&|<>]+").cast("long").alias("n_symbols"),
+        left_over(F.col("signs"), "\\P{Lu}+").cast("long").alias("n_upper"),
+        left_over(F.col("signs"), "[^!?]+").cast("long").alias("n_marks"),
         F.regexp_count("text", F.lit(PLAIN)).cast("long").alias("n_plain"),
-        left_over(F.col("text"), "[^!?]+").cast("long").alias("n_marks"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size(F.array_intersect("words", F.array(*map(F.lit, STOP_WORDS)))).cast("long")
         .alias("n_stop_words"))
-    triples = counted.withColumn("triples", F.sort_array(F.transform(
+    # a three-word window is one long: its hash, with its place in the low bits that a text of
+    # this length needs, so windows that are equal stand side by side once the longs are sorted
+    places = counted.withColumn("low", F.pow(
+        F.lit(2), F.ceil(F.log2(F.col("n_words") + 2))).cast("long") - 1)
+    high = F.bitwise_not("low")
+    triples = places.withColumn("triples", F.sort_array(F.transform(
         F.slice("words", 1, F.greatest(F.col("n_words") - 2, F.lit(0)).cast("int")),
-        lambda word, i: F.struct(
-            F.xxhash64(word, F.get("words", i + 1), F.get("words", i + 2)).alias("h"),
-            i.alias("i")))))
+        lambda word, i: F.xxhash64(word, F.get("words", i + 1), F.get("words", i + 2))
+        .bitwiseAND(high).bitwiseOR(i.cast("long")))))
+
+    def same(x: Column, y: Column) -> Column:
+        return F.coalesce(x.bitwiseXOR(y).bitwiseAND(high) == 0, F.lit(False))
+
     again = triples.withColumn("starts", F.sort_array(F.transform(
-        F.filter("triples", lambda t, i: t["h"].eqNullSafe(F.get("triples", i - 1)["h"])
-                 | t["h"].eqNullSafe(F.get("triples", i + 1)["h"])),
-        lambda t: t["i"])))
+        F.filter("triples", lambda t, i: same(t, F.get("triples", i + 1))
+                 | same(t, F.get("triples", i - 1))),
+        lambda t: t.bitwiseAND(F.col("low")).cast("int"))))
     first = F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n"))
     covered = F.aggregate(
         "starts", first,
         lambda acc, at: F.struct(at.alias("last"),
                                  (acc["n"] + F.least(F.lit(3), at - acc["last"])).alias("n")),
         lambda acc: acc["n"])
-    return again.withColumn("n_repeat_words", covered).drop("words", "triples", "starts")
+    return again.withColumn("n_repeat_words", covered).drop("words", "low", "triples", "starts")
 
 
 @dataclass(frozen=True)

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from ebbtide.llm import packing, quality_rules, simhash, substrings
+from ebbtide.llm import packing, pieces, quality_rules, simhash, substrings, url_rules
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -42,3 +43,24 @@ def op5_substrings(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), BYTE_BPE, capacity=1024)
+
+
+URL_RULES = (
+    url_rules.UrlRule("block", "net", "/"),
+    url_rules.UrlRule("allow", "example.net", "/en/"),
+    url_rules.UrlRule("block", "example.com", "/de/"),
+    url_rules.UrlRule("allow", "org", "/fr/"),
+)
+
+
+@register
+def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
+ORACLES["op7_url_rules"] = url_rules.urls_sql(URL_RULES)
+
+
+@register
+def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encoding_digests(table(spark, folder, "documents"), PIECE_BPE)
