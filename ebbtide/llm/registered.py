@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from ebbtide.llm import packing, pieces, quality_rules, simhash, substrings, url_rules
+from ebbtide.llm import (
+    packing, pieces, quality_rules, simhash, site_style, substrings, url_rules)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -64,3 +65,8 @@ ORACLES["op7_url_rules"] = url_rules.urls_sql(URL_RULES)
 @register
 def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encoding_digests(table(spark, folder, "documents"), PIECE_BPE)
+
+
+@register
+def op3_site_style(spark: SparkSession, folder: str) -> DataFrame:
+    return site_style.main_text(table(spark, folder, "pages"))
