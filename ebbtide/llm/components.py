@@ -42,14 +42,13 @@ def star_groups(labels: np.ndarray, size: int = GROUP) -> list[np.ndarray]:
 
 
 def components(members: DataFrame) -> DataFrame:
-    """members(grp, node) -> (node, root): the smallest node reachable over shared groups.
+    """members(grp, node), a stored table -> (node, root): the smallest node reachable.
 
     Each round takes the least label over a node's groups, then that label's own label. Groups
     and the number of groups of a node are bounded by the caller, so no key is hot; the label
     look-up joins two stored tables, which adaptive execution can split. Rounds go on until no
     label changes. An empty input gives an empty table.
     """
-    members = keep(members)
     labels = keep(members.select("node", F.col("node").alias("root")).distinct())
     while True:
         least = members.join(labels, "node").groupBy("grp").agg(F.min("root").alias("root"))
@@ -64,5 +63,4 @@ def components(members: DataFrame) -> DataFrame:
         drop(labels)
         labels = new
         if not changed:
-            drop(members)
             return labels

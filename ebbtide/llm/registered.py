@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from ebbtide.llm import (
-    packing, pieces, quality_rules, simhash, site_style, substrings, url_rules)
+    packing, pieces, projections, quality_rules, simhash, site_style, substrings, url_rules)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -70,3 +70,8 @@ def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op3_site_style(spark: SparkSession, folder: str) -> DataFrame:
     return site_style.main_text(table(spark, folder, "pages"))
+
+
+@register
+def op9_projections(spark: SparkSession, folder: str) -> DataFrame:
+    return projections.embedding_links(table(spark, folder, "embeddings"), least=0.9)

@@ -142,12 +142,13 @@ def simhash_groups(docs: DataFrame, *, shingle: int = 3, radius: int = 2, key: s
     """
     rows = keep(fingerprints(docs, shingle, key=key, text=text))
     prints = keep(rows.groupBy("fp").agg(F.min("doc").alias("first")))
-    roots = components(linked_groups(prints.select("fp"), radius))
+    linked = keep(linked_groups(prints.select("fp"), radius), batch_rows=256)
+    roots = components(linked)
     rooted = prints.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = keep(rooted.groupBy("root").agg(F.min("first").alias("component")))
     where = keep(rooted.join(least, "root").select("fp", "component"))
-    for table in (prints, roots, least):
+    for table in (prints, linked, roots, least):
         drop(table)
     return rows.join(where, "fp").select(
         id_back(F.col("doc")).alias(key),

@@ -8,13 +8,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ebbtide.functions.skew import checkpoint_folder
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _kept: list[str] = []
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Writes df below spark.checkpoint.dir and reads it back: lost executors cost no rework."""
+def keep(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+    """Writes df below spark.checkpoint.dir and reads it back: lost executors cost no rework.
+
+    batch_rows bounds the rows that Python sees at once, for plans whose rows are large.
+    """
     path = f"{checkpoint_folder(df.sparkSession)}/corpus-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    usual = conf.get(BATCH_ROWS)
+    if batch_rows is not None:
+        conf.set(BATCH_ROWS, str(batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(BATCH_ROWS, usual)
     _kept.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
