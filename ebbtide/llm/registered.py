@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from ebbtide.llm import (
-    packing, pieces, projections, quality_rules, simhash, site_style, substrings, url_rules)
+    licenses, packing, pieces, projections, quality_rules, simhash, site_style, substrings,
+    url_rules)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -75,3 +76,11 @@ def op3_site_style(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op9_projections(spark: SparkSession, folder: str) -> DataFrame:
     return projections.embedding_links(table(spark, folder, "embeddings"), least=0.9)
+
+
+@register
+def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, folder, "documents"))
+
+
+ORACLES["op1_licenses"] = licenses.licenses_sql()
