@@ -8,13 +8,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from ebbtide.llm.places import (
+    SCHEMA, Layout, Places, by_bucket, groups, later, positions, shared)
 from ebbtide.llm.staging import batches, id_back, id_or_least, keep, only
 
 # The differences of these residues give every residue of the period.
 COVERS = ((13, (0, 1, 3, 9)), (7, (0, 1, 3)), (3, (0, 1)), (1, (0,)))
 SLICE = 8 << 20
+ANCHOR = Layout()
+WINDOW = Layout(("<u8",), ("<u4",))
 SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
@@ -49,6 +53,8 @@ class Cover:
     def windows(self, anchors: np.ndarray, words: int) -> np.ndarray:
         """Starts of all windows that hold one of the anchors."""
         last = words - self.window
+        if last < 0:
+            return np.zeros(0, np.int64)
         marks = np.zeros(last + 2, np.int64)
         np.add.at(marks, np.clip(anchors - (self.period - 1), 0, last + 1), 1)
         np.add.at(marks, np.clip(anchors + 1, 0, last + 1), -1)
@@ -84,119 +90,74 @@ def _columns(batch) -> tuple[list, list, list]:
             batch.column(2).cast(pa.binary()).to_pylist())
 
 
-def _table(columns: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [a if isinstance(a, pa.Array) else pa.array(a) for a in columns.values()],
-        names=list(columns))
+def _owned(parts: list[np.ndarray], keys: list[tuple[int, int]], low, high) -> Places:
+    counts = [len(p) for p in parts]
+    return Places(low, high, np.repeat(np.arange(len(parts)), counts), np.concatenate(parts),
+                  np.array(keys, np.int64).reshape(-1, 2))
 
 
-def _join(parts: list[np.ndarray], kind=np.int64) -> np.ndarray:
-    return np.concatenate(parts) if parts else np.zeros(0, kind)
+def _sent(places: Places, send: np.ndarray, known: np.ndarray, layout: Layout, buckets: int,
+          turn: int):
+    """Entries for comparison by bucket, and those that the slice has decided in any bucket."""
+    if send.any():
+        yield layout.rows(places.take(np.flatnonzero(send)), buckets)
+    if known.any():
+        yield layout.decided(places.take(np.flatnonzero(known)), turn % buckets)
 
 
-def anchors(docs: DataFrame, cover: Cover) -> DataFrame:
-    """(name, doc, tid, at, many): anchor fingerprints, those met twice in a slice only once.
+def shared_anchors(docs: DataFrame, cover: Cover, buckets: int) -> DataFrame:
+    """(doc, tid, ats): anchors whose words occur at two places or more, of any text.
 
-    A name that occurs several times in a slice of rows is known to be shared: its places come
-    with many true and a name of NULL, beside one row that tells other slices. A common passage
-    therefore sends one row a slice to the shuffle, not one a copy.
+    Inside a slice of rows an anchor that occurs several times is known to be shared at once
+    and sends one entry only, so a common passage costs one entry a slice, not one a copy.
     """
     def run(items):
         digest = xxhash.xxh3_64_intdigest
-        for batch in batches(items, SLICE):
-            names, owner, at, keys = [], [], [], []
+        for turn, batch in enumerate(batches(items, SLICE)):
+            names, parts, keys = [], [], []
             for doc, tid, text in zip(*_columns(batch)):
                 words = Words(text)
-                places = cover.positions(words.n)
-                if len(places):
+                at = cover.positions(words.n)
+                if len(at):
                     names.append(np.fromiter(
-                        map(digest, words.pieces(places, cover.size)), np.uint64, len(places)))
-                    at.append(places)
-                    owner.append(np.full(len(places), len(keys)))
+                        map(digest, words.pieces(at, cover.size)), np.uint64, len(at)))
+                    parts.append(at)
                     keys.append((doc, tid))
-            if not keys:
-                continue
-            name, at, owner = _join(names).view(np.int64), _join(at), _join(owner)
-            _, first, group, count = np.unique(
-                name, return_index=True, return_inverse=True, return_counts=True)
-            shared = count[group] > 1
-            told = np.zeros(len(name), bool)
-            told[first] = True
-            doc, tid = np.array(keys, np.int64).T
-            for rows, named in ((np.flatnonzero(told), True),
-                                (np.flatnonzero(shared & ~told), False)):
-                yield _table({
-                    "name": pa.array(name[rows], mask=np.full(len(rows), not named)),
-                    "doc": doc[owner[rows]], "tid": tid[owner[rows]],
-                    "at": at[rows].astype(np.int32), "many": shared[rows]})
-
-    return docs.mapInArrow(run, "name long, doc long, tid long, at int, many boolean")
-
-
-def shared_anchors(docs: DataFrame, cover: Cover) -> DataFrame:
-    """(doc, tid, at): anchors whose words occur at two places or more."""
-    found = anchors(docs, cover)
-    # rows without a name are spread by their place, they are decided already
-    lot = F.when(F.col("name").isNull(), F.xxhash64("doc", "at")).otherwise(F.col("name"))
-    group = Window.partitionBy("lot", F.col("name").isNull())
-    return (found.withColumn("lot", lot)
-            .withColumn("n", F.count(F.lit(1)).over(group))
-            .withColumn("n_many", F.count(F.when(F.col("many"), 1)).over(group))
-            .where((F.col("n") > 1) | (F.col("n_many") > 0))
-            .select("doc", "tid", "at"))
-
-
-def candidates(docs: DataFrame, cover: Cover) -> DataFrame:
-    """(doc, tid, ats): per text with shared anchors their places, bounded by the text's length."""
-    return (shared_anchors(docs, cover).groupBy("doc", "tid")
-            .agg(F.array_distinct(F.collect_list("at")).alias("ats")))
-
-
-def later_windows(texts: DataFrame, cover: Cover) -> DataFrame:
-    """texts(doc, tid, text, ats) -> (doc, tid, at): windows whose words also start earlier.
-
-    Windows are compared by 128-bit fingerprints of their exact words. Inside a slice only the
-    earliest place of a window goes on to the global comparison; the others are decided.
+            if keys:
+                low = np.concatenate(names)
+                places = _owned(parts, keys, low, np.zeros_like(low))
+                order, new = groups(places)
+                send = np.zeros(len(low), bool)
+                send[order] = new
+                yield from _sent(places, send, shared(places), ANCHOR, buckets, turn)
+
+    return by_bucket(docs.mapInArrow(run, SCHEMA), ANCHOR, shared)
+
+
+def later_windows(texts: DataFrame, cover: Cover, buckets: int) -> DataFrame:
+    """texts(doc, tid, text, ats) -> (doc, tid, ats): windows whose words also start earlier.
+
+    Windows are compared by 96-bit fingerprints of their exact words. Inside a slice only the
+    earliest place of a window goes on to the comparison by bucket; the others are decided.
     """
     def run(items):
         digest = xxhash.xxh3_128_digest
-        for batch in batches(items, SLICE):
-            ats = batch.column(3).to_pylist()
-            names, docs_, tids, at = [], [], [], []
-            for doc, tid, text, places in zip(*_columns(batch), ats):
+        for turn, batch in enumerate(batches(items, SLICE)):
+            names, parts, keys = [], [], []
+            for doc, tid, text, blobs in zip(*_columns(batch), batch.column(3).to_pylist()):
                 words = Words(text)
-                windows = cover.windows(np.array(places, np.int64), words.n)
-                names += map(digest, words.pieces(windows, cover.window))
-                docs_.append(np.full(len(windows), doc))
-                tids.append(np.full(len(windows), tid))
-                at.append(windows)
-            if not names:
-                continue
-            name = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
-            doc, tid, at = _join(docs_), _join(tids), _join(at).astype(np.int32)
-            order = np.lexsort((at, doc, name[:, 1], name[:, 0]))
-            same = np.zeros(len(order), bool)
-            same[1:] = (name[order][1:] == name[order][:-1]).all(axis=1)
-            head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-            tie = (doc[order] == doc[order][head]) & (at[order] == at[order][head])
-            late = np.zeros(len(order), bool)
-            late[order] = same & ~tie
-            send = np.zeros(len(order), bool)
-            send[order] = ~same | tie
-            rows = send | late
-            yield _table({
-                "hi": pa.array(name[rows, 0], mask=late[rows]),
-                "lo": pa.array(name[rows, 1], mask=late[rows]),
-                "doc": doc[rows], "tid": tid[rows], "at": at[rows]})
-
-    found = texts.mapInArrow(run, "hi long, lo long, doc long, tid long, at int")
-    lot = F.when(F.col("hi").isNull(), F.xxhash64("doc", "at")).otherwise(F.col("hi"))
-    group = Window.partitionBy("lot", "lo")
-    place = F.struct("doc", "at")
-    return (found.withColumn("lot", lot)
-            .withColumn("least", F.min(place).over(group))
-            .where(F.col("hi").isNull() | (F.col("least") < place))
-            .select("doc", "tid", "at"))
+                at = cover.windows(positions(blobs), words.n)
+                if len(at):
+                    names += map(digest, words.pieces(at, cover.window))
+                    parts.append(at)
+                    keys.append((doc, tid))
+            if keys:
+                name = np.frombuffer(b"".join(names), "<u8").reshape(-1, 2)
+                places = _owned(parts, keys, name[:, 0], name[:, 1] & np.uint64(0xFFFFFFFF))
+                late = later(places)
+                yield from _sent(places, ~late, late, WINDOW, buckets, turn)
+
+    return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, later)
 
 
 def cut(text: bytes, windows: np.ndarray, size: int) -> tuple[int, int, bytes, bytes]:
@@ -253,17 +214,20 @@ def substring_dedup(docs: DataFrame, *, window: int = 20, key: str = "doc_id",
     """
     cover = Cover.of(window)
     rows = keyed(docs, key, text)
-    n = rows.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    near = keep(candidates(rows, cover))
-    placed = rows.repartition(int(n), "doc", "tid")
-    late = later_windows(placed.join(near, ["doc", "tid"]), cover)
-    gone = late.groupBy("doc", "tid").agg(F.collect_list("at").alias("ats"))
+    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # anchors are only hints, so those of all texts of an id may go together
+    near = keep(shared_anchors(rows, cover, buckets).groupBy("doc").agg(
+        F.collect_list("ats").alias("ats")))
+    placed = rows.repartition(buckets, "doc")
+    late = later_windows(placed.join(near, "doc").select("doc", "tid", "text", "ats"), cover,
+                         buckets)
+    gone = late.groupBy("doc").agg(F.collect_list(F.struct("tid", "ats")).alias("found"))
 
     def run(items):
         for batch in batches(items, SLICE):
             out = [[], [], [], [], [], []]
             for doc, tid, value, ats in zip(*_columns(batch), batch.column(3).to_pylist()):
-                n, removed, kept, rest = cut(value, np.array(ats or [], np.int64), window)
+                n, removed, kept, rest = cut(value, positions(ats), window)
                 for column, item in zip(out, (doc, n, removed, rest.decode(),
                                               hashlib.sha256(kept).hexdigest(), tid)):
                     column.append(item)
@@ -273,7 +237,9 @@ def substring_dedup(docs: DataFrame, *, window: int = 20, key: str = "doc_id",
                 names=["doc", "n_words", "n_removed", "kept_text", "kept_sha256", "tid"])
 
     # placed stands twice in the plan and is shuffled once
-    found = placed.join(gone, ["doc", "tid"], "left").select("doc", "tid", "text", "ats")
+    own = F.filter("found", lambda x: x["tid"] == F.col("tid"))
+    found = placed.join(gone, "doc", "left").select(
+        "doc", "tid", "text", F.transform(own, lambda x: x["ats"]).alias("ats"))
     return found.mapInArrow(
         run, "doc long, n_words long, n_removed long, kept_text string, kept_sha256 string, "
              "tid long").select(
