@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-SCHEMA = "bucket int, low binary, high binary, at binary, texts binary, counts binary"
-FIELDS = pa.schema([("bucket", pa.int32()), *(
+SCHEMA = ("bucket int, code int, low binary, high binary, at binary, texts binary, "
+          "counts binary")
+FIELDS = pa.schema([("bucket", pa.int32()), ("code", pa.int32()), *(
     (name, pa.binary()) for name in ("low", "high", "at", "texts", "counts"))])
 
 
@@ -70,7 +71,7 @@ class Places:
 
 @dataclass(frozen=True)
 class Layout:
-    """How many bytes of a fingerprint are sent: of low always 6 or 8, of high 0 or 4."""
+    """How many bytes of a fingerprint are sent: of low 6 or 8, of high 0, 4 or 8."""
 
     low: tuple[str, ...] = ("<u4", "<u2")
     high: tuple[str, ...] = ()
@@ -80,18 +81,18 @@ class Layout:
         bucket = ((places.low >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        out = [[] for _ in range(6)]
+        out = [[] for _ in FIELDS]
         for number, (start, end) in enumerate(zip(cuts, cuts[1:])):
             if start < end:
-                for column, item in zip(out, (number, *self._row(places.take(order[start:end])))):
+                own = self._row(places.take(order[start:end]))
+                for column, item in zip(out, (number, None, *own)):
                     column.append(item)
         return pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(out, FIELDS)], schema=FIELDS)
 
-    def decided(self, places: Places, bucket: int) -> pa.RecordBatch:
+    def decided(self, places: Places, bucket: int, code: int = 1) -> pa.RecordBatch:
         """Entries that need no comparison: one row without fingerprints."""
-        low, high, *rest = self._row(places)
-        row = (bucket, None, None, *rest)
+        row = (bucket, code, None, None, *self._row(places)[2:])
         return pa.RecordBatch.from_arrays(
             [pa.array([x], f.type) for x, f in zip(row, FIELDS)], schema=FIELDS)
 
@@ -104,13 +105,13 @@ class Layout:
                 + p.texts[used, 1].tobytes(), counts.astype("<u4").tobytes())
 
     def read(self, table: pa.Table) -> tuple[Places, np.ndarray]:
-        """All entries of a bucket, and which of them are decided."""
-        lows, highs, owners, ats, texts, decided = [], [], [], [], [], []
+        """All entries of a bucket, and the code of those that are decided, else 0."""
+        lows, highs, owners, ats, texts, codes = [], [], [], [], [], []
         seen = 0
         for row in table.select(FIELDS.names).to_pylist():
             counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
             n, m = int(counts.sum()), len(counts)
-            known = row["low"] is None
+            known = row["code"] is not None
             lows.append(np.zeros(n, np.uint64) if known else _whole(row["low"], n, self.low))
             highs.append(np.zeros(n, np.uint64) if known else _whole(row["high"], n, self.high))
             ats.append(_whole(row["at"], n, ("<u2", "<u2", "<u4")).astype(np.int64))
@@ -118,30 +119,43 @@ class Layout:
             docs = _whole(row["texts"], m, ("<u2", "<u2", "<u4")).view(np.int64)
             tids = np.frombuffer(row["texts"], np.int64, m, 8 * m)
             texts.append(np.stack([docs, tids], axis=1))
-            decided.append(np.full(n, known))
+            codes.append(np.full(n, row["code"] or 0))
             seen += m
         return Places(*map(np.concatenate, (lows, highs, owners, ats, texts))), np.concatenate(
-            decided)
+            codes)
+
+
+def sent(places: Places, send: np.ndarray, decided: dict[int, np.ndarray], layout: Layout,
+         buckets: int, turn: int) -> Iterator[pa.RecordBatch]:
+    """Entries to compare by bucket, and per code those that the slice has decided itself."""
+    if send.any():
+        yield layout.rows(places.take(np.flatnonzero(send)), buckets)
+    for code, known in decided.items():
+        if known.any():
+            yield layout.decided(places.take(np.flatnonzero(known)), turn % buckets, code)
 
 
 def by_bucket(rows: DataFrame, layout: Layout,
-              judge: Callable[[Places], np.ndarray]) -> DataFrame:
-    """rows (SCHEMA) -> (doc, tid, ats): positions, as 64-bit integers, that judge marks.
+              judge: Callable[[Places], dict[int, np.ndarray]]) -> DataFrame:
+    """rows (SCHEMA) -> (doc, tid, code, ats): positions in texts by code.
 
-    judge gets the entries of a bucket that are not decided yet; decided ones all pass.
+    judge gets the open entries of a bucket and marks entries per code; decided ones are added.
     """
     def run(table: pa.Table) -> pa.Table:
-        places, decided = layout.read(table)
-        marked = decided.copy()
-        open_rows = np.flatnonzero(~decided)
-        marked[open_rows] = judge(places.take(open_rows))
-        found = list(places.take(np.flatnonzero(marked)).per_text())
-        return pa.table({
-            "doc": pa.array([f[0] for f in found], pa.int64()),
-            "tid": pa.array([f[1] for f in found], pa.int64()),
-            "ats": pa.array([f[2].astype("<u4").tobytes() for f in found], pa.binary())})
-
-    return rows.groupBy("bucket").applyInArrow(run, "doc long, tid long, ats binary")
+        places, codes = layout.read(table)
+        rows_ = np.flatnonzero(codes == 0)
+        marked = {code: rows_[mask] for code, mask in judge(places.take(rows_)).items()}
+        found = []
+        for code in sorted(marked.keys() | set(np.unique(codes[codes > 0]).tolist())):
+            own = np.concatenate([marked.get(code, rows_[:0]), np.flatnonzero(codes == code)])
+            found += [(doc, tid, code, at.astype("<u4").tobytes())
+                      for doc, tid, at in places.take(own).per_text()]
+        columns = zip(*found) if found else ([], [], [], [])
+        return pa.table([pa.array(c, t) for c, t in zip(
+            columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+            names=["doc", "tid", "code", "ats"])
+
+    return rows.groupBy("bucket").applyInArrow(run, "doc long, tid long, code int, ats binary")
 
 
 def groups(places: Places) -> tuple[np.ndarray, np.ndarray]:
@@ -173,6 +187,19 @@ def later(places: Places) -> np.ndarray:
     return out
 
 
+def owned(parts: list[np.ndarray], keys: list[tuple[int, int]], low: np.ndarray,
+          high: np.ndarray) -> Places:
+    """Entries of several texts: positions per text, and fingerprints in the same order."""
+    return Places(low, high, np.repeat(np.arange(len(parts)), [len(p) for p in parts]),
+                  np.concatenate(parts), np.array(keys, np.int64).reshape(-1, 2))
+
+
+def text_columns(batch: pa.RecordBatch) -> tuple[list, list, list]:
+    """doc, tid and the bytes of text."""
+    return (batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+            batch.column(2).cast(pa.binary()).to_pylist())
+
+
 def positions(blobs: list[bytes] | None) -> np.ndarray:
     """Sorted distinct positions out of collected ats."""
     return np.unique(np.frombuffer(b"".join(blobs or ()), "<u4")).astype(np.int64)

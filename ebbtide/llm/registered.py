@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from ebbtide.llm import (
     licenses, packing, pieces, projections, quality_rules, simhash, site_style, substrings,
-    url_rules)
+    suffixes, url_rules)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -84,3 +84,9 @@ def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op1_licenses"] = licenses.licenses_sql()
+
+
+@register
+def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    out = suffixes.suffix_dedup(table(spark, folder, "documents"), window=200)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

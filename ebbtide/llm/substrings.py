@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.llm.places import (
-    SCHEMA, Layout, Places, by_bucket, groups, later, positions, shared)
+    SCHEMA, Layout, by_bucket, groups, later, owned, positions, sent, shared, text_columns)
 from ebbtide.llm.staging import batches, id_back, id_or_least, keep, only
 
 # The differences of these residues give every residue of the period.
@@ -85,26 +85,6 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     ).select("doc", F.xxhash64("text").alias("tid"), "text")
 
 
-def _columns(batch) -> tuple[list, list, list]:
-    return (batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-            batch.column(2).cast(pa.binary()).to_pylist())
-
-
-def _owned(parts: list[np.ndarray], keys: list[tuple[int, int]], low, high) -> Places:
-    counts = [len(p) for p in parts]
-    return Places(low, high, np.repeat(np.arange(len(parts)), counts), np.concatenate(parts),
-                  np.array(keys, np.int64).reshape(-1, 2))
-
-
-def _sent(places: Places, send: np.ndarray, known: np.ndarray, layout: Layout, buckets: int,
-          turn: int):
-    """Entries for comparison by bucket, and those that the slice has decided in any bucket."""
-    if send.any():
-        yield layout.rows(places.take(np.flatnonzero(send)), buckets)
-    if known.any():
-        yield layout.decided(places.take(np.flatnonzero(known)), turn % buckets)
-
-
 def shared_anchors(docs: DataFrame, cover: Cover, buckets: int) -> DataFrame:
     """(doc, tid, ats): anchors whose words occur at two places or more, of any text.
 
@@ -115,7 +95,7 @@ def shared_anchors(docs: DataFrame, cover: Cover, buckets: int) -> DataFrame:
         digest = xxhash.xxh3_64_intdigest
         for turn, batch in enumerate(batches(items, SLICE)):
             names, parts, keys = [], [], []
-            for doc, tid, text in zip(*_columns(batch)):
+            for doc, tid, text in zip(*text_columns(batch)):
                 words = Words(text)
                 at = cover.positions(words.n)
                 if len(at):
@@ -125,13 +105,13 @@ def shared_anchors(docs: DataFrame, cover: Cover, buckets: int) -> DataFrame:
                     keys.append((doc, tid))
             if keys:
                 low = np.concatenate(names)
-                places = _owned(parts, keys, low, np.zeros_like(low))
+                places = owned(parts, keys, low, np.zeros_like(low))
                 order, new = groups(places)
                 send = np.zeros(len(low), bool)
                 send[order] = new
-                yield from _sent(places, send, shared(places), ANCHOR, buckets, turn)
+                yield from sent(places, send, {1: shared(places)}, ANCHOR, buckets, turn)
 
-    return by_bucket(docs.mapInArrow(run, SCHEMA), ANCHOR, shared)
+    return by_bucket(docs.mapInArrow(run, SCHEMA), ANCHOR, lambda p: {1: shared(p)})
 
 
 def later_windows(texts: DataFrame, cover: Cover, buckets: int) -> DataFrame:
@@ -144,7 +124,7 @@ def later_windows(texts: DataFrame, cover: Cover, buckets: int) -> DataFrame:
         digest = xxhash.xxh3_128_digest
         for turn, batch in enumerate(batches(items, SLICE)):
             names, parts, keys = [], [], []
-            for doc, tid, text, blobs in zip(*_columns(batch), batch.column(3).to_pylist()):
+            for doc, tid, text, blobs in zip(*text_columns(batch), batch.column(3).to_pylist()):
                 words = Words(text)
                 at = cover.windows(positions(blobs), words.n)
                 if len(at):
@@ -153,11 +133,11 @@ def later_windows(texts: DataFrame, cover: Cover, buckets: int) -> DataFrame:
                     keys.append((doc, tid))
             if keys:
                 name = np.frombuffer(b"".join(names), "<u8").reshape(-1, 2)
-                places = _owned(parts, keys, name[:, 0], name[:, 1] & np.uint64(0xFFFFFFFF))
+                places = owned(parts, keys, name[:, 0], name[:, 1] & np.uint64(0xFFFFFFFF))
                 late = later(places)
-                yield from _sent(places, ~late, late, WINDOW, buckets, turn)
+                yield from sent(places, ~late, {1: late}, WINDOW, buckets, turn)
 
-    return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, later)
+    return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, lambda p: {1: later(p)})
 
 
 def cut(text: bytes, windows: np.ndarray, size: int) -> tuple[int, int, bytes, bytes]:
@@ -226,7 +206,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 20, key: str = "doc_id",
     def run(items):
         for batch in batches(items, SLICE):
             out = [[], [], [], [], [], []]
-            for doc, tid, value, ats in zip(*_columns(batch), batch.column(3).to_pylist()):
+            for doc, tid, value, ats in zip(*text_columns(batch), batch.column(3).to_pylist()):
                 n, removed, kept, rest = cut(value, positions(ats), window)
                 for column, item in zip(out, (doc, n, removed, rest.decode(),
                                               hashlib.sha256(kept).hexdigest(), tid)):
