@@ -41,6 +41,9 @@ def _whole(data: bytes, n: int, widths: tuple[str, ...]) -> np.ndarray:
     return out
 
 
+MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
 @dataclass
 class Places:
     """Entries: fingerprint (low, high), owner (a row of texts) and position at.
@@ -59,14 +62,14 @@ class Places:
                       self.texts)
 
     def per_text(self) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(doc, tid, positions) of each text with entries."""
-        order = np.argsort(self.owner, kind="stable")
-        owner, at = self.owner[order], self.at[order]
-        cuts = np.flatnonzero(np.diff(owner)) + 1
-        firsts = np.concatenate([[0], cuts]) if len(owner) else []
+        """(doc, tid, positions) of each text with entries, from whatever rows of texts."""
+        doc, tid = self.texts[self.owner].T
+        order = np.lexsort((tid, doc))
+        doc, tid, at = doc[order], tid[order], self.at[order]
+        cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(tid) != 0)) + 1
+        firsts = np.concatenate([[0], cuts]) if len(at) else []
         for first, own in zip(firsts, np.split(at, cuts)):
-            doc, tid = self.texts[owner[first]].tolist()
-            yield doc, tid, own
+            yield int(doc[first]), int(tid[first]), own
 
 
 @dataclass(frozen=True)
@@ -76,7 +79,7 @@ class Layout:
     low: tuple[str, ...] = ("<u4", "<u2")
     high: tuple[str, ...] = ()
 
-    def rows(self, places: Places, buckets: int) -> pa.RecordBatch:
+    def rows(self, places: Places, buckets: int, code: int | None = None) -> pa.RecordBatch:
         """One row for each bucket that has an entry; the bucket comes from the top bits."""
         bucket = ((places.low >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -85,7 +88,7 @@ class Layout:
         for number, (start, end) in enumerate(zip(cuts, cuts[1:])):
             if start < end:
                 own = self._row(places.take(order[start:end]))
-                for column, item in zip(out, (number, None, *own)):
+                for column, item in zip(out, (number, code, *own)):
                     column.append(item)
         return pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(out, FIELDS)], schema=FIELDS)
@@ -125,6 +128,9 @@ class Layout:
             codes)
 
 
+BACK = Layout((), ())
+
+
 def sent(places: Places, send: np.ndarray, decided: dict[int, np.ndarray], layout: Layout,
          buckets: int, turn: int) -> Iterator[pa.RecordBatch]:
     """Entries to compare by bucket, and per code those that the slice has decided itself."""
@@ -135,27 +141,40 @@ def sent(places: Places, send: np.ndarray, decided: dict[int, np.ndarray], layou
             yield layout.decided(places.take(np.flatnonzero(known)), turn % buckets, code)
 
 
-def by_bucket(rows: DataFrame, layout: Layout,
-              judge: Callable[[Places], dict[int, np.ndarray]]) -> DataFrame:
-    """rows (SCHEMA) -> (doc, tid, code, ats): positions in texts by code.
+def by_bucket(rows: DataFrame, layout: Layout, judge: Callable[[Places], dict[int, np.ndarray]],
+              buckets: int) -> DataFrame:
+    """rows (SCHEMA) -> (doc, tid, code, ats): positions in texts by code, one row each.
 
     judge gets the open entries of a bucket and marks entries per code; decided ones are added.
+    What is marked goes back by text the way it came, one row for a bucket and a group of texts.
     """
     def run(table: pa.Table) -> pa.Table:
         places, codes = layout.read(table)
-        rows_ = np.flatnonzero(codes == 0)
-        marked = {code: rows_[mask] for code, mask in judge(places.take(rows_)).items()}
-        found = []
+        open_rows = np.flatnonzero(codes == 0)
+        marked = {code: open_rows[mask]
+                  for code, mask in judge(places.take(open_rows)).items()}
+        out = []
         for code in sorted(marked.keys() | set(np.unique(codes[codes > 0]).tolist())):
-            own = np.concatenate([marked.get(code, rows_[:0]), np.flatnonzero(codes == code)])
-            found += [(doc, tid, code, at.astype("<u4").tobytes())
-                      for doc, tid, at in places.take(own).per_text()]
+            own = places.take(np.concatenate([
+                marked.get(code, open_rows[:0]), np.flatnonzero(codes == code)]))
+            mixed = own.texts[own.owner, 0].view(np.uint64) * MIX >> np.uint64(33)
+            own.low = mixed << np.uint64(40)  # texts of one id meet in one bucket
+            out.append(BACK.rows(own, buckets, code))
+        return pa.Table.from_batches(out, schema=FIELDS)
+
+    def gather(table: pa.Table) -> pa.Table:
+        places, codes = BACK.read(table)
+        found = [(doc, tid, code, at.astype("<u4").tobytes())
+                 for code in np.unique(codes).tolist()
+                 for doc, tid, at in places.take(np.flatnonzero(codes == code)).per_text()]
         columns = zip(*found) if found else ([], [], [], [])
         return pa.table([pa.array(c, t) for c, t in zip(
             columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
             names=["doc", "tid", "code", "ats"])
 
-    return rows.groupBy("bucket").applyInArrow(run, "doc long, tid long, code int, ats binary")
+    back = rows.groupBy("bucket").applyInArrow(run, SCHEMA)
+    return back.groupBy("bucket").applyInArrow(
+        gather, "doc long, tid long, code int, ats binary")
 
 
 def groups(places: Places) -> tuple[np.ndarray, np.ndarray]:

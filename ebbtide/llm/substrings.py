@@ -111,7 +111,7 @@ def shared_anchors(docs: DataFrame, cover: Cover, buckets: int) -> DataFrame:
                 send[order] = new
                 yield from sent(places, send, {1: shared(places)}, ANCHOR, buckets, turn)
 
-    return by_bucket(docs.mapInArrow(run, SCHEMA), ANCHOR, lambda p: {1: shared(p)})
+    return by_bucket(docs.mapInArrow(run, SCHEMA), ANCHOR, lambda p: {1: shared(p)}, buckets)
 
 
 def later_windows(texts: DataFrame, cover: Cover, buckets: int) -> DataFrame:
@@ -137,7 +137,7 @@ def later_windows(texts: DataFrame, cover: Cover, buckets: int) -> DataFrame:
                 late = later(places)
                 yield from sent(places, ~late, {1: late}, WINDOW, buckets, turn)
 
-    return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, lambda p: {1: later(p)})
+    return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, lambda p: {1: later(p)}, buckets)
 
 
 def cut(text: bytes, windows: np.ndarray, size: int) -> tuple[int, int, bytes, bytes]:

@@ -125,7 +125,7 @@ def ranked_samples(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFram
                 send[order] = new
                 yield from sent(places, send, {DUP: shared(places)}, RANK, buckets, turn)
 
-    return by_bucket(texts.mapInArrow(run, SCHEMA), RANK, lambda p: {DUP: shared(p)})
+    return by_bucket(texts.mapInArrow(run, SCHEMA), RANK, lambda p: {DUP: shared(p)}, buckets)
 
 
 def split_open(places: Places) -> dict[int, np.ndarray]:
@@ -178,7 +178,7 @@ def surroundings(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
                 yield from sent(places, send, {DUP: split_open(places)[DUP], OPEN: extra},
                                 AROUND, buckets, turn)
 
-    return by_bucket(texts.mapInArrow(run, SCHEMA), AROUND, split_open)
+    return by_bucket(texts.mapInArrow(run, SCHEMA), AROUND, split_open, buckets)
 
 
 def open_windows(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
@@ -201,7 +201,7 @@ def open_windows(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
                 send[order] = new
                 yield from sent(places, send, {DUP: shared(places)}, WINDOW, buckets, turn)
 
-    return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, lambda p: {DUP: shared(p)})
+    return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, lambda p: {DUP: shared(p)}, buckets)
 
 
 def windows(sampler: Sampler, text: bytes, firsts: np.ndarray) -> np.ndarray:
