@@ -2,47 +2,31 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-LOOKUP_SALTS = 32
 HASH_BUCKETS = 1 << 14
 VALUE_BUCKETS = 64
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, the one its own broadcast rule checks."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """Spark's own broadcast threshold in bytes; -1 means never."""
-    text = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", text.strip().lower()).groups()
-    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join to a dimension with one row per key; a NULL key finds nothing.
 
+    Spark broadcasts the dimension if its size is known to be small, and otherwise adaptive
+    execution splits the partitions of a key that holds much of the fact table.
+    """
+    return fact.join(dim, list(on), "left")
 
-def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], *,
-                salts: int = LOOKUP_SALTS, limit: int | None = None) -> DataFrame:
-    """Left join to a dimension with one row per key.
 
-    Below the broadcast limit Spark broadcasts it. Above, the dimension is
-    repeated once per salt and each fact row goes to one salt, so a key that
-    holds a third of the fact table is still read by many tasks.
-    """
-    on = list(on)
-    limit = broadcast_limit(dim) if limit is None else limit
-    if plan_bytes(dim) <= limit:
-        return fact.join(dim, on, "left")
-    spread = [c for c in fact.columns if c not in on] or on
-    salted_fact = fact.withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_fact.join(salted_dim, [*on, "_salt"], "left").drop("_salt")
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join in which a NULL key equals a NULL key."""
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    match = [left[c].eqNullSafe(renamed[f"_right_{c}"]) for c in on]
+    return left.join(renamed, match).drop(*[f"_right_{c}" for c in on])
 
 
 def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,7 +56,7 @@ def rank_by_hash(df: DataFrame, number: Column, groups: Sequence[str], tie: Colu
     if at_most is not None:
         slices = slices.where(F.col("_before") < at_most)
     inside = Window.partitionBy(*groups, "_slice").orderBy("_n", tie)
-    ranked = (keyed.join(slices, [*groups, "_slice"])
+    ranked = (null_safe_join(keyed, slices, [*groups, "_slice"])
               .withColumn(alias, F.col("_before") + F.row_number().over(inside))
               .drop("_n", "_slice", "_before"))
     return ranked if at_most is None else ranked.where(F.col(alias) <= at_most)
@@ -80,16 +64,14 @@ def rank_by_hash(df: DataFrame, number: Column, groups: Sequence[str], tie: Colu
 
 def value_slices(df: DataFrame, groups: Sequence[str], value: str,
                  buckets: int = VALUE_BUCKETS) -> DataFrame:
-    """Cut points per group as a local table: at most buckets numbers per group.
+    """Cut points per group: at most buckets numbers each.
 
-    For few groups, such as folds, learners or features.
-    They only balance the work and never change a result. They are fetched once
-    so that every use, and every retry after a lost executor, cuts alike.
+    They only balance the work and never change a result. They are stored once so that every
+    use, and every retry after a lost executor, cuts alike; they never come to the driver.
     """
     at = [i / buckets for i in range(1, buckets)]
-    cuts = df.groupBy(*groups).agg(
-        F.percentile_approx(value, at, 20 * buckets).alias("_cuts"))
-    return df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
+    return stable(df.groupBy(*groups).agg(
+        F.percentile_approx(value, at, 20 * buckets).alias("_cuts")))
 
 
 def running_totals(df: DataFrame, groups: Sequence[str], value: str, sums: Sequence[str], *,
@@ -104,7 +86,7 @@ def running_totals(df: DataFrame, groups: Sequence[str], value: str, sums: Seque
     if not groups:
         df, groups = df.withColumn("_all", F.lit(0)), ["_all"]
     cuts = value_slices(df, groups, value, buckets)
-    sliced = df.join(F.broadcast(cuts), list(groups)).withColumn(
+    sliced = null_safe_join(df, cuts, groups).withColumn(
         "_slice", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))).drop("_cuts")
     if descending:
         sliced = sliced.withColumn("_slice", -F.col("_slice"))
@@ -118,7 +100,7 @@ def running_totals(df: DataFrame, groups: Sequence[str], value: str, sums: Seque
     order = F.col(value).desc() if descending else F.col(value).asc()
     inside = Window.partitionBy(*groups, "_slice").orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0)
-    out = sliced.join(offsets, [*groups, "_slice"])
+    out = null_safe_join(sliced, offsets, [*groups, "_slice"])
     return out.select(
         *columns,
         *[(F.col(f"_b_{c}") + F.sum(c).over(inside)).alias(f"cum_{c}") for c in sums],
@@ -137,17 +119,42 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_staged: list[str] = []
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Writes df as a table in the checkpoint folder and reads it back.
 
     Later steps see the same rows in the same place even if executors are lost,
-    read only the columns they need, and know the table's size.
+    read only the columns they need, and know the table's size. The folder stays
+    until ``drop_staged``.
     """
     path = f"{checkpoint_folder(df.sparkSession)}/ebbtide-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession, keep: int = 0) -> None:
+    """Removes the tables staged since there were ``keep`` of them.
+
+    Call it at the end of a run, when its results have been written.
+    """
+    while len(_staged) > keep:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes at the end what the block has staged, also if it fails."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        drop_staged(spark, before)
+
+
 def rank_by_range(df: DataFrame, groups: Sequence[str], order: Sequence[Column], *,
                   alias: str = "rank") -> DataFrame:
     """Exact row_number over (groups order by order) for any distribution of both.
@@ -166,6 +173,6 @@ def rank_by_range(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
                .withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
                .drop("_size"))
     inside = Window.partitionBy(*groups, "_part").orderBy(*order)
-    return (parts.join(offsets, [*groups, "_part"])
+    return (null_safe_join(parts, offsets, [*groups, "_part"])
             .withColumn(alias, F.col("_before") + F.row_number().over(inside))
             .drop("_part", "_before"))

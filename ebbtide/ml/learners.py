@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier)
@@ -13,7 +15,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.pipeline import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ebbtide.ml.prepare import columns_with_nulls, filled_texts, input_names, maxabs_fit
+from ebbtide.ml.prepare import (
+    columns_with_nulls, feature_of, filled_texts, input_names, maxabs_fit)
 
 # The learners' settings.
 LOGISTIC = {"maxIter": 200, "fitIntercept": True, "elasticNetParam": 0.0}
@@ -111,7 +114,10 @@ def _last(model: Model) -> Model:
 
 
 def importances(learner: Learner, model: Model) -> dict[str, float]:
-    """Gain per input of tree learners; coefficients over the greatest one otherwise."""
+    """Gain per feature of tree learners; coefficients over the greatest one otherwise.
+
+    The indicator of missing values counts for its feature.
+    """
     last = _last(model)
     if hasattr(last, "featureImportances"):
         values = last.featureImportances.toArray()
@@ -121,7 +127,26 @@ def importances(learner: Learner, model: Model) -> dict[str, float]:
         values = raw / top if top else raw
     else:
         return {}
-    return {n: float(v) for n, v in zip(learner.inputs, values)}
+    out: dict[str, float] = {}
+    for name, value in zip(learner.inputs, values):
+        feature = feature_of(name)
+        known = out.get(feature, 0.0)
+        if hasattr(last, "featureImportances"):
+            out[feature] = known + float(value)
+        else:  # of two coefficients the greater one speaks for the feature
+            out[feature] = max(known, float(value), key=abs)
+    return out
+
+
+def linear_weights(learner: Learner, models: Sequence[Model]) -> dict[str, float]:
+    """Weight of each input as it is before scaling, averaged over the folds' models."""
+    total = dict.fromkeys(learner.inputs, 0.0)
+    for model in models:
+        scaler, last = model.stages
+        tops = scaler.maxAbs.toArray()
+        for name, weight, top in zip(learner.inputs, last.coefficients.toArray(), tops):
+            total[name] += float(weight) / float(top) if top else 0.0
+    return {name: value / len(models) for name, value in total.items()}
 
 
 # ---- feature selection ----------------------------------------------------
@@ -137,37 +162,42 @@ def feature_select_rfe(df: DataFrame, label: str, features: Sequence[str], n: in
     scaled = [f"{text} / {maxes[c]!r}D" for c, text in filled_texts(left, ()).items()]
     data = df.select(F.col(label).cast("double").alias("_y"),
                      F.expr(f"array({', '.join(scaled)})").alias("_all")).persist()
-    rows = data.count()
-    place = {c: i for i, c in enumerate(left)}
-    while len(left) > n:
-        vector = array_to_vector(F.array(*[F.col("_all")[place[c]] for c in left]))
-        model = LogisticRegression(
-            featuresCol="_x", labelCol="_y", standardization=False,
-            **{**LOGISTIC, "regParam": 1.0 / max(rows, 1), **(params or {})}).fit(
-            data.select("_y", vector.alias("_x")))
-        weights = [abs(v) for v in model.coefficients.toArray()]
-        left.pop(weights.index(min(weights)))
-    data.unpersist()
+    try:
+        rows = data.count()
+        place = {c: i for i, c in enumerate(left)}
+        while len(left) > n:
+            vector = array_to_vector(F.array(*[F.col("_all")[place[c]] for c in left]))
+            model = LogisticRegression(
+                featuresCol="_x", labelCol="_y", standardization=False,
+                **{**LOGISTIC, "regParam": 1.0 / max(rows, 1), **(params or {})}).fit(
+                data.select("_y", vector.alias("_x")))
+            weights = [abs(v) for v in model.coefficients.toArray()]
+            left.pop(weights.index(min(weights)))
+    finally:
+        data.unpersist()
     return left
 
 
 def feature_select_gain(df: DataFrame, label: str, features: Sequence[str], n: int, *,
-                        fold: str = "fold", folds: int = 10,
-                        params: dict | None = None) -> DataFrame:
+                        fold: str = "fold", folds: int = 10, params: dict | None = None,
+                        threads: int = 4) -> DataFrame:
     """(feature): mean gain over the folds' boosted models and rank, the best n."""
     learner = Learner("selection", "gbt", list(features), params or {}).watch_gaps(df)
     data = df.select(label, fold, learner.vector_column()).persist()
-    rows = []
-    for i in range(folds):
-        test = data.where(F.col(fold) == i)
-        train = data.where(F.col(fold) != i)
-        model = fit_learner(learner, train, test, label, rows=0, seed=i)
-        rows += [(f, i, v) for f, v in importances(learner, model).items()]
-    data.unpersist()
+
+    def fit(i: int) -> list[tuple[str, int, float]]:
+        model = fit_learner(learner, data.where(F.col(fold) != i), data.where(F.col(fold) == i),
+                            label, rows=0, seed=i)
+        return [(f, i, v) for f, v in importances(learner, model).items()]
+
+    try:
+        with ThreadPoolExecutor(threads) as pool:
+            rows = [r for part in pool.map(
+                inheritable_thread_target(df.sparkSession)(fit), range(folds)) for r in part]
+    finally:
+        data.unpersist()
     gains = df.sparkSession.createDataFrame(rows, "feature string, fold int, gain double")
-    mean = importance_mean(gains.withColumn(
-        "feature", F.regexp_replace("feature", "__missing$", "")).groupBy("feature", "fold").agg(
-        F.sum("gain").alias("gain")), [])
+    mean = importance_mean(gains, [])
     best = mean.orderBy(F.col("gain").desc(), "feature").limit(n)
     return best.select("feature", "gain")
 

@@ -108,10 +108,15 @@ def confusion_metrics(df: DataFrame, label: str, score: str, threshold: float |
         "f1": F.try_divide(2.0 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))})
 
 
-def median_by(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """Exact median per group without bringing a group to one task."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(
-        F.count(F.lit(1)).alias("n"))
+def _value_counts(df: DataFrame, groups: Sequence[str], value: str, n: str | None) -> DataFrame:
+    size = F.count(F.lit(1)) if n is None else F.sum(n)
+    return df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(size.alias("n"))
+
+
+def median_by(df: DataFrame, groups: Sequence[str], value: str, n: str | None = None
+              ) -> DataFrame:
+    """Exact median per group without bringing a group to one task; ``n``: rows a row is for."""
+    counts = _value_counts(df, groups, value, n)
     ranked = running_totals(counts, list(groups), value, ["n"])
 
     def at(rank: Column) -> Column:
@@ -122,9 +127,9 @@ def median_by(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
     return ranked.groupBy(*groups).agg(((at(low) + at(high)) / 2).alias("median"))
 
 
-def mode_by(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """Most frequent value per group; the smaller value wins a tie."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(
-        F.count(F.lit(1)).alias("n"))
+def mode_by(df: DataFrame, groups: Sequence[str], value: str, n: str | None = None
+            ) -> DataFrame:
+    """Most frequent value per group; the smaller value wins a tie. ``n`` as in ``median_by``."""
+    counts = _value_counts(df, groups, value, n)
     best = F.min(F.struct((-F.col("n")).alias("n"), value))[value]
     return counts.groupBy(*groups).agg(best.alias("mode"))

@@ -5,6 +5,7 @@ Every step learns from the training rows and is replayed unchanged on others.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -15,7 +16,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ebbtide.functions.exprs import exprs, quoted
 from ebbtide.functions.skew import stable
@@ -50,28 +51,41 @@ def column_name(column: str, value: str) -> str:
 
 @dataclass
 class OneHot:
-    """Learned categories: input column to [(output column, values)]."""
+    """Learned categories: input column to [(output column, values)]; outputs are unique."""
 
     categories: dict[str, list[tuple[str, list[str]]]]
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str],
             max_categories: int = MAX_CATEGORIES) -> OneHot:
-        """One pass over df. A column with more categories than the limit is an error."""
+        """A column with more categories than the limit is an error.
+
+        A name that another category has taken gets a number, in the order of the categories.
+        """
         if not columns:
             return cls({})
         pairs = F.explode(F.array(*[
             F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
             for c in columns])).alias("p")
-        limit = max_categories * len(columns)
-        found = (df.select(pairs).select("p.*").where(F.col("value").isNotNull()).distinct()
-                 .limit(limit + 1).collect())
-        if len(found) > limit:
-            raise ValueError(f"more than {limit} categories in {list(columns)}")
-        categories: dict[str, dict[str, list[str]]] = {c: {} for c in columns}
-        for name, value in sorted((r["name"], r["value"]) for r in found):
-            categories[name].setdefault(column_name(name, value), []).append(value)
-        return cls({c: list(v.items()) for c, v in categories.items()})
+        found = (df.select(pairs).select("p.*").where(F.col("value").isNotNull())
+                 .groupBy("name", "value").agg(F.count(F.lit(1)).alias("n")))
+        sizes = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(
+            F.col("n") > max_categories).collect()
+        if sizes:
+            raise ValueError(f"more than {max_categories} categories in "
+                             f"{sorted(r['name'] for r in sizes)}")
+        values = sorted((columns.index(r["name"]), r["name"], r["value"])
+                        for r in found.select("name", "value").collect())
+        categories: dict[str, list[tuple[str, list[str]]]] = {c: [] for c in columns}
+        taken = set(columns)
+        for _, name, value in values:
+            wanted = out = column_name(name, value)
+            number = 2
+            while out in taken:
+                out, number = f"{wanted}_{number}", number + 1
+            taken.add(out)
+            categories[name].append((out, [value]))
+        return cls(categories)
 
     @property
     def outputs(self) -> list[str]:
@@ -102,7 +116,11 @@ class Imputer:
     @classmethod
     def fit(cls, df: DataFrame, strategies: Mapping[str, str], helpers: Sequence[str], *,
             key: str = "user_id", cap: int = 100_000, threads: int = 4) -> Imputer:
-        """At most ``cap`` known rows train each model; the fits run side by side."""
+        """The fits run side by side.
+
+        A regression is one pass over all known rows. A tree is fitted on a uniform sample of at
+        most ``cap`` known rows.
+        """
         out = cls(list(helpers))
         inputs = [f"_h_{h}" for h in helpers]
         assembler = VectorAssembler(inputCols=inputs, outputCol="_hx")
@@ -110,8 +128,7 @@ class Imputer:
 
         def fit_one(job: tuple[str, str]) -> None:
             column, strategy = job
-            known = random_sample_n(
-                filled.where(F.col(column).isNotNull()), cap, key, f"impute-{column}")
+            known = filled.where(F.col(column).isNotNull())
             if known.isEmpty():
                 return
             if strategy == "regression":
@@ -120,6 +137,7 @@ class Imputer:
                     featuresCol="_hx", labelCol="_y", solver="normal", regParam=1e-6).fit(rows)
                 out.linear[column] = (model.intercept, [float(c) for c in model.coefficients])
                 return
+            known = random_sample_n(known, cap, key, f"impute-{column}")
             indexer = StringIndexer(inputCol=column, outputCol="_y",
                                     stringOrderType="alphabetAsc")
             labels = indexer.fit(known)
@@ -135,6 +153,19 @@ class Imputer:
                           strategies.items()))
         return out
 
+    def save(self, path: str) -> dict:
+        """Writes the trees below path; returns the rest as plain values."""
+        for number, column in enumerate(sorted(self.trees)):
+            self.trees[column].write().overwrite().save(f"{path}/tree_{number}")
+        return {"helpers": self.helpers, "linear": self.linear, "trees": sorted(self.trees)}
+
+    @classmethod
+    def load(cls, path: str, state: dict) -> Imputer:
+        trees = {column: PipelineModel.load(f"{path}/tree_{number}")
+                 for number, column in enumerate(state["trees"])}
+        linear = {c: (intercept, list(w)) for c, (intercept, w) in state["linear"].items()}
+        return cls(list(state["helpers"]), linear, trees)
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Fills the missing values; known values stay."""
         columns = df.columns
@@ -170,13 +201,15 @@ class Preparation:
     @classmethod
     def fit(cls, features: DataFrame, product: str, *, roots: Sequence[str] = (),
             cap: int = 100_000) -> tuple[Preparation, DataFrame]:
-        """Learns on the training rows; returns the imputed rows as well, already stored."""
+        """Learns on the training rows; returns the imputed rows as well, already stored.
+
+        ``features`` is read several times: give a stored table.
+        """
         roles = registry.feature_registry(features.columns, product)
         strategies = {c: s for c, s in registry.IMPUTED.items() if c in roles}
         helpers = [h for h in registry.HELPERS if h in roles]
-        stored = stable(features)
-        imputer = Imputer.fit(stored, strategies, helpers, cap=cap)
-        filled = stable(imputer.transform(stored))
+        imputer = Imputer.fit(features, strategies, helpers, cap=cap)
+        filled = stable(imputer.transform(features))
         continuous = [c for c, r in roles.items() if r == "continuous"]
         flat = {r["column_name"] for r in
                 invariate_columns(filled, continuous).where("drop = 1").collect()}
@@ -187,6 +220,21 @@ class Preparation:
         return cls(product, imputer, encoder, numeric,
                    [c for c in roots if c not in flat]), filled
 
+    def save(self, path: str, spark: SparkSession) -> None:
+        """Model folders, and one small JSON row for the rest."""
+        state = {"product": self.product, "numeric": self.numeric, "roots": self.roots,
+                 "categories": self.encoder.categories, "imputer": self.imputer.save(path)}
+        spark.createDataFrame([(json.dumps(state),)], "state string").write.mode(
+            "overwrite").parquet(f"{path}/state")
+
+    @classmethod
+    def load(cls, path: str, spark: SparkSession) -> Preparation:
+        state = json.loads(spark.read.parquet(f"{path}/state").first()["state"])
+        encoder = OneHot({c: [(out, list(values)) for out, values in pairs]
+                          for c, pairs in state["categories"].items()})
+        return cls(state["product"], Imputer.load(path, state["imputer"]), encoder,
+                   state["numeric"], state["roots"])
+
     def encode(self, filled: DataFrame, keep: Sequence[str]) -> DataFrame:
         """Imputed rows to ``keep`` plus the usable columns."""
         encoded = self.encoder.transform(sqrt_transform(filled, self.roots))
@@ -208,6 +256,11 @@ def missing_flag(column: str) -> str:
     return f"{column}__missing"
 
 
+def feature_of(name: str) -> str:
+    """The feature that an input or its indicator belongs to."""
+    return name.removesuffix("__missing")
+
+
 def filled_texts(features: Sequence[str], with_nulls: Sequence[str]) -> dict[str, str]:
     """Each feature as a number, 0 where missing, and an indicator where training had gaps."""
     gaps = set(with_nulls)

@@ -110,7 +110,7 @@ def explorer(name: str) -> bool:
              "profile_mailverified", "profile_enablepersonalisation", "sched_match_index",
              "sqrt_genre_share_comedy", "mkt_opted_in", "sqrt_mkt_email_opens_13w",
              "video_programme_follows_13w"}
-    parts = ("device_video_st_tv_perc", "lw_distinct_series", "series_finales",
+    parts = ("device_video_st_smart_tv_perc", "lw_distinct_series", "series_finales",
              "avg_episode_repeats", "freq_seg_latest_video_A_",
              "profile_acorn_type_description_Socialising_young_renters",
              "video_activating_genre_Sport", "video_fav_content_genre_Drama")

@@ -79,6 +79,13 @@ def _fold_scores(learners: Sequence[Learner], models: dict[str, list[Model]],
     return df
 
 
+def fold_mean(learner: Learner, models: Sequence[Model], df: DataFrame, name: str) -> DataFrame:
+    """Adds the mean probability over one learner's fold models."""
+    scored = _fold_scores([learner], {learner.name: list(models)}, df)
+    scores = f"_{probability(learner.name)}"
+    return scored.withColumn(name, _mean(scores)).drop(scores)
+
+
 def _mean(scores: str) -> Column:
     total = F.aggregate(scores, F.lit(0.0), lambda a, b: a + b)
     return total / F.size(scores)
@@ -111,8 +118,12 @@ def stack_fit(df: DataFrame, label: str, learners: Sequence[Learner], folds: int
                            rows=rows * (folds - 1) // folds, seed=i)
 
     jobs = [(x, i) for x in learners for i in range(folds)]
-    with ThreadPoolExecutor(threads) as pool:
-        fitted = list(pool.map(inheritable_thread_target(data.sparkSession)(fit), jobs))
+    try:
+        with ThreadPoolExecutor(threads) as pool:
+            fitted = list(pool.map(inheritable_thread_target(data.sparkSession)(fit), jobs))
+    except BaseException:
+        data.unpersist()
+        raise
     models = {x.name: [m for (y, _), m in zip(jobs, fitted) if y is x] for x in learners}
     gains = [(x.name, i, f, v) for (x, i), m in zip(jobs, fitted)
              for f, v in importances(x, m).items()]

@@ -169,7 +169,7 @@ WHERE l_returnflag = 'A' AND l_linestatus = '{_status}'"""
 T["factors"] = f"""
 SELECT CASE WHEN vec_id <= 25 THEN 'Brand#' || vec_id ELSE 's' || (vec_id - 25) END AS content_id,
   {lst(f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(20))}
-FROM embeddings WHERE vec_id BETWEEN 1 AND 75"""
+FROM embeddings WHERE vec_id >= 1"""
 
 T["log"] = f"""
 SELECT CAST(user_id AS VARCHAR) AS user_id, event_id, event_type,
@@ -594,6 +594,18 @@ LEFT JOIN extension e ON e.user_id = p.user_id
 LEFT JOIN genders g ON g.user_id = p.user_id LEFT JOIN ages a ON a.user_id = p.user_id
 WHERE NOT is_repeated AND status <> 'deleted'"""
 
+T["facts"] = """
+SELECT d.user_id AS who, acc_age_days, d.age, d.gender, d.barb_region, d.acorn_group_description,
+  acorn_category AS acorn_cat_num, CASE WHEN d.age BETWEEN 16 AND 34 THEN 1 ELSE 0 END AS age_1634
+FROM demographics d LEFT JOIN extension e ON e.user_id = d.user_id WHERE d.fresh = 1"""
+
+T["segments_of"] = """
+SELECT who, 'user_base' AS user_id FROM facts
+UNION ALL SELECT who, 'user_1634' FROM facts WHERE age_1634 = 1
+UNION ALL SELECT who, 'user_1624' FROM facts WHERE age <= 24
+UNION ALL SELECT who, 'user_female' FROM facts WHERE gender = 'female'
+UNION ALL SELECT who, 'user_acorn_456' FROM facts WHERE acorn_cat_num IN (4, 5, 6)"""
+
 T["frequency"] = f"""
 SELECT c.user_id, c.fresh,
   {lst(f"coalesce(max(CASE WHEN s.product = '{p}' THEN s.segment END), 'X. Inactive')"

@@ -119,20 +119,25 @@ FROM ({_nulls(feature_set_names("audio"), "features_audio")}) JOIN (VALUES
   ('Product Type', '^audio_prod_.*(perc|preferred)')) r(learner, pattern)
   ON regexp_matches(column_name, pattern)"""),
         "average_users": with_tables(f"""
-SELECT segment, {rounded("median(days)")} AS median, max(top) AS mode
-FROM (SELECT coalesce(barb_region, 'none') AS segment, CAST(acc_age_days AS DOUBLE) AS days
-      FROM demographics WHERE fresh = 1)
-LEFT JOIN (SELECT coalesce(barb_region, 'none') AS place, acorn_group_description AS top
-           FROM demographics WHERE fresh = 1 AND acorn_group_description IS NOT NULL
-           GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY place
-             ORDER BY count(*) DESC, top) = 1) ON place = segment
-GROUP BY segment"""),
+SELECT user_id, 'acc_age_days' AS feature, CAST(median(CAST(acc_age_days AS DOUBLE)) AS VARCHAR)
+  AS baseval FROM facts JOIN segments_of USING (who) WHERE acc_age_days IS NOT NULL GROUP BY 1
+UNION ALL SELECT user_id, 'age', CAST(median(CAST(age AS DOUBLE)) AS VARCHAR)
+  FROM facts JOIN segments_of USING (who) WHERE age IS NOT NULL GROUP BY 1
+UNION ALL SELECT user_id, 'acorn_group_description', acorn_group_description
+  FROM facts JOIN segments_of USING (who) WHERE acorn_group_description IS NOT NULL
+  GROUP BY 1, 3 QUALIFY row_number() OVER (PARTITION BY user_id
+    ORDER BY count(*) DESC, acorn_group_description) = 1
+UNION ALL SELECT user_id, 'barb_region', barb_region
+  FROM facts JOIN segments_of USING (who) WHERE barb_region IS NOT NULL
+  GROUP BY 1, 3 QUALIFY row_number() OVER (PARTITION BY user_id
+    ORDER BY count(*) DESC, barb_region) = 1"""),
         "score_append": with_tables(f"""
 SELECT user_id, {week} AS target_week_start_date,
   CASE WHEN event_type = 'purchase' THEN 'meta-learner' ELSE 'weak-learner' END AS learner_type,
   event_type AS learner_name, {rounded("score")} AS predicted_probability,
   0.5::DOUBLE AS optimal_threshold,
-  CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS optimal_classification FROM scored"""),
+  CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS optimal_classification, product
+FROM scored, (VALUES ('video'), ('audio')) p(product)"""),
         "historical_partition": with_tables(f"""
 SELECT user_id, event_type AS learner_name, {rounded("score")} AS predicted_probability,
   w AS week_start

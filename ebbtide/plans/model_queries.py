@@ -22,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 FOLDS = 3
 SAMPLE = 1000
+BACKGROUND = 8
 SMALL = {"gbt": {"maxIter": 5, "maxDepth": 3}, "logr": {"maxIter": 50}}
 PRODUCT = "audio"
 RUN_AT = datetime(2001, 7, 30, 12, 0, 0)
@@ -36,6 +37,7 @@ class Lab:
         self.spark, self.blocks = spark, Blocks(
             SampleTables(spark, folder), CONFIG, stage=True)
         self._features = self._prepared = self._stack = self._profiled = None
+        self._attributions = None
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> Lab:
@@ -97,20 +99,22 @@ class Lab:
             self.features, self.stack, self.prepared.preparation, active_only=False)
 
     @property
-    def attributions(self) -> tuple[DataFrame, DataFrame]:
-        """Attributions of the first boosted learner on a sample, and its inputs."""
-        learner = self.stack.learners[0]
-        models = self.stack.fold_models[learner.name]
-        rows = self.prepared.rows.select(
-            "user_id", "role", *prepare.filled_features(learner.features, learner.with_nulls))
-        sample = sampling.random_sample_n(
-            rows.where(F.col("role") != "public"), SAMPLE, "user_id", "explain")
-        background = sampling.random_sample_n(
-            rows.where(F.col("role") == "public"), 50, "user_id", "background")
-        values = explain.shapley_sampled(
-            lambda df: learners.predict(models[0], df, "p"), sample, background, learner.inputs,
-            key="user_id", vector=learner.vector, permutations=4, seed=7)
-        return values, explain.long_inputs(sample, learner.inputs, key="user_id")
+    def attributions(self) -> tuple[DataFrame, DataFrame, dict[str, float]]:
+        """Attributions of every learner on a sample of fresh rows, its inputs, base scores.
+
+        A learner's score is the mean over its fold models.
+        """
+        if self._attributions is None:
+            fresh = training.scoring_rows(
+                self.features, self.prepared.preparation, active_only=False)
+            chosen = training.stable(sampling.random_sample_n(fresh, SAMPLE, "user_id", "explain"))
+            known = training.stable(sampling.random_sample_n(
+                self.public, BACKGROUND, "user_id", "background"))
+            self._attributions = training.explain_learners(self.stack, chosen, known)
+        return self._attributions
+
+    def explained(self, name: str) -> DataFrame:
+        return self.attributions[0].where(F.col("learner") == name).drop("learner")
 
 
 def register(function: Callable[[Lab], DataFrame]) -> Callable[[Lab], DataFrame]:
@@ -286,8 +290,7 @@ def importance_mean(lab: Lab) -> DataFrame:
 @register
 def linear_contributions(lab: Lab) -> DataFrame:
     learner = lab.stack.learners[-1]
-    model = lab.stack.fold_models[learner.name][0].stages[-1]
-    weights = dict(zip(learner.inputs, [float(c) for c in model.coefficients]))
+    weights = learners.linear_weights(learner, lab.stack.fold_models[learner.name])
     rows = lab.prepared.rows.select(
         "user_id", *prepare.filled_features(learner.features, learner.with_nulls))
     return explain.linear_contributions(rows, weights, key="user_id")
@@ -300,30 +303,33 @@ def shapley_sampled(lab: Lab) -> DataFrame:
 
 @register
 def attribution_summary(lab: Lab) -> DataFrame:
-    name = lab.stack.learners[0].name
-    return explain.attribution_summary(lab.attributions[0].withColumn("learner", F.lit(name)))
+    return explain.attribution_summary(lab.attributions[0])
 
 
 @register
 def attribution_export(lab: Lab) -> DataFrame:
-    values, inputs = lab.attributions
-    weeks = lab.prepared.rows.select("user_id", "target_week_start_date")
-    table = explain.attribution_table(values, inputs, key="user_id").join(weeks, "user_id")
+    values, inputs, _ = lab.attributions
+    weeks = lab.features.where(F.col("fresh") == 1).select("user_id", "target_week_start_date")
+    table = inputs.join(values, ["learner", "user_id", "feature"]).join(weeks, "user_id")
     return sinks.partitioned_export(
-        table.withColumn("learner_name", F.lit(lab.stack.learners[0].name)),
-        sinks.scratch(lab.spark, "attributions"))
+        table.withColumnRenamed("learner", "learner_name"),
+        sinks.scratch(lab.spark, "attributions"),
+        by=("target_week_start_date", "learner_name"))
 
 
 @register
 def dependence_pairs(lab: Lab) -> DataFrame:
-    values, inputs = lab.attributions
+    values, inputs, _ = lab.attributions
+    table = inputs.join(values, ["learner", "user_id", "feature"])
     return explain.dependence_pairs(
-        explain.attribution_table(values, inputs, key="user_id"), "sched_match_index")
+        table.where(F.col("learner") == lab.stack.learners[0].name), "sched_match_index")
 
 
 @register
 def decision_paths(lab: Lab) -> DataFrame:
-    return explain.decision_paths(lab.attributions[0], key="user_id", start=0.0)
+    name = lab.stack.learners[0].name
+    return explain.decision_paths(
+        lab.explained(name), key="user_id", start=lab.attributions[2][name])
 
 
 # ---- what-if --------------------------------------------------------------
@@ -333,17 +339,16 @@ def _segments_source(lab: Lab) -> tuple[DataFrame, list[str], list[str]]:
         lab.prepared.preparation.encoder.categories)
 
 
+AVERAGED = (["acc_age_days", "age"], ["acorn_group_description", "barb_region"])
+
+
 @register
 def average_users(lab: Lab) -> DataFrame:
-    """Medians and modes of the segments over profile columns, from the tables alone."""
+    """Medians and modes of profile columns over the five segments."""
     people = lab.blocks.demographics(lab.blocks.cohorts).where(F.col("fresh") == 1)
-    long = people.select(
-        F.coalesce("barb_region", F.lit("none")).alias("segment"), "acc_age_days", "age",
-        F.col("acorn_group_description").alias("acorn"))
-    medians = metrics.median_by(
-        long.withColumn("value", F.col("acc_age_days").cast("double")), ["segment"], "value")
-    modes = metrics.mode_by(long, ["segment"], "acorn")
-    return medians.join(modes, "segment", "left")
+    facts = score_sample_profile(people, lab.sources.profile, lab.sources.profile_extension)
+    rows = people.drop("age", "gender", "nation").join(facts, "user_id")
+    return what_if.average_users(rows, *AVERAGED, what_if.default_segments())
 
 
 @register
@@ -388,14 +393,15 @@ def score_export(lab: Lab) -> DataFrame:
 
 @register
 def score_append(lab: Lab) -> DataFrame:
-    """Two runs appended, the second one repeated."""
+    """Two runs of each product appended, the second one repeated."""
     scores = lab.sources.score_history
     middle = F.lit("2024-01-15").cast("date")
     path = sinks.scratch(lab.spark, "scores")
     first, second = (scores.where(F.col("target_week_start_date") < middle),
                      scores.where(F.col("target_week_start_date") >= middle))
     for batch in (first, second, second):
-        out = sinks.score_append(batch, path)
+        for product in ("video", "audio"):
+            out = sinks.score_append(batch, path, product)
     return out.drop("score_datetime")
 
 

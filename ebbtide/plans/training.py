@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.functions.skew import stable
-from ebbtide.ml import registry
-from ebbtide.ml.learners import Learner, feature_select_gain, feature_select_rfe
-from ebbtide.ml.prepare import Preparation, columns_with_nulls
-from ebbtide.ml.stack import StackModel, stack_fit, stack_predict
+from ebbtide.ml import explain, registry
+from ebbtide.ml.learners import (
+    Learner, feature_select_gain, feature_select_rfe, importance_mean)
+from ebbtide.ml.prepare import Preparation, columns_with_nulls, filled_features
+from ebbtide.ml.scores import score_export
+from ebbtide.ml.stack import StackModel, fold_mean, stack_fit, stack_predict
 from ebbtide.operators.sampling import random_sample_n, split_roles, stratified_folds
+from ebbtide.sources import sinks
 
 LABEL = "target_churn_next_week"
 KEYS = ("user_id", "target_week_start_date")
 KEEP = (*KEYS, LABEL, "cohort", "active_last_week", "train_eligible")
-RFE_ROWS = 10_000
 
 
 @dataclass
@@ -44,8 +47,12 @@ def prepare_training(features: DataFrame, product: str, *, folds: int = 10,
 
 
 def build_learners(prepared: Prepared, stack: str, product: str, *, folds: int = 10,
-                   params: dict[str, dict] | None = None) -> list[Learner]:
-    """Learners of a named stack; selection steps run on the public rows."""
+                   params: dict[str, dict] | None = None, rfe_rows: int = 10_000
+                   ) -> list[Learner]:
+    """Learners of a named stack; selection steps run on the public rows.
+
+    Recursive elimination fits its classifiers on a uniform sample of at most ``rfe_rows`` rows.
+    """
     public = prepared.rows.where(F.col("role") == "public")
     config = registry.stack_config(stack, product, prepared.preparation.eligible)
     settings = params or {}
@@ -62,7 +69,7 @@ def build_learners(prepared: Prepared, stack: str, product: str, *, folds: int =
             candidates = [f for f in features if f not in gaps]
             if name == "cherry_logr" and "big_gbt" in learners:
                 candidates = [f for f in learners["big_gbt"].features if f not in gaps]
-            sample = random_sample_n(public, RFE_ROWS, "user_id", "rfe")
+            sample = random_sample_n(public, rfe_rows, "user_id", "rfe")
             features = feature_select_rfe(
                 sample, LABEL, candidates, n, params=settings.get("logr"))
         elif how == "as":
@@ -75,15 +82,87 @@ def build_learners(prepared: Prepared, stack: str, product: str, *, folds: int =
 def train(features: DataFrame, product: str, *, stack: str = "diverse", folds: int = 10,
           active_only: bool = True, params: dict[str, dict] | None = None
           ) -> tuple[StackModel, Prepared]:
-    prepared = prepare_training(features, product, folds=folds, active_only=active_only)
+    """``features`` is stored first, since learning reads it many times."""
+    prepared = prepare_training(stable(features), product, folds=folds, active_only=active_only)
     learners = build_learners(prepared, stack, product, folds=folds, params=params)
     return stack_fit(prepared.rows, LABEL, learners, folds, keys=KEYS), prepared
 
 
-def score(features: DataFrame, model: StackModel, preparation: Preparation, *,
-          active_only: bool = True) -> DataFrame:
-    """Predictions for the fresh rows."""
+def scoring_rows(features: DataFrame, preparation: Preparation, *,
+                 active_only: bool = True) -> DataFrame:
+    """Fresh rows, prepared as in training."""
     rows = features.where(F.col("fresh") == 1)
     if active_only:
         rows = rows.where(F.col("active_last_week") == 1)
-    return stack_predict(model, preparation.transform(rows, KEYS), KEYS)
+    return preparation.transform(rows, KEYS)
+
+
+def score(features: DataFrame, model: StackModel, preparation: Preparation, *,
+          active_only: bool = True) -> DataFrame:
+    """Predictions for the fresh rows."""
+    return stack_predict(model, scoring_rows(features, preparation, active_only=active_only),
+                         KEYS)
+
+
+def explain_learners(model: StackModel, sample: DataFrame, background: DataFrame, *,
+                     permutations: int = 1, seed: int = 7
+                     ) -> tuple[DataFrame, DataFrame, dict[str, float]]:
+    """Attributions and inputs of every learner on sample, and its mean score on background.
+
+    (learner, user_id, feature, value), (learner, user_id, feature, input_value). Scores are
+    means over the folds' models; values of a row add up to its score minus the base score.
+    """
+    values, inputs, base = [], [], {}
+    for learner in model.learners:
+        models = model.fold_models[learner.name]
+        columns = filled_features(learner.features, learner.with_nulls)
+        own, known = sample.select("user_id", *columns), background.select("user_id", *columns)
+
+        def predict(df: DataFrame, learner=learner, models=models) -> DataFrame:
+            return fold_mean(learner, models, df, "p")
+
+        label = F.lit(learner.name).alias("learner")
+        found = explain.shapley_sampled(
+            predict, own, known, learner.inputs, key="user_id", vector=learner.vector,
+            permutations=permutations, seed=seed)
+        values.append(found.select(label, "user_id", "feature", "value"))
+        inputs.append(explain.long_inputs(
+            own, [f for f in learner.features], key="user_id").select(
+            label, "user_id", "feature", "input_value"))
+        base[learner.name] = predict(background.select(learner.vector_column())).agg(
+            F.avg("p")).first()[0]
+
+    def together(frames: list[DataFrame]) -> DataFrame:
+        out = frames[0]
+        for frame in frames[1:]:
+            out = out.unionByName(frame)
+        return stable(out)
+
+    return together(values), together(inputs), base
+
+
+def scoring_run(features: DataFrame, product: str, model: StackModel, preparation: Preparation,
+                folder: str, run_at: datetime, *, sample: int = 1000, background: DataFrame,
+                active_only: bool = True) -> dict[str, DataFrame]:
+    """One weekly job: scores, history, attributions of all learners and importances, written.
+
+    ``background`` holds prepared training rows. Returns what the folders below ``folder`` hold
+    afterwards; a repeated run of a week and product replaces its own part only.
+    """
+    spark = features.sparkSession
+    rows = stable(scoring_rows(features, preparation, active_only=active_only))
+    records = score_export(stack_predict(model, rows, KEYS), model, product, run_at)
+    history = sinks.score_append(records, f"{folder}/scores", product)
+    chosen = stable(random_sample_n(rows, sample, "user_id", "explain"))
+    values, inputs, _ = explain_learners(model, chosen, background)
+    table = inputs.join(values, ["learner", "user_id", "feature"]).join(
+        chosen.select(*KEYS), "user_id").withColumnRenamed("learner", "learner_name")
+    by = ("target_week_start_date", "product", "learner_name")
+    attributions = sinks.partitioned_export(
+        table.withColumn("product", F.lit(product)), f"{folder}/attributions", by)
+    week = rows.agg(F.max("target_week_start_date")).first()[0]
+    gains = importance_mean(model.importances(spark)).select(
+        F.col("learner").alias("learner_name"), "feature", "gain",
+        F.lit(week).cast("date").alias("target_week_start_date"), F.lit(product).alias("product"))
+    importances = sinks.partitioned_export(gains, f"{folder}/importances", by)
+    return {"scores": history, "attributions": attributions, "importances": importances}

@@ -53,10 +53,13 @@ def read_jdbc(spark: SparkSession, url: str, query: str, properties: dict, *,
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, *, header: bool = True,
              delimiter: str = ",") -> DataFrame:
-    """Typed CSV: empty fields are NULL, short rows are padded with NULL."""
+    """Typed CSV: empty fields are NULL, short rows are padded with NULL.
+
+    A quoted field may hold line feeds, and quotes written twice.
+    """
     return (spark.read.schema(schema).option("header", header).option("sep", delimiter)
             .option("nullValue", "").option("mode", "PERMISSIVE").option("enforceSchema", True)
-            .csv(path))
+            .option("multiLine", True).option("escape", '"').csv(path))
 
 
 __all__ = ["Sources", "read_table", "read_query", "read_jdbc", "read_csv"]

@@ -10,9 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ebbtide.functions.skew import checkpoint_folder
 from ebbtide.sources.readers import read_csv
 
-TEXT_LIMIT = 250
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder beside the checkpoints, which every executor can reach."""
     return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -23,7 +20,7 @@ def write_features(df: DataFrame, path: str, kind: str = "parquet") -> None:
     writer = df.write.mode("overwrite")
     if kind == "csv":
         writer.option("header", True).option("compression", "bzip2").option(
-            "emptyValue", "").csv(path)
+            "emptyValue", "").option("escape", '"').csv(path)
     else:
         writer.parquet(path)
 
@@ -35,28 +32,24 @@ def csv_feature_roundtrip(df: DataFrame, path: str, schema: T.StructType | None
     return read_csv(df.sparkSession, path, schema or df.schema)
 
 
-def truncated(df: DataFrame, limit: int = TEXT_LIMIT) -> DataFrame:
-    """Text cut to the column width of the target table."""
-    return df.withColumns({f.name: F.substring(f.name, 1, limit) for f in df.schema
-                           if isinstance(f.dataType, T.StringType)})
-
-
-def score_append(scores: DataFrame, path: str, mode: str = "append") -> DataFrame:
-    """Adds a run's scores to the history and returns the history.
+def score_append(scores: DataFrame, path: str, product: str, mode: str = "append") -> DataFrame:
+    """Adds a run's scores of one product to the history and returns the history.
 
-    ``append`` replaces the partitions of the weeks in ``scores``, so a repeated
-    run leaves the same history. ``overwrite`` first empties the table.
+    The history is stored by week, product and learner, and ``append`` replaces the parts that
+    ``scores`` has: a repeated run leaves the same history, and another product, learner or week
+    stays. Texts are stored whole. ``overwrite`` first empties the table.
     """
-    writer = truncated(scores).withColumn("week", F.col("target_week_start_date"))
     how = "dynamic" if mode == "append" else "static"
-    writer.write.mode("overwrite").option("partitionOverwriteMode", how).partitionBy(
-        "week").parquet(path)
-    return scores.sparkSession.read.parquet(path).drop("week")
+    scores.select(
+        "*", F.lit(product).alias("product"), F.col("target_week_start_date").alias("_week"),
+        F.col("learner_name").alias("_learner")).write.mode("overwrite").option(
+        "partitionOverwriteMode", how).partitionBy("_week", "product", "_learner").parquet(path)
+    return scores.sparkSession.read.parquet(path).select(*scores.columns, "product")
 
 
 def append_to_table(scores: DataFrame, table: str) -> None:
     """Appends to a catalog table, which is created if missing."""
-    truncated(scores).write.mode("append").saveAsTable(table)
+    scores.write.mode("append").saveAsTable(table)
 
 
 def replace_table(df: DataFrame, table: str) -> None:

@@ -162,31 +162,89 @@ def test_selection_keeps_the_signal(rows):
     assert len(best) == 2 and best[0].feature == "a"
 
 
-def test_shapley_values_add_up(stack, rows):
+@pytest.mark.parametrize("background", ["user_id = 'u500'", "user_id < 'u106'"])
+def test_shapley_values_add_up(stack, rows, background):
     learner = stack.learners[0]
     model = stack.fold_models["Trees"][0]
     flat = rows.select("user_id", *prepare.filled_features(learner.features, learner.with_nulls))
-    sample, background = flat.where("user_id in ('u1', 'u2', 'u9')"), flat.where(
-        "user_id = 'u500'")
+    sample, known = flat.where("user_id in ('u1', 'u2', 'u9')"), flat.where(background)
 
     def predict(df):
         return learners.predict(model, df, "p")
 
     values = explain.shapley_sampled(
-        predict, sample, background, learner.inputs, key="user_id", vector=learner.vector,
+        predict, sample, known, learner.inputs, key="user_id", vector=learner.vector,
         permutations=3, seed=1)
     sums = {r.user_id: r.s for r in values.groupBy("user_id").agg(F.sum("value").alias("s"))
             .collect()}
-    scored = {r.user_id: r.p for r in
-              predict(rows.select("user_id", learner.vector_column())).collect()}
+    everyone = predict(rows.select("user_id", learner.vector_column()))
+    scored = {r.user_id: r.p for r in everyone.collect()}
+    base = everyone.join(known.select("user_id"), "user_id").agg(F.avg("p")).first()[0]
     for user, total in sums.items():
-        assert total == pytest.approx(scored[user] - scored["u500"], abs=1e-9)
-    assert values.count() == 3 * len(learner.inputs)
+        assert total == pytest.approx(scored[user] - base, abs=1e-9)
+    assert values.count() == 3 * len(learner.features)
     top = explain.attribution_summary(values, []).where("rank = 1").first()
     assert top.feature == "a"
-    paths = explain.decision_paths(values, key="user_id", start=0.0)
-    last = paths.where(f"step = {len(learner.inputs)}").collect()
-    assert {r.user_id: r.score for r in last} == pytest.approx(sums)
+    paths = explain.decision_paths(values, key="user_id", start=base)
+    last = paths.where(f"step = {len(learner.features)}").collect()
+    assert {r.user_id: r.score for r in last} == pytest.approx({u: scored[u] for u in sums})
+
+
+def test_shapley_refuses_a_background_that_is_too_large(stack, rows):
+    flat = rows.select("user_id", "a", "b", "c")
+    with pytest.raises(ValueError):
+        explain.shapley_sampled(None, flat, flat, ["a"], key="user_id", vector="x",
+                                max_background=5)
+
+
+def test_linear_contributions_follow_the_log_odds(rows):
+    learner = learners.Learner("line", "logr", ["a", "b", "c"], {}).watch_gaps(rows)
+    data = rows.withColumn("a", F.col("a") * 50).select(
+        "user_id", "y", "fold", learner.vector_column(),
+        *prepare.filled_features(learner.features, learner.with_nulls))
+    models = [learners.fit_learner(learner, data.where(f"fold <> {i}"), None, "y", rows=600,
+                                   seed=i) for i in range(2)]
+    weights = learners.linear_weights(learner, models)
+    out = explain.linear_contributions(data, weights, key="user_id")
+    assert {r.feature for r in out.select("feature").distinct().collect()} == {"a", "b", "c"}
+    total = out.groupBy("user_id").agg(F.sum("value").alias("total"))
+    odds = data
+    for i, model in enumerate(models):
+        odds = learners.predict(model, odds, f"p{i}")
+    odds = odds.select("user_id", sum(F.log(F.col(f"p{i}") / (1 - F.col(f"p{i}")))
+                                      for i in range(2)).alias("odds"))
+    mean = odds.agg(F.avg("odds")).first()[0] / 2
+    for r in total.join(odds, "user_id").limit(50).collect():
+        assert r.total == pytest.approx(r.odds / 2 - mean, abs=1e-6)
+
+
+def test_one_hot_names_are_unique_and_the_limit_is_per_column(spark):
+    df = spark.createDataFrame([("b_x", "p", "A-B"), ("b_x", "x", "A B")],
+                               "a string, a_b string, c string")
+    encoder = prepare.OneHot.fit(df, ["a", "a_b", "c"])
+    assert len(set(encoder.outputs)) == len(encoder.outputs) == 5
+    row = encoder.transform(df).orderBy("a_b").first().asDict()
+    assert sum(row[o] for o in encoder.outputs) == 3
+    wide = spark.createDataFrame([(str(i), "k") for i in range(30)], "m string, n string")
+    with pytest.raises(ValueError):
+        prepare.OneHot.fit(wide, ["m", "n"], max_categories=20)
+
+
+def test_preparation_survives_saving(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(f"u{i}", float(i % 7), None if i % 5 == 0 else float(2 * (i % 7)),
+          None if i % 4 == 0 else "xy"[i % 7 > 3], "kl"[i % 2]) for i in range(200)],
+        "user_id string, h double, n double, t string, k string")
+    imputer = prepare.Imputer.fit(rows, {"n": "regression", "t": "tree"}, ["h"])
+    made = prepare.Preparation("video", imputer, prepare.OneHot.fit(rows, ["k"]), ["h", "n"], [])
+    made.save(str(tmp_path / "prep"), spark)
+    again = prepare.Preparation.load(str(tmp_path / "prep"), spark)
+    assert again.eligible == made.eligible
+    a = made.transform(rows, ["user_id"]).orderBy("user_id").collect()
+    assert a == again.transform(rows, ["user_id"]).orderBy("user_id").collect()
+    assert a[0].n is not None
+    assert [r.t for r in imputer.transform(rows).collect()] == [
+        r.t for r in again.imputer.transform(rows).collect()]
 
 
 def test_linear_contributions_sum_to_the_distance(spark):
@@ -204,13 +262,15 @@ def test_what_if_changes_one_feature(spark):
         "acorn_cat_num int")
     modifiers = spark.createDataFrame(
         [("user_base", "n", "delta", "2"), ("user_base", "k", "replace", "y"),
-         ("user_female", "n", "delta", "-1")],
+         ("user_base", "n", "replace", "50"), ("user_female", "n", "delta", "-1")],
         "user_id string, mod_column string, method string, modifier string")
 
     def score(users, keys):
         return users.select(*keys, (F.col("n") + (F.col("k") == "y").cast("int")).alias("p"))
 
     out = what_if.representative_users(people, modifiers, ["n"], ["k"], score).collect()
-    got = {(r.user_id, r.mod_column): (r.baseval, r.modified_impact) for r in out}
-    assert got == {("user_base", "n"): ("5.0", 2.0), ("user_base", "k"): ("x", 1.0),
-                   ("user_female", "n"): ("4.5", -1.0)}
+    got = {(r.user_id, r.mod_column, r.method): (r.baseval, r.modified_impact) for r in out}
+    assert got == {("user_base", "n", "delta"): ("5.0", 2.0),
+                   ("user_base", "n", "replace"): ("5.0", 45.0),
+                   ("user_base", "k", "replace"): ("x", 1.0),
+                   ("user_female", "n", "delta"): ("4.5", -1.0)}

@@ -16,13 +16,31 @@ def score(user, week, p=0.5):
 def test_history_survives_a_repeated_run(make, tmp_path):
     path = str(tmp_path / "scores")
     one, two = date(2020, 2, 17), date(2020, 2, 24)
-    sinks.score_append(make(schemas.SCORES, score("a", one), score("b", one)), path)
+    sinks.score_append(make(schemas.SCORES, score("a", one), score("b", one)), path, "video")
     batch = make(schemas.SCORES, score("a", two), score("u" * 400, two))
-    sinks.score_append(batch, path)
-    out = sinks.score_append(batch, path)
+    sinks.score_append(batch, path, "video")
+    out = sinks.score_append(batch, path, "video")
     assert out.count() == 4
-    assert out.agg(F.max(F.length("user_id"))).first()[0] == 250
-    assert sinks.score_append(batch, path, mode="overwrite").count() == 2
+    assert out.agg(F.max(F.length("user_id"))).first()[0] == 400
+    assert sinks.score_append(batch, path, "video", mode="overwrite").count() == 2
+
+
+def test_history_keeps_other_products_and_learners(make, tmp_path):
+    path, week = str(tmp_path / "scores"), date(2020, 2, 17)
+    sinks.score_append(make(schemas.SCORES, score("a", week)), path, "video")
+    sinks.score_append(make(schemas.SCORES, score("a", week), score("b", week)), path, "audio")
+    other = {**score("a", week), "learner_name": "y"}
+    out = sinks.score_append(make(schemas.SCORES, other), path, "audio")
+    assert sorted((r["product"], r.learner_name, r.user_id) for r in out.collect()) == [
+        ("audio", "x", "a"), ("audio", "x", "b"), ("audio", "y", "a"), ("video", "x", "a")]
+
+
+def test_csv_keeps_line_feeds_and_quotes(make, tmp_path):
+    rows = [score(t, date(2020, 2, 17)) for t in ("a\nb", 'say "x", y', "back\\slash", "é")]
+    df = make(schemas.SCORES, *rows)
+    back = sinks.csv_feature_roundtrip(df, str(tmp_path / "csv"))
+    assert sorted(r.user_id for r in back.collect()) == sorted(r["user_id"] for r in rows)
+    assert back.where("predicted_probability = 0.5").count() == 4
 
 
 def test_short_and_empty_csv_fields(spark, tmp_path):

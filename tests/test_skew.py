@@ -1,5 +1,6 @@
 """The distributed helpers against brute force, with one key holding most of the rows."""
 
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -23,21 +24,36 @@ def hot(spark):
     return spark.createDataFrame(rows, "id long, grp string, x double"), rows
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_lookup_join_is_the_same_salted_or_not(spark, hot, limit):
+def test_lookup_join_keeps_every_row(spark, hot):
     df, rows = hot
     dim = spark.createDataFrame([("hot", 1), ("g0", 2), ("g2", 3)], "grp string, v int")
-    out = skew.lookup_join(df, dim, ["grp"], limit=limit).collect()
+    plan = skew.lookup_join(df, dim, ["grp"])
     known = {"hot": 1, "g0": 2, "g2": 3}
-    assert sorted((r.id, r.v or 0) for r in out) == sorted(
+    assert sorted((r.id, r.v or 0) for r in plan.collect()) == sorted(
         (i, known.get(g, 0)) for i, g, _ in rows)
+    assert "Generate" not in plan._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_salted_join_spreads_the_hot_key(spark, hot):
-    df, _ = hot
-    dim = spark.createDataFrame([("hot", 1)], "grp string, v int")
-    plan = skew.lookup_join(df, dim, ["grp"], limit=0)
-    assert "_salt" in plan._jdf.queryExecution().optimizedPlan().toString()
+def test_groups_and_labels_that_are_null_stay(spark):
+    rows = [(i, None if i % 4 == 0 else i % 2, float(i)) for i in range(100)]
+    df = spark.createDataFrame(rows, "user_id int, label int, x double")
+    folds = stratified_folds(df, "label", 5, "user_id")
+    assert folds.count() == 100
+    sizes = Counter((r.label, r.fold) for r in folds.collect())
+    assert all(sizes[None, f] == 5 for f in range(5))
+    by_range = skew.rank_by_range(df, ["label"], [F.col("x")])
+    assert sorted(r["rank"] for r in by_range.where("label is null").collect()) == list(
+        range(1, 26))
+    medians = {r.label: r.median for r in median_by(df, ["label"], "x").collect()}
+    assert medians[None] == 48.0 and len(medians) == 3
+
+
+def test_staged_tables_go_at_the_end_of_a_block(spark):
+    with skew.staged_tables(spark):
+        stored = skew.stable(spark.range(3))
+        folder = stored.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+        assert os.path.isdir(folder) or os.path.isdir(folder.removeprefix("//"))
+    assert not os.path.isdir(folder.removeprefix("//"))
 
 
 @pytest.mark.parametrize("at_most", [None, 40])
@@ -114,17 +130,6 @@ def test_unique_by_picks_the_smallest(spark):
     assert sorted(map(tuple, skew.unique_by(df, ["k"]).collect())) == [("a", 1), ("b", 5)]
 
 
-@pytest.mark.parametrize("text, size", [
-    ("10485760", 10485760), ("10MB", 10 << 20), ("1g", 1 << 30), ("5b", 5), ("-1", -1)])
-def test_broadcast_limit(spark, text, size):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
-        assert skew.broadcast_limit(spark.range(1)) == size
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
 def test_checkpoints_go_to_the_named_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert skew.checkpoint_folder(spark) == folder
