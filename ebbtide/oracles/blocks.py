@@ -183,6 +183,15 @@ SELECT event_id AS row_id, CAST(user_id AS VARCHAR) AS user_id, ts, event_type,
   round(1 / (1 + exp(-(value - 50) / 50)), 4) AS score, CAST(event_id % 5 AS INTEGER) AS fold
 FROM events"""
 
+T["explained"] = """
+SELECT event_type AS learner, CAST(row_id AS VARCHAR) AS user_id,
+  CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS target_week_start_date, fold,
+  unnest(['level', 'early', 'turn']) AS feature,
+  unnest([score, CAST(row_id % 24 AS DOUBLE), CAST(row_id % 5 AS DOUBLE)]) AS input_value,
+  unnest([round(score - 0.5, 4), round((0.3::DOUBLE - score) * (row_id % 3), 4),
+          (row_id % 5 - 2) / 10.0::DOUBLE]) AS value
+FROM scored"""
+
 # ---- cohorts -------------------------------------------------------------
 
 T["cohort_numbers"] = """
@@ -606,6 +615,16 @@ UNION ALL SELECT who, 'user_1624' FROM facts WHERE age <= 24
 UNION ALL SELECT who, 'user_female' FROM facts WHERE gender = 'female'
 UNION ALL SELECT who, 'user_acorn_456' FROM facts WHERE acorn_cat_num IN (4, 5, 6)"""
 
+T["averages"] = """
+SELECT user_id, median(CAST(acc_age_days AS DOUBLE)) AS days, median(CAST(age AS DOUBLE)) AS years,
+  max(region) AS region
+FROM facts JOIN segments_of USING (who) LEFT JOIN (
+  SELECT user_id AS u, barb_region AS region FROM facts JOIN segments_of USING (who)
+  WHERE barb_region IS NOT NULL GROUP BY 1, 2
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, barb_region) = 1)
+  ON u = user_id
+GROUP BY user_id"""
+
 T["frequency"] = f"""
 SELECT c.user_id, c.fresh,
   {lst(f"coalesce(max(CASE WHEN s.product = '{p}' THEN s.segment END), 'X. Inactive')"

@@ -26,7 +26,13 @@ FROM fold_curve JOIN grid ON fp_here > 0 AND 99 * (fp - fp_here) <= point * n
   AND (point * n < 99 * fp OR (point = 99 AND fp = n))"""
 
 
-# The role rules as patterns on the column name, for the video product.
+# Learners of the audio stack, imputed columns.
+LEARNERS = "('Content'), ('Behaviour'), ('Marketing'), ('Cross-Sell'), ('Product Type'), ('Events')"
+IMPUTED = ("profile_age", "profile_nation", "profile_barb_region",
+           "profile_acorn_type_description", "profile_acorn_group_description",
+           "profile_acorn_category_description", "profile_gender_enriched")
+
+# The role rules as patterns on the column name, for the video product.
 ROLE = """CASE
   WHEN column_name IN ('user_id', 'destination', 'target_week_start_date',
     'target_churn_this_week', 'target_churn_next_week', 'active_last_week', 'train',
@@ -118,6 +124,81 @@ FROM ({_nulls(feature_set_names("audio"), "features_audio")}) JOIN (VALUES
   ('Cross-Sell', '^freq_seg_latest_(video|news|sport|kids|preschool|weather)$'),
   ('Product Type', '^audio_prod_.*(perc|preferred)')) r(learner, pattern)
   ON regexp_matches(column_name, pattern)"""),
+        "model_impute": with_tables(f"""
+SELECT column_name, 0::BIGINT AS n_null,
+  (SELECT count(*) FROM features_audio WHERE fresh = 0) AS rows
+FROM (VALUES {", ".join(f"('{c}')" for c in IMPUTED)}) c(column_name)"""),
+        **{f"weak_learner_{kind}": with_tables("""
+SELECT count(*) AS rows, count(*) AS scored, 1 AS no_worse FROM features_audio
+WHERE fresh = 0 AND target_churn_next_week IS NOT NULL""")
+           for kind in ("logr", "gbt", "mlp", "rf")},
+        "feature_select_rfe": "SELECT 3::BIGINT AS n_kept, 1 AS all_known",
+        "feature_select_gain": "SELECT 10::BIGINT AS n_kept, 1 AS all_known",
+        "stack_fit": """
+SELECT * FROM (VALUES ('threshold', 7::BIGINT, 1), ('auc', 0::BIGINT, 1),
+  ('log_loss', 2::BIGINT, 1)) m(measure, n, in_range)""",
+        "stack_predict": with_tables(f"""
+SELECT learner, count(*) AS rows, count(*) AS scored
+FROM features_audio, (VALUES {LEARNERS}, ('meta')) l(learner) WHERE fresh = 1 GROUP BY 1"""),
+        "shapley_sampled": with_tables(f"""
+SELECT learner, least(count(*), 1000) AS rows, least(count(*), 1000) AS add_up
+FROM features_audio, (VALUES {LEARNERS}) l(learner) WHERE fresh = 1 GROUP BY 1"""),
+        "importance_mean": with_tables(f"""
+SELECT learner, feature, {rounded("avg(abs(value))")} AS gain FROM explained GROUP BY 1, 2"""),
+        "linear_contributions": with_tables("SELECT * FROM (" + " UNION ALL ".join(
+            f"""
+SELECT user_id || '/' || destination AS row_id, '{c}' AS feature,
+  {rounded(f"(({c} - avg({c}) OVER ()) * {w})")} AS value FROM affinity WHERE fresh = 1"""
+            for c, w in (("streaming_time", 0.001), ("page_views", -0.02),
+                         ("genre_share_drama", 1.5))) + ")"),
+        "attribution_summary": with_tables(f"""
+SELECT learner, feature, {rounded("size")} AS mean_abs_value,
+  CAST(row_number() OVER (PARTITION BY learner ORDER BY size DESC, feature) AS INTEGER) AS rank
+FROM (SELECT learner, feature, avg(abs(value)) AS size FROM explained GROUP BY 1, 2)"""),
+        "attribution_export": with_tables(f"""
+SELECT learner AS learner_name, user_id, target_week_start_date, feature,
+  {rounded("input_value")} AS input_value, {rounded("value")} AS value FROM explained"""),
+        "dependence_pairs": with_tables(f"""
+SELECT {rounded("input_value")} AS input_value, {rounded("value")} AS value
+FROM explained WHERE feature = 'level'"""),
+        "decision_paths": with_tables(f"""
+SELECT user_id, feature, CAST(row_number() OVER up AS INTEGER) AS step,
+  {rounded("(0.25::DOUBLE + sum(value) OVER up)")} AS score
+FROM explained JOIN (SELECT feature, row_number() OVER (
+    ORDER BY avg(abs(value)) DESC, feature) AS place
+  FROM explained WHERE learner = 'click' GROUP BY 1) USING (feature)
+WHERE learner = 'click'
+WINDOW up AS (PARTITION BY user_id ORDER BY place DESC)"""),
+        "representative_users": with_tables(f"""
+SELECT user_id, mod_column, base AS baseval, modifier, method,
+  {rounded("before")} AS base_prediction, {rounded("later")} AS modified_prediction,
+  {rounded("(later - before)")} AS modified_impact
+FROM (SELECT user_id, mod_column, method, modifier,
+    CASE mod_column WHEN 'acc_age_days' THEN CAST(days AS VARCHAR)
+      WHEN 'age' THEN CAST(years AS VARCHAR) ELSE region END AS base,
+    days / 10000 + years / 1000 + CASE WHEN region = 'EUROPE' THEN 0.25::DOUBLE ELSE 0 END
+      AS before,
+    CASE WHEN mod_column <> 'acc_age_days' THEN days WHEN method = 'delta' THEN days + 100
+      ELSE 50 END / 10000
+    + CASE WHEN mod_column = 'age' THEN years - 2.5::DOUBLE ELSE years END / 1000
+    + CASE WHEN mod_column = 'barb_region' OR region = 'EUROPE' THEN 0.25::DOUBLE ELSE 0 END
+      AS later
+  FROM averages, (VALUES ('acc_age_days', 'delta', '100'), ('acc_age_days', 'replace', '50'),
+    ('age', 'delta', '-2.5'), ('barb_region', 'replace', 'EUROPE'))
+    m(mod_column, method, modifier))"""),
+        "representative_scores": with_tables(f"""
+SELECT user_id, {rounded("p")} AS p FROM (SELECT user_id, days / 10000 + years / 1000
+  + CASE WHEN region = 'EUROPE' THEN 0.25::DOUBLE ELSE 0 END AS p FROM averages)"""),
+        "score_export": with_tables(f"""
+SELECT CAST(row_id AS VARCHAR) AS user_id, {week} AS target_week_start_date,
+  CASE WHEN name = 'meta' THEN 'meta-learner' ELSE 'weak-learner' END AS learner_type,
+  CASE WHEN name = 'meta' THEN 'audio-meta' ELSE name END AS learner_name,
+  {rounded("p")} AS predicted_probability, cut AS optimal_threshold,
+  CASE WHEN p >= cut THEN 1 ELSE 0 END AS optimal_classification,
+  '2001-07-30 12:00:00' AS score_datetime
+FROM (SELECT row_id, ts, unnest(['Up', 'Down', 'meta']) AS name,
+  unnest([score, 1 - score, 0.5::DOUBLE * score + 0.25]) AS p,
+  unnest([0.5::DOUBLE, 0.4, 0.6]) AS cut FROM scored)"""),
         "average_users": with_tables(f"""
 SELECT user_id, 'acc_age_days' AS feature, CAST(median(CAST(acc_age_days AS DOUBLE)) AS VARCHAR)
   AS baseval FROM facts JOIN segments_of USING (who) WHERE acc_age_days IS NOT NULL GROUP BY 1

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbtide.ml import explain, learners, metrics, prepare, registry, what_if
 from ebbtide.ml.scores import score_export as export_scores
-from ebbtide.ml.stack import META, StackModel, probability
+from ebbtide.ml.stack import META, StackModel, _safe, probability
 from ebbtide.operators import quality, sampling
 from ebbtide.operators.profile import score_sample_profile
 from ebbtide.plans import training
@@ -36,7 +36,7 @@ class Lab:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.blocks = spark, Blocks(
             SampleTables(spark, folder), CONFIG, stage=True)
-        self._features = self._prepared = self._stack = self._profiled = None
+        self._features = self._prepared = self._stack = None
         self._attributions = None
 
     @classmethod
@@ -81,18 +81,6 @@ class Lab:
                 self.prepared.rows, training.LABEL, chosen, FOLDS, keys=training.KEYS)
         return self._stack
 
-    @property
-    def profiled(self) -> DataFrame:
-        """Fresh rows, imputed, with the profile facts the segments are cut by."""
-        if self._profiled is None:
-            filled = self.prepared.preparation.imputer.transform(
-                self.features.where(F.col("fresh") == 1))
-            facts = score_sample_profile(
-                filled, self.sources.profile, self.sources.profile_extension)
-            self._profiled = training.stable(
-                filled.join(facts.drop("nation"), "user_id", "left"))
-        return self._profiled
-
     @property
     def predictions(self) -> DataFrame:
         return training.score(
@@ -113,9 +101,6 @@ class Lab:
             self._attributions = training.explain_learners(self.stack, chosen, known)
         return self._attributions
 
-    def explained(self, name: str) -> DataFrame:
-        return self.attributions[0].where(F.col("learner") == name).drop("learner")
-
 
 def register(function: Callable[[Lab], DataFrame]) -> Callable[[Lab], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,7 +182,7 @@ def model_impute(lab: Lab) -> DataFrame:
     """Imputed training rows: one row per imputed column with its remaining gaps."""
     filled = lab.prepared.filled
     return quality.na_counts(filled, list(registry.IMPUTED)).withColumn(
-        "rows", F.lit(filled.count()))
+        "rows", F.lit(filled.count()).cast("long"))
 
 
 @register
@@ -214,181 +199,204 @@ def stack_config(lab: Lab) -> DataFrame:
 
 # ---- learners -------------------------------------------------------------
 
-def _one_learner(lab: Lab, algorithm: str, features: list[str], params: dict) -> DataFrame:
-    """Probability of every row under one learner fitted on the public rows."""
+def _one_learner(lab: Lab, algorithm: str, features: list[str]) -> DataFrame:
+    """Scores of every training row under one learner with its full settings, as facts.
+
+    Boosted trees stop early on the first fold; the others are fitted on all public rows.
+    """
     rows = lab.prepared.rows
-    learner = learners.Learner("one", algorithm, features, params).watch_gaps(lab.public)
+    learner = learners.Learner("one", algorithm, features).watch_gaps(lab.public)
     data = rows.select("user_id", "role", "fold", training.LABEL, learner.vector_column())
     public = data.where(F.col("role") == "public")
+    early = algorithm == "gbt"
     model = learners.fit_learner(
-        learner, public.where(F.col("fold") != 0), public.where(F.col("fold") == 0),
-        training.LABEL, rows=public.count())
-    return learners.predict(model, data, "probability").select("user_id", "role", "probability")
+        learner, public.where(F.col("fold") != 0) if early else public,
+        public.where(F.col("fold") == 0) if early else None, training.LABEL, rows=public.count())
+    scored = training.stable(learners.predict(model, data, "probability"))
+    area = metrics.roc_auc(scored.where(F.col("role") == "public"), training.LABEL,
+                           "probability").select((F.col("auc") >= 0.5).cast("int").alias("no_worse"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("probability").between(0, 1)).alias("scored")).crossJoin(area)
 
 
 @register
 def weak_learner_logr(lab: Lab) -> DataFrame:
-    return _one_learner(lab, "logr", lab.candidates("ew_"), {})
+    return _one_learner(lab, "logr", lab.candidates("ew_", "genre_share_"))
 
 
 @register
 def weak_learner_gbt(lab: Lab) -> DataFrame:
-    return _one_learner(lab, "gbt", lab.candidates("genre_share_", "sched_match"), SMALL["gbt"])
+    return _one_learner(lab, "gbt", lab.candidates("genre_share_", "sched_match"))
 
 
 @register
 def weak_learner_mlp(lab: Lab) -> DataFrame:
-    return _one_learner(lab, "mlp", lab.candidates("ew_"), {"maxIter": 30})
+    return _one_learner(lab, "mlp", lab.candidates("ew_", "genre_share_"))
 
 
 @register
 def weak_learner_rf(lab: Lab) -> DataFrame:
-    return _one_learner(lab, "rf", lab.candidates("ew_", "genre_share_"),
-                        {"numTrees": 10, "maxDepth": 4})
+    return _one_learner(lab, "rf", lab.candidates("ew_", "genre_share_"))
+
+
+def _facts(lab: Lab, rows: list[tuple], schema: str) -> DataFrame:
+    return lab.spark.createDataFrame(rows, schema)
 
 
 @register
 def feature_select_rfe(lab: Lab) -> DataFrame:
     candidates = lab.candidates("ew_")
     names = learners.feature_select_rfe(
-        lab.public, training.LABEL, candidates, len(candidates) - 4, params={"maxIter": 20})
-    kept = F.array(*[F.lit(n) for n in names])
-    return quality.na_counts(lab.public, candidates).where(
-        F.array_contains(kept, F.col("column_name"))).select(
-        F.col("column_name").alias("feature"), "n_null")
+        lab.public, training.LABEL, candidates, 3)
+    return _facts(lab, [(len(names), int(set(names) <= set(candidates)))],
+                  "n_kept long, all_known int")
 
 
 @register
 def feature_select_gain(lab: Lab) -> DataFrame:
-    return learners.feature_select_gain(
-        lab.public, training.LABEL, lab.candidates("ew_", "genre_share_"), 10, folds=FOLDS,
-        params=SMALL["gbt"])
+    candidates = lab.candidates("ew_", "genre_share_")
+    best = [r["feature"] for r in learners.feature_select_gain(
+        lab.public, training.LABEL, candidates, 10, folds=FOLDS, params=SMALL["gbt"]).collect()]
+    return _facts(lab, [(len(best), int(set(best) <= set(candidates)))],
+                  "n_kept long, all_known int")
 
 
 @register
 def stack_fit(lab: Lab) -> DataFrame:
-    """Thresholds, loss and area of the fitted stack."""
+    """Facts of the fitted stack: thresholds of all learners, loss and area in their range."""
     model = lab.stack
-    rows = [("threshold", n, float(t)) for n, t in model.thresholds.items()]
-    rows += [(kind, role, float(v)) for kind in ("log_loss", "auc")
-             for role, v in model.scores[kind].items() if v is not None]
-    return lab.spark.createDataFrame(rows, "measure string, name string, value double")
+    known = {"threshold": list(model.thresholds.values()),
+             "auc": [v for v in model.scores["auc"].values() if v is not None]}
+    rows = [(kind, len(v) if kind == "threshold" else 0, int(all(0 <= x <= 1 for x in v)))
+            for kind, v in known.items()]
+    losses = model.scores["log_loss"]
+    rows.append(("log_loss", len(losses), int(all(0 <= x < 40 for x in losses.values()))))
+    return _facts(lab, rows, "measure string, n long, in_range int")
 
 
 @register
 def stack_predict(lab: Lab) -> DataFrame:
-    return lab.predictions
+    """Per learner of the stack: fresh rows, and those with a probability and the right class."""
+    names = [*[x.name for x in lab.stack.learners], META]
+    parts = [F.struct(
+        F.lit(n).alias("learner"), F.col(probability(n)).alias("p"),
+        (F.col(f"class_{_safe(n)}") == (
+            F.col(probability(n)) >= lab.stack.thresholds[n]).cast("int")).alias("right"))
+        for n in names]
+    long = lab.predictions.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
+    return long.groupBy("learner").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("p").between(0, 1) & F.col("right")).alias("scored"))
 
 
 @register
 def importance_mean(lab: Lab) -> DataFrame:
-    return learners.importance_mean(lab.stack.importances(lab.spark))
+    return learners.importance_mean(
+        lab.sources.explained.select("learner", "fold", "feature", F.abs("value").alias("gain")))
 
 
 # ---- explanation ----------------------------------------------------------
 
+LINEAR = {"streaming_time": 0.001, "page_views": -0.02, "genre_share_drama": 1.5}
+
+
 @register
 def linear_contributions(lab: Lab) -> DataFrame:
-    learner = lab.stack.learners[-1]
-    weights = learners.linear_weights(learner, lab.stack.fold_models[learner.name])
-    rows = lab.prepared.rows.select(
-        "user_id", *prepare.filled_features(learner.features, learner.with_nulls))
-    return explain.linear_contributions(rows, weights, key="user_id")
+    rows = lab.blocks.affinity.where(F.col("fresh") == 1).withColumn(
+        "row_id", F.concat_ws("/", "user_id", "destination"))
+    return explain.linear_contributions(rows, LINEAR, key="row_id")
 
 
 @register
 def shapley_sampled(lab: Lab) -> DataFrame:
-    return lab.attributions[0]
+    """Per learner: explained rows, and those whose values add up to score minus base score."""
+    values, _, base = lab.attributions
+    names = [x.name for x in lab.stack.learners]
+    totals = values.groupBy("learner", "user_id").agg(F.sum("value").alias("total"))
+    parts = F.array(*[F.struct(F.lit(n).alias("learner"), (
+        F.col(probability(n)) - F.lit(base[n])).alias("distance")) for n in names])
+    scores = lab.predictions.select("user_id", F.explode(parts).alias("s")).select(
+        "user_id", "s.*")
+    return totals.join(scores, ["learner", "user_id"]).groupBy("learner").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.abs(F.col("total") - F.col("distance")) < 1e-6).alias("add_up"))
 
 
 @register
 def attribution_summary(lab: Lab) -> DataFrame:
-    return explain.attribution_summary(lab.attributions[0])
+    return explain.attribution_summary(lab.sources.explained)
 
 
 @register
 def attribution_export(lab: Lab) -> DataFrame:
-    values, inputs, _ = lab.attributions
-    weeks = lab.features.where(F.col("fresh") == 1).select("user_id", "target_week_start_date")
-    table = inputs.join(values, ["learner", "user_id", "feature"]).join(weeks, "user_id")
-    return sinks.partitioned_export(
-        table.withColumnRenamed("learner", "learner_name"),
-        sinks.scratch(lab.spark, "attributions"),
-        by=("target_week_start_date", "learner_name"))
+    """Two exports, the second of some learners again."""
+    rows = lab.sources.explained.drop("fold").withColumnRenamed("learner", "learner_name")
+    path = sinks.scratch(lab.spark, "attributions")
+    sinks.partitioned_export(rows, path)
+    return sinks.partitioned_export(rows.where(F.col("learner_name") == "click"), path)
 
 
 @register
 def dependence_pairs(lab: Lab) -> DataFrame:
-    values, inputs, _ = lab.attributions
-    table = inputs.join(values, ["learner", "user_id", "feature"])
-    return explain.dependence_pairs(
-        table.where(F.col("learner") == lab.stack.learners[0].name), "sched_match_index")
+    return explain.dependence_pairs(lab.sources.explained, "level")
 
 
 @register
 def decision_paths(lab: Lab) -> DataFrame:
-    name = lab.stack.learners[0].name
-    return explain.decision_paths(
-        lab.explained(name), key="user_id", start=lab.attributions[2][name])
+    rows = lab.sources.explained.where(F.col("learner") == "click")
+    return explain.decision_paths(rows, key="user_id", start=0.25)
 
 
 # ---- what-if --------------------------------------------------------------
 
-def _segments_source(lab: Lab) -> tuple[DataFrame, list[str], list[str]]:
-    return lab.profiled, list(lab.prepared.preparation.numeric), list(
-        lab.prepared.preparation.encoder.categories)
+AVERAGED = (["acc_age_days", "age"], ["acorn_group_description", "barb_region"])
+CHANGES = (("acc_age_days", "delta", "100"), ("acc_age_days", "replace", "50"),
+           ("age", "delta", "-2.5"), ("barb_region", "replace", "EUROPE"))
 
 
-AVERAGED = (["acc_age_days", "age"], ["acorn_group_description", "barb_region"])
+def _segment_facts(lab: Lab) -> DataFrame:
+    people = lab.blocks.demographics(lab.blocks.cohorts).where(F.col("fresh") == 1)
+    facts = score_sample_profile(people, lab.sources.profile, lab.sources.profile_extension)
+    return people.drop("age", "gender", "nation").join(facts, "user_id")
+
+
+def _fixed_score(users: DataFrame, keys) -> DataFrame:
+    """A plain score in place of the stack, so that SQL can follow it."""
+    europe = (F.col("barb_region") == "EUROPE").cast("int")
+    return users.select(*keys, (F.col("acc_age_days") / 10000 + F.col("age") / 1000
+                                + europe / 4).alias("p"))
 
 
 @register
 def average_users(lab: Lab) -> DataFrame:
     """Medians and modes of profile columns over the five segments."""
-    people = lab.blocks.demographics(lab.blocks.cohorts).where(F.col("fresh") == 1)
-    facts = score_sample_profile(people, lab.sources.profile, lab.sources.profile_extension)
-    rows = people.drop("age", "gender", "nation").join(facts, "user_id")
-    return what_if.average_users(rows, *AVERAGED, what_if.default_segments())
+    return what_if.average_users(
+        _segment_facts(lab), *AVERAGED, what_if.default_segments())
 
 
 @register
 def representative_users(lab: Lab) -> DataFrame:
-    profiled, numeric, categorical = _segments_source(lab)
-    segments = list(what_if.default_segments())
-    changes = [("lw_distinct_episodes", "delta", "2"), ("mkt_opted_in", "replace", "1"),
-               ("profile_gender_enriched", "replace", "female")]
     modifiers = lab.spark.createDataFrame(
-        [(s, *c) for s in segments for c in changes],
+        [(s, *c) for s in what_if.default_segments() for c in CHANGES],
         "user_id string, mod_column string, method string, modifier string")
-
-    def scored(users: DataFrame, keys) -> DataFrame:
-        encoded = lab.prepared.preparation.encode(users, keys)
-        out = training.stack_predict(lab.stack, encoded, keys)
-        return out.select(*keys, F.col(probability(META)).alias("p"))
-
-    return what_if.representative_users(profiled, modifiers, numeric, categorical, scored)
+    return what_if.representative_users(_segment_facts(lab), modifiers, *AVERAGED, _fixed_score)
 
 
 @register
 def representative_scores(lab: Lab) -> DataFrame:
-    profiled, numeric, categorical = _segments_source(lab)
-
-    def scored(users: DataFrame) -> DataFrame:
-        encoded = lab.prepared.preparation.encode(users, ["user_id"])
-        return export_scores(
-            training.stack_predict(lab.stack, encoded, ["user_id"]), lab.stack, PRODUCT, RUN_AT,
-            keys=["user_id"])
-
-    out = what_if.representative_scores(profiled, numeric, categorical, scored)
-    return out.select(F.col("user_id").alias("representative_user"), "learner_type",
-                      "learner_name", "predicted_probability", "score_datetime")
+    return what_if.representative_scores(
+        _segment_facts(lab), *AVERAGED, lambda users: _fixed_score(users, ["user_id"]))
 
 
 # ---- exports --------------------------------------------------------------
 
 @register
 def score_export(lab: Lab) -> DataFrame:
-    return export_scores(lab.predictions, lab.stack, PRODUCT, RUN_AT)
+    """Score records out of wide predictions, with the thresholds of their learners."""
+    chosen = [learners.Learner(n, "logr", []) for n in ("Up", "Down")]
+    stack = StackModel(chosen, 1, {}, {"Up": 0.5, "Down": 0.4, META: 0.6}, {}, None, [])
+    return export_scores(lab.sources.predicted, stack, PRODUCT, RUN_AT)
 
 
 @register

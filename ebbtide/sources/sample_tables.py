@@ -310,3 +310,29 @@ class SampleTables:
             F.lit(0.5).alias("optimal_threshold"),
             (F.col("score") >= 0.5).cast("int").alias("optimal_classification"),
             F.col("ts").cast("timestamp").alias("score_datetime"))
+
+    @cached_property
+    def explained(self) -> DataFrame:
+        """Attributions of three features, one learner per event type, with their inputs."""
+        parts = ("array(struct('level' AS feature, score AS input_value, "
+                 "round(score - 0.5, 4) AS value), "
+                 "struct('early' AS feature, CAST(event_id % 24 AS DOUBLE) AS input_value, "
+                 "round((0.3 - score) * (event_id % 3), 4) AS value), "
+                 "struct('turn' AS feature, CAST(event_id % 5 AS DOUBLE) AS input_value, "
+                 "(event_id % 5 - 2) / 10D AS value))")
+        rows = self._scores.withColumn("target_week_start_date", week_of(F.col("ts")))
+        return rows.selectExpr(
+            "event_type AS learner", "CAST(event_id AS STRING) AS user_id",
+            "target_week_start_date", "CAST(event_id % 5 AS INT) AS fold", f"inline({parts})")
+
+    @cached_property
+    def predicted(self) -> DataFrame:
+        """Wide predictions of two learners and the meta-learner."""
+        meta = 0.5 * F.col("score") + 0.25
+        return self._scores.select(
+            F.col("event_id").cast("string").alias("user_id"),
+            week_of(F.col("ts")).alias("target_week_start_date"),
+            F.col("score").alias("p_Up"), (1 - F.col("score")).alias("p_Down"),
+            meta.alias("p_meta"), (F.col("score") >= 0.5).cast("int").alias("class_Up"),
+            (1 - F.col("score") >= 0.4).cast("int").alias("class_Down"),
+            (meta >= 0.6).cast("int").alias("class_meta"))
