@@ -98,7 +98,7 @@ def _blend_vector(learners: Sequence[Learner], scale: dict[str, float]) -> Colum
 
 def stack_fit(df: DataFrame, label: str, learners: Sequence[Learner], folds: int, *,
               keys: Sequence[str] = ("user_id",), role: str = "role", fold: str = "fold",
-              threads: int = 4) -> StackModel:
+              threads: int = 8) -> StackModel:
     """Fits every learner on every fold of the public rows, then the meta-learner.
 
     Vectors are built and stored once; the driver only loops over fits.

@@ -20,10 +20,9 @@ from ebbtide.sources.sample_tables import CONFIG, SampleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-FOLDS = 3
+FOLDS = 10
 SAMPLE = 1000
 BACKGROUND = 8
-SMALL = {"gbt": {"maxIter": 5, "maxDepth": 3}, "logr": {"maxIter": 50}}
 PRODUCT = "audio"
 RUN_AT = datetime(2001, 7, 30, 12, 0, 0)
 
@@ -74,9 +73,8 @@ class Lab:
     def stack(self) -> StackModel:
         if self._stack is None:
             chosen = training.build_learners(
-                self.prepared, "diverse", PRODUCT, folds=FOLDS, params=SMALL)
-            chosen.append(learners.Learner(
-                "Events", "logr", self.candidates("ew_"), dict(SMALL["logr"])))
+                self.prepared, "diverse", PRODUCT, folds=FOLDS)
+            chosen.append(learners.Learner("Events", "logr", self.candidates("ew_")))
             self._stack = training.stack_fit(
                 self.prepared.rows, training.LABEL, chosen, FOLDS, keys=training.KEYS)
         return self._stack
@@ -257,7 +255,7 @@ def feature_select_rfe(lab: Lab) -> DataFrame:
 def feature_select_gain(lab: Lab) -> DataFrame:
     candidates = lab.candidates("ew_", "genre_share_")
     best = [r["feature"] for r in learners.feature_select_gain(
-        lab.public, training.LABEL, candidates, 10, folds=FOLDS, params=SMALL["gbt"]).collect()]
+        lab.public, training.LABEL, candidates, 10, folds=FOLDS).collect()]
     return _facts(lab, [(len(best), int(set(best) <= set(candidates)))],
                   "n_kept long, all_known int")
 

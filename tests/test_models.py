@@ -274,3 +274,30 @@ def test_what_if_changes_one_feature(spark):
                    ("user_base", "n", "replace"): ("5.0", 45.0),
                    ("user_base", "k", "replace"): ("x", 1.0),
                    ("user_female", "n", "delta"): ("4.5", -1.0)}
+
+
+def test_a_scoring_run_of_both_products_in_one_folder(stack, rows, spark, tmp_path, monkeypatch):
+    from ebbtide.plans import training
+
+    class Given:
+        """Stands for a preparation whose rows are ready."""
+
+        def transform(self, features, keep):
+            return features.drop("fresh")
+
+    ready = rows.withColumn("fresh", F.lit(1)).where("role = 'holdout'")
+    known = rows.where("role = 'public'").limit(4)
+    folder, counts = str(tmp_path / "out"), {}
+    for product in ("video", "audio", "audio"):
+        out = training.scoring_run(
+            ready, product, stack, Given(), folder, datetime(2020, 2, 24), sample=5,
+            background=known, active_only=False)
+    users = ready.count()
+    for r in out["scores"].groupBy("product").count().collect():
+        counts[r["product"]] = r["count"]
+    assert counts == {"video": users * 3, "audio": users * 3}
+    per_learner = {(r["product"], r.learner_name): r["count"] for r in
+                   out["attributions"].groupBy("product", "learner_name").count().collect()}
+    assert len(per_learner) == 4
+    assert {r.learner_name for r in out["importances"].collect()} <= {
+        x.name for x in stack.learners}
