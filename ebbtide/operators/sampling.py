@@ -20,9 +20,20 @@ def random_sample_n(df: DataFrame, n: int, key: str, salt: str) -> DataFrame:
                         alias="_rank", at_most=n).drop("_rank")
 
 
-def sample_with_replacement(df: DataFrame, n: int, rows: int, seed: int) -> DataFrame:
-    """About n draws with replacement out of ``rows`` rows."""
-    return df.sample(withReplacement=True, fraction=n / max(rows, 1), seed=seed)
+def sample_with_replacement(df: DataFrame, n: int, key: str, salt: str) -> DataFrame:
+    """Exactly n draws with replacement, repeatable: (draw, columns of df).
+
+    Draw i takes the row whose number, in the order of the salted hash of a unique key, is the
+    hash of i scaled to the number of rows. Only draws and row numbers are joined.
+    """
+    rows = df.count()
+    if not rows:
+        return df.withColumn("draw", F.lit(0).cast("long")).limit(0).select("draw", *df.columns)
+    ranked = rank_by_hash(df, hash_number(key, salt), [], F.col(key), alias="_rank")
+    place = hash_number("draw", f"{salt}-draw").cast("decimal(20,0)") * rows
+    draws = df.sparkSession.range(n).withColumnRenamed("id", "draw").withColumn(
+        "_rank", F.floor(place / F.lit(1 << 32)).cast("long") + 1)
+    return draws.join(ranked, "_rank").select("draw", *df.columns)
 
 
 def stratified_folds(df: DataFrame, label: str, k: int, key: str, *, salt: str = "fold",

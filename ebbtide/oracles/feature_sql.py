@@ -206,6 +206,12 @@ FROM activity GROUP BY 1, 2"""),
         "random_sample_n": with_tables(
             "SELECT event_id, user_id, event_type FROM events "
             f"ORDER BY {number('event_id', 'sample')}, event_id LIMIT 500"),
+        "sample_with_replacement": with_tables(f"""
+SELECT draw, event_id, user_id, event_type
+FROM (SELECT d AS draw, {number("CAST(d AS VARCHAR)", "again-draw")} * n // 4294967296 + 1 AS r
+      FROM range(700) t(d), (SELECT count(*) AS n FROM events))
+JOIN (SELECT *, row_number() OVER (ORDER BY {number("event_id", "again")}, event_id) AS r
+      FROM events) USING (r)"""),
         "train_population": with_tables(f"""
 SELECT t.user_id, t.cohort, target_churn_next_week,
   CASE WHEN t.cohort = 0 THEN 'holdout' WHEN {number("t.user_id", "split")} % 4 = 0

@@ -212,6 +212,17 @@ UNION ALL SELECT user_id, 'barb_region', barb_region
   FROM facts JOIN segments_of USING (who) WHERE barb_region IS NOT NULL
   GROUP BY 1, 3 QUALIFY row_number() OVER (PARTITION BY user_id
     ORDER BY count(*) DESC, barb_region) = 1"""),
+        "modifiers_csv": """
+SELECT 'user_' || n_regionkey AS user_id, n_name || ', "x"' || chr(10) AS mod_column,
+  CASE WHEN n_nationkey % 2 = 0 THEN 'delta' ELSE 'replace' END AS method,
+  CASE WHEN n_nationkey % 5 > 0 THEN CAST(n_nationkey AS VARCHAR) END AS modifier FROM nation""",
+        "score_csv_load": with_tables(f"""
+SELECT user_id, {week} AS target_week_start_date,
+  CASE WHEN event_type = 'purchase' THEN 'meta-learner' ELSE 'weak-learner' END AS learner_type,
+  event_type AS learner_name, {rounded("score")} AS predicted_probability,
+  0.5::DOUBLE AS optimal_threshold,
+  CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS optimal_classification, 'video' AS product
+FROM scored"""),
         "score_append": with_tables(f"""
 SELECT user_id, {week} AS target_week_start_date,
   CASE WHEN event_type = 'purchase' THEN 'meta-learner' ELSE 'weak-learner' END AS learner_type,

@@ -284,6 +284,13 @@ def random_sample_n(b: Blocks) -> DataFrame:
         "event_id", "sample")
 
 
+@register
+def sample_with_replacement(b: Blocks) -> DataFrame:
+    return sampling.sample_with_replacement(
+        b.sources.table("events").select("event_id", "user_id", "event_type"), 700,
+        "event_id", "again")
+
+
 @register
 def train_population(b: Blocks) -> DataFrame:
     rows = b.targets.where((F.col("destination") == "video") & (F.col("fresh") == 0)).join(

@@ -15,7 +15,7 @@ from ebbtide.operators.profile import score_sample_profile
 from ebbtide.plans import training
 from ebbtide.plans.feature_queries import presented
 from ebbtide.plans.feature_set import Blocks
-from ebbtide.sources import sinks
+from ebbtide.sources import readers, schemas, sinks
 from ebbtide.sources.sample_tables import CONFIG, SampleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -422,3 +422,28 @@ def historical_partition(lab: Lab) -> DataFrame:
 @register
 def csv_feature_roundtrip(lab: Lab) -> DataFrame:
     return sinks.csv_feature_roundtrip(lab.blocks.targets, sinks.scratch(lab.spark, "csv"))
+
+
+@register
+def modifiers_csv(lab: Lab) -> DataFrame:
+    """What-if modifiers written as CSV and read with their schema."""
+    nations = lab.sources.table("nation")
+    given = nations.select(
+        F.concat(F.lit("user_"), F.col("n_regionkey").cast("string")).alias("user_id"),
+        F.concat(F.col("n_name"), F.lit(', "x"\n')).alias("mod_column"),
+        F.when(F.col("n_nationkey") % 2 == 0, "delta").otherwise("replace").alias("method"),
+        F.when(F.col("n_nationkey") % 5 > 0, F.col("n_nationkey").cast("string"))
+        .alias("modifier"))
+    path = sinks.scratch(lab.spark, "modifiers")
+    sinks.write_features(given, path, "csv")
+    return readers.read_csv(lab.spark, path, schemas.MODIFIERS)
+
+
+@register
+def score_csv_load(lab: Lab) -> DataFrame:
+    """Scores from CSV files appended to the history."""
+    path = sinks.scratch(lab.spark, "score-files")
+    sinks.write_features(lab.sources.score_history, path, "csv")
+    loaded = readers.read_csv(lab.spark, path, schemas.SCORES)
+    out = sinks.score_append(loaded, sinks.scratch(lab.spark, "loaded"), "video")
+    return out.drop("score_datetime")

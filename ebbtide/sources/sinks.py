@@ -20,7 +20,9 @@ def write_features(df: DataFrame, path: str, kind: str = "parquet") -> None:
     writer = df.write.mode("overwrite")
     if kind == "csv":
         writer.option("header", True).option("compression", "bzip2").option(
-            "emptyValue", "").option("escape", '"').csv(path)
+            "emptyValue", "").option("escape", '"').option(
+            "ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False).csv(path)
     else:
         writer.parquet(path)
 
