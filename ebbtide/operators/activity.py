@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ebbtide.config import GENRES, ChurnConfig
@@ -53,6 +55,37 @@ def activity_weekly_rollup(scan: DataFrame, cfg: ChurnConfig) -> DataFrame:
     ).withColumn("genre_st_other", F.expr(f"streaming_time - {known}"))
 
 
+#: What tells rows of the daily roll-up apart, besides the thresholds they pass.
+DAILY_KEYS = ("user_id", "destination", "app_name", "date_of_event", "version_id", "episode_id",
+              "series_id", "brand_id", "clip_id", "broadcast_type", "device_type",
+              "browser_brand")
+
+
+def daily_activity(activity: DataFrame, cfg: ChurnConfig) -> DataFrame:
+    """One row per user, day, hour, title and device: the time played, for all windowed blocks.
+
+    Each block asks of a row whether it is long enough, so rows are added up only with rows that
+    pass the same thresholds: is_event, is_view (of the last week) and is_played. Written once,
+    it takes the place of the raw rows, before users are doubled into training and scoring.
+    """
+    after = cfg.window_max_date + timedelta(days=1)
+    rows = activity.where(
+        F.col("destination").isin(*cfg.destinations) & F.col("user_id").isNotNull()
+        & (F.col("date_of_event") >= F.lit(cfg.window_min_date))
+        & (F.col("date_of_event") < F.lit(after)))
+    time = F.coalesce("playback_time", F.lit(0))
+    return rows.groupBy(
+        *DAILY_KEYS, F.date_trunc("hour", "event_ts").alias("event_ts"),
+        (time >= cfg.event_seconds).alias("is_event"),
+        (time >= cfg.last_week_seconds).alias("is_view"),
+        (time > 0).alias("is_played")).agg(F.sum("playback_time").alias("playback_time"))
+
+
+def long_enough(df: DataFrame, flag: str, seconds: int) -> str:
+    """Condition on one row of activity, or on one row of the daily roll-up."""
+    return flag if flag in df.columns else f"playback_time >= {seconds}"
+
+
 def windowed_activity(activity: DataFrame, cfg: ChurnConfig, *, start: str = "min_date",
                       min_playback: int | None = None) -> DataFrame:
     """Activity rows inside each cohort's feature window, once per (user, fresh) role."""

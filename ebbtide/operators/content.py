@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ebbtide.config import NULL_SENTINEL, ChurnConfig
 from ebbtide.functions.exprs import distinct_days, tleo_ladder, tleo_level, weeks_between
 from ebbtide.functions.skew import lookup_join, unique_by
+from ebbtide.operators.activity import long_enough
 from ebbtide.operators.cohorts import (
     cohort_date, expand_cohorts, fill_cohorts, only_cohort_users)
 
@@ -92,7 +93,7 @@ def favourite_pick(windowed: DataFrame, cfg: ChurnConfig) -> DataFrame:
                        F.lit(FAVOURITE_LADDER[2]))
     days = windowed.where(
         F.col("destination").isin(*cfg.destinations)
-        & (F.col("playback_time") >= cfg.event_seconds)).select(
+        & F.expr(long_enough(windowed, "is_event", cfg.event_seconds))).select(
         "user_id", "fresh", "destination", "date_of_event",
         cohort_date("min_date", cfg).alias("_origin"), content.alias("content_id"),
         level.alias("level")).where(F.col("content_id").isNotNull()).groupBy(

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ebbtide.config import DEVICE_TYPES, PRODUCTS, ChurnConfig
 from ebbtide.functions.exprs import (
     argmax_label, conditional_sum, distinct_days, exprs, plus, share)
-from ebbtide.operators.activity import destination_product
+from ebbtide.operators.activity import destination_product, long_enough
 from ebbtide.operators.cohorts import cohort_date
 
 MEASURES = {"st": "streaming_time", "ev": "events"}
@@ -26,7 +26,7 @@ def device_app_type(device: str = "device_type", browser: str = "browser_brand")
 
 def device_usage(windowed: DataFrame, cfg: ChurnConfig) -> DataFrame:
     """(user, fresh, product, device, app type): time and distinct days; radio left out."""
-    rows = windowed.where(F.col("playback_time") >= cfg.event_seconds).select(
+    rows = windowed.where(long_enough(windowed, "is_event", cfg.event_seconds)).select(
         "user_id", "fresh", destination_product(cfg).alias("product"), "device_type",
         device_app_type().alias("app_type"), "playback_time", "date_of_event",
         cohort_date("min_date", cfg).alias("_origin"))

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from ebbtide.config import ID_SENTINELS, TITLE_SENTINELS, ChurnConfig
 from ebbtide.functions.exprs import clean, distinct_days, tleo_ladder
 from ebbtide.functions.skew import lookup_join, rank_by_range, unique_by
-from ebbtide.operators.activity import destination_product, windowed_activity
+from ebbtide.operators.activity import (
+    destination_product, long_enough, windowed_activity)
 from ebbtide.operators.cohorts import cohort_date
 from ebbtide.operators.genre import TITLES
 
@@ -56,8 +57,9 @@ def series_finales(schedule: DataFrame) -> DataFrame:
 
 def lastweek_views(activity: DataFrame, cfg: ChurnConfig) -> DataFrame:
     """(user, fresh, destination, product, version): days watched in the last feature week."""
-    rows = windowed_activity(activity, cfg, start="last_week_start",
-                             min_playback=cfg.last_week_seconds)
+    rows = windowed_activity(
+        activity.where(long_enough(activity, "is_view", cfg.last_week_seconds)), cfg,
+        start="last_week_start")
     start = cohort_date("last_week_start", cfg)
     raw = F.col("destination")
     product = F

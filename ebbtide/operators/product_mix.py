@@ -8,6 +8,7 @@ from ebbtide.config import ID_SENTINELS, LISTENING_COARSE, LISTENING_DETAIL, Chu
 from ebbtide.functions.exprs import (
     argmax_label, conditional_sum, distinct_days, exprs, plus, share, tleo_ladder)
 from ebbtide.functions.skew import lookup_join, unique_by
+from ebbtide.operators.activity import long_enough
 from ebbtide.operators.cohorts import cohort_date
 
 ID_LADDER = ("brand_id", "series_id", "episode_id", "clip_id")
@@ -83,7 +84,8 @@ def audio_listening(windowed: DataFrame, cfg: ChurnConfig) -> DataFrame:
         "tleo_id": tleo_ladder(ID_LADDER, ID_SENTINELS), "_origin": origin,
     }).groupBy("user_id", "fresh", "tleo_id", "version_id", "broadcast_type").agg(
         F.sum("playback_time").cast("double").alias("streaming_time"),
-        distinct_days("date_of_event", "_origin", f"playback_time >= {cfg.event_seconds}")
+        distinct_days("date_of_event", "_origin",
+                      long_enough(windowed, "is_event", cfg.event_seconds))
         .cast("double").alias("events"))
 
 

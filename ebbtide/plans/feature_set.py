@@ -23,8 +23,8 @@ class Blocks:
     """Lazily built feature blocks over a set of sources.
 
     With ``stage`` the tables that several blocks read are written once to the
-    checkpoint folder: the weekly roll-up and the content table, both much
-    smaller than the activity they come from.
+    checkpoint folder: the weekly and daily roll-ups and the content table, all
+    smaller than what they come from.
     """
 
     def __init__(self, sources, cfg: ChurnConfig, *, stage: bool = False):
@@ -74,9 +74,16 @@ class Blocks:
         return genre.schedule_match_index(
             self.affinity, self.schedule, self.scaled_schedule, self.cfg)
 
+    @cached_property
+    def daily(self) -> DataFrame:
+        """What the windowed blocks read: the daily roll-up if staged, else the activity."""
+        if not self.stage:
+            return self.sources.activity
+        return stable(activity.daily_activity(self.sources.activity, self.cfg))
+
     @cached_property
     def windowed(self) -> DataFrame:
-        return activity.windowed_activity(self.sources.activity, self.cfg)
+        return activity.windowed_activity(self.daily, self.cfg)
 
     @cached_property
     def listening(self) -> DataFrame:
@@ -107,7 +114,7 @@ class Blocks:
 
     @cached_property
     def lastweek_views(self) -> DataFrame:
-        return last_week.lastweek_views(self.sources.activity, self.cfg)
+        return last_week.lastweek_views(self.daily, self.cfg)
 
     @cached_property
     def lastweek_series(self) -> DataFrame:
@@ -282,12 +289,3 @@ def feature_set_assemble(blocks: Blocks, product: str) -> DataFrame:
     for part in parts:
         out = out.join(part, KEY, "left")
     return out.selectExpr(*feature_columns(product))
-
-
-def training_rows(features: DataFrame, product: str) -> DataFrame:
-    return features.where((F.col("fresh") == 0) & (F.col(f"{product}_active_last_week") == 1))
-
-
-def scoring_rows(features: DataFrame, product: str) -> DataFrame:
-    return features.where((F.col("fresh") == 1) & (F.col(f"{product}_active_last_week") == 1))
-
