@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ebbtide.llm.staging import id_back, id_or_least, keep, only
+from ebbtide.llm.staging import id_back, id_or_least, keep
 
 BLANKS = "[ \\t-\\r]+"
 PLAIN = "(?<![^ \\t-\\r])\\p{L}++[.,;:]?(?![^ \\t-\\r])"  # letters, then one mark at most
@@ -56,20 +56,19 @@ def left_over(text: Column, pattern: str) -> Column:
 
 
 def measures(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, tid, counts): everything the rules look at, over whole texts.
+    """(row, doc, counts): everything the rules look at, over whole texts; row is all of docs.
 
     Words are runs of anything but ASCII white space; a NULL text has none.
     """
-    rows = only(docs, doc=key, text=text).select(
-        id_or_least("doc").alias("doc"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).select(
+        "row", F.coalesce(F.col("row")[text].cast("string"), F.lit("")).alias("text"))
     split = rows.select(
-        "doc", F.xxhash64("text").alias("tid"), "text",
+        "row", id_or_least(f"row.`{key}`").alias("doc"), "text",
         F.array_remove(F.split("text", BLANKS), "").alias("words"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike("[^ \\t-\\r]")).alias("lines"),
         F.regexp_replace("text", "[^#*$%&|<>!?\\p{Lu}]+", "").alias("signs"))
     counted = split.select(
-        "doc", "tid", "words",
+        "row", "doc", "words",
         F.size("words").cast("long").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
         left_over(F.col("signs"), "[^#*$%&|<>]+").cast("long").alias("n_symbols"),
@@ -159,43 +158,57 @@ def fit_votes(patterns: Sequence[tuple[Sequence[int], int]], names: Sequence[str
     return VoteModel(prior, shares)
 
 
+def judged(docs: DataFrame, rules: Sequence[Rule], min_words: int, max_repeat_percent: int,
+           key: str, text: str) -> DataFrame:
+    """measures, base_failed and the vote of each rule."""
+    failed = (F.col("n_words") < min_words) | (
+        100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
+    return measures(docs, key=key, text=text).withColumn("base_failed", failed).withColumns(
+        {f"vote_{rule.name}": rule.vote() for rule in rules})
+
+
+def fitted(voted: DataFrame, rules: Sequence[Rule]) -> VoteModel:
+    """The vote model of all texts, from the counts of their vote patterns."""
+    votes = [f"vote_{rule.name}" for rule in rules]
+    counts = voted.groupBy(*votes).agg(F.count(F.lit(1)).alias("n")).orderBy(*votes).collect()
+    return fit_votes([(row[:-1], row[-1]) for row in counts], [rule.name for rule in rules])
+
+
+def decided(voted: DataFrame, model: VoteModel, at_least: float) -> DataFrame:
+    """Adds probability and kept."""
+    return voted.withColumn("probability", 1 / (1 + F.exp(-model.log_odds()))).withColumn(
+        "kept", ~F.col("base_failed") & (F.col("probability") >= at_least))
+
+
 def quality_votes(docs: DataFrame, *, rules: Sequence[Rule] = RULES, min_words: int = 50,
                   max_repeat_percent: int = 50, at_least: float = 0.5, key: str = "doc_id",
                   text: str = "text") -> DataFrame:
-    """Per row of docs: key, counts, base_failed, vote of each rule, probability and kept.
+    """Per row of docs: key, counts, base_failed, kept, probability and the vote of each rule.
 
     base_failed: fewer than min_words words, or over max_repeat_percent percent of the words in
     three-word windows that occur twice in the text. All other texts are judged by the posterior
     of the vote model, which is fitted on the votes of all texts: only the counts of the vote
     patterns, at most 3 per rule multiplied, come to the driver. An empty or NULL text has no
     words and fails; an empty table gives an empty result; repeated rows are judged alike;
-    other columns are ignored. The hidden column _tid tells texts of one id apart.
+    other columns are ignored.
     """
-    names = [rule.name for rule in rules]
-    counted = measures(docs, key=key, text=text)
-    failed = (F.col("n_words") < min_words) | (
-        100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    voted = keep(counted.withColumn("base_failed", failed).withColumns(
-        {f"vote_{rule.name}": rule.vote() for rule in rules}))
-    votes = [f"vote_{name}" for name in names]
-    patterns = [(row[:-1], row[-1]) for row in
-                voted.groupBy(*votes).agg(F.count(F.lit(1)).alias("n")).orderBy(*votes).collect()]
-    model = fit_votes(patterns, names)
-    probability = 1 / (1 + F.exp(-model.log_odds()))
-    return voted.withColumn("probability", probability).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("probability") >= at_least)).select(
+    voted = keep(judged(docs, rules, min_words, max_repeat_percent, key, text).drop("row"))
+    return decided(voted, fitted(voted, rules), at_least).select(
         id_back(F.col("doc")).alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-        "n_repeat_words", "base_failed", "kept", "probability", *votes,
-        F.col("tid").alias("_tid"))
-
-
-def keep_quality(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
-                 **options) -> DataFrame:
-    """The rows of docs, all columns, whose text is kept by quality_votes."""
-    verdicts = quality_votes(docs, key=key, text=text, **options)
-    gone = verdicts.where(~F.col("kept")).select(
-        F.col(key).alias("_doc"), "_tid").distinct()
-    value = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    match = docs[key].cast("long").eqNullSafe(F.col("_doc")) & (
-        F.xxhash64(value) == F.col("_tid"))
-    return docs.join(gone, match, "left_anti")
+        "n_repeat_words", "base_failed", "kept", "probability",
+        *[f"vote_{rule.name}" for rule in rules])
+
+
+def keep_quality(docs: DataFrame, *, rules: Sequence[Rule] = RULES, min_words: int = 50,
+                 max_repeat_percent: int = 50, at_least: float = 0.5, key: str = "doc_id",
+                 text: str = "text") -> DataFrame:
+    """The rows of docs, all columns, whose text is kept by the same rules.
+
+    The texts are read twice, once to fit the model and once to filter, and never shuffled.
+    """
+    made = judged(docs, rules, min_words, max_repeat_percent, key, text)
+    model = fitted(made, rules)
+    # a running number keeps the optimiser from moving the filter below the measures, where it
+    # would write out each of them again wherever another uses it
+    held = decided(made, model, at_least).withColumn("held", F.monotonically_increasing_id())
+    return held.where(F.col("kept") & (F.col("held") >= 0)).select("row.*")

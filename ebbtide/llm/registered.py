@@ -28,7 +28,7 @@ def register(function):
 
 @register
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_rules.quality_votes(table(spark, folder, "documents")).drop("_tid")
+    return quality_rules.quality_votes(table(spark, folder, "documents"))
 
 
 @register
