@@ -18,7 +18,7 @@ from ebbtide.llm.staging import batches, id_back, id_or_least, keep, only
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 END = 2
 CAPACITY = 1024
-SLICE = 8 << 20
+SLICE = 4 << 20
 _encoders: dict[str, tiktoken.Encoding] = {}
 
 

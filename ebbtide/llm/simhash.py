@@ -10,7 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ebbtide.llm.components import components, local_labels, star_groups
-from ebbtide.llm.staging import batches, drop, id_back, id_or_least, keep, only
+from ebbtide.llm.staging import (
+    batches, drop, id_back, id_or_least, keep, only, unused)
 
 PARTS = 4
 BASE = 32
@@ -43,7 +44,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, *, key: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """(doc, fp): doc is the id with NULL as the least long, fp the fingerprint as a long."""
     def run(items):
-        for batch in batches(items, 8 << 20):
+        for batch in batches(items, 4 << 20):
             seen: dict[bytes, int] = {}
             out = []
             for value in batch.column(1).cast(pa.binary()).to_pylist():
@@ -163,6 +164,7 @@ def keep_first(docs: DataFrame, *, shingle: int = 3, radius: int = 2, key: str =
     Ids are taken to be unique; rows that share the smallest id all stay.
     """
     groups = simhash_groups(docs, shingle=shingle, radius=radius, key=key, text=text)
+    [other] = unused(docs, "gone_id")
     gone = groups.where(~F.col(key).eqNullSafe(F.col("component_id"))).select(
-        F.col(key).alias("_doc")).distinct()
-    return docs.join(gone, docs[key].cast("long").eqNullSafe(F.col("_doc")), "left_anti")
+        F.col(key).alias(other)).distinct()
+    return docs.join(gone, docs[key].cast("long").eqNullSafe(gone[other]), "left_anti")
