@@ -2,7 +2,8 @@
 
 A slice of rows sends one row to each bucket instead of one row a fingerprint: fingerprints,
 positions and the texts they are in are plain arrays, so an entry costs its fingerprint and
-about two bytes. A bucket is read by one task; give as many buckets as the shuffle has partitions.
+about two bytes. A bucket is read by one task at a time; there are BUCKETS_A_PART times as many buckets as
+partitions, so that one bucket is a small part of what a task has.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ def _whole(data: bytes, n: int, widths: tuple[str, ...]) -> np.ndarray:
     return out
 
 
+BUCKETS_A_PART = 4
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -132,13 +134,17 @@ BACK = Layout((), ())
 
 
 def sent(places: Places, send: np.ndarray, decided: dict[int, np.ndarray], layout: Layout,
-         buckets: int, turn: int) -> Iterator[pa.RecordBatch]:
-    """Entries to compare by bucket, and per code those that the slice has decided itself."""
+         buckets: int) -> Iterator[pa.RecordBatch]:
+    """Entries to compare by bucket, and per code those that the slice has decided itself.
+
+    The latter need no certain bucket; the first text of the slice picks one.
+    """
+    anywhere = int(places.texts[0, 1]) % buckets
     if send.any():
         yield layout.rows(places.take(np.flatnonzero(send)), buckets)
     for code, known in decided.items():
         if known.any():
-            yield layout.decided(places.take(np.flatnonzero(known)), turn % buckets, code)
+            yield layout.decided(places.take(np.flatnonzero(known)), anywhere, code)
 
 
 def by_bucket(rows: DataFrame, layout: Layout, judge: Callable[[Places], dict[int, np.ndarray]],
@@ -146,8 +152,11 @@ def by_bucket(rows: DataFrame, layout: Layout, judge: Callable[[Places], dict[in
     """rows (SCHEMA) -> (doc, tid, code, ats): positions in texts by code, one row each.
 
     judge gets the open entries of a bucket and marks entries per code; decided ones are added.
-    What is marked goes back by text the way it came, one row for a bucket and a group of texts.
+    What is marked goes back by text the way it came, one row for a bucket and a group of texts,
+    as many groups as the shuffle has partitions.
     """
+    back_groups = max(1, buckets // BUCKETS_A_PART)
+
     def run(table: pa.Table) -> pa.Table:
         places, codes = layout.read(table)
         open_rows = np.flatnonzero(codes == 0)
@@ -159,7 +168,7 @@ def by_bucket(rows: DataFrame, layout: Layout, judge: Callable[[Places], dict[in
                 marked.get(code, open_rows[:0]), np.flatnonzero(codes == code)]))
             mixed = own.texts[own.owner, 0].view(np.uint64) * MIX >> np.uint64(33)
             own.low = mixed << np.uint64(40)  # texts of one id meet in one bucket
-            out.append(BACK.rows(own, buckets, code))
+            out.append(BACK.rows(own, back_groups, code))
         return pa.Table.from_batches(out, schema=FIELDS)
 
     def gather(table: pa.Table) -> pa.Table:

@@ -11,12 +11,12 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.llm.places import (
-    SCHEMA, Layout, by_bucket, groups, later, owned, positions, sent, shared, text_columns)
-from ebbtide.llm.staging import batches, id_back, id_or_least, keep, only
+    BUCKETS_A_PART, SCHEMA, Layout, by_bucket, groups, later, owned, positions, sent, shared, text_columns)
+from ebbtide.llm.staging import batches, id_back, id_or_least, keep, only, unused
 
 # The differences of these residues give every residue of the period.
 COVERS = ((13, (0, 1, 3, 9)), (7, (0, 1, 3)), (3, (0, 1)), (1, (0,)))
-SLICE = 8 << 20
+SLICE = 4 << 20
 ANCHOR = Layout()
 WINDOW = Layout(("<u8",), ("<u4",))
 SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -93,7 +93,7 @@ def shared_anchors(docs: DataFrame, cover: Cover, buckets: int) -> DataFrame:
     """
     def run(items):
         digest = xxhash.xxh3_64_intdigest
-        for turn, batch in enumerate(batches(items, SLICE)):
+        for batch in batches(items, SLICE):
             names, parts, keys = [], [], []
             for doc, tid, text in zip(*text_columns(batch)):
                 words = Words(text)
@@ -109,7 +109,7 @@ def shared_anchors(docs: DataFrame, cover: Cover, buckets: int) -> DataFrame:
                 order, new = groups(places)
                 send = np.zeros(len(low), bool)
                 send[order] = new
-                yield from sent(places, send, {1: shared(places)}, ANCHOR, buckets, turn)
+                yield from sent(places, send, {1: shared(places)}, ANCHOR, buckets)
 
     return by_bucket(docs.mapInArrow(run, SCHEMA), ANCHOR, lambda p: {1: shared(p)}, buckets)
 
@@ -122,7 +122,7 @@ def later_windows(texts: DataFrame, cover: Cover, buckets: int) -> DataFrame:
     """
     def run(items):
         digest = xxhash.xxh3_128_digest
-        for turn, batch in enumerate(batches(items, SLICE)):
+        for batch in batches(items, SLICE):
             names, parts, keys = [], [], []
             for doc, tid, text, blobs in zip(*text_columns(batch), batch.column(3).to_pylist()):
                 words = Words(text)
@@ -135,7 +135,7 @@ def later_windows(texts: DataFrame, cover: Cover, buckets: int) -> DataFrame:
                 name = np.frombuffer(b"".join(names), "<u8").reshape(-1, 2)
                 places = owned(parts, keys, name[:, 0], name[:, 1] & np.uint64(0xFFFFFFFF))
                 late = later(places)
-                yield from sent(places, ~late, {1: late}, WINDOW, buckets, turn)
+                yield from sent(places, ~late, {1: late}, WINDOW, buckets)
 
     return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, lambda p: {1: later(p)}, buckets)
 
@@ -167,16 +167,18 @@ def cut_repeats(docs: DataFrame, *, window: int = 20, key: str = "doc_id", text:
     Rows whose text loses nothing stay as they are; a text that loses all its words is empty or
     white space. length names a column that holds the number of characters, if there is one.
     """
+    doc, kept, tid = unused(docs, "cut_id", "cut_text", "cut_tid")
     shorter = (substring_dedup(docs, window=window, key=key, text=text)
                .where(F.col("n_removed") > 0)
-               .select(F.col(key).alias("_doc"), F.col("kept_text").alias("_kept"), "_tid")
-               .dropDuplicates(["_doc", "_tid"]))
-    match = docs[key].cast("long").eqNullSafe(F.col("_doc")) & (
-        F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))) == F.col("_tid"))
-    new = {text: F.coalesce("_kept", F.col(text))}
+               .select(F.col(key).alias(doc), F.col("kept_text").alias(kept),
+                       F.col("_tid").alias(tid))
+               .dropDuplicates([doc, tid]))
+    match = docs[key].cast("long").eqNullSafe(shorter[doc]) & (
+        F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))) == shorter[tid])
+    new = {text: F.coalesce(kept, F.col(text))}
     if length in docs.columns:
-        new[length] = F.when(F.col("_kept").isNull(), F.col(length)).otherwise(
-            F.char_length("_kept")).cast(docs.schema[length].dataType)
+        new[length] = F.when(F.col(kept).isNull(), F.col(length)).otherwise(
+            F.char_length(kept)).cast(docs.schema[length].dataType)
     return docs.join(shorter, match, "left").withColumns(new).select(*docs.columns)
 
 
@@ -194,11 +196,12 @@ def substring_dedup(docs: DataFrame, *, window: int = 20, key: str = "doc_id",
     """
     cover = Cover.of(window)
     rows = keyed(docs, key, text)
-    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = parts * BUCKETS_A_PART
     # anchors are only hints, so those of all texts of an id may go together
     near = keep(shared_anchors(rows, cover, buckets).groupBy("doc").agg(
         F.collect_list("ats").alias("ats")))
-    placed = rows.repartition(buckets, "doc")
+    placed = rows.repartition(parts, "doc")
     late = later_windows(placed.join(near, "doc").select("doc", "tid", "text", "ats"), cover,
                          buckets)
     gone = late.groupBy("doc").agg(F.collect_list(F.struct("tid", "ats")).alias("found"))

@@ -20,11 +20,11 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.llm.places import (
-    SCHEMA, Layout, Places, by_bucket, groups, owned, positions, sent, shared, text_columns)
+    BUCKETS_A_PART, SCHEMA, Layout, Places, by_bucket, groups, owned, positions, sent, shared, text_columns)
 from ebbtide.llm.staging import batches, id_back, keep
 from ebbtide.llm.substrings import keyed
 
-SLICE = 8 << 20
+SLICE = 4 << 20
 STRIDE = 1 << 22  # windows of a long text that are looked at together
 PLACE_BITS = 24
 NAMES_A_SLICE = 4
@@ -108,7 +108,7 @@ class Sampler:
 def ranked_samples(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
     """Round one: sampled positions whose string occurs at least twice."""
     def run(items):
-        for turn, batch in enumerate(batches(items, SLICE)):
+        for batch in batches(items, SLICE):
             names, parts, keys = [], [], []
             for doc, tid, text in zip(*text_columns(batch)):
                 # the first window of its run names a sample: it is unique in a text
@@ -123,7 +123,7 @@ def ranked_samples(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFram
                 order, new = groups(places)
                 send = np.zeros(len(low), bool)
                 send[order] = new
-                yield from sent(places, send, {DUP: shared(places)}, RANK, buckets, turn)
+                yield from sent(places, send, {DUP: shared(places)}, RANK, buckets)
 
     return by_bucket(texts.mapInArrow(run, SCHEMA), RANK, lambda p: {DUP: shared(p)}, buckets)
 
@@ -152,7 +152,7 @@ def surroundings(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
     """
     def run(items):
         digest = xxhash.xxh3_64_intdigest
-        for turn, batch in enumerate(batches(items, SLICE)):
+        for batch in batches(items, SLICE):
             names, around, parts, keys = [], [], [], []
             for doc, tid, text, blobs in zip(*text_columns(batch), batch.column(3).to_pylist()):
                 at, rank, first, last = sampler.runs(text)
@@ -176,7 +176,7 @@ def surroundings(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
                 send[order] = new & (number < NAMES_A_SLICE)
                 extra[order] = new & (number >= NAMES_A_SLICE)
                 yield from sent(places, send, {DUP: split_open(places)[DUP], OPEN: extra},
-                                AROUND, buckets, turn)
+                                AROUND, buckets)
 
     return by_bucket(texts.mapInArrow(run, SCHEMA), AROUND, split_open, buckets)
 
@@ -185,7 +185,7 @@ def open_windows(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
     """Round three: windows of open samples whose bytes start at another place too."""
     def run(items):
         digest = xxhash.xxh3_128_digest
-        for turn, batch in enumerate(batches(items, SLICE)):
+        for batch in batches(items, SLICE):
             names, parts, keys = [], [], []
             for doc, tid, text, blobs in zip(*text_columns(batch), batch.column(3).to_pylist()):
                 at = windows(sampler, text, positions(blobs))
@@ -199,7 +199,7 @@ def open_windows(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
                 order, new = groups(places)
                 send = np.zeros(len(order), bool)
                 send[order] = new
-                yield from sent(places, send, {DUP: shared(places)}, WINDOW, buckets, turn)
+                yield from sent(places, send, {DUP: shared(places)}, WINDOW, buckets)
 
     return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, lambda p: {DUP: shared(p)}, buckets)
 
@@ -237,11 +237,12 @@ def suffix_dedup(docs: DataFrame, *, window: int = 200, key: str = "doc_id",
     """
     sampler = Sampler.of(window)
     rows = keyed(docs, key, text)
-    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = parts * BUCKETS_A_PART
     near = keep(ranked_samples(rows, sampler, buckets).groupBy("doc").agg(
         F.collect_list("ats").alias("ats")))
     # the texts stand three times in the plan below and are shuffled once
-    placed = rows.repartition(buckets, "doc")
+    placed = rows.repartition(parts, "doc")
     judged = surroundings(placed.join(near, "doc").select("doc", "tid", "text", "ats"),
                           sampler, buckets)
     still = judged.where(F.col("code") == OPEN).groupBy("doc").agg(
