@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ebbtide.llm.staging import batches, id_back, id_or_least, keep, only
 
-SLICE = 8 << 20
+SLICE = 4 << 20
+OPEN_ELEMENTS = 512  # deeper elements are taken as part of the one they are in, as browsers do
+TREE_DEPTH = 32  # deeper elements share the style node above them
 # Fixed values of HTML: elements without content, raw elements, and elements that make a block.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SILENT = frozenset(("head title script style noscript template iframe svg math object canvas "
@@ -114,7 +116,7 @@ class Page(HTMLParser):
             depth = next((i for i, n in enumerate(self.stack) if n.tag == "head"), None)
             if depth is not None:
                 self.pop_to(depth)
-        if tag in VOID:
+        if tag in VOID or (len(self.stack) > OPEN_ELEMENTS and tag not in SILENT):
             return
         parent = self.stack[-1]
         mark = cue(tag, dict(attrs))
@@ -123,7 +125,9 @@ class Page(HTMLParser):
         if tag in BLOCKS:
             if not parent.children or parent.children[-1] != step:
                 parent.children.append(step)
-            path = f"{parent.path}/{step}"
+            path = parent.path
+            if path.count("/") < TREE_DEPTH:
+                path = f"{path}/{step}"
         else:
             path = parent.path
         node = Node(tag, path, mark or parent.cue, parent.inside or mark > 0)
@@ -158,17 +162,17 @@ class Page(HTMLParser):
 
 
 def parse(html: str) -> tuple[list[tuple[str, int, str]], list[tuple[str, str]]]:
-    """Blocks (path, cue, text) and, for elements above blocks without a cue, (path, children).
+    """Blocks (path, cue, text) that may be main text, and (path, children) of elements.
 
-    If a page marks its article, what lies outside of it counts as marked too.
+    If a page marks its article, what lies outside of it is not main text either. Paths are told
+    only of blocks without a cue and of the elements above them, which the style tree is for.
     """
     page = Page()
     page.feed(html)
     page.finish()
-    if page.landmark:
-        blocks = [(path, mark or -1, text) for path, mark, text in page.blocks]
-    else:
-        blocks = page.blocks
+    least = 1 if page.landmark else 0
+    blocks = [("" if mark else path, mark, text)
+              for path, mark, text in page.blocks if mark >= least]
     open_paths = {path for path, mark, _ in blocks if not mark}
     above = {p[:i] for p in open_paths for i in range(1, len(p) + 1)
              if i == len(p) or p[i] == "/"}
@@ -270,15 +274,20 @@ def main_text(pages: DataFrame, *, threshold: float = 0.3, least_pages: int = 3,
     low = keep(importance(parsed).where(
         (F.col("importance") < threshold) & (F.col("n_pages") >= least_pages))
         .select("host", "path"))
-    unsure = parsed.select(
-        "page", "tid", host_of(F.col("url")).alias("host"), F.posexplode("blocks").alias("at", "b")
-    ).where(F.col("b.cue") == 0).select(
+    open_ = F.exists("blocks", lambda b: b["cue"] == 0)
+    unsure = parsed.where(open_)
+    gone = (unsure.select(
+        "page", "tid", host_of(F.col("url")).alias("host"),
+        F.posexplode("blocks").alias("at", "b")).where(F.col("b.cue") == 0).select(
         "page", "tid", "host", "at", F.explode(branches(F.col("b.path"))).alias("path"))
-    gone = (unsure.join(low, ["host", "path"]).groupBy("page", "tid")
-            .agg(F.collect_set("at").alias("gone")))
+        .join(low, ["host", "path"]).groupBy("page", "tid")
+        .agg(F.collect_set("at").alias("gone")))
+    # pages that mark all they have need no join, so their texts are not shuffled
+    certain = parsed.where(~open_).withColumn("gone", F.lit(None).cast("array<int>"))
+    both = certain.unionByName(unsure.join(gone, ["page", "tid"], "left"))
     shown = F.filter("blocks", lambda b, i: (b["cue"] > 0) | (
         (b["cue"] == 0) & ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), i)))
     text = F.array_join(F.transform(shown, lambda b: b["text"]), "\n")
-    return parsed.join(gone, ["page", "tid"], "left").select(
+    return both.select(
         id_back(F.col("page")).alias(key), F.col("url").alias(url), text.alias("text"),
         F.char_length(text).cast("long").alias("n_chars"))

@@ -18,7 +18,7 @@ from ebbtide.llm import (
 from ebbtide.llm.components import components
 from ebbtide.llm.staging import keep
 
-SCHEMA = "doc_id long, text string, DOC string, tid string, words int, ats int, rank int"
+SCHEMA = ("doc_id long, text string, DOC string, tid string, words int, cut_id int, gone_id int")
 LONG = " ".join(f"w{i % 7919}" for i in range(60_000))
 WORDS = [f"word{i}" for i in range(400)]
 
@@ -120,6 +120,13 @@ def test_simhash(spark, docs, rows):
     assert by_id[1] == by_id[2] == 1 and by_id[4] == by_id[5] == by_id[6] == 4
 
 
+def test_keep_first_keeps_columns_and_the_smallest_ids(spark, docs):
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    ids = {r["doc_id"] for r in kept.collect()}
+    assert {1, 4} <= ids and not ids & {2, 5, 6}
+
+
 def test_simhash_groups_like_brute_force(spark, folder, corpus):
     got = {r["doc_id"]: (r["fingerprint"], r["component_id"])
            for r in registered.op4_simhash(spark, folder).collect()}

@@ -56,6 +56,12 @@ def test_blocks(html, want):
     assert text_of(html) == want
 
 
+def test_deep_pages_keep_their_text():
+    for tag in ("div", "i"):
+        html = f"<{tag}>" * 50_000 + "<p>x</p><p>y" + f"</{tag}>" * 50_000 + "<p>z"
+        assert text_of(html) == "x\ny\nz"
+
+
 def test_style_tree_removes_what_a_site_repeats(spark):
     menu = "<div><span>Home</span> <span>News</span></div>"
     foot = "<section><p>All our pages say this.</p></section>"
