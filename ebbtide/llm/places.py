@@ -152,10 +152,10 @@ def by_bucket(rows: DataFrame, layout: Layout, judge: Callable[[Places], dict[in
     """rows (SCHEMA) -> (doc, tid, code, ats): positions in texts by code, one row each.
 
     judge gets the open entries of a bucket and marks entries per code; decided ones are added.
-    What is marked goes back by text the way it came, one row for a bucket and a group of texts,
-    as many groups as the shuffle has partitions.
+    What is marked goes back by text the way it came, one row for a bucket and a group of texts.
+    It is much less than what came, so there are fewer groups: two partitions' worth each.
     """
-    back_groups = max(1, buckets // BUCKETS_A_PART)
+    back_groups = max(1, buckets // (2 * BUCKETS_A_PART))
 
     def run(table: pa.Table) -> pa.Table:
         places, codes = layout.read(table)
