@@ -42,7 +42,7 @@ def _whole(data: bytes, n: int, widths: tuple[str, ...]) -> np.ndarray:
     return out
 
 
-BUCKETS_A_PART = 4
+BUCKETS_A_PART = 2
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
