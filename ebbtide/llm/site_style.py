@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from html.parser import HTMLParser
 
@@ -43,25 +44,39 @@ NAME = re.compile(r"[^\W_]+")
 
 
 def cue(tag: str, attributes: dict[str, str | None]) -> int:
-    """1: marked as the article, -1: marked as something else, 0: not marked."""
+    """1: marked as the article, 0: not marked, -1: named as something else, -2: it is something
+    else by its element, role or style (a form may hold a whole page, so it counts as a name)."""
     role = (attributes.get("role") or "").lower()
     style = re.sub(r"\s", "", attributes.get("style") or "").lower()
     names = {n.lower() for part in ("class", "id")
              for n in NAME.findall(attributes.get(part) or "")}
     if ("hidden" in attributes or attributes.get("aria-hidden") == "true"
             or "display:none" in style or tag in NOISE_TAGS or role in NOISE_ROLES):
-        return -1
+        return -1 if tag == "form" else -2
     noise = names & NOISE_NAMES
     if noise - {"header"} or noise and not names & ARTICLE_NAMES:
         return -1 if tag not in CONTENT_TAGS and tag not in ("html", "body") else 0
     return 1 if tag in CONTENT_TAGS or role in CONTENT_ROLES else 0
 
 
+def inherited(above: int, mark: int, tag: str) -> int:
+    """The cue of an element that marks itself, below one with the cue above.
+
+    An article in a menu, aside or hidden element is none; in one that is only named like
+    something else the names contradict each other, and the style tree decides.
+    """
+    if above == -2:
+        return -2
+    if mark > 0 and above == -1 and tag != "form":
+        return 0
+    return mark or above
+
+
 class Node:
-    __slots__ = ("tag", "path", "cue", "inside", "children")
+    __slots__ = ("tag", "path", "cue", "landmark", "children")
 
-    def __init__(self, tag: str, path: str, mark: int, inside: bool):
-        self.tag, self.path, self.cue, self.inside = tag, path, mark, inside
+    def __init__(self, tag: str, path: str, mark: int, landmark: bool):
+        self.tag, self.path, self.cue, self.landmark = tag, path, mark, landmark
         self.children: list[str] = []
 
 
@@ -75,7 +90,7 @@ class Page(HTMLParser):
         self.text: list[str] = []
         self.blocks: list[tuple[str, int, str]] = []
         self.nodes: list[Node] = []
-        self.landmark = False
+        self.landmark = self.main = False
 
     def end_block(self) -> None:
         text = " ".join("".join(self.text).split())
@@ -130,8 +145,12 @@ class Page(HTMLParser):
                 path = f"{path}/{step}"
         else:
             path = parent.path
-        node = Node(tag, path, mark or parent.cue, parent.inside or mark > 0)
-        self.landmark |= mark > 0 and not self.silent
+        named = next((n.tag for n in reversed(self.stack) if n.cue == -1), "")
+        own = inherited(parent.cue, mark, named)
+        node = Node(tag, path, own, mark > 0 and own > 0)
+        if node.landmark and not self.silent:
+            self.landmark = True
+            self.main |= tag == "main" or (dict(attrs).get("role") or "").lower() == "main"
         self.stack.append(node)
         if tag in SILENT:
             self.silent += 1
@@ -161,46 +180,79 @@ class Page(HTMLParser):
         self.end_block()
 
 
-def parse(html: str) -> tuple[list[tuple[str, int, str]], list[tuple[str, str]]]:
-    """Blocks (path, cue, text) that may be main text, and (path, children) of elements.
+def parse(html: str) -> tuple[list[tuple[str, int, str]], list[tuple[str, str, int]]]:
+    """Blocks (path, cue, text) that may be main text, and (path, children, kinds) of elements.
 
-    If a page marks its article, what lies outside of it is not main text either. Paths are told
-    only of blocks without a cue and of the elements above them, which the style tree is for.
+    Cue 1: in the marked article; 0: not marked, on a page that marks none; -1: not marked, on a
+    page that marks an article but no main element, which says that the rest is not main text.
+    The elements are those that hold such blocks; a marked one counts no kinds of children, as
+    the look of an article tells nothing about it.
     """
     page = Page()
     page.feed(html)
     page.finish()
-    least = 1 if page.landmark else 0
-    blocks = [("" if mark else path, mark, text)
-              for path, mark, text in page.blocks if mark >= least]
-    open_paths = {path for path, mark, _ in blocks if not mark}
-    above = {p[:i] for p in open_paths for i in range(1, len(p) + 1)
+    lowered = 1 if page.landmark else 0
+    blocks = [(path, mark if mark > 0 else mark - lowered, text) for path, mark, text
+              in page.blocks if mark > 0 or (mark == 0 and not page.main)]
+    above = {p[:i] for p in {path for path, _, _ in blocks} for i in range(1, len(p) + 1)
              if i == len(p) or p[i] == "/"}
-    nodes = sorted({(n.path, " ".join(n.children)) for n in page.nodes if n.path in above})
+    nodes = sorted({(n.path, " ".join(n.children), 0 if n.landmark else len(n.children))
+                    for n in page.nodes if n.path in above})
     return blocks, nodes
 
 
+def number_of(value: str) -> int:
+    return int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest(), signed=True)
+
+
+def digest(html: str) -> tuple[int, list[dict], list[dict]]:
+    """Hash of the page's looks and texts, its blocks and its elements.
+
+    new_text and new_leaf tell the first block of the page with its text and place, and with its
+    place; new_path the first element of its path.
+    """
+    blocks, nodes = parse(html)
+    seen: set = set()
+
+    def new(item) -> int:
+        first = item not in seen
+        seen.add(item)
+        return int(first)
+
+    leaves = {path: number_of(path) for path, _, _ in blocks}
+    made = [{"leaf": leaves[path], "cue": mark, "new_text": new((path, text)),
+             "new_leaf": new(path), "text": text} for path, mark, text in blocks]
+    seen = set()
+    places = [{"id": leaves.get(path) or number_of(path), "path": path,
+               "shape": number_of(children), "kinds": kinds, "new_path": new(path)}
+              for path, children, kinds in nodes]
+    return number_of("\0".join(f"{path}\0{text}" for path, _, text in blocks)), made, places
+
+
 def parsed_pages(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     def run(items):
         for batch in batches(items, SLICE):
-            made = [parse(value) for value in batch.column(3).to_pylist()]
-            block = pa.struct([("path", pa.string()), ("cue", pa.int32()), ("text", pa.string())])
-            node = pa.struct([("path", pa.string()), ("children", pa.string())])
+            made = [digest(value) for value in batch.column(2).to_pylist()]
+            block = pa.struct([("leaf", pa.int64()), ("cue", pa.int32()),
+                               ("new_text", pa.int32()), ("new_leaf", pa.int32()),
+                               ("text", pa.string())])
+            node = pa.struct([("id", pa.int64()), ("path", pa.string()), ("shape", pa.int64()),
+                              ("kinds", pa.int32()), ("new_path", pa.int32())])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3],
-                 pa.array([[dict(zip(("path", "cue", "text"), b)) for b in blocks]
-                           for blocks, _ in made], pa.list_(block)),
-                 pa.array([[dict(zip(("path", "children"), n)) for n in nodes]
-                           for _, nodes in made], pa.list_(node))],
-                names=["page", "tid", "url", "blocks", "nodes"])
+                [*batch.columns[:2], pa.array([m[0] for m in made], pa.int64()),
+                 pa.array([m[1] for m in made], pa.list_(block)),
+                 pa.array([m[2] for m in made], pa.list_(node))],
+                names=["page", "url", "sight", "blocks", "nodes"])
 
     rows = only(pages, page=key, url=url, html=html).select(
-        id_or_least("page").alias("page"), F.xxhash64("url", "html").alias("tid"), "url",
+        id_or_least("page").alias("page"), "url",
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    return rows.mapInArrow(
-        run, "page long, tid long, url string, "
-             "blocks array<struct<path:string,cue:int,text:string>>, "
-             "nodes array<struct<path:string,children:string>>")
+    made = rows.mapInArrow(
+        run, "page long, url string, sight long, blocks array<struct<leaf:long,cue:int,"
+             "new_text:int,new_leaf:int,text:string>>, "
+             "nodes array<struct<id:long,path:string,shape:long,kinds:int,new_path:int>>")
+    return made.withColumns({"row": F.monotonically_increasing_id(),
+                             "host": F.xxhash64(host_of(F.col("url")))})
 
 
 def host_of(url: str) -> Column:
@@ -216,78 +268,88 @@ def branches(path: Column) -> Column:
     return F.filter(prefixes, lambda p: ~p.rlike("^(/html[^/]*)?(/body[^/]*)?$"))
 
 
-def importance(parsed: DataFrame, damping: float = 0.9) -> DataFrame:
-    """(host, path, n_pages, importance) of the merged style tree of every host.
+def counted_once(parsed: DataFrame) -> DataFrame:
+    """The pages that count for the tree: of equal pages of a host one, whatever their URLs."""
+    twice = keep(parsed.groupBy("host", "sight").agg(
+        F.min("row").alias("least"), F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > 1).drop("n"))
+    return parsed.join(twice, ["host", "sight"], "left").where(
+        F.col("least").isNull() | (F.col("least") == F.col("row")))
+
+
+def verdicts(parsed: DataFrame, threshold: float, sure: float, least_pages: int,
+             damping: float = 0.9) -> DataFrame:
+    """(host, leaf, shown): the places of blocks that the merged style tree of a host decides on.
 
     Presentation: entropy of the child sequences of an element over the host's pages, to the
     base of the number of pages. Content: one minus the mean entropy of a leaf's texts over the
     pages; a text on every page has entropy 1, one on a single page 0. An element combines its
     own presentation with the leaves below it, and the more kinds of children it has the more
-    the former counts. Everything is a sum over rows, combined before it is shuffled.
+    the former counts. Everything is a sum over rows, combined before it is shuffled. A place is
+    as important as the least of the elements it is in that least_pages pages have.
     """
-    hosted = parsed.select(host_of(F.col("url")).alias("host"), "page", "tid", "blocks", "nodes")
-    blocks = hosted.select("host", "page", "tid", F.explode("blocks").alias("b")).where(
-        F.col("b.cue") == 0).select(
-        "host", "page", "tid", F.col("b.path").alias("leaf"), F.xxhash64("b.text").alias("words"))
-    texts = (blocks.groupBy("host", "leaf", "words")
-             .agg(F.count_distinct("page", "tid").alias("k"), F.count(F.lit(1)).alias("n")))
-    on_pages = blocks.groupBy("host", "leaf").agg(F.count_distinct("page", "tid").alias("m"))
-    spread = texts.groupBy("host", "leaf").agg(
-        F.avg(F.log(F.col("k"))).alias("log_k"), F.sum("n").alias("n"))
-    leaves = spread.join(on_pages, ["host", "leaf"]).select(
-        "host", "leaf", "n", F.when(F.col("m") > 1, 1 - F.col("log_k") / F.log("m"))
-        .otherwise(1.0).alias("content"))
-    below = (leaves.select("host", "n", "content", F.explode(branches(F.col("leaf"))).alias("path"))
-             .groupBy("host", "path")
-             .agg((F.sum(F.col("n") * F.col("content")) / F.sum("n")).alias("content")))
-    shapes = (hosted.select("host", "page", "tid", F.explode("nodes").alias("e"))
-              .groupBy("host", F.col("e.path").alias("path"), F.col("e.children").alias("shape"))
-              .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(
-                  F.col("e.children") == "", 0).otherwise(
-                  F.size(F.split("e.children", " ")))).alias("kinds")))
-    pages = (hosted.select("host", "page", "tid", F.explode("nodes").alias("e"))
-             .groupBy("host", F.col("e.path").alias("path"))
-             .agg(F.count_distinct("page", "tid").alias("n_pages")))
+    once = counted_once(parsed)
+    texts = once.select("host", F.explode("blocks").alias("b")).groupBy(
+        "host", F.col("b.leaf").alias("leaf"), F.xxhash64("b.text").alias("words")).agg(
+        F.sum("b.new_text").alias("k"), F.sum("b.new_leaf").alias("m"),
+        F.count(F.lit(1)).alias("n"), F.min("b.cue").alias("cue"))
+    content = F.when(F.sum("m") > 1, 1 - F.avg(F.log("k")) / F.log(F.sum("m"))).otherwise(1.0)
+    leaves = texts.groupBy("host", "leaf").agg(
+        F.sum("n").alias("n"), content.alias("content"), F.min("cue").alias("cue"))
+    shapes = once.select("host", F.explode("nodes").alias("e")).groupBy(
+        "host", F.col("e.id").alias("id"), F.col("e.path").alias("path"),
+        F.col("e.shape").alias("shape")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("e.kinds").alias("kinds"),
+        F.sum("e.new_path").alias("n_pages"))
     total, logs = F.sum("n"), F.sum(F.col("n") * F.log("n"))
-    looks = shapes.groupBy("host", "path").agg(
+    looks = shapes.groupBy("host", "id", "path").agg(
         F.when(total > 1, (F.log(total) - logs / total) / F.log(total)).otherwise(1.0)
-        .alias("look"), F.max("kinds").alias("kinds"))
+        .alias("look"), F.max("kinds").alias("kinds"), F.sum("n_pages").alias("n_pages"))
+    placed = (keep(leaves).join(looks.select("host", F.col("id").alias("leaf"), "path"),
+                                ["host", "leaf"])
+              .select("host", "leaf", "n", "content", "cue",
+                      F.explode(branches(F.col("path"))).alias("path")))
+    below = placed.groupBy("host", "path").agg(
+        (F.sum(F.col("n") * F.col("content")) / F.sum("n")).alias("below"))
     weight = F.pow(F.lit(damping), F.col("kinds"))
-    return looks.join(below, ["host", "path"]).join(pages, ["host", "path"]).select(
-        "host", "path", "n_pages",
-        ((1 - weight) * F.col("look") + weight * F.col("content")).alias("importance"))
-
-
-def main_text(pages: DataFrame, *, threshold: float = 0.3, least_pages: int = 3,
-              key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    tree = looks.join(below, ["host", "path"]).where(F.col("n_pages") >= least_pages).select(
+        "host", "path", ((1 - weight) * F.col("look") + weight * F.col("below"))
+        .alias("importance"))
+    worth = placed.join(keep(tree), ["host", "path"]).groupBy("host", "leaf").agg(
+        F.min("importance").alias("importance"), F.min("cue").alias("cue"))
+    return worth.where((F.col("importance") < threshold)
+                       | (F.col("cue") < 0) & (F.col("importance") >= sure)).select(
+        "host", "leaf", (F.col("importance") >= sure).alias("shown"))
+
+
+def main_text(pages: DataFrame, *, threshold: float = 0.3, sure: float = 0.6,
+              least_pages: int = 3, key: str = "page_id", url: str = "url",
+              html: str = "html") -> DataFrame:
     """Per row of pages: key, url, text and n_chars of the main text of the whole page.
 
-    Elements that name themselves as the article or as something else (navigation, advert,
-    comments and so on) are taken at their word, the innermost one counting. All other blocks
-    depend on the style tree of their host: branches whose importance is below threshold go, if
-    at least least_pages pages of the host have them, so a lone page keeps what it does not
-    mark. Blocks are separated by one line feed, white space in a block is one space. NULL or
-    empty HTML gives an empty text, repeated rows get the same text, a NULL URL is a host of its
-    own, other columns are ignored and an empty table gives an empty result.
+    The style tree of the host decides, with the names of elements as what to begin with. Blocks
+    whose place is less important than threshold go, inside an element marked as the article
+    too; the marked element itself is judged by its texts alone. Blocks outside of it stay only
+    if their place has an importance of sure and the page has no main element. A place is judged
+    if at least least_pages different pages of the host have it, so a lone page keeps what it
+    marks or does not mark. What is named as something else (navigation, advert, comments and
+    so on) goes, as its texts are often as varied as those of an article. Blocks are separated
+    by one line feed, white space in a block is one space. NULL or empty HTML gives an empty
+    text, repeated rows get the same text, pages that are equal count once in the tree, a NULL
+    URL is a host of its own, other columns are ignored and an empty table gives an empty result.
     """
     parsed = keep(parsed_pages(pages, key, url, html))
-    low = keep(importance(parsed).where(
-        (F.col("importance") < threshold) & (F.col("n_pages") >= least_pages))
-        .select("host", "path"))
-    open_ = F.exists("blocks", lambda b: b["cue"] == 0)
-    unsure = parsed.where(open_)
-    gone = (unsure.select(
-        "page", "tid", host_of(F.col("url")).alias("host"),
-        F.posexplode("blocks").alias("at", "b")).where(F.col("b.cue") == 0).select(
-        "page", "tid", "host", "at", F.explode(branches(F.col("b.path"))).alias("path"))
-        .join(low, ["host", "path"]).groupBy("page", "tid")
-        .agg(F.collect_set("at").alias("gone")))
-    # pages that mark all they have need no join, so their texts are not shuffled
-    certain = parsed.where(~open_).withColumn("gone", F.lit(None).cast("array<int>"))
-    both = certain.unionByName(unsure.join(gone, ["page", "tid"], "left"))
-    shown = F.filter("blocks", lambda b, i: (b["cue"] > 0) | (
-        (b["cue"] == 0) & ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), i)))
+    judged = keep(verdicts(parsed, threshold, sure, least_pages))
+    leaves = parsed.select("row", "host", F.explode(F.array_distinct(
+        F.transform("blocks", lambda b: b["leaf"]))).alias("leaf"))
+    by_page = leaves.join(judged, ["host", "leaf"]).groupBy("row").agg(
+        F.collect_list(F.when(~F.col("shown"), F.col("leaf"))).alias("gone"),
+        F.collect_list(F.when(F.col("shown"), F.col("leaf"))).alias("back"))
+    none = F.array().cast("array<long>")
+    shown = F.filter("blocks", lambda b: F.when(
+        b["cue"] < 0, F.array_contains(F.coalesce("back", none), b["leaf"])).otherwise(
+        ~F.array_contains(F.coalesce("gone", none), b["leaf"])))
     text = F.array_join(F.transform(shown, lambda b: b["text"]), "\n")
-    return both.select(
+    return parsed.join(keep(by_page), "row", "left").select(
         id_back(F.col("page")).alias(key), F.col("url").alias(url), text.alias("text"),
         F.char_length(text).cast("long").alias("n_chars"))

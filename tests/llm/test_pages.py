@@ -75,6 +75,25 @@ def test_style_tree_removes_what_a_site_repeats(spark):
     assert out[99] == "Home News\nalone"
 
 
+def test_style_tree_decides_inside_and_outside_of_marked_articles(spark):
+    box = "<div class='x'><p>Read all that we print.</p></div>"
+    rows = [(i, f"http://in.example/{i}", f"<main>{box}<p>Story {i} here.</p></main>out {i}")
+            for i in range(6)]
+    rows += [(10 + i, f"http://teased.example/{i}",
+              f"<div class='a'><p>Body {i} of the page.</p></div><div class='b'><p>Same foot.</p>"
+              "</div><aside><article><p>Teaser</p></article></aside><article><p>Now</p></article>")
+             for i in range(6)]
+    rows += [(20 + i, f"http://copies.example/{i}", "<main><p>One text.</p></main>")
+             for i in range(6)]
+    rows += [(30, "http://lone.example/", f"<main>{box}<p>Alone.</p></main>")]
+    out = {r["page_id"]: r["text"] for r in site_style.main_text(pages(spark, rows)).collect()}
+    for i in range(6):
+        assert out[i] == f"Story {i} here."
+        assert out[10 + i] == f"Body {i} of the page."
+        assert out[20 + i] == "One text."
+    assert out[30] == "Read all that we print.\nAlone."
+
+
 def test_awkward_pages(spark):
     rows = [(None, None, None), (1, None, "<p>a"), (1, None, "<p>a"), (2, "x", ""),
             (3, "http://h/", "<p>" + "long " * 200_000)]
