@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -9,10 +11,16 @@ from pyspark.sql import DataFrame, functions as F
 from ebbtide.llm.components import components, local_labels, star_groups
 from ebbtide.llm.staging import drop, id_back, id_or_least, keep, only
 
-PASSES = 12
+PASSES = 12  # at least
+RECALL = 0.95  # aimed at for pairs at the threshold among the most crowded third of the vectors
+PROBES = 600
+TRIALS = 32
+SAMPLE_ROWS = 20_000
+SAMPLE_BYTES = 16 << 20
 BLOCK = 512
 HASHES = 3
 TILES_AT_ONCE = 16
+NEAR = 8
 SLACK = 1e-4  # single precision finds candidates this far below the threshold
 
 
@@ -44,6 +52,67 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
+def partners(units: np.ndarray, among: np.ndarray, least: float, draw) -> np.ndarray:
+    """For each vector one at the cosine least, turned towards a random vector of among."""
+    towards = among[draw.integers(0, len(among), len(units))]
+    towards = towards + 1e-3 * draw.standard_normal(units.shape)
+    aside = towards - np.einsum("ij,ij->i", towards, units)[:, None] * units
+    aside /= np.sqrt((aside * aside).sum(axis=1, keepdims=True))
+    return least * units + math.sqrt(1 - least * least) * aside
+
+
+def passes_for(units: np.ndarray, rows: int, least: float, block: int) -> int:
+    """Passes that vectors like the unit vectors of a sample need if there are rows of them.
+
+    Pairs at the threshold are added to the sample and sorted as a pass does; a pair that is w
+    places apart is w times rows over the sample's size apart in the table, and met if that is
+    at most a block. Where a block is less than NEAR places of the sample, the chance is carried
+    on as a power of the distance. The third of the pairs that lies furthest apart decides; half
+    of the trials tells which pairs these are, the other half how often they are met.
+    """
+    if rows <= 2 * block or least >= 1 or len(units) < NEAR or units.shape[1] < 2:
+        return PASSES
+    draw = np.random.default_rng([units.shape[1], len(units)])
+    at = draw.integers(0, len(units), PROBES)
+    everything = np.concatenate([units, partners(units[at], units, least, draw)])
+    apart = np.empty((TRIALS, PROBES))
+    for number in range(TRIALS):
+        key, along = pass_keys(everything, number)
+        place = np.empty(len(everything), np.int64)
+        place[np.lexsort((along, key))] = np.arange(len(everything))
+        apart[number] = np.abs(place[at] - place[len(units):])
+    within = block * len(everything) / rows
+    far = np.argsort(np.median(apart[::2], axis=0))[-(PROBES // 3):]
+    apart = apart[1::2, far]
+
+    def met(width: float) -> float:
+        return max(float((apart <= width).mean()), 1 / apart.size)
+
+    chance = met(max(within, NEAR))
+    if within < NEAR:
+        power = math.log(met(8 * NEAR) / chance) / math.log(8)
+        chance *= (within / NEAR) ** max(power, 0.0)
+    # the partners lie at the edge of a crowd, where it is thinner: half the chance is counted on
+    return max(PASSES, math.ceil(math.log(1 - RECALL) / math.log1p(-min(chance / 2, 0.999))))
+
+
+def needed_passes(vectors: DataFrame, least: float, block: int) -> int:
+    """Passes for a table of unequal vectors, from a sample of bounded size."""
+    rows, longest = vectors.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    if rows <= 2 * block:
+        return PASSES
+    wanted = min(SAMPLE_ROWS, max(NEAR, SAMPLE_BYTES // (8 * longest)))
+    share = min(1.0, wanted / rows)
+    sample = (vectors if share == 1 else vectors.sample(share, 1)).select("vector").toArrow()
+    sizes = np.array([len(v) for v in sample.column(0)], np.int64)
+    most = PASSES
+    for size in np.unique(sizes).tolist():
+        picked = sample.column(0).take(pa.array(np.flatnonzero(sizes == size)))
+        units = unit(picked.combine_chunks().flatten().to_numpy().reshape(-1, size))
+        most = max(most, passes_for(units, round(len(units) / share), least, block))
+    return most
+
+
 def keyed_passes(vectors: DataFrame, passes: int) -> DataFrame:
     """(turn, size, key, along, node, n, vector): each vector once per pass."""
     kind = vectors.schema["vector"].dataType.simpleString()
@@ -181,7 +250,7 @@ def neighbour_links(vectors: DataFrame, least: float, passes: int, block: int) -
     return found
 
 
-def embedding_links(rows: DataFrame, *, least: float = 0.9, passes: int = PASSES,
+def embedding_links(rows: DataFrame, *, least: float = 0.9, passes: int | None = None,
                     block: int = BLOCK, key: str = "vec_id",
                     vector: str = "embedding") -> DataFrame:
     """Per row: key, n_links, component_id and kept.
@@ -190,7 +259,8 @@ def embedding_links(rows: DataFrame, *, least: float = 0.9, passes: int = PASSES
     vectors are sorted by concatenated random hashes and compared inside blocks of block vectors
     and with the block after; as long as blocks have links, those further off are compared too,
     so a group larger than a block is found whole and nothing is capped. Pairs are verified in
-    double precision, so no link is below least; some pairs close to it may be missed. NULL or
+    double precision, so no link is below least; some pairs close to it may be missed. Without
+    passes their number follows from the number of vectors and how crowded they are. NULL or
     empty vectors, zero vectors and vectors with a NULL, infinite or NaN component link with
     nothing, vectors of unequal size neither. A NULL id sorts first; rows that share an id are
     one node of the graph. Other columns are ignored, an empty table gives an empty result.
@@ -207,6 +277,8 @@ def embedding_links(rows: DataFrame, *, least: float = 0.9, passes: int = PASSES
     folded = keep(listed.where(F.col("vector").isNotNull()).groupBy("k1", "k2").agg(
         F.min("id").alias("node"), F.count(F.lit(1)).alias("n"),
         F.any_value("vector").alias("vector")))
+    if passes is None:
+        passes = needed_passes(folded, least, block)
     found = neighbour_links(folded.select("node", "n", "vector"), least, passes, block)
     links = found.where(F.col("b").isNotNull()).select("a", "b", "n_a", "n_b").distinct()
     degree = (links.select(F.col("a").alias("node"), F.col("n_b").alias("n"))

@@ -186,6 +186,36 @@ def test_a_group_larger_than_a_block_is_found_whole(spark):
     assert {r["n_links"] for r in out} == {149} and {r["component_id"] for r in out} == {0}
 
 
+def test_recall_in_a_crowd_of_many_blocks():
+    """Vectors at mutual cosine 0.7, hundreds of blocks of them, with pairs at 0.9 among them."""
+    draw = np.random.default_rng(8)
+    centre = projections.unit(draw.standard_normal((1, 32)))
+
+    def aside(n, *axes):
+        out = draw.standard_normal((n, 32))
+        for axis in axes:
+            out -= np.einsum("ij,ij->i", out, np.broadcast_to(axis, out.shape))[:, None] * axis
+        return projections.unit(out)
+
+    own = aside(4000, centre)
+    turned = 2 / 3 * own[:300] + np.sqrt(5 / 9) * aside(300, centre, own[:300])
+    crowd = np.sqrt(0.7) * centre + np.sqrt(0.3) * np.concatenate([own, turned])
+
+    def met(units, passes, block=8):
+        """Pairs in one tile or two neighbouring ones, in any pass."""
+        found = np.zeros(300, bool)
+        for number in range(passes):
+            key, along = projections.pass_keys(units, number)
+            place = np.empty(len(units), np.int64)
+            place[np.lexsort((along, key))] = np.arange(len(units))
+            tile = place // block
+            found |= np.abs(tile[:300] - tile[4000:]) <= 1
+        return found.sum()
+
+    assert met(crowd, projections.PASSES) < 0.9 * 300
+    assert met(crowd, projections.passes_for(crowd, len(crowd), 0.9, 8)) >= 0.9 * 300
+
+
 def test_recall_on_the_corpus(spark, folder):
     known = [(r["vec_id"], r["embedding"])
              for r in pq.read_table(f"{folder}/embeddings.parquet").to_pylist()]
