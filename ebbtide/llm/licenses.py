@@ -52,7 +52,7 @@ def scan_licenses(docs: DataFrame, *, templates: Mapping[str, str] = TEMPLATES,
     are kept as often as they come, NULL ids stay NULL, other columns are ignored, an empty
     table gives an empty result.
     """
-    ratio = least / (2 - least)
+    ratio = least / (2 - least) - 1e-9  # rounding must not prune what is exactly at least
     known = sorted({w for t in templates.values() for w in template_words(t)})
     entries = [(name, template_bigrams(t)) for name, t in sorted(templates.items())]
     table = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(len(b)).alias("n"),

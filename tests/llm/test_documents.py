@@ -248,6 +248,12 @@ def check_packed(out, rows, capacity):
     return len(used), -(-sum(used.values()) // capacity)
 
 
+def test_licenses_exactly_at_the_least_coefficient(spark):
+    text = "This work is licensed under CC BY-NC 4.0"
+    row = licenses.scan_licenses(frame(spark, [(1, text)])).collect()[0]
+    assert (row["n_matches"], row["license"], row["dice"]) == (1, "CC-BY-NC-4.0-line", 0.8)
+
+
 def test_packing(spark, docs, rows, folder, corpus):
     texts = [*rows, (99, "<|endoftext|> and   three spaces \n \n'll")]
     made, bound = check_packed(
