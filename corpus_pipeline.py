@@ -28,7 +28,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their place in sequences of 1024 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), capacity=1024)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), capacity=1024,
+                        special=True)
 
 
 STAGES = (

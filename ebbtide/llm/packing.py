@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from dataclasses import dataclass
 
@@ -16,6 +17,9 @@ from ebbtide.llm.staging import batches, id_back, id_or_least, keep, only
 
 # How the byte-level vocabulary splits text before merging.
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+SPECIAL = {"<|endoftext|>": 50256}  # added token of the vocabulary file
+# A run of white space so long that the splitting pattern may run out of stack on it.
+LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{100000,}")
 END = 2
 CAPACITY = 1024
 SLICE = 4 << 20
@@ -29,18 +33,32 @@ def encoder(ranks_path: str) -> tiktoken.Encoding:
             ranks = {base64.b64decode(piece): int(rank)
                      for piece, rank in (line.split() for line in lines)}
         _encoders[ranks_path] = tiktoken.Encoding(
-            "byte_bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+            "byte_bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=SPECIAL)
     return _encoders[ranks_path]
 
 
-def token_ids(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
-    """Ids of the whole text, then the end id; special tokens' strings are ordinary text."""
-    ids = encoding.encode_to_numpy(text, disallowed_special=())
-    return np.append(ids, END).astype("<u4")
+def token_ids(encoding: tiktoken.Encoding, text: str, special: bool = False) -> np.ndarray:
+    """Ids of the whole text, then the end id; with special its strings get their own ids.
+
+    The pattern takes a run of white space as one piece but for its last character, which
+    belongs to what follows, so long runs are merged without it.
+    """
+    allowed, out, start = "all" if special else set(), [], 0
+    for run in LONG_BLANKS.finditer(text):
+        # before the end of the text the whole run is one piece, as it is before a special token
+        whole = run.end() == len(text) or special and text.startswith(tuple(SPECIAL), run.end())
+        end = run.end() if whole else run.end() - 1
+        out.append(encoding.encode_to_numpy(
+            text[start:run.start()], allowed_special=allowed, disallowed_special=()))
+        out.append(np.array(encoding._encode_single_piece(text[run.start():end]), np.uint32))
+        start = end
+    out.append(encoding.encode_to_numpy(
+        text[start:], allowed_special=allowed, disallowed_special=()))
+    return np.append(np.concatenate(out), END).astype("<u4")
 
 
 def pieces(docs: DataFrame, ranks_path: str, *, capacity: int = CAPACITY, key: str = "doc_id",
-           text: str = "text", ids: bool = False) -> DataFrame:
+           text: str = "text", ids: bool = False, special: bool = False) -> DataFrame:
     """(doc, piece, start, length, ids_crc32, part, rank): documents cut to the capacity.
 
     A longer document is cut into full pieces, what is left over goes first. rank numbers the
@@ -55,7 +73,7 @@ def pieces(docs: DataFrame, ranks_path: str, *, capacity: int = CAPACITY, key: s
             out = [[] for _ in range(8)]
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if value not in made:
-                    made[value] = token_ids(encoding, value)
+                    made[value] = token_ids(encoding, value, special)
                 tokens = made[value]
                 cuts = [0, *range(len(tokens) % capacity or capacity, len(tokens), capacity),
                         len(tokens)]
@@ -165,17 +183,19 @@ def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
 
 
 def pack(docs: DataFrame, ranks_path: str, *, capacity: int = CAPACITY, key: str = "doc_id",
-         text: str = "text", ids: bool = False) -> DataFrame:
+         text: str = "text", ids: bool = False, special: bool = False) -> DataFrame:
     """Per piece: key, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
     The plan is made over the counts of the piece lengths of the whole corpus, at most capacity
     numbers, so all documents are packed together whatever task they are in. Pieces then find
     their place by their number among those of the same length: a number inside the task, plus
-    the pieces of that length in tasks before. Offsets of a sequence have no gaps. NULL and
+    the pieces of that length in tasks before. Offsets of a sequence have no gaps. With special the strings of
+    special tokens get the ids of the vocabulary file, else they are ordinary text. NULL and
     empty texts are one piece with the end id alone. Rows that repeat are packed each; a NULL id
     stays NULL; other columns are ignored; an empty table gives an empty result.
     """
-    made = keep(pieces(docs, ranks_path, capacity=capacity, key=key, text=text, ids=ids))
+    made = keep(pieces(docs, ranks_path, capacity=capacity, key=key, text=text, ids=ids,
+                       special=special))
     per_part = made.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1)

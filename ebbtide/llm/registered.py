@@ -44,7 +44,7 @@ def op5_substrings(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), BYTE_BPE, capacity=1024)
+    return packing.pack(table(spark, folder, "documents"), BYTE_BPE, capacity=1024, special=True)
 
 
 URL_RULES = (

@@ -254,6 +254,16 @@ def test_licenses_exactly_at_the_least_coefficient(spark):
     assert (row["n_matches"], row["license"], row["dice"]) == (1, "CC-BY-NC-4.0-line", 0.8)
 
 
+@pytest.mark.parametrize("text", [
+    "hello <|endoftext|> world", "<|endoftext|><|endoftext|>x", "a" + " " * 1_100_000 + "b",
+    " " * 1_100_000, "a" + " \n" * 550_000 + "\n<|endoftext|> b"])
+def test_token_ids_are_those_of_the_vocabulary_file(text):
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = model.encode(text, add_special_tokens=False).ids + [packing.END]
+    got = packing.token_ids(packing.encoder(registered.BYTE_BPE), text, special=True)
+    assert got.tolist() == want
+
+
 def test_packing(spark, docs, rows, folder, corpus):
     texts = [*rows, (99, "<|endoftext|> and   three spaces \n \n'll")]
     made, bound = check_packed(
