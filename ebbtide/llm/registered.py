@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from ebbtide.llm import (
-    licenses, packing, pieces, projections, quality_rules, simhash, site_style, substrings,
-    suffixes, url_rules)
+    licenses, merkle, packing, pieces, projections, quality_rules, repair, simhash, site_style,
+    small_world, substrings, suffixes, url_rules)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -90,3 +90,25 @@ ORACLES["op1_licenses"] = licenses.licenses_sql()
 def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     out = suffixes.suffix_dedup(table(spark, folder, "documents"), window=200)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@register
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest_digests(table(spark, folder, "documents"))
+
+
+ORACLES["op11_manifest"] = merkle.manifest_sql()
+
+
+@register
+def op12_repairs(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.conversation_repairs(table(spark, folder, "conversations"))
+
+
+@register
+def op13_small_world(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return small_world.nearest_neighbours(rows.where("vec_id % 50 = 0"), rows, k=5)
+
+
+ORACLES["op13_small_world"] = small_world.nearest_sql()

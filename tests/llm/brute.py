@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -99,3 +101,112 @@ def byte_dedup(rows, size=200):
         kept = bytes(x for x, g in zip(b, gone) if not g)
         out[d] = (len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def hex_digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def manifest(rows, fanout=16):
+    """Digest columns per document from trees held as lists of levels."""
+    def field(value):
+        return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+    def leaf(row):
+        return hex_digest(*[field(row[c]) for c in ("doc_id", "source", "lang", "n_chars",
+                                                     "text")])
+
+    def tree(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            last = levels[-1]
+            levels.append([hex_digest(*last[i:i + fanout]) for i in range(0, len(last), fanout)])
+        return levels
+
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row["source"]].append(row)
+    order = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    for source in order:
+        groups[source].sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, leaf(r)))
+    trees = {s: tree([leaf(r) for r in groups[s]]) for s in order}
+    top = tree([trees[s][-1][0] for s in order])
+    out = []
+    for number, source in enumerate(order):
+        for at, row in enumerate(groups[source]):
+            changed = dict(row)
+            name = str(row["doc_id"]).encode()
+            if row["doc_id"] is not None and zlib.crc32(name) % 5 == 0 and row["text"]:
+                changed["text"] = re.sub("[A-Z]", lambda m: m[0].lower(), row["text"])
+            node, siblings = leaf(changed), []
+            for levels, place in ((trees[source], at), (top, number)):
+                for level in levels[:-1]:
+                    run = level[place // fanout * fanout:][:fanout]
+                    own = place % fanout
+                    siblings += run[:own] + run[own + 1:]
+                    node = hex_digest(*run[:own], node, *run[own + 1:])
+                    place //= fanout
+            out.append((row["doc_id"], leaf(row), trees[source][-1][0], top[-1][0],
+                        hex_digest(*siblings), node, node == top[-1][0]))
+    return out
+
+
+def damaged(rows):
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        key = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        fault = zlib.crc32(key.encode()) % 20
+        if fault:
+            text = {1: "", 2: re.sub("[.!?]", "", text)}.get(fault, text)
+            row = (conv, turn, "user" if fault == 4 else role, text)
+            yield from [row, row] if fault == 3 else [row]
+
+
+def repaired(rows):
+    """Columns of the report for one conversation, by searching edits cheapest and least first."""
+    def name(row):
+        return hashlib.sha256(f"{len(row[0].encode())}:{row[0]}{row[1]}".encode()).digest()
+
+    rows = sorted((turn is not None, turn or 0, name((role, text)), turn, role, text)
+                  for _, turn, role, text in rows)
+    rows = [row[3:] for row in rows]
+    seen, faults = set(), []
+    for _, role, text in rows:
+        bare = text.rstrip(" \t\n\x0b\x0c\r")
+        faults.append("blank" if not bare else "duplicate" if (role, text) in seen
+                      else "truncated" if bare[-1] not in ".!?" else None)
+        seen.add((role, text))
+    turns = [row[0] for row in rows if row[0] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    first = [role[:1] for _, role, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(first, first[1:]))
+    heap, done = [(0, "", 0, "", "")], set()
+    while True:
+        cost, audit, at, state, out = heapq.heappop(heap)
+        if (at, state) in done:
+            continue
+        done.add((at, state))
+        if at == len(rows) and state in ("", "a"):
+            return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")),
+                    illegal, cost, audit, hashlib.sha256(out[1:].encode()).hexdigest())
+        due = "a" if state == "u" else "u"
+        given = {"u": "user", "a": "assistant"}[due]
+        heapq.heappush(heap, (cost + 2, audit + "I", at, due, f"{out}\n{given}:"))
+        if at == len(rows):
+            continue
+        _, role, text = rows[at]
+        heapq.heappush(heap, (cost + 3, audit + "D", at + 1, state, out))
+        if faults[at] not in ("blank", "duplicate"):
+            more = cost + (faults[at] == "truncated")
+            heapq.heappush(heap, (more + 2, audit + "R", at + 1, due, f"{out}\n{given}:{text}"))
+            if first[at] == due or (first[at] == "s" and state == ""):
+                heapq.heappush(
+                    heap, (more, audit + "K", at + 1, first[at], f"{out}\n{role}:{text}"))
+
+
+def conversations(rows, ids):
+    """The report of all conversations, ids with or without rows."""
+    groups = defaultdict(list, {one: [] for one in ids})
+    for row in rows:
+        groups[row[0]].append(row)
+    return sorted(((one, *repaired(listed)) for one, listed in groups.items()), key=str)
