@@ -141,8 +141,22 @@ def drop_staged(spark: SparkSession, keep: int = 0) -> None:
     Call it at the end of a run, when its results have been written.
     """
     while len(_staged) > keep:
-        target = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        delete_folder(spark, _staged.pop())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staged_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder below the checkpoint folder, removed at the end of the block."""
+    path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        delete_folder(spark, path)
 
 
 @contextmanager

@@ -1,4 +1,4 @@
-"""Explanations: sampled Shapley values, linear contributions, summaries.
+"""Explanations: Shapley values by sampling, linear contributions, summaries.
 
 Attributions are a long table (row, feature, value), with the learner where
 several are kept together.
@@ -68,15 +68,17 @@ def shapley_sampled(predict: Callable[[DataFrame], DataFrame], sample: DataFrame
         F.avg("change").alias("value"))
 
 
-def linear_contributions(df: DataFrame, coefficients: dict[str, float], *,
-                         key: str) -> DataFrame:
+def linear_contributions(df: DataFrame, coefficients: dict[str, float], *, key: str,
+                         background: DataFrame | None = None) -> DataFrame:
     """(row, feature): weight times the distance from the mean, over a feature's inputs.
 
-    ``coefficients`` are weights of the inputs as df has them, before any scaling. The values of
-    a row add up to its log-odds minus those of the mean row.
+    ``coefficients`` are weights of the inputs as df has them, before any scaling; the mean is
+    that of ``background``, or of df itself. The values of a row add up to its log-odds minus those
+    of the mean row.
     """
     names = list(coefficients)
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in names]).first()
+    known = df if background is None else background
+    means = known.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in names]).first()
     terms: dict[str, list] = {}
     for c, w in coefficients.items():
         terms.setdefault(feature_of(c), []).append(

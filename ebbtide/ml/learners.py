@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
@@ -15,6 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.pipeline import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ebbtide.ml import newton
 from ebbtide.ml.prepare import (
     columns_with_nulls, feature_of, filled_texts, input_names, maxabs_fit)
 
@@ -103,6 +105,20 @@ def fit_learner(learner: Learner, train: DataFrame, test: DataFrame | None, labe
     return estimator.fit(data)
 
 
+def shares_passes(learner: Learner) -> bool:
+    """Whether all folds of the learner can be fitted together."""
+    return learner.algorithm == "logr" and set(learner.params) <= {"regParam", "maxIter", "tol"}
+
+
+def fit_folds(learner: Learner, public: DataFrame, label: str, fold: str, folds: int, *,
+              rows: int) -> list[Model]:
+    """A model per fold, fitted on the other folds' rows, in passes that all folds share."""
+    models, _ = newton.fold_models(
+        public, learner.vector, label, fold, folds,
+        penalty=learner.params.get("regParam", 1.0 / max(rows, 1)))
+    return models
+
+
 def predict(model: Model, df: DataFrame, name: str) -> DataFrame:
     """Adds the probability of class 1 as ``name``."""
     scored = model.transform(df).withColumn(name, vector_to_array("p_")[1])
@@ -152,30 +168,26 @@ def linear_weights(learner: Learner, models: Sequence[Model]) -> dict[str, float
 # ---- feature selection ----------------------------------------------------
 
 def feature_select_rfe(df: DataFrame, label: str, features: Sequence[str], n: int, *,
-                       params: dict | None = None) -> list[str]:
+                       params: dict | None = None, share: float = 0.1) -> list[str]:
     """Drops the feature with the smallest coefficient until n are left.
 
-    The rows become one stored vector; each round only selects from it.
+    The rows become one stored array. A fit serves for the share of the features that leave after
+    it, see ``newton.eliminate``.
     """
-    left = list(features)
-    maxes = maxabs_fit(df, left)
-    scaled = [f"{text} / {maxes[c]!r}D" for c, text in filled_texts(left, ()).items()]
-    data = df.select(F.col(label).cast("double").alias("_y"),
-                     F.expr(f"array({', '.join(scaled)})").alias("_all")).persist()
+    if len(features) <= n:
+        return list(features)
+    maxes = maxabs_fit(df, features)
+    texts = filled_texts(features, ()).values()
+    data = df.select(F.expr(f"array({', '.join(texts)})").alias("_x"),
+                     F.col(label).cast("double").alias("_y"), F.lit(0).alias("_fold")).persist()
     try:
         rows = data.count()
-        place = {c: i for i, c in enumerate(left)}
-        while len(left) > n:
-            vector = array_to_vector(F.array(*[F.col("_all")[place[c]] for c in left]))
-            model = LogisticRegression(
-                featuresCol="_x", labelCol="_y", standardization=False,
-                **{**LOGISTIC, "regParam": 1.0 / max(rows, 1), **(params or {})}).fit(
-                data.select("_y", vector.alias("_x")))
-            weights = [abs(v) for v in model.coefficients.toArray()]
-            left.pop(weights.index(min(weights)))
+        penalty = (params or {}).get("regParam", 1.0 / max(rows, 1))
+        scale = np.array([float(maxes[c]) for c in features])
+        left = newton.eliminate(newton.FoldData(data, scale, 1), penalty, n, share)
     finally:
         data.unpersist()
-    return left
+    return [features[i] for i in left]
 
 
 def feature_select_gain(df: DataFrame, label: str, features: Sequence[str], n: int, *,

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ebbtide.functions.skew import stable
 from ebbtide.ml import metrics
-from ebbtide.ml.learners import Learner, fit_learner, importances, predict
+from ebbtide.ml.learners import (
+    Learner, fit_folds, fit_learner, importances, predict, shares_passes)
 
 META = "meta"
 
@@ -112,6 +113,8 @@ def stack_fit(df: DataFrame, label: str, learners: Sequence[Learner], folds: int
 
     def fit(job: tuple[Learner, int]) -> Model:
         learner, i = job
+        if learner.name in together:
+            return together[learner.name][i]
         columns = [learner.vector, label]
         return fit_learner(learner, public.where(F.col(fold) != i).select(*columns),
                            public.where(F.col(fold) == i).select(*columns), label,
@@ -119,6 +122,9 @@ def stack_fit(df: DataFrame, label: str, learners: Sequence[Learner], folds: int
 
     jobs = [(x, i) for x in learners for i in range(folds)]
     try:
+        together = {x.name: fit_folds(x, public, label, fold, folds,
+                                      rows=rows * (folds - 1) // folds)
+                    for x in learners if shares_passes(x)}
         with ThreadPoolExecutor(threads) as pool:
             fitted = list(pool.map(inheritable_thread_target(data.sparkSession)(fit), jobs))
     except BaseException:

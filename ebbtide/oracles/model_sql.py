@@ -58,6 +58,33 @@ def _nulls(columns: list[str], source: str) -> str:
         for c in columns)
 
 
+# The two trees of the query, as the score over a pair of conditions each.
+T["tree_scores"] = """
+SELECT tree, a, b, CASE tree
+    WHEN 1 THEN CASE WHEN a THEN 0.5::DOUBLE WHEN b THEN -1 ELSE 2 END
+    ELSE 0.5::DOUBLE * CASE WHEN a THEN 1 WHEN b THEN -3 ELSE 0.25::DOUBLE END END AS v
+FROM (VALUES (1), (2)) t(tree), (VALUES (TRUE), (FALSE)) x(a), (VALUES (TRUE), (FALSE)) y(b)"""
+T["tree_sides"] = """
+SELECT user_id || '/' || destination AS row_id, fresh, tree,
+  CASE tree WHEN 1 THEN streaming_time <= 1000 ELSE genre_share_drama <= 0.2::DOUBLE END AS a,
+  CASE tree WHEN 1 THEN page_views <= 3 ELSE streaming_time <= 4000 END AS b
+FROM affinity, (VALUES (1), (2)) t(tree)"""
+T["tree_known"] = """
+SELECT tree, a, b, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY tree) AS share
+FROM tree_sides WHERE fresh = 0 GROUP BY 1, 2, 3"""
+# half of each order: the first feature before and after the second one
+T["tree_values"] = """
+SELECT r.row_id, r.tree,
+  sum(k.share * (x_b.v - none.v + all_.v - b_x.v)) / 2 AS of_a,
+  sum(k.share * (b_x.v - none.v + all_.v - x_b.v)) / 2 AS of_b
+FROM tree_sides r JOIN tree_known k USING (tree)
+JOIN tree_scores x_b ON x_b.tree = r.tree AND x_b.a = r.a AND x_b.b = k.b
+JOIN tree_scores b_x ON b_x.tree = r.tree AND b_x.a = k.a AND b_x.b = r.b
+JOIN tree_scores none ON none.tree = r.tree AND none.a = k.a AND none.b = k.b
+JOIN tree_scores all_ ON all_.tree = r.tree AND all_.a = r.a AND all_.b = r.b
+WHERE r.fresh = 1 GROUP BY 1, 2"""
+
+
 def oracle_sql() -> dict[str, str]:
     shares = [f"genre_share_{n}" for n in (
         "comedy", "drama", "ents", "childrens", "factual", "learning", "music", "news",
@@ -143,6 +170,11 @@ FROM features_audio, (VALUES {LEARNERS}, ('meta')) l(learner) WHERE fresh = 1 GR
         "shapley_sampled": with_tables(f"""
 SELECT learner, least(count(*), 1000) AS rows, least(count(*), 1000) AS add_up
 FROM features_audio, (VALUES {LEARNERS}) l(learner) WHERE fresh = 1 GROUP BY 1"""),
+        "shapley_trees": with_tables(f"""
+SELECT row_id, feature, {rounded("sum(v)")} AS value FROM (
+  SELECT row_id, unnest(CASE tree WHEN 1 THEN ['streaming_time', 'page_views']
+    ELSE ['genre_share_drama', 'streaming_time'] END) AS feature, unnest([of_a, of_b]) AS v
+  FROM tree_values) GROUP BY 1, 2"""),
         "importance_mean": with_tables(f"""
 SELECT learner, feature, {rounded("avg(abs(value))")} AS gain FROM explained GROUP BY 1, 2"""),
         "linear_contributions": with_tables("SELECT * FROM (" + " UNION ALL ".join(
@@ -169,7 +201,7 @@ FROM explained JOIN (SELECT feature, row_number() OVER (
   FROM explained WHERE learner = 'click' GROUP BY 1) USING (feature)
 WHERE learner = 'click'
 WINDOW up AS (PARTITION BY user_id ORDER BY place DESC)"""),
-        "representative_users": with_tables(f"""
+        **dict.fromkeys(("representative_users", "what_if_export"), with_tables(f"""
 SELECT user_id, mod_column, base AS baseval, modifier, method,
   {rounded("before")} AS base_prediction, {rounded("later")} AS modified_prediction,
   {rounded("(later - before)")} AS modified_impact
@@ -185,7 +217,7 @@ FROM (SELECT user_id, mod_column, method, modifier,
       AS later
   FROM averages, (VALUES ('acc_age_days', 'delta', '100'), ('acc_age_days', 'replace', '50'),
     ('age', 'delta', '-2.5'), ('barb_region', 'replace', 'EUROPE'))
-    m(mod_column, method, modifier))"""),
+    m(mod_column, method, modifier))""")),
         "representative_scores": with_tables(f"""
 SELECT user_id, {rounded("p")} AS p FROM (SELECT user_id, days / 10000 + years / 1000
   + CASE WHEN region = 'EUROPE' THEN 0.25::DOUBLE ELSE 0 END AS p FROM averages)"""),
@@ -213,9 +245,19 @@ UNION ALL SELECT user_id, 'barb_region', barb_region
   GROUP BY 1, 3 QUALIFY row_number() OVER (PARTITION BY user_id
     ORDER BY count(*) DESC, barb_region) = 1"""),
         "modifiers_csv": """
-SELECT 'user_' || n_regionkey AS user_id, n_name || ', "x"' || chr(10) AS mod_column,
-  CASE WHEN n_nationkey % 2 = 0 THEN 'delta' ELSE 'replace' END AS method,
-  CASE WHEN n_nationkey % 5 > 0 THEN CAST(n_nationkey AS VARCHAR) END AS modifier FROM nation""",
+SELECT 'user_' || c_custkey AS user_id, c_name || ', "x"' || chr(10) AS mod_column,
+  CASE WHEN c_custkey % 2 = 0 THEN 'delta' ELSE 'replace' END AS method,
+  CASE WHEN c_custkey % 5 > 0 THEN CAST(c_nationkey AS VARCHAR) END AS modifier FROM customer""",
+        "attribution_current": with_tables(f"""
+SELECT learner, feature, {rounded("input_value")} AS input_value, {rounded("value")} AS value
+FROM explained"""),
+        "score_csv_rejects": with_tables("""
+SELECT user_id, 'kept' AS column_name, CAST(count(*) AS VARCHAR) AS value FROM scored
+WHERE CAST(user_id AS BIGINT) % 17 <> 0 AND CAST(user_id AS BIGINT) % 19 <> 0 GROUP BY 1
+UNION ALL SELECT user_id, 'predicted_probability', 'n/a' FROM scored
+WHERE CAST(user_id AS BIGINT) % 17 = 0
+UNION ALL SELECT user_id, 'target_week_start_date', '2024-13-45' FROM scored
+WHERE CAST(user_id AS BIGINT) % 19 = 0"""),
         "score_csv_load": with_tables(f"""
 SELECT user_id, {week} AS target_week_start_date,
   CASE WHEN event_type = 'purchase' THEN 'meta-learner' ELSE 'weak-learner' END AS learner_type,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbtide.ml import explain, learners, metrics, prepare, registry, what_if
+from ebbtide.ml import explain, learners, metrics, prepare, registry, shapley, what_if
 from ebbtide.ml.scores import score_export as export_scores
 from ebbtide.ml.stack import META, StackModel, _safe, probability
 from ebbtide.operators import quality, sampling
@@ -15,14 +16,13 @@ from ebbtide.operators.profile import score_sample_profile
 from ebbtide.plans import training
 from ebbtide.plans.feature_queries import presented
 from ebbtide.plans.feature_set import Blocks
-from ebbtide.sources import readers, schemas, sinks
+from ebbtide.sources import publish, readers, schemas, sinks
 from ebbtide.sources.sample_tables import CONFIG, SampleTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 FOLDS = 10
 SAMPLE = 1000
-BACKGROUND = 8
 PRODUCT = "audio"
 RUN_AT = datetime(2001, 7, 30, 12, 0, 0)
 
@@ -88,15 +88,13 @@ class Lab:
     def attributions(self) -> tuple[DataFrame, DataFrame, dict[str, float]]:
         """Attributions of every learner on a sample of fresh rows, its inputs, base scores.
 
-        A learner's score is the mean over its fold models.
+        The background is the whole table of public training rows.
         """
         if self._attributions is None:
             fresh = training.scoring_rows(
                 self.features, self.prepared.preparation, active_only=False)
             chosen = training.stable(sampling.random_sample_n(fresh, SAMPLE, "user_id", "explain"))
-            known = training.stable(sampling.random_sample_n(
-                self.public, BACKGROUND, "user_id", "background"))
-            self._attributions = training.explain_learners(self.stack, chosen, known)
+            self._attributions = training.explain_learners(self.stack, chosen, self.public)
         return self._attributions
 
 
@@ -310,17 +308,40 @@ def linear_contributions(lab: Lab) -> DataFrame:
 def shapley_sampled(lab: Lab) -> DataFrame:
     """Per learner: explained rows, and those whose values add up to score minus base score."""
     values, _, base = lab.attributions
-    names = [x.name for x in lab.stack.learners]
     totals = values.groupBy("learner", "user_id").agg(F.sum("value").alias("total"))
-    parts = F.array(*[F.struct(F.lit(n).alias("learner"), (
-        F.col(probability(n)) - F.lit(base[n])).alias("distance")) for n in names])
-    scores = lab.predictions.select("user_id", F.explode(parts).alias("s")).select(
-        "user_id", "s.*")
+    fresh = training.scoring_rows(lab.features, lab.prepared.preparation, active_only=False)
+    distances = []
+    for learner in lab.stack.learners:
+        scored = training.explained_score(
+            learner, lab.stack.fold_models[learner.name],
+            fresh.select("user_id", learner.vector_column()), "p")
+        distances.append(scored.select(
+            F.lit(learner.name).alias("learner"), "user_id",
+            (F.col("p") - F.lit(base[learner.name])).alias("distance")))
+    scores = functools.reduce(DataFrame.unionAll, distances)
     return totals.join(scores, ["learner", "user_id"]).groupBy("learner").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.abs(F.col("total") - F.col("distance")) < 1e-6).alias("add_up"))
 
 
+# Two trees of two features each, so that SQL can follow them.
+TREE_INPUTS = ("streaming_time", "page_views", "genre_share_drama")
+TREES = (
+    shapley.Tree({0: (0, 1000.0, 1, 2), 1: 0.5, 2: (1, 3.0, 3, 4), 3: -1.0, 4: 2.0}),
+    shapley.Tree({0: (2, 0.2, 1, 2), 1: 1.0, 2: (0, 4000.0, 3, 4), 3: -3.0, 4: 0.25}, 0.5))
+
+
+@register
+def shapley_trees(lab: Lab) -> DataFrame:
+    """Exact values of a fixed ensemble for every fresh row, against all training rows."""
+    rows = lab.blocks.affinity.withColumn("row_id", F.concat_ws("/", "user_id", "destination"))
+    known = rows.where(F.col("fresh") == 0).select(*TREE_INPUTS)
+    leaves = shapley.leaves_of(TREES, TREE_INPUTS)
+    counts = shapley.background_of(leaves, known, TREE_INPUTS)
+    return shapley.tree_shapley(leaves, counts, rows.where(F.col("fresh") == 1), TREE_INPUTS,
+                                key="row_id")
+
+
 @register
 def attribution_summary(lab: Lab) -> DataFrame:
     return explain.attribution_summary(lab.sources.explained)
@@ -335,6 +356,16 @@ def attribution_export(lab: Lab) -> DataFrame:
     return sinks.partitioned_export(rows.where(F.col("learner_name") == "click"), path)
 
 
+@register
+def attribution_current(lab: Lab) -> DataFrame:
+    """Attributions of the newest of two published runs, by learner and without users."""
+    rows = lab.sources.explained.drop("fold", "user_id", "target_week_start_date")
+    root = sinks.scratch(lab.spark, "published")
+    for run in (rows.where(F.col("learner") == "click"), rows):
+        publish.publish(lab.spark, root, {"attributions": run}, by={"attributions": ["learner"]})
+    return publish.read_current(lab.spark, root, "attributions")
+
+
 @register
 def dependence_pairs(lab: Lab) -> DataFrame:
     return explain.dependence_pairs(lab.sources.explained, "level")
@@ -381,6 +412,18 @@ def representative_users(lab: Lab) -> DataFrame:
     return what_if.representative_users(_segment_facts(lab), modifiers, *AVERAGED, _fixed_score)
 
 
+@register
+def what_if_export(lab: Lab) -> DataFrame:
+    """Impacts of two runs, read back through the pointer of the published versions."""
+    modifiers = lab.spark.createDataFrame(
+        [(s, *c) for s in what_if.default_segments() for c in CHANGES],
+        "user_id string, mod_column string, method string, modifier string")
+    root, facts = sinks.scratch(lab.spark, "what-if"), training.stable(_segment_facts(lab))
+    for changes in (modifiers.where("method = 'delta'"), modifiers):
+        out = training.what_if_run(facts, changes, *AVERAGED, _fixed_score, root)
+    return out
+
+
 @register
 def representative_scores(lab: Lab) -> DataFrame:
     return what_if.representative_scores(
@@ -427,13 +470,12 @@ def csv_feature_roundtrip(lab: Lab) -> DataFrame:
 @register
 def modifiers_csv(lab: Lab) -> DataFrame:
     """What-if modifiers written as CSV and read with their schema."""
-    nations = lab.sources.table("nation")
-    given = nations.select(
-        F.concat(F.lit("user_"), F.col("n_regionkey").cast("string")).alias("user_id"),
-        F.concat(F.col("n_name"), F.lit(', "x"\n')).alias("mod_column"),
-        F.when(F.col("n_nationkey") % 2 == 0, "delta").otherwise("replace").alias("method"),
-        F.when(F.col("n_nationkey") % 5 > 0, F.col("n_nationkey").cast("string"))
-        .alias("modifier"))
+    key = F.col("c_custkey")
+    given = lab.sources.table("customer").select(
+        F.concat(F.lit("user_"), key.cast("string")).alias("user_id"),
+        F.concat(F.col("c_name"), F.lit(', "x"\n')).alias("mod_column"),
+        F.when(key % 2 == 0, "delta").otherwise("replace").alias("method"),
+        F.when(key % 5 > 0, F.col("c_nationkey").cast("string")).alias("modifier"))
     path = sinks.scratch(lab.spark, "modifiers")
     sinks.write_features(given, path, "csv")
     return readers.read_csv(lab.spark, path, schemas.MODIFIERS)
@@ -447,3 +489,25 @@ def score_csv_load(lab: Lab) -> DataFrame:
     loaded = readers.read_csv(lab.spark, path, schemas.SCORES)
     out = sinks.score_append(loaded, sinks.scratch(lab.spark, "loaded"), "video")
     return out.drop("score_datetime")
+
+
+@register
+def score_csv_rejects(lab: Lab) -> DataFrame:
+    """Rows of a score file with values of the wrong type, one row for each such value."""
+    path = sinks.scratch(lab.spark, "bad-files")
+    key = F.col("user_id").cast("bigint")
+    texts = [F.col(c).cast("string").alias(c) for c in schemas.SCORES.fieldNames()]
+    given = lab.sources.score_history.select(*texts).withColumns({
+        "predicted_probability": F.when(key % 17 == 0, "n/a").otherwise(
+            F.col("predicted_probability")),
+        "target_week_start_date": F.when(key % 19 == 0, "2024-13-45").otherwise(
+            F.col("target_week_start_date")),
+        "optimal_classification": F.when(key % 5 > 0, F.col("optimal_classification"))})
+    sinks.write_features(given, path, "csv")
+    loaded = readers.load_csv(lab.spark, path, schemas.SCORES,
+                              sinks.scratch(lab.spark, "rejects"), most=0.5)
+    kept = loaded.rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).select(
+        "user_id", F.lit("kept").alias("column_name"), F.col("n").cast("string").alias("value"))
+    faults = loaded.rejects.select("fields.user_id", F.explode("faults").alias("f")).select(
+        "user_id", F.col("f.column").alias("column_name"), "f.value")
+    return kept.unionByName(faults)

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.functions.skew import stable
-from ebbtide.ml import explain, registry
+from ebbtide.ml import explain, registry, shapley, what_if
 from ebbtide.ml.learners import (
-    Learner, feature_select_gain, feature_select_rfe, importance_mean)
+    Learner, feature_select_gain, feature_select_rfe, importance_mean, linear_weights, predict)
 from ebbtide.ml.prepare import Preparation, columns_with_nulls, filled_features
 from ebbtide.ml.scores import score_export
 from ebbtide.ml.stack import StackModel, fold_mean, stack_fit, stack_predict
 from ebbtide.operators.sampling import random_sample_n, split_roles, stratified_folds
-from ebbtide.sources import sinks
+from ebbtide.sources import publish, sinks
 
 LABEL = "target_churn_next_week"
 KEYS = ("user_id", "target_week_start_date")
@@ -104,32 +104,58 @@ def score(features: DataFrame, model: StackModel, preparation: Preparation, *,
                          KEYS)
 
 
+def explained_score(learner: Learner, models: Sequence, df: DataFrame, name: str) -> DataFrame:
+    """Adds what a learner's attributions add up to, less its mean over the background.
+
+    The mean over the folds of the log-odds for logistic regression and boosted trees, where
+    the trees and weights are additive, and of the probability for forests and MLP.
+    """
+    parts = [f"_e{i}" for i in range(len(models))]
+    for part, model in zip(parts, models):
+        df = predict(model, df, part)
+        if learner.algorithm in ("gbt", "logr"):
+            df = df.withColumn(part, F.ln(F.col(part) / (1 - F.col(part))))
+    return df.withColumn(name, sum(map(F.col, parts[1:]), F.col(parts[0])) / len(parts)).drop(
+        *parts)
+
+
 def explain_learners(model: StackModel, sample: DataFrame, background: DataFrame, *,
                      permutations: int = 1, seed: int = 7
                      ) -> tuple[DataFrame, DataFrame, dict[str, float]]:
     """Attributions and inputs of every learner on sample, and its mean score on background.
 
-    (learner, user_id, feature, value), (learner, user_id, feature, input_value). Scores are
-    means over the folds' models; values of a row add up to its score minus the base score.
+    (learner, user_id, feature, value), (learner, user_id, feature, input_value). Values of a row
+    add up to its ``explained_score`` minus the base score. They are exact against all rows of
+    background for trees and logistic regression; an MLP is explained by walks from a background
+    of at most 200 rows.
     """
+    spark = sample.sparkSession
     values, inputs, base = [], [], {}
     for learner in model.learners:
         models = model.fold_models[learner.name]
         columns = filled_features(learner.features, learner.with_nulls)
         own, known = sample.select("user_id", *columns), background.select("user_id", *columns)
-
-        def predict(df: DataFrame, learner=learner, models=models) -> DataFrame:
-            return fold_mean(learner, models, df, "p")
-
+        if learner.algorithm in ("gbt", "rf"):
+            leaves = shapley.ensemble_leaves(models, learner.inputs, spark)
+            counts = shapley.background_of(leaves, known, learner.inputs)
+            found = shapley.tree_shapley(leaves, counts, own, learner.inputs, key="user_id")
+        elif learner.algorithm == "logr":
+            found = explain.linear_contributions(
+                own, linear_weights(learner, models), key="user_id", background=known)
+        else:
+            def mean_score(df: DataFrame, learner=learner, models=models) -> DataFrame:
+                return fold_mean(learner, models, df, "p")
+
+            found = explain.shapley_sampled(
+                mean_score, own, known, learner.inputs, key="user_id", vector=learner.vector,
+                permutations=permutations, seed=seed)
         label = F.lit(learner.name).alias("learner")
-        found = explain.shapley_sampled(
-            predict, own, known, learner.inputs, key="user_id", vector=learner.vector,
-            permutations=permutations, seed=seed)
         values.append(found.select(label, "user_id", "feature", "value"))
         inputs.append(explain.long_inputs(
             own, [f for f in learner.features], key="user_id").select(
             label, "user_id", "feature", "input_value"))
-        base[learner.name] = predict(background.select(learner.vector_column())).agg(
+        base[learner.name] = explained_score(
+            learner, models, background.select(learner.vector_column()), "p").agg(
             F.avg("p")).first()[0]
 
     def together(frames: list[DataFrame]) -> DataFrame:
@@ -147,7 +173,9 @@ def scoring_run(features: DataFrame, product: str, model: StackModel, preparatio
     """One weekly job: scores, history, attributions of all learners and importances, written.
 
     ``background`` holds prepared training rows. Returns what the folders below ``folder`` hold
-    afterwards; a repeated run of a week and product replaces its own part only.
+    afterwards; a repeated run of a week and product replaces its own part only. The week's
+    attributions and importances, without users, are also published together below
+    ``folder/current``, where readers find them through ``publish.read_current``.
     """
     spark = features.sparkSession
     rows = stable(scoring_rows(features, preparation, active_only=active_only))
@@ -165,4 +193,18 @@ def scoring_run(features: DataFrame, product: str, model: StackModel, preparatio
         F.col("learner").alias("learner_name"), "feature", "gain",
         F.lit(week).cast("date").alias("target_week_start_date"), F.lit(product).alias("product"))
     importances = sinks.partitioned_export(gains, f"{folder}/importances", by)
+    publish.publish(spark, f"{folder}/current/{product}", {
+        "attributions": table.drop("user_id", "target_week_start_date"),
+        "importances": gains.drop("target_week_start_date", "product")},
+        by={"attributions": ["learner_name"]})
     return {"scores": history, "attributions": attributions, "importances": importances}
+
+
+def what_if_run(profiled: DataFrame, modifiers: DataFrame, numeric: Sequence[str],
+                categorical: Sequence[str], score_users: Callable, root: str) -> DataFrame:
+    """Impacts of the changes on representative users, published below root; what readers see."""
+    spark = profiled.sparkSession
+    impacts = what_if.representative_users(
+        profiled, modifiers, numeric, categorical, score_users)
+    publish.publish(spark, root, {"what_if": impacts})
+    return publish.read_current(spark, root, "what_if")
