@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -39,14 +40,18 @@ def genre_conditional_sums(genre: str, measure: str, *, names: str = "genre_st_{
             for short, prefix, plural in GENRES]
 
 
-def activity_weekly_rollup(scan: DataFrame, cfg: ChurnConfig) -> DataFrame:
-    """(user, product, week): events, time, days, page views, time per genre."""
+def activity_weekly_rollup(scan: DataFrame, cfg: ChurnConfig,
+                           further: Sequence[str] = ()) -> DataFrame:
+    """(user, product, week): events, time, days, page views, time per genre.
+
+    ``further`` columns of scan tell more rows apart.
+    """
     week = week_of(F.col("date_of_event"))
     rows = scan.select(
         "user_id", destination_product(cfg).alias("destination"), week.alias("week"),
-        "date_of_event", "genre_names", "playback_time", "page_views")
+        "date_of_event", "genre_names", "playback_time", "page_views", *further)
     known = plus(f"genre_st_{g[0]}" for g in GENRES)
-    return rows.groupBy("user_id", "destination", "week").agg(
+    return rows.groupBy("user_id", "destination", "week", *further).agg(
         F.count(F.lit(1)).alias("events"),
         F.sum("playback_time").cast("double").alias("streaming_time"),
         distinct_days("date_of_event", "week", span=7).alias("distinct_days"),
@@ -55,6 +60,25 @@ def activity_weekly_rollup(scan: DataFrame, cfg: ChurnConfig) -> DataFrame:
     ).withColumn("genre_st_other", F.expr(f"streaming_time - {known}"))
 
 
+def weekly_parts(scan: DataFrame, cfg: ChurnConfig) -> DataFrame:
+    """(user, product, week, is_sunday): the weekly sums of a week's last day and of the others.
+
+    The extract may begin on a Sunday, so the two are kept apart.
+    """
+    rows = scan.select("*", (F.weekday("date_of_event") == 6).alias("is_sunday"))
+    parts = activity_weekly_rollup(rows, cfg, ("is_sunday",))
+    return parts.drop("genre_st_other")
+
+
+def weekly_of_parts(parts: DataFrame) -> DataFrame:
+    """The weekly roll-up; all of its columns but one add up over the days of a week."""
+    sums = [c for c in parts.columns if c not in ("user_id", "destination", "week", "is_sunday")]
+    known = plus(f"genre_st_{g[0]}" for g in GENRES)
+    return parts.groupBy("user_id", "destination", "week").agg(
+        *[F.sum(c).alias(c) for c in sums]).withColumn(
+        "genre_st_other", F.expr(f"streaming_time - {known}"))
+
+
 #: What tells rows of the daily roll-up apart, besides the thresholds they pass.
 DAILY_KEYS = ("user_id", "destination", "app_name", "date_of_event", "version_id", "episode_id",
               "series_id", "brand_id", "clip_id", "broadcast_type", "device_type",
@@ -73,6 +97,10 @@ def daily_activity(activity: DataFrame, cfg: ChurnConfig) -> DataFrame:
         F.col("destination").isin(*cfg.destinations) & F.col("user_id").isNotNull()
         & (F.col("date_of_event") >= F.lit(cfg.window_min_date))
         & (F.col("date_of_event") < F.lit(after)))
+    return daily_rollup(rows, cfg)
+
+
+def daily_rollup(rows: DataFrame, cfg: ChurnConfig) -> DataFrame:
     time = F.coalesce("playback_time", F.lit(0))
     return rows.groupBy(
         *DAILY_KEYS, F.date_trunc("hour", "event_ts").alias("event_ts"),

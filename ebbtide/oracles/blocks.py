@@ -169,7 +169,7 @@ WHERE l_returnflag = 'A' AND l_linestatus = '{_status}'"""
 T["factors"] = f"""
 SELECT CASE WHEN vec_id <= 25 THEN 'Brand#' || vec_id ELSE 's' || (vec_id - 25) END AS content_id,
   {lst(f"CAST(embedding[{i + 1}] AS DOUBLE) AS f{i}" for i in range(20))}
-FROM embeddings WHERE vec_id >= 1"""
+FROM embeddings"""
 
 T["log"] = f"""
 SELECT CAST(user_id AS VARCHAR) AS user_id, event_id, event_type,

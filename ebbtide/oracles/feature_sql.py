@@ -122,6 +122,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT destination, app_name, {PRODUCT} AS product, count(*) AS n "
             "FROM activity GROUP BY 1, 2, 3"),
         "activity_weekly_rollup": shown("weekly", dates=["week"]),
+        "weekly_incremental": shown("weekly", dates=["week"]),
         "genre_conditional_sums": with_tables("SELECT device_type, " + lst(
             f"CAST(sum(CASE WHEN genre_names LIKE '{g[1]}%' THEN playback_time ELSE 0 END) "
             f"AS DOUBLE) AS genre_st_{g[0]}" for g in GENRES)

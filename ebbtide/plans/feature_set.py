@@ -24,11 +24,11 @@ class Blocks:
 
     With ``stage`` the tables that several blocks read are written once to the
     checkpoint folder: the weekly and daily roll-ups and the content table, all
-    smaller than what they come from.
+    smaller than what they come from. With a ``WeeklyState`` the roll-ups are those it keeps.
     """
 
-    def __init__(self, sources, cfg: ChurnConfig, *, stage: bool = False):
-        self.sources, self.cfg, self.stage = sources, cfg, stage
+    def __init__(self, sources, cfg: ChurnConfig, *, stage: bool = False, state=None):
+        self.sources, self.cfg, self.stage, self.state = sources, cfg, stage, state
 
     def _shared(self, df: DataFrame) -> DataFrame:
         return stable(df) if self.stage else df
@@ -39,6 +39,8 @@ class Blocks:
 
     @cached_property
     def weekly(self) -> DataFrame:
+        if self.state is not None:
+            return self.state.weekly(self.sources.activity)
         return self._shared(activity.activity_weekly_rollup(self.scan, self.cfg))
 
     @cached_property
@@ -76,7 +78,9 @@ class Blocks:
 
     @cached_property
     def daily(self) -> DataFrame:
-        """What the windowed blocks read: the daily roll-up if staged, else the activity."""
+        """What the windowed blocks read: the daily roll-up if kept or staged, else the activity."""
+        if self.state is not None:
+            return self.state.daily(self.sources.activity)
         if not self.stage:
             return self.sources.activity
         return stable(activity.daily_activity(self.sources.activity, self.cfg))

@@ -24,7 +24,8 @@ def _path(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _listed(spark: SparkSession, folder: str) -> list[str]:
+def listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names inside a folder, in order; none if there is no such folder."""
     target, files = _path(spark, folder)
     if not files.exists(target):
         return []
@@ -33,7 +34,7 @@ def _listed(spark: SparkSession, folder: str) -> list[str]:
 
 def versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
     """(number, id) of the finished versions, oldest first."""
-    names = [n for n in _listed(spark, f"{root}/pointers") if n[:DIGITS].isdigit()]
+    names = [n for n in listed(spark, f"{root}/pointers") if n[:DIGITS].isdigit()]
     return [(int(n[:DIGITS]), n[DIGITS + 1:]) for n in names]
 
 

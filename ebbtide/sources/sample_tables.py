@@ -237,7 +237,7 @@ class SampleTables:
 
     def item_factors(self, product: str, n: int) -> DataFrame:
         key = F.col("vec_id")
-        return self.table("embeddings").where(key >= 1).select(
+        return self.table("embeddings").select(
             F.when(key <= 25, _id("Brand#", "vec_id"))
             .otherwise(F.concat(F.lit("s"), (key - 25).cast("string"))).alias("content_id"),
             *[F.get("embedding", F.lit(i)).cast("double").alias(f"f{i}") for i in range(n)])
