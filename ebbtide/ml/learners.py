@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.pipeline import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ebbtide.ml import newton
+from ebbtide.ml import boosting, newton
 from ebbtide.ml.prepare import (
     columns_with_nulls, feature_of, filled_texts, input_names, maxabs_fit)
 
@@ -107,20 +107,35 @@ def fit_learner(learner: Learner, train: DataFrame, test: DataFrame | None, labe
 
 def shares_passes(learner: Learner) -> bool:
     """Whether all folds of the learner can be fitted together."""
-    return learner.algorithm == "logr" and set(learner.params) <= {"regParam", "maxIter", "tol"}
+    known = {"logr": {"regParam", "maxIter", "tol"}, "gbt": set(boosting.SETTINGS)}
+    return set(learner.params) <= known.get(learner.algorithm, set()) and (
+        learner.algorithm in known)
 
 
-def fit_folds(learner: Learner, public: DataFrame, label: str, fold: str, folds: int, *,
-              rows: int) -> list[Model]:
-    """A model per fold, fitted on the other folds' rows, in passes that all folds share."""
-    models, _ = newton.fold_models(
-        public, learner.vector, label, fold, folds,
-        penalty=learner.params.get("regParam", 1.0 / max(rows, 1)))
-    return models
+def fit_folds(fitted: Sequence[Learner], public: DataFrame, label: str, fold: str, folds: int, *,
+              rows: int, keys: Sequence[str]) -> dict[str, list]:
+    """Models per learner and fold, fitted on the other folds' rows in passes that folds share.
+
+    Boosted trees of all learners share them as well, and stop early on their own fold.
+    """
+    out: dict[str, list] = {}
+    for learner in fitted:
+        if learner.algorithm == "logr":
+            out[learner.name], _ = newton.fold_models(
+                public, learner.vector, label, fold, folds,
+                penalty=learner.params.get("regParam", 1.0 / max(rows, 1)))
+    boosted = [(x.name, x.vector, x.params) for x in fitted if x.algorithm == "gbt"]
+    if boosted:
+        found, _ = boosting.fit_folds(public, boosted, label, fold, folds,
+                                      seed=F.xxhash64(*keys))
+        out |= found
+    return out
 
 
-def predict(model: Model, df: DataFrame, name: str) -> DataFrame:
+def predict(model: Model | boosting.BoostedTrees, df: DataFrame, name: str) -> DataFrame:
     """Adds the probability of class 1 as ``name``."""
+    if isinstance(model, boosting.BoostedTrees):
+        return df.withColumn(name, boosting.probabilities([model])[0])
     scored = model.transform(df).withColumn(name, vector_to_array("p_")[1])
     return scored.drop("p_", *[c for c in scored.columns if c.endswith("_scaled")])
 
@@ -135,7 +150,10 @@ def importances(learner: Learner, model: Model) -> dict[str, float]:
     The indicator of missing values counts for its feature.
     """
     last = _last(model)
-    if hasattr(last, "featureImportances"):
+    gains = isinstance(last, boosting.BoostedTrees) or hasattr(last, "featureImportances")
+    if isinstance(last, boosting.BoostedTrees):
+        values = last.gains
+    elif gains:
         values = last.featureImportances.toArray()
     elif hasattr(last, "coefficients"):
         raw = last.coefficients.toArray()
@@ -147,7 +165,7 @@ def importances(learner: Learner, model: Model) -> dict[str, float]:
     for name, value in zip(learner.inputs, values):
         feature = feature_of(name)
         known = out.get(feature, 0.0)
-        if hasattr(last, "featureImportances"):
+        if gains:
             out[feature] = known + float(value)
         else:  # of two coefficients the greater one speaks for the feature
             out[feature] = max(known, float(value), key=abs)
@@ -195,7 +213,8 @@ def feature_select_gain(df: DataFrame, label: str, features: Sequence[str], n: i
                         threads: int = 4) -> DataFrame:
     """(feature): mean gain over the folds' boosted models and rank, the best n."""
     learner = Learner("selection", "gbt", list(features), params or {}).watch_gaps(df)
-    data = df.select(label, fold, learner.vector_column()).persist()
+    data = df.select(label, fold, F.xxhash64(*df.columns).alias("_seed"),
+                     learner.vector_column()).persist()
 
     def fit(i: int) -> list[tuple[str, int, float]]:
         model = fit_learner(learner, data.where(F.col(fold) != i), data.where(F.col(fold) == i),
@@ -203,9 +222,14 @@ def feature_select_gain(df: DataFrame, label: str, features: Sequence[str], n: i
         return [(f, i, v) for f, v in importances(learner, model).items()]
 
     try:
-        with ThreadPoolExecutor(threads) as pool:
-            rows = [r for part in pool.map(
-                inheritable_thread_target(df.sparkSession)(fit), range(folds)) for r in part]
+        if shares_passes(learner):
+            models = fit_folds([learner], data, label, fold, folds, rows=0, keys=["_seed"])
+            rows = [(f, i, v) for i, model in enumerate(models[learner.name])
+                    for f, v in importances(learner, model).items()]
+        else:
+            with ThreadPoolExecutor(threads) as pool:
+                rows = [r for part in pool.map(
+                    inheritable_thread_target(df.sparkSession)(fit), range(folds)) for r in part]
     finally:
         data.unpersist()
     gains = df.sparkSession.createDataFrame(rows, "feature string, fold int, gain double")

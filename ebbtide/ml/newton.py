@@ -23,6 +23,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import Identifiable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ebbtide.functions.workers import find_package
+
 STEP = 1e-9      # a step this small, against the size of the weights, ends the search
 MOST_PASSES = 50
 
@@ -79,6 +81,7 @@ class FoldData:
     """Rows (_x array, _y, _fold) whose inputs are divided by scale in the tasks."""
 
     def __init__(self, rows: DataFrame, scale: np.ndarray, folds: int):
+        find_package(rows.sparkSession)
         self.rows, self.scale, self.folds, self.passes = rows, scale, folds, 0
         self.columns = np.arange(len(scale))
 

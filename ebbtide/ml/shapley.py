@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbtide.functions.skew import checkpoint_folder, staged_folder
+from ebbtide.functions.skew import staged_folder
+from ebbtide.functions.workers import find_package
 from ebbtide.ml.prepare import feature_of
 
 CELLS = 1 << 22  # rows times leaves that a task looks at together
@@ -193,6 +194,8 @@ def _blocks(batch: pa.RecordBatch, column: int, width: int,
 def background_of(leaves: Leaves, rows: DataFrame, inputs: Sequence[str]) -> Background:
     """Counts all rows. Tasks add up their own; to the driver come at most, for each leaf, two
     to the number of features on its path."""
+    find_package(rows.sparkSession)
+
     def run(items):
         for batch in items:
             parts = [counted(leaves, x) for _, x in _blocks(batch, 0, len(inputs), leaves)]
@@ -213,6 +216,7 @@ def _array(inputs: Sequence[str]):
 def tree_shapley(leaves: Leaves, background: Background, rows: DataFrame,
                  inputs: Sequence[str], *, key: str) -> DataFrame:
     """(row, feature): exact values; those of a row add up to its value less the mean one."""
+    find_package(rows.sparkSession)
     key_type = rows.schema[key].dataType.simpleString()
     names = np.array(leaves.features, object)
 
@@ -235,6 +239,8 @@ def tree_shapley(leaves: Leaves, background: Background, rows: DataFrame,
 def model_trees(model: Model, spark: SparkSession) -> list[Tree]:
     """Trees of a fitted ensemble whose weighted values add up to the log-odds of boosted trees,
     or to the probability of class 1 of a forest; read from the model's stored node table."""
+    if hasattr(model, "as_trees"):
+        return model.as_trees()
     with staged_folder(spark, "trees") as path:
         model.write().overwrite().save(path)
         nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()

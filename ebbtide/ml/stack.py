@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ebbtide.functions.skew import stable
 from ebbtide.ml import metrics
+from ebbtide.ml.boosting import BoostedTrees, probabilities
 from ebbtide.ml.learners import (
     Learner, fit_folds, fit_learner, importances, predict, shares_passes)
 
@@ -39,14 +40,20 @@ class StackModel:
             self.gains, "learner string, fold int, feature string, gain double")
 
     def save(self, path: str, spark: SparkSession) -> None:
-        """Spark model folders, and one small JSON row for the rest."""
+        """Spark model folders, a table of boosted trees, and one small JSON row for the rest."""
+        boosted: list[tuple[str, int, str]] = []
         for name, models in self.fold_models.items():
             for i, model in enumerate(models):
+                if isinstance(model, BoostedTrees):
+                    boosted.append((name, i, json.dumps(model.plain())))
+                    continue
                 PipelineModel([model]).write().overwrite().save(f"{path}/{_safe(name)}/{i}")
         self.meta.write().overwrite().save(f"{path}/{META}")
         plain = {"learners": [asdict(x) for x in self.learners], "folds": self.folds,
                  "thresholds": self.thresholds, "scale": self.scale, "gains": self.gains,
                  "scores": self.scores}
+        spark.createDataFrame(boosted, "learner string, fold int, model string").write.mode(
+            "overwrite").parquet(f"{path}/boosted")
         spark.createDataFrame([(json.dumps(plain),)], "state string").write.mode(
             "overwrite").parquet(f"{path}/state")
 
@@ -54,8 +61,12 @@ class StackModel:
     def load(cls, path: str, spark: SparkSession) -> StackModel:
         plain = json.loads(spark.read.parquet(f"{path}/state").first()["state"])
         learners = [Learner(**x) for x in plain.pop("learners")]
-        models = {x.name: [PipelineModel.load(f"{path}/{_safe(x.name)}/{i}").stages[0]
-                           for i in range(plain["folds"])] for x in learners}
+        boosted = {(r["learner"], r["fold"]): BoostedTrees.of_plain(json.loads(r["model"]))
+                   for r in spark.read.parquet(f"{path}/boosted").collect()}
+        models = {x.name: [
+            boosted[x.name, i] if (x.name, i) in boosted
+            else PipelineModel.load(f"{path}/{_safe(x.name)}/{i}").stages[0]
+            for i in range(plain["folds"])] for x in learners}
         gains = [tuple(g) for g in plain.pop("gains")]
         return cls(learners=learners, fold_models=models, gains=gains,
                    meta=LogisticRegressionModel.load(f"{path}/{META}"), **plain)
@@ -73,6 +84,10 @@ def _fold_scores(learners: Sequence[Learner], models: dict[str, list[Model]],
                  df: DataFrame) -> DataFrame:
     """Adds per learner an array of the fold models' probabilities, in one pass."""
     for learner in learners:
+        if all(isinstance(m, BoostedTrees) for m in models[learner.name]):
+            df = df.withColumn(f"_{probability(learner.name)}",
+                               probabilities(models[learner.name]))
+            continue
         names = [f"_f{i}" for i in range(len(models[learner.name]))]
         for name, model in zip(names, models[learner.name]):
             df = predict(model, df, name)
@@ -122,9 +137,8 @@ def stack_fit(df: DataFrame, label: str, learners: Sequence[Learner], folds: int
 
     jobs = [(x, i) for x in learners for i in range(folds)]
     try:
-        together = {x.name: fit_folds(x, public, label, fold, folds,
-                                      rows=rows * (folds - 1) // folds)
-                    for x in learners if shares_passes(x)}
+        together = fit_folds([x for x in learners if shares_passes(x)], public, label, fold,
+                             folds, rows=rows * (folds - 1) // folds, keys=keys)
         with ThreadPoolExecutor(threads) as pool:
             fitted = list(pool.map(inheritable_thread_target(data.sparkSession)(fit), jobs))
     except BaseException:

@@ -30,7 +30,8 @@ def rows(spark):
 def test_folds_fitted_together_are_the_separate_fits(rows):
     learner = Learner("x", "logr", FEATURES)
     data = rows.withColumn(learner.vector, learner.vector_column())
-    together = fit_folds(learner, data, "label", "fold", FOLDS, rows=450)
+    together = fit_folds([learner], data, "label", "fold", FOLDS, rows=450,
+                         keys=["user_id"])["x"]
     exact = Learner("x", "logr", FEATURES, {"tol": 1e-13, "maxIter": 1000})
     for i, model in enumerate(together):
         alone = fit_learner(exact, data.where(F.col("fold") != i), None, "label", rows=450)
@@ -48,7 +49,8 @@ def test_models_made_together_can_be_stored(rows, tmp_path):
 
     learner = Learner("x", "logr", FEATURES[:3])
     data = rows.withColumn(learner.vector, learner.vector_column())
-    model = fit_folds(learner, data, "label", "fold", FOLDS, rows=450)[0]
+    model = fit_folds([learner], data, "label", "fold", FOLDS, rows=450,
+                      keys=["user_id"])["x"][0]
     model.write().save(str(tmp_path / "model"))
     again = PipelineModel.load(str(tmp_path / "model"))
     assert predict(again, data, "p").agg(F.sum("p")).first() == predict(
