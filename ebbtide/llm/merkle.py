@@ -127,7 +127,8 @@ def descend(levels: Sequence[DataFrame], above: DataFrame, group: str,
         made = made.withColumn("made", F.transform("items", lambda item, at: F.struct(
             *[item[c].alias(c) for c in items], at.alias("at"),
             steps_of(at, fanout).alias("steps"))))
-        made = made.select(group, "block", "path", *shared, F.inline("made"))
+        # the outer form, as for the plain one Spark adds a filter that makes the column twice
+        made = made.select(group, "block", "path", *shared, F.inline_outer("made"))
         paths = made.select(
             group, (F.col("block") * fanout * fanout + F.col("at")).alias("place"), *items,
             F.concat("steps", "path").alias("path"), *shared)
