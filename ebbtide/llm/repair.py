@@ -178,8 +178,7 @@ def ordered_rows(rows: DataFrame) -> DataFrame:
         "conv_id", "turn", "name",
         F.when(initial.isin("s", "u", "a"), initial).otherwise("o").alias("role"),
         F.when(last == "", "blank").when(~last.isin(".", "!", "?"), "truncated").alias("fault"))
-        .groupBy("conv_id", "turn", "name").agg(
-            F.any_value("role").alias("role"), F.any_value("fault").alias("fault"),
+        .groupBy("conv_id", "turn", "name", "role", "fault").agg(
             F.count(F.lit(1)).alias("copies")))
     parts = int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "name")]
