@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -12,7 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ebbtide.llm.staging import batches, id_back, id_or_least, keep, only
 
 SLICE = 4 << 20
-OPEN_ELEMENTS = 512  # deeper elements are taken as part of the one they are in, as browsers do
 TREE_DEPTH = 32  # deeper elements share the style node above them
 # Fixed values of HTML: elements without content, raw elements, and elements that make a block.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -40,22 +41,37 @@ NOISE_NAMES = frozenset((
     "comment comments respond replies disqus "
     "newsletter subscribe signup login search searchform share sharing social").split())
 ARTICLE_NAMES = frozenset("article post entry content story".split())
+# Words of a class that says what a page has or allows, not what the element is.
+STATE_NAMES = frozenset("has with without no enabled disabled open closed on off".split())
+# Blocks that belong to the text beside them.
+TITLES = frozenset("h1 h2 h3 h4 h5 h6 li dt".split())
 NAME = re.compile(r"[^\W_]+")
 
 
+def name_words(attributes: dict[str, str | None]) -> list[set[str]]:
+    """The words of each class and of the id, without those that only state something."""
+    values = (attributes.get("class") or "").split() + [attributes.get("id") or ""]
+    found = ({w.lower() for w in NAME.findall(value)} for value in values)
+    return [words for words in found if words and not words & STATE_NAMES]
+
+
 def cue(tag: str, attributes: dict[str, str | None]) -> int:
     """1: marked as the article, 0: not marked, -1: named as something else, -2: it is something
     else by its element, role or style (a form may hold a whole page, so it counts as a name)."""
     role = (attributes.get("role") or "").lower()
     style = re.sub(r"\s", "", attributes.get("style") or "").lower()
-    names = {n.lower() for part in ("class", "id")
-             for n in NAME.findall(attributes.get(part) or "")}
     if ("hidden" in attributes or attributes.get("aria-hidden") == "true"
             or "display:none" in style or tag in NOISE_TAGS or role in NOISE_ROLES):
         return -1 if tag == "form" else -2
-    noise = names & NOISE_NAMES
-    if noise - {"header"} or noise and not names & ARTICLE_NAMES:
-        return -1 if tag not in CONTENT_TAGS and tag not in ("html", "body") else 0
+    noise = content = False
+    for words in name_words(attributes):
+        odd = words & NOISE_NAMES
+        if odd - {"header"} or odd and not words & ARTICLE_NAMES:
+            noise = True
+        elif words & ARTICLE_NAMES:
+            content = True
+    if noise:  # one class against another leaves it to the tree
+        return 0 if content or tag in CONTENT_TAGS or tag in ("html", "body") else -1
     return 1 if tag in CONTENT_TAGS or role in CONTENT_ROLES else 0
 
 
@@ -73,19 +89,24 @@ def inherited(above: int, mark: int, tag: str) -> int:
 
 
 class Node:
-    __slots__ = ("tag", "path", "cue", "landmark", "children")
+    __slots__ = ("tag", "path", "cue", "landmark", "named", "children")
 
-    def __init__(self, tag: str, path: str, mark: int, landmark: bool):
+    def __init__(self, tag: str, path: str, mark: int, landmark: bool, named: str = ""):
         self.tag, self.path, self.cue, self.landmark = tag, path, mark, landmark
+        self.named = named  # tag of the innermost element here or above whose cue is -1
         self.children: list[str] = []
 
 
 class Page(HTMLParser):
-    """Blocks of one page in order, and the child sequence of each element."""
+    """Blocks of one page in order, and the child sequence of each element.
+
+    Inline elements without a cue do not count, however many are left open.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack = [Node("", "", 0, False)]
+        self.opened: Counter[str] = Counter()
         self.silent = 0
         self.text: list[str] = []
         self.blocks: list[tuple[str, int, str]] = []
@@ -107,9 +128,12 @@ class Page(HTMLParser):
             if tag in SILENT:
                 self.silent -= 1
             self.stack.pop()
+            self.opened[tag] -= 1
 
     def open_depth(self, tags, walls=WALLS) -> int | None:
         """Depth of the innermost open element of tags, not looking past a wall."""
+        if not any(self.opened[tag] for tag in tags):
+            return None
         for depth in range(len(self.stack) - 1, 0, -1):
             if self.stack[depth].tag in tags:
                 return depth
@@ -131,10 +155,12 @@ class Page(HTMLParser):
             depth = next((i for i, n in enumerate(self.stack) if n.tag == "head"), None)
             if depth is not None:
                 self.pop_to(depth)
-        if tag in VOID or (len(self.stack) > OPEN_ELEMENTS and tag not in SILENT):
+        if tag in VOID:
             return
         parent = self.stack[-1]
         mark = cue(tag, dict(attrs))
+        if not mark and tag not in BLOCKS and tag not in SILENT and not self.opened[tag]:
+            return
         shown = dict(attrs).get("class")
         step = tag + ("." + ".".join(sorted(shown.split())) if shown else "")
         if tag in BLOCKS:
@@ -145,13 +171,13 @@ class Page(HTMLParser):
                 path = f"{path}/{step}"
         else:
             path = parent.path
-        named = next((n.tag for n in reversed(self.stack) if n.cue == -1), "")
-        own = inherited(parent.cue, mark, named)
-        node = Node(tag, path, own, mark > 0 and own > 0)
+        own = inherited(parent.cue, mark, parent.named)
+        node = Node(tag, path, own, mark > 0 and own > 0, tag if own == -1 else parent.named)
         if node.landmark and not self.silent:
             self.landmark = True
             self.main |= tag == "main" or (dict(attrs).get("role") or "").lower() == "main"
         self.stack.append(node)
+        self.opened[tag] += 1
         if tag in SILENT:
             self.silent += 1
         if tag in BLOCKS:
@@ -163,6 +189,8 @@ class Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        if not self.opened[tag]:
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             if self.stack[depth].tag == tag:
                 self.pop_to(depth)
@@ -171,7 +199,8 @@ class Page(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if not self.silent:
+        top = self.stack[-1]
+        if not self.silent and (top.cue != -2 or top.tag in BLOCKS):
             self.text.append(data)
 
     def finish(self) -> None:
@@ -180,8 +209,9 @@ class Page(HTMLParser):
         self.end_block()
 
 
-def parse(html: str) -> tuple[list[tuple[str, int, str]], list[tuple[str, str, int]]]:
-    """Blocks (path, cue, text) that may be main text, and (path, children, kinds) of elements.
+def parse(html: str) -> tuple[list[tuple[str, int, str]], list[tuple[str, str, int]], int]:
+    """Blocks (path, cue, text) that may be main text, (path, children, kinds) of elements, and a
+    hash of all visible blocks, which equal pages share.
 
     Cue 1: in the marked article; 0: not marked, on a page that marks none; -1: not marked, on a
     page that marks an article but no main element, which says that the rest is not main text.
@@ -198,7 +228,34 @@ def parse(html: str) -> tuple[list[tuple[str, int, str]], list[tuple[str, str, i
              if i == len(p) or p[i] == "/"}
     nodes = sorted({(n.path, " ".join(n.children), 0 if n.landmark else len(n.children))
                     for n in page.nodes if n.path in above})
-    return blocks, nodes
+    sight = number_of("\0".join(f"{path}\0{text}" for path, _, text in page.blocks))
+    return blocks, nodes, sight
+
+
+def beside(blocks: list[tuple[str, int, str]]) -> list[int]:
+    """For a heading or list item of a marked article the place of the text it belongs to, or -1.
+
+    That is the next block, or else the last one before, which is neither and lies in the same
+    element, for list items in the element that has the list.
+    """
+    out = [-1] * len(blocks)
+
+    def step(path: str) -> str:
+        return path.rsplit("/", 1)[-1].split(".", 1)[0]
+
+    plain = [i for i, (path, *_) in enumerate(blocks) if step(path) not in TITLES]
+    for i, (path, mark, _) in enumerate(blocks):
+        if mark <= 0 or step(path) not in TITLES:
+            continue
+        above = path.rsplit("/", 1)[0]
+        if step(path) in ("li", "dt"):
+            above = above.rsplit("/", 1)[0]
+        at = bisect(plain, i)
+        for near in plain[at:at + 1] + plain[max(0, at - 1):at]:
+            if blocks[near][1] > 0 and blocks[near][0].startswith(above + "/"):
+                out[i] = near
+                break
+    return out
 
 
 def number_of(value: str) -> int:
@@ -211,7 +268,7 @@ def digest(html: str) -> tuple[int, list[dict], list[dict]]:
     new_text and new_leaf tell the first block of the page with its text and place, and with its
     place; new_path the first element of its path.
     """
-    blocks, nodes = parse(html)
+    blocks, nodes, sight = parse(html)
     seen: set = set()
 
     def new(item) -> int:
@@ -221,12 +278,13 @@ def digest(html: str) -> tuple[int, list[dict], list[dict]]:
 
     leaves = {path: number_of(path) for path, _, _ in blocks}
     made = [{"leaf": leaves[path], "cue": mark, "new_text": new((path, text)),
-             "new_leaf": new(path), "text": text} for path, mark, text in blocks]
+             "new_leaf": new(path), "beside": near, "text": text}
+            for (path, mark, text), near in zip(blocks, beside(blocks))]
     seen = set()
     places = [{"id": leaves.get(path) or number_of(path), "path": path,
                "shape": number_of(children), "kinds": kinds, "new_path": new(path)}
               for path, children, kinds in nodes]
-    return number_of("\0".join(f"{path}\0{text}" for path, _, text in blocks)), made, places
+    return sight, made, places
 
 
 def parsed_pages(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
@@ -235,7 +293,7 @@ def parsed_pages(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
             made = [digest(value) for value in batch.column(2).to_pylist()]
             block = pa.struct([("leaf", pa.int64()), ("cue", pa.int32()),
                                ("new_text", pa.int32()), ("new_leaf", pa.int32()),
-                               ("text", pa.string())])
+                               ("beside", pa.int32()), ("text", pa.string())])
             node = pa.struct([("id", pa.int64()), ("path", pa.string()), ("shape", pa.int64()),
                               ("kinds", pa.int32()), ("new_path", pa.int32())])
             yield pa.RecordBatch.from_arrays(
@@ -249,7 +307,7 @@ def parsed_pages(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     made = rows.mapInArrow(
         run, "page long, url string, sight long, blocks array<struct<leaf:long,cue:int,"
-             "new_text:int,new_leaf:int,text:string>>, "
+             "new_text:int,new_leaf:int,beside:int,text:string>>, "
              "nodes array<struct<id:long,path:string,shape:long,kinds:int,new_path:int>>")
     return made.withColumns({"row": F.monotonically_increasing_id(),
                              "host": F.xxhash64(host_of(F.col("url")))})
@@ -285,7 +343,7 @@ def verdicts(parsed: DataFrame, threshold: float, sure: float, least_pages: int,
     base of the number of pages. Content: one minus the mean entropy of a leaf's texts over the
     pages; a text on every page has entropy 1, one on a single page 0. An element combines its
     own presentation with the leaves below it, and the more kinds of children it has the more
-    the former counts. Everything is a sum over rows, combined before it is shuffled. A place is
+    the former counts; a marked article is as important as the best of its leaves. Everything is a sum over rows, combined before it is shuffled. A place is
     as important as the least of the elements it is in that least_pages pages have.
     """
     once = counted_once(parsed)
@@ -310,11 +368,12 @@ def verdicts(parsed: DataFrame, threshold: float, sure: float, least_pages: int,
               .select("host", "leaf", "n", "content", "cue",
                       F.explode(branches(F.col("path"))).alias("path")))
     below = placed.groupBy("host", "path").agg(
-        (F.sum(F.col("n") * F.col("content")) / F.sum("n")).alias("below"))
+        (F.sum(F.col("n") * F.col("content")) / F.sum("n")).alias("below"),
+        F.max("content").alias("best"))
     weight = F.pow(F.lit(damping), F.col("kinds"))
     tree = looks.join(below, ["host", "path"]).where(F.col("n_pages") >= least_pages).select(
-        "host", "path", ((1 - weight) * F.col("look") + weight * F.col("below"))
-        .alias("importance"))
+        "host", "path", F.when(F.col("kinds") == 0, F.col("best")).otherwise(
+            (1 - weight) * F.col("look") + weight * F.col("below")).alias("importance"))
     worth = placed.join(keep(tree), ["host", "path"]).groupBy("host", "leaf").agg(
         F.min("importance").alias("importance"), F.min("cue").alias("cue"))
     return worth.where((F.col("importance") < threshold)
@@ -329,7 +388,8 @@ def main_text(pages: DataFrame, *, threshold: float = 0.3, sure: float = 0.6,
 
     The style tree of the host decides, with the names of elements as what to begin with. Blocks
     whose place is less important than threshold go, inside an element marked as the article
-    too; the marked element itself is judged by its texts alone. Blocks outside of it stay only
+    too; the marked element itself is as important as its best text, and headings and list items of an
+    article stay with the text beside them. Blocks outside of it stay only
     if their place has an importance of sure and the page has no main element. A place is judged
     if at least least_pages different pages of the host have it, so a lone page keeps what it
     marks or does not mark. What is named as something else (navigation, advert, comments and
@@ -346,9 +406,13 @@ def main_text(pages: DataFrame, *, threshold: float = 0.3, sure: float = 0.6,
         F.collect_list(F.when(~F.col("shown"), F.col("leaf"))).alias("gone"),
         F.collect_list(F.when(F.col("shown"), F.col("leaf"))).alias("back"))
     none = F.array().cast("array<long>")
-    shown = F.filter("blocks", lambda b: F.when(
-        b["cue"] < 0, F.array_contains(F.coalesce("back", none), b["leaf"])).otherwise(
-        ~F.array_contains(F.coalesce("gone", none), b["leaf"])))
+    def stays(b):
+        return F.when(b["cue"] < 0, F.array_contains(F.coalesce("back", none), b["leaf"])).otherwise(
+            ~F.array_contains(F.coalesce("gone", none), b["leaf"]))
+
+    # a heading or list item that a site repeats stays with the text it belongs to
+    shown = F.filter("blocks", lambda b: stays(b) | (b["beside"] >= 0) & stays(
+        F.get("blocks", b["beside"])))
     text = F.array_join(F.transform(shown, lambda b: b["text"]), "\n")
     return parsed.join(keep(by_page), "row", "left").select(
         id_back(F.col("page")).alias(key), F.col("url").alias(url), text.alias("text"),

@@ -62,6 +62,34 @@ def test_deep_pages_keep_their_text():
         assert text_of(html) == "x\ny\nz"
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<div class='wrap has-sidebar'><article><p>x</p></article></div><p>out</p>", "x"),
+    ("<div class='content comment-enabled'><p>x</p><div class='comments'>no</div></div>", "x"),
+    ("<div class='content sidebar'><p>x</p></div>", "x"),
+    ("<div class='post-comments'><p>no</p></div><p>x</p>", "x"),
+    ("<article>" + "<b>" * 600 + "<p>one</p><p>two</p><nav>menu</nav></article>", "one\ntwo"),
+    ("<div>" * 600 + "<article><p>one</p><nav>menu</nav></article>", "one"),
+    ("<p>a <span hidden>no <span>no</span> no</span> b", "a b"),
+    ("<ul><li>" * 20_000 + "deep<aside>no</aside>", "deep")])
+def test_names_and_depth(html, want):
+    assert text_of(html) == want
+
+
+def test_repeated_footers_go_and_repeated_headings_stay(spark):
+    rows = [(i, f"http://blog.example/{i}", f"<div class='wrap has-sidebar'><article><p>Story {i}."
+             "</p></article></div><div class='line'><p>Same line on all pages</p></div>")
+            for i in range(8)]
+    rows += [(10 + i, f"http://cook.example/{i}", f"<main><h2>Ingredients</h2><ul><li>Salt</li></ul>"
+              f"<p>Dish {i} is made so.</p><h2>Conclusion</h2><p>Serve at {i}.</p>"
+              "<div class='x'><h3>More</h3><p>Read all that we print.</p></div></main>")
+             for i in range(8)]
+    out = {r["page_id"]: r["text"] for r in site_style.main_text(pages(spark, rows)).collect()}
+    for i in range(8):
+        assert out[i] == f"Story {i}."
+        assert out[10 + i] == (f"Ingredients\nSalt\nDish {i} is made so.\nConclusion\n"
+                               f"Serve at {i}.")
+
+
 def test_style_tree_removes_what_a_site_repeats(spark):
     menu = "<div><span>Home</span> <span>News</span></div>"
     foot = "<section><p>All our pages say this.</p></section>"
