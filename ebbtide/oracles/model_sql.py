@@ -161,6 +161,21 @@ WHERE fresh = 0 AND target_churn_next_week IS NOT NULL""")
            for kind in ("logr", "gbt", "mlp", "rf")},
         "feature_select_rfe": "SELECT 3::BIGINT AS n_kept, 1 AS all_known",
         "feature_select_gain": "SELECT 10::BIGINT AS n_kept, 1 AS all_known",
+        "feature_select_known": """
+SELECT method, feature, CASE WHEN method = 'gain' AND feature = 'level' THEN 1 ELSE 0 END AS first
+FROM (VALUES ('rfe'), ('gain')) m(method), (VALUES ('level'), ('turn'), ('early')) f(feature)""",
+        "logistic_equations": with_tables("""
+SELECT CAST(f.fold AS INTEGER) AS fold, (SELECT count(*) FROM scored s WHERE s.fold <> f.fold)
+  AS rows, input, 1 AS holds
+FROM range(5) f(fold), (VALUES ('level'), ('turn'), ('early'), ('noise_101'), ('noise_211'),
+  ('noise_307'), ('noise_401'), ('intercept')) i(input)"""),
+        "impute_regression": """
+SELECT count(*) AS rows, count(*) FILTER (event_id % 7 = 0) AS filled,
+  count(*) FILTER (event_id % 7 = 0) AS on_the_line FROM events WHERE value IS NOT NULL""",
+        "stack_fit_logistic": """
+SELECT learner, models, 1 AS has_features, 1 AS cut FROM (VALUES
+  ('Content', 10::BIGINT), ('Behaviour', 10), ('Marketing', 10), ('Cross-Sell', 10),
+  ('RFE-Optimised', 10), ('RFE-Boosted', 10), ('meta', 1)) l(learner, models)""",
         "stack_fit": """
 SELECT * FROM (VALUES ('threshold', 7::BIGINT, 1), ('auc', 0::BIGINT, 1),
   ('log_loss', 2::BIGINT, 1)) m(measure, n, in_range)""",

@@ -258,6 +258,92 @@ def feature_select_gain(lab: Lab) -> DataFrame:
                   "n_kept long, all_known int")
 
 
+# Columns of the table on which the right choice is known: three make the label, the others do not.
+INFORMED = ("level", "turn", "early")
+NOISE = {f"noise_{m}": f"CAST(row_id * 7919 % {m} AS DOUBLE) / {m}" for m in (101, 211, 307, 401)}
+
+
+def _known_choice(lab: Lab) -> DataFrame:
+    """One row per event: a label that follows from three columns, and four columns beside it."""
+    rows = lab.sources.scored.selectExpr(
+        "row_id", "fold", "score AS level", "CAST(row_id % 5 AS DOUBLE) / 4 AS turn",
+        "CAST(row_id % 3 AS DOUBLE) / 2 AS early", *[f"{v} AS {n}" for n, v in NOISE.items()])
+    return rows.withColumn("label", F.expr(
+        "CAST(8 * (level - 0.5) - 1.5 * (turn - 0.5) + 1.2 * (early - 0.5)"
+        " + 0.3 * (row_id % 7 - 3) > 0 AS INT)"))
+
+
+@register
+def feature_select_known(lab: Lab) -> DataFrame:
+    """What both selections keep of a table on which three of seven columns matter."""
+    rows = _known_choice(lab)
+    columns = [*INFORMED, *NOISE]
+    kept = learners.feature_select_rfe(rows, "label", columns, len(INFORMED))
+    best = learners.feature_select_gain(
+        rows, "label", columns, len(INFORMED), folds=5, params={"maxIter": 20}).collect()
+    out = [("rfe", c, 0) for c in kept]
+    out += [("gain", r["feature"], int(i == 0)) for i, r in enumerate(best)]
+    return _facts(lab, out, "method string, feature string, first int")
+
+
+@register
+def logistic_equations(lab: Lab) -> DataFrame:
+    """(fold, input): rows of the other folds, and whether their score equation holds.
+
+    At the fitted weights the residuals of each input, on its scale, add up to the rows times the
+    penalty times its weight.
+    """
+    folds, columns = 5, [*INFORMED, *NOISE]
+    learner = learners.Learner("known", "logr", columns)
+    rows = training.stable(_known_choice(lab).select(
+        "row_id", "fold", "label", *columns, learner.vector_column()))
+    n = rows.count()
+    models = learners.fit_folds([learner], rows, "label", "fold", folds, rows=n,
+                                keys=["row_id"])["known"]
+    parts = []
+    for i, model in enumerate(models):
+        scaler, last = model.stages
+        inputs = [*zip(columns, scaler.maxAbs.toArray(), last.coefficients.toArray()),
+                  ("intercept", 1.0, 0.0)]
+        scored = learners.predict(model, rows.where(F.col("fold") != i), "p").withColumn(
+            "intercept", F.lit(1.0))
+        sums = scored.agg(F.count(F.lit(1)).alias("rows"), *[
+            (F.avg((F.col("p") - F.col("label")) * F.col(c) / F.lit(float(top)))
+             + F.lit(float(weight) / n)).alias(c) for c, top, weight in inputs])
+        parts.append(sums.select(F.lit(i).alias("fold"), "rows", F.explode(F.array(*[
+            F.struct(F.lit(c).alias("input"), (F.abs(c) < 1e-7).cast("int").alias("holds"))
+            for c, *_ in inputs])).alias("e")).select("fold", "rows", "e.*"))
+    return functools.reduce(DataFrame.unionAll, parts)
+
+
+@register
+def impute_regression(lab: Lab) -> DataFrame:
+    """Imputed rows: all, those filled, and those filled as the regression line has it."""
+    rows = lab.sources.table("events").where(F.col("value").isNotNull()).select(
+        F.col("event_id").alias("user_id"), F.col("value").alias("x"),
+        F.when(F.col("event_id") % 7 > 0, F.col("value") / 40 + F.col("event_id") % 5)
+        .alias("y"))
+    filled = prepare.Imputer.fit(rows, {"y": "regression"}, ["x"]).transform(rows)
+    slope, start = rows.agg(F.regr_slope("y", "x"), F.regr_intercept("y", "x")).first()
+    gap = F.col("user_id") % 7 == 0
+    right = F.abs(F.col("y") - F.lit(start or 0.0) - F.lit(slope or 0.0) * F.col("x")) < 1e-4
+    return filled.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(gap & F.col("y").isNotNull()).alias("filled"),
+        F.count_if(gap & right).alias("on_the_line"))
+
+
+@register
+def stack_fit_logistic(lab: Lab) -> DataFrame:
+    """Per learner of the logistic stack: folds fitted, and whether it ranks held-out rows."""
+    chosen = training.build_learners(lab.prepared, "logistic", PRODUCT, folds=FOLDS)
+    model = training.stack_fit(lab.prepared.rows, training.LABEL, chosen, FOLDS,
+                               keys=training.KEYS)
+    rows = [(x.name, len(model.fold_models[x.name]), len(x.features) > 0,
+             0 < model.thresholds[x.name] < 1) for x in model.learners]
+    rows.append((META, 1, True, 0 < model.thresholds[META] < 1))
+    return _facts(lab, rows, "learner string, models long, has_features boolean, cut boolean")
+
+
 @register
 def stack_fit(lab: Lab) -> DataFrame:
     """Facts of the fitted stack: thresholds of all learners, loss and area in their range."""
