@@ -26,8 +26,8 @@ SETTINGS = {"gbt": {"maxIter": 3, "maxDepth": 2}}
 @pytest.fixture(scope="module")
 def prepared(spark):
     draw = np.random.default_rng(8)
-    x = draw.standard_normal((400, len(FEATURES)))
-    y = (x[:, :12].sum(axis=1) + x[:, 18] * 3 + draw.logistic(size=400) > 0).astype(int)
+    x = draw.standard_normal((600, len(FEATURES)))
+    y = (x[:, :12].sum(axis=1) + x[:, 18] + draw.logistic(size=600) > 0).astype(int)
     rows = spark.createDataFrame(
         [(f"u{i}", int(t), int(i % 6), *map(float, r)) for i, (t, r) in enumerate(zip(y, x))],
         "user_id string, y int, cohort int, " + ", ".join(f"{c} double" for c in FEATURES)
