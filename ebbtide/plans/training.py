@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from ebbtide.functions.skew import stable
+from ebbtide.functions.skew import stable, staged_tables
 from ebbtide.ml import explain, registry, shapley, what_if
 from ebbtide.ml.learners import (
     Learner, feature_select_gain, feature_select_rfe, importance_mean, linear_weights, predict)
@@ -178,33 +178,36 @@ def scoring_run(features: DataFrame, product: str, model: StackModel, preparatio
     ``folder/current``, where readers find them through ``publish.read_current``.
     """
     spark = features.sparkSession
-    rows = stable(scoring_rows(features, preparation, active_only=active_only))
-    records = score_export(stack_predict(model, rows, KEYS), model, product, run_at)
-    history = sinks.score_append(records, f"{folder}/scores", product)
-    chosen = stable(random_sample_n(rows, sample, "user_id", "explain"))
-    values, inputs, _ = explain_learners(model, chosen, background)
-    table = inputs.join(values, ["learner", "user_id", "feature"]).join(
-        chosen.select(*KEYS), "user_id").withColumnRenamed("learner", "learner_name")
-    by = ("target_week_start_date", "product", "learner_name")
-    attributions = sinks.partitioned_export(
-        table.withColumn("product", F.lit(product)), f"{folder}/attributions", by)
-    week = rows.agg(F.max("target_week_start_date")).first()[0]
-    gains = importance_mean(model.importances(spark)).select(
-        F.col("learner").alias("learner_name"), "feature", "gain",
-        F.lit(week).cast("date").alias("target_week_start_date"), F.lit(product).alias("product"))
-    importances = sinks.partitioned_export(gains, f"{folder}/importances", by)
-    publish.publish(spark, f"{folder}/current/{product}", {
-        "attributions": table.drop("user_id", "target_week_start_date"),
-        "importances": gains.drop("target_week_start_date", "product")},
-        by={"attributions": ["learner_name"]})
-    return {"scores": history, "attributions": attributions, "importances": importances}
+    with staged_tables(spark):
+        rows = stable(scoring_rows(features, preparation, active_only=active_only))
+        records = score_export(stack_predict(model, rows, KEYS), model, product, run_at)
+        history = sinks.score_append(records, f"{folder}/scores", product)
+        chosen = stable(random_sample_n(rows, sample, "user_id", "explain"))
+        values, inputs, _ = explain_learners(model, chosen, background)
+        table = inputs.join(values, ["learner", "user_id", "feature"]).join(
+            chosen.select(*KEYS), "user_id").withColumnRenamed("learner", "learner_name")
+        by = ("target_week_start_date", "product", "learner_name")
+        attributions = sinks.partitioned_export(
+            table.withColumn("product", F.lit(product)), f"{folder}/attributions", by)
+        week = rows.agg(F.max("target_week_start_date")).first()[0]
+        gains = importance_mean(model.importances(spark)).select(
+            F.col("learner").alias("learner_name"), "feature", "gain",
+            F.lit(week).cast("date").alias("target_week_start_date"),
+            F.lit(product).alias("product"))
+        importances = sinks.partitioned_export(gains, f"{folder}/importances", by)
+        publish.publish(spark, f"{folder}/current/{product}", {
+            "attributions": table.drop("user_id", "target_week_start_date"),
+            "importances": gains.drop("target_week_start_date", "product")},
+            by={"attributions": ["learner_name"]})
+        return {"scores": history, "attributions": attributions, "importances": importances}
 
 
 def what_if_run(profiled: DataFrame, modifiers: DataFrame, numeric: Sequence[str],
                 categorical: Sequence[str], score_users: Callable, root: str) -> DataFrame:
     """Impacts of the changes on representative users, published below root; what readers see."""
     spark = profiled.sparkSession
-    impacts = what_if.representative_users(
-        profiled, modifiers, numeric, categorical, score_users)
-    publish.publish(spark, root, {"what_if": impacts})
+    with staged_tables(spark):
+        impacts = what_if.representative_users(
+            profiled, modifiers, numeric, categorical, score_users)
+        publish.publish(spark, root, {"what_if": impacts})
     return publish.read_current(spark, root, "what_if")
