@@ -95,7 +95,8 @@ class BoostedTrees:
         return out
 
     def plain(self) -> dict:
-        return {"vector": self.vector, "start": self.start, "depth": self.depth, "gains": self.gains,
+        return {"vector": self.vector, "start": self.start, "depth": self.depth,
+                "gains": self.gains,
                 "trees": [[t.feature, t.cut, t.left, t.right, t.value] for t in self.trees]}
 
     @classmethod
@@ -133,7 +134,7 @@ def uniform(seed: np.ndarray, salt: int) -> np.ndarray:
 
 @dataclass
 class Work:
-    """What a task needs of a model under way: trees that the stored margins lack, and its newest."""
+    """What a task needs of a model under way: trees that stored margins lack, and its newest."""
 
     number: int
     fold: int
@@ -278,7 +279,7 @@ def bin_cuts(rows: DataFrame, width: int) -> list[np.ndarray]:
 
 
 def binned(rows: DataFrame, cuts: Sequence[np.ndarray], starts: Sequence[float]) -> DataFrame:
-    """(bins, label, fold, seed, margins), stored: a byte for each input, a double for each model."""
+    """(bins, label, fold, seed, margins), stored: a byte an input and a double a model."""
     starts = np.array(starts, np.float64)
 
     def run(items):

@@ -65,7 +65,8 @@ def activity_weekly_rollup(b: Blocks) -> DataFrame:
 
 @register
 def weekly_incremental(b: Blocks) -> DataFrame:
-    """The weekly roll-up from three runs: all but two weeks, one more, the last and a correction."""
+    """The weekly roll-up from three runs: all but two weeks, one more, the last with a
+    correction."""
     spark, source = b.sources.spark, b.sources.activity
     root, newest = sinks.scratch(spark, "weekly-state"), CONFIG.max_date
     for weeks_ago, late in ((2, ()), (1, ()), (0, (newest - timedelta(days=21),))):
