@@ -80,7 +80,7 @@ def op9_projections(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, folder, "documents"))
+    return licenses.scan_licenses(table(spark, folder, "documents"), inside=True)
 
 
 ORACLES["op1_licenses"] = licenses.licenses_sql()
