@@ -89,7 +89,7 @@ def scan_licenses(docs: DataFrame, *, templates: Mapping[str, str] = TEMPLATES,
     table gives an empty result.
     """
     ratio = least / (2 - least) - 1e-9  # rounding must not prune what is exactly at least
-    known = sorted({w for t in templates.values() for w in template_words(t)})
+    words = sorted({w for t in templates.values() for w in template_words(t)})
     entries = [(name, template_bigrams(t)) for name, t in sorted(templates.items())]
     pairs = sorted({b for _, bigrams in entries for b in bigrams})
     table = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(len(b)).alias("n"),
@@ -99,24 +99,26 @@ def scan_licenses(docs: DataFrame, *, templates: Mapping[str, str] = TEMPLATES,
         F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("low"))
     plain = texts.select("doc", "low", F.regexp_replace(
         "low", "[^\\p{L}\\p{N}\\n]+", " ").alias("plain"))
+    found = plain.withColumn("words", F.split(F.trim(F.regexp_replace(
+        "plain", "[ \n]+", " ")), " ")).withColumn("known", F.expr(
+            f"filter(transform(words, (w, i) -> if({one_of('w', words)} AND "
+            f"{one_of('concat(w, " ", get(words, i + 1))', pairs)}, i, -1)), i -> i >= 0)"))
+    shortest = fewest(templates, ratio)
     cut = passages(F.col("plain"))
     if inside:
-        plain = plain.withColumn("words", F.split(F.trim(F.regexp_replace(
-            "plain", "[ \n]+", " ")), " ")).withColumn("known", F.expr(
-                f"filter(transform(words, (w, i) -> if("
-                f"{one_of('concat(w, " ", get(words, i + 1))', pairs)}, i, -1)), i -> i >= 0)"))
-        cut = F.concat(cut, sentences(F.col("low")), *[
-            runs(gap, fewest(templates, ratio)) for gap in GAPS])
-    rows = plain.select("doc", F.filter(
+        cut = F.concat(cut, sentences(F.col("low")), *[runs(gap, shortest) for gap in GAPS])
+    rows = found.select("doc", "known", F.filter(
         F.array_distinct(cut), lambda p: p != "").alias("passages"))
-    worded = F.transform("passages", lambda p: F.split(p, " "))
+    worded = F.when(F.size("known") >= shortest, F.transform(
+        "passages", lambda p: F.split(p, " "))).otherwise(
+            F.array().cast("array<array<string>>")).alias("worded")
     # a word that no template has and that is not the last gives a bigram that none has
-    strange = F.filter(worded, lambda w: F.size(F.array_except(w, literal(known))) - 1
-                       <= (1 - ratio) * (F.size(w) - 1))
+    strange = F.expr(f"""filter(worded, p -> size(array_distinct(filter(p, w -> NOT (
+        {one_of('w', words)})))) - 1 <= {1 - ratio!r}D * (size(p) - 1))""")
     paired = F.transform(strange, lambda w: F.array_distinct(F.transform(
         F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))),
         lambda a, i: F.concat(a, F.lit(" "), F.get(w, i + 1)))))
-    near = rows.select("doc", "passages", F.filter(
+    near = rows.select("doc", "passages", worded).select("doc", "passages", F.filter(
         paired, lambda b: F.size(b) > 0).alias("near"), table.alias("table"))
     scored = F.flatten(F.transform("near", lambda b: F.transform(
         F.filter("table", lambda t: (F.size(b) >= ratio * t["n"]) & (
