@@ -2,8 +2,9 @@
 
 A slice of rows sends one row to each bucket instead of one row a fingerprint: fingerprints,
 positions and the texts they are in are plain arrays, so an entry costs its fingerprint and
-about two bytes. A bucket is read by one task at a time; there are BUCKETS_A_PART times as many buckets as
-partitions, so that one bucket is a small part of what a task has.
+about two bytes. A task holds one bucket at a time and Spark sorts, and spills, the buckets of a
+partition. The numbers of partitions and of buckets follow the bytes of the texts, so a bucket is
+no larger for a larger input.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 SCHEMA = ("bucket int, code int, low binary, high binary, at binary, texts binary, "
           "counts binary")
@@ -43,6 +44,7 @@ def _whole(data: bytes, n: int, widths: tuple[str, ...]) -> np.ndarray:
 
 
 BUCKETS_A_PART = 2
+PART_BYTES = 32 << 20  # of text, for each partition of a shuffle
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -134,11 +136,12 @@ BACK = Layout((), ())
 
 
 def sent(places: Places, send: np.ndarray, decided: dict[int, np.ndarray], layout: Layout,
-         buckets: int) -> Iterator[pa.RecordBatch]:
+         parts: int) -> Iterator[pa.RecordBatch]:
     """Entries to compare by bucket, and per code those that the slice has decided itself.
 
     The latter need no certain bucket; the first text of the slice picks one.
     """
+    buckets = parts * BUCKETS_A_PART
     anywhere = int(places.texts[0, 1]) % buckets
     if send.any():
         yield layout.rows(places.take(np.flatnonzero(send)), buckets)
@@ -147,15 +150,23 @@ def sent(places: Places, send: np.ndarray, decided: dict[int, np.ndarray], layou
             yield layout.decided(places.take(np.flatnonzero(known)), anywhere, code)
 
 
+def parts_for(texts: DataFrame) -> int:
+    """Partitions for texts: the session's number, or more for many bytes of text."""
+    least = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(least, -(-held // PART_BYTES))
+
+
 def by_bucket(rows: DataFrame, layout: Layout, judge: Callable[[Places], dict[int, np.ndarray]],
-              buckets: int) -> DataFrame:
-    """rows (SCHEMA) -> (doc, tid, code, ats): positions in texts by code, one row each.
+              parts: int) -> DataFrame:
+    """rows (SCHEMA) -> (doc, tid, code, ats): positions in texts by code, one row for
+    each text and code.
 
     judge gets the open entries of a bucket and marks entries per code; decided ones are added.
     What is marked goes back by text the way it came, one row for a bucket and a group of texts.
     It is much less than what came, so there are fewer groups: two partitions' worth each.
     """
-    back_groups = max(1, buckets // (2 * BUCKETS_A_PART))
+    back_groups = max(1, parts // 2)
 
     def run(table: pa.Table) -> pa.Table:
         places, codes = layout.read(table)
@@ -166,8 +177,9 @@ def by_bucket(rows: DataFrame, layout: Layout, judge: Callable[[Places], dict[in
         for code in sorted(marked.keys() | set(np.unique(codes[codes > 0]).tolist())):
             own = places.take(np.concatenate([
                 marked.get(code, open_rows[:0]), np.flatnonzero(codes == code)]))
-            mixed = own.texts[own.owner, 0].view(np.uint64) * MIX >> np.uint64(33)
-            own.low = mixed << np.uint64(40)  # texts of one id meet in one bucket
+            doc, tid = own.texts.view(np.uint64).T
+            mixed = (doc * MIX ^ tid) * MIX >> np.uint64(33)
+            own.low = mixed[own.owner] << np.uint64(40)  # a text is in one bucket
             out.append(BACK.rows(own, back_groups, code))
         return pa.Table.from_batches(out, schema=FIELDS)
 
@@ -181,7 +193,7 @@ def by_bucket(rows: DataFrame, layout: Layout, judge: Callable[[Places], dict[in
             columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
             names=["doc", "tid", "code", "ats"])
 
-    back = rows.groupBy("bucket").applyInArrow(run, SCHEMA)
+    back = rows.repartition(parts, "bucket").groupBy("bucket").applyInArrow(run, SCHEMA)
     return back.groupBy("bucket").applyInArrow(
         gather, "doc long, tid long, code int, ats binary")
 

@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.llm.places import (
-    BUCKETS_A_PART, SCHEMA, Layout, by_bucket, groups, later, owned, positions, sent, shared, text_columns)
+    SCHEMA, Layout, by_bucket, groups, later, owned, parts_for, positions, sent, shared,
+    text_columns)
 from ebbtide.llm.staging import batches, id_back, id_or_least, keep, only, unused
 
 # The differences of these residues give every residue of the period.
@@ -85,7 +86,7 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     ).select("doc", F.xxhash64("text").alias("tid"), "text")
 
 
-def shared_anchors(docs: DataFrame, cover: Cover, buckets: int) -> DataFrame:
+def shared_anchors(docs: DataFrame, cover: Cover, parts: int) -> DataFrame:
     """(doc, tid, ats): anchors whose words occur at two places or more, of any text.
 
     Inside a slice of rows an anchor that occurs several times is known to be shared at once
@@ -94,27 +95,27 @@ def shared_anchors(docs: DataFrame, cover: Cover, buckets: int) -> DataFrame:
     def run(items):
         digest = xxhash.xxh3_64_intdigest
         for batch in batches(items, SLICE):
-            names, parts, keys = [], [], []
+            names, starts, keys = [], [], []
             for doc, tid, text in zip(*text_columns(batch)):
                 words = Words(text)
                 at = cover.positions(words.n)
                 if len(at):
                     names.append(np.fromiter(
                         map(digest, words.pieces(at, cover.size)), np.uint64, len(at)))
-                    parts.append(at)
+                    starts.append(at)
                     keys.append((doc, tid))
             if keys:
                 low = np.concatenate(names)
-                places = owned(parts, keys, low, np.zeros_like(low))
+                places = owned(starts, keys, low, np.zeros_like(low))
                 order, new = groups(places)
                 send = np.zeros(len(low), bool)
                 send[order] = new
-                yield from sent(places, send, {1: shared(places)}, ANCHOR, buckets)
+                yield from sent(places, send, {1: shared(places)}, ANCHOR, parts)
 
-    return by_bucket(docs.mapInArrow(run, SCHEMA), ANCHOR, lambda p: {1: shared(p)}, buckets)
+    return by_bucket(docs.mapInArrow(run, SCHEMA), ANCHOR, lambda p: {1: shared(p)}, parts)
 
 
-def later_windows(texts: DataFrame, cover: Cover, buckets: int) -> DataFrame:
+def later_windows(texts: DataFrame, cover: Cover, parts: int) -> DataFrame:
     """texts(doc, tid, text, ats) -> (doc, tid, ats): windows whose words also start earlier.
 
     Windows are compared by 96-bit fingerprints of their exact words. Inside a slice only the
@@ -123,21 +124,21 @@ def later_windows(texts: DataFrame, cover: Cover, buckets: int) -> DataFrame:
     def run(items):
         digest = xxhash.xxh3_128_digest
         for batch in batches(items, SLICE):
-            names, parts, keys = [], [], []
+            names, starts, keys = [], [], []
             for doc, tid, text, blobs in zip(*text_columns(batch), batch.column(3).to_pylist()):
                 words = Words(text)
                 at = cover.windows(positions(blobs), words.n)
                 if len(at):
                     names += map(digest, words.pieces(at, cover.window))
-                    parts.append(at)
+                    starts.append(at)
                     keys.append((doc, tid))
             if keys:
                 name = np.frombuffer(b"".join(names), "<u8").reshape(-1, 2)
-                places = owned(parts, keys, name[:, 0], name[:, 1] & np.uint64(0xFFFFFFFF))
+                places = owned(starts, keys, name[:, 0], name[:, 1] & np.uint64(0xFFFFFFFF))
                 late = later(places)
-                yield from sent(places, ~late, {1: late}, WINDOW, buckets)
+                yield from sent(places, ~late, {1: late}, WINDOW, parts)
 
-    return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, lambda p: {1: later(p)}, buckets)
+    return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, lambda p: {1: later(p)}, parts)
 
 
 def cut(text: bytes, windows: np.ndarray, size: int) -> tuple[int, int, bytes, bytes]:
@@ -196,15 +197,13 @@ def substring_dedup(docs: DataFrame, *, window: int = 20, key: str = "doc_id",
     """
     cover = Cover.of(window)
     rows = keyed(docs, key, text)
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = parts * BUCKETS_A_PART
-    # anchors are only hints, so those of all texts of an id may go together
-    near = keep(shared_anchors(rows, cover, buckets).groupBy("doc").agg(
-        F.collect_list("ats").alias("ats")))
-    placed = rows.repartition(parts, "doc")
-    late = later_windows(placed.join(near, "doc").select("doc", "tid", "text", "ats"), cover,
-                         buckets)
-    gone = late.groupBy("doc").agg(F.collect_list(F.struct("tid", "ats")).alias("found"))
+    parts = parts_for(rows)
+    # a NULL id may stand on many rows, so texts meet their places by id and text
+    same = ["doc", "tid"]
+    near = keep(shared_anchors(rows, cover, parts).select(*same, F.array("ats").alias("ats")))
+    placed = rows.repartition(parts, *same)
+    late = later_windows(placed.join(near, same).select(*same, "text", "ats"), cover, parts)
+    gone = late.select(*same, F.array("ats").alias("ats"))
 
     def run(items):
         for batch in batches(items, SLICE):
@@ -220,9 +219,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 20, key: str = "doc_id",
                 names=["doc", "n_words", "n_removed", "kept_text", "kept_sha256", "tid"])
 
     # placed stands twice in the plan and is shuffled once
-    own = F.filter("found", lambda x: x["tid"] == F.col("tid"))
-    found = placed.join(gone, "doc", "left").select(
-        "doc", "tid", "text", F.transform(own, lambda x: x["ats"]).alias("ats"))
+    found = placed.join(gone, same, "left").select(*same, "text", "ats")
     return found.mapInArrow(
         run, "doc long, n_words long, n_removed long, kept_text string, kept_sha256 string, "
              "tid long").select(

@@ -20,7 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.llm.places import (
-    BUCKETS_A_PART, SCHEMA, Layout, Places, by_bucket, groups, owned, positions, sent, shared, text_columns)
+    SCHEMA, Layout, Places, by_bucket, groups, owned, parts_for, positions, sent, shared,
+    text_columns)
 from ebbtide.llm.staging import batches, id_back, keep
 from ebbtide.llm.substrings import keyed
 
@@ -105,27 +106,27 @@ class Sampler:
         return tuple(map(np.concatenate, zip(*found)))
 
 
-def ranked_samples(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
+def ranked_samples(texts: DataFrame, sampler: Sampler, parts: int) -> DataFrame:
     """Round one: sampled positions whose string occurs at least twice."""
     def run(items):
         for batch in batches(items, SLICE):
-            names, parts, keys = [], [], []
+            names, starts, keys = [], [], []
             for doc, tid, text in zip(*text_columns(batch)):
                 # the first window of its run names a sample: it is unique in a text
                 _, rank, first, _ = sampler.runs(text)
                 if len(first):
                     names.append(rank)
-                    parts.append(first)
+                    starts.append(first)
                     keys.append((doc, tid))
             if keys:
                 low = np.concatenate(names)
-                places = owned(parts, keys, low, np.zeros_like(low))
+                places = owned(starts, keys, low, np.zeros_like(low))
                 order, new = groups(places)
                 send = np.zeros(len(low), bool)
                 send[order] = new
-                yield from sent(places, send, {DUP: shared(places)}, RANK, buckets)
+                yield from sent(places, send, {DUP: shared(places)}, RANK, parts)
 
-    return by_bucket(texts.mapInArrow(run, SCHEMA), RANK, lambda p: {DUP: shared(p)}, buckets)
+    return by_bucket(texts.mapInArrow(run, SCHEMA), RANK, lambda p: {DUP: shared(p)}, parts)
 
 
 def split_open(places: Places) -> dict[int, np.ndarray]:
@@ -142,7 +143,7 @@ def split_open(places: Places) -> dict[int, np.ndarray]:
     return {DUP: repeat, OPEN: first}
 
 
-def surroundings(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
+def surroundings(texts: DataFrame, sampler: Sampler, parts: int) -> DataFrame:
     """Round two: (doc, tid, code, ats) of samples, as the first window of their run.
 
     The surrounding of a sample is all that its run of windows covers. DUP: it occurs twice, so
@@ -153,7 +154,7 @@ def surroundings(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
     def run(items):
         digest = xxhash.xxh3_64_intdigest
         for batch in batches(items, SLICE):
-            names, around, parts, keys = [], [], [], []
+            names, around, starts, keys = [], [], [], []
             for doc, tid, text, blobs in zip(*text_columns(batch), batch.column(3).to_pylist()):
                 at, rank, first, last = sampler.runs(text)
                 rows = np.flatnonzero(np.isin(first, positions(blobs)))
@@ -163,45 +164,45 @@ def surroundings(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
                         (digest(text[s:e + sampler.window], a - s) for a, s, e in zip(
                             at[rows].tolist(), first[rows].tolist(), last[rows].tolist())),
                         np.uint64, len(rows)))
-                    parts.append(first[rows])
+                    starts.append(first[rows])
                     keys.append((doc, tid))
             if keys:
-                places = owned(parts, keys, np.concatenate(names), np.concatenate(around))
+                places = owned(starts, keys, np.concatenate(names), np.concatenate(around))
                 order, new = groups(places)
                 name = places.low[order]
-                starts = np.concatenate([[True], name[1:] != name[:-1]])
+                heads = np.concatenate([[True], name[1:] != name[:-1]])
                 kinds = np.cumsum(new)
-                number = kinds - np.maximum.accumulate(np.where(starts, kinds, 0))
+                number = kinds - np.maximum.accumulate(np.where(heads, kinds, 0))
                 send, extra = np.zeros(len(order), bool), np.zeros(len(order), bool)
                 send[order] = new & (number < NAMES_A_SLICE)
                 extra[order] = new & (number >= NAMES_A_SLICE)
                 yield from sent(places, send, {DUP: split_open(places)[DUP], OPEN: extra},
-                                AROUND, buckets)
+                                AROUND, parts)
 
-    return by_bucket(texts.mapInArrow(run, SCHEMA), AROUND, split_open, buckets)
+    return by_bucket(texts.mapInArrow(run, SCHEMA), AROUND, split_open, parts)
 
 
-def open_windows(texts: DataFrame, sampler: Sampler, buckets: int) -> DataFrame:
+def open_windows(texts: DataFrame, sampler: Sampler, parts: int) -> DataFrame:
     """Round three: windows of open samples whose bytes start at another place too."""
     def run(items):
         digest = xxhash.xxh3_128_digest
         for batch in batches(items, SLICE):
-            names, parts, keys = [], [], []
+            names, starts, keys = [], [], []
             for doc, tid, text, blobs in zip(*text_columns(batch), batch.column(3).to_pylist()):
                 at = windows(sampler, text, positions(blobs))
                 if len(at):
                     names += [digest(text[p:p + sampler.window]) for p in at.tolist()]
-                    parts.append(at)
+                    starts.append(at)
                     keys.append((doc, tid))
             if keys:
                 name = np.frombuffer(b"".join(names), "<u8").reshape(-1, 2)
-                places = owned(parts, keys, name[:, 0], name[:, 1] & np.uint64(0xFFFFFFFF))
+                places = owned(starts, keys, name[:, 0], name[:, 1] & np.uint64(0xFFFFFFFF))
                 order, new = groups(places)
                 send = np.zeros(len(order), bool)
                 send[order] = new
-                yield from sent(places, send, {DUP: shared(places)}, WINDOW, buckets)
+                yield from sent(places, send, {DUP: shared(places)}, WINDOW, parts)
 
-    return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, lambda p: {DUP: shared(p)}, buckets)
+    return by_bucket(texts.mapInArrow(run, SCHEMA), WINDOW, lambda p: {DUP: shared(p)}, parts)
 
 
 def windows(sampler: Sampler, text: bytes, firsts: np.ndarray) -> np.ndarray:
@@ -237,21 +238,19 @@ def suffix_dedup(docs: DataFrame, *, window: int = 200, key: str = "doc_id",
     """
     sampler = Sampler.of(window)
     rows = keyed(docs, key, text)
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = parts * BUCKETS_A_PART
-    near = keep(ranked_samples(rows, sampler, buckets).groupBy("doc").agg(
-        F.collect_list("ats").alias("ats")))
+    parts = parts_for(rows)
+    # a NULL id may stand on many rows, so texts meet their places by id and text
+    same = ["doc", "tid"]
+    near = keep(ranked_samples(rows, sampler, parts).select(*same, F.array("ats").alias("ats")))
     # the texts stand three times in the plan below and are shuffled once
-    placed = rows.repartition(parts, "doc")
-    judged = surroundings(placed.join(near, "doc").select("doc", "tid", "text", "ats"),
-                          sampler, buckets)
-    still = judged.where(F.col("code") == OPEN).groupBy("doc").agg(
-        F.collect_list(F.struct("tid", "code", "ats")).alias("found"))
-    own = _own(F.col("found"), OPEN)
-    single = open_windows(placed.join(still, "doc").select("doc", "tid", "text", own.alias(
-        "ats")), sampler, buckets).withColumn("code", F.lit(OPEN))
-    gone = judged.where(F.col("code") == DUP).unionByName(single).groupBy("doc").agg(
-        F.collect_list(F.struct("tid", "code", "ats")).alias("found"))
+    placed = rows.repartition(parts, *same)
+    judged = surroundings(placed.join(near, same).select(*same, "text", "ats"), sampler, parts)
+    still = judged.where(F.col("code") == OPEN).select(*same, F.array("ats").alias("ats"))
+    single = open_windows(placed.join(still, same).select(*same, "text", "ats"), sampler,
+                          parts).withColumn("code", F.lit(OPEN))
+    gone = judged.where(F.col("code") == DUP).unionByName(single).groupBy(*same).agg(
+        *[F.collect_list(F.when(F.col("code") == code, F.col("ats"))).alias(name)
+          for name, code in (("whole", DUP), ("single", OPEN))])
 
     def run(items):
         for batch in batches(items, SLICE):
@@ -270,17 +269,9 @@ def suffix_dedup(docs: DataFrame, *, window: int = 200, key: str = "doc_id",
                 [pa.array(c, t) for c, t in zip(out, kinds)],
                 names=["doc", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    found = placed.join(gone, "doc", "left").select(
-        "doc", "tid", "text", _own(F.col("found"), DUP).alias("whole"),
-        _own(F.col("found"), OPEN).alias("single"))
+    found = placed.join(gone, same, "left").select(*same, "text", "whole", "single")
     return found.mapInArrow(
         run, "doc long, n_bytes long, n_removed long, n_spans long, kept binary, "
              "kept_sha256 string").select(
         id_back(F.col("doc")).alias(key), "n_bytes", "n_removed", "n_spans", "kept",
         "kept_sha256")
-
-
-def _own(found, code: int):
-    """Positions of this text's own rows with a code."""
-    mine = F.filter(found, lambda x: (x["tid"] == F.col("tid")) & (x["code"] == code))
-    return F.transform(mine, lambda x: x["ats"])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ebbtide.llm import (
-    licenses, packing, pieces, quality_rules, registered, simhash, substrings, suffixes)
+    licenses, packing, pieces, places, quality_rules, registered, simhash, substrings, suffixes)
 from ebbtide.llm.components import components
 from ebbtide.llm.staging import keep
 
@@ -394,3 +394,22 @@ def test_empty_and_null_tables(spark, name):
     assert EMPTY[name](frame(spark, [])).count() == 0
     assert EMPTY[name](frame(spark, [(None, None), (None, None), (1, None)])).count() == 3
     assert EMPTY[name](frame(spark, [(1, "a b c"), (1, "a b c"), (1, "a b d")])).count() == 3
+
+
+def test_more_partitions_for_more_bytes_and_many_null_ids(spark, monkeypatch):
+    """A third of the rows without an id, equal texts among them, many small buckets."""
+    draw = random.Random(12)
+    shared = " ".join(draw.choice(WORDS) for _ in range(60))
+    rows = [(None if i % 3 == 0 else i, " ".join(
+        [draw.choice(WORDS) for _ in range(40)] + [shared] * (i % 4 == 0))) for i in range(120)]
+    rows += rows[:9]
+    want = [sorted(map(str, op(frame(spark, rows)).collect()))
+            for op in (substrings.substring_dedup, suffixes.suffix_dedup)]
+    monkeypatch.setattr(places, "PART_BYTES", 1 << 10)
+    texts = substrings.keyed(frame(spark, rows), "doc_id", "text")
+    assert places.parts_for(texts) > 30
+    per_key = texts.repartition(32, "doc", "tid").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_key) < 20
+    assert want == [sorted(map(str, op(frame(spark, rows)).collect()))
+                    for op in (substrings.substring_dedup, suffixes.suffix_dedup)]
+    assert any("n_removed=60" in r for r in want[0])
