@@ -127,9 +127,10 @@ def fit_votes(patterns: Sequence[tuple[Sequence[int], int]], names: Sequence[str
 
     Votes are independent given the quality of a text and abstaining tells nothing. weight is
     the number of imagined votes that hold each share near its start, so a rule that never
-    votes keeps it and no share becomes 0 or 1. Stops when nothing moves any more.
+    votes keeps it and no share becomes 0 or 1; they hold the prior near its start likewise.
+    Stops when nothing moves any more.
     """
-    shares = {name: start for name in names}
+    shares, first = {name: start for name in names}, prior
     for _ in range(rounds):
         total = good_total = 0.0
         cast = {name: [[0.0, 0.0], [0.0, 0.0]] for name in names}
@@ -149,7 +150,7 @@ def fit_votes(patterns: Sequence[tuple[Sequence[int], int]], names: Sequence[str
                         cast[name][side][1] += mass
         new = {name: tuple((yes + weight * s) / (n + weight)
                            for (yes, n), s in zip(cast[name], start)) for name in names}
-        new_prior = (good_total + weight * 0.8) / (total + weight)
+        new_prior = (good_total + weight * first) / (total + weight)
         moved = max([abs(new_prior - prior)] + [
             abs(a - b) for name in names for a, b in zip(new[name], shares[name])])
         shares, prior = new, new_prior

@@ -413,3 +413,10 @@ def test_more_partitions_for_more_bytes_and_many_null_ids(spark, monkeypatch):
     assert want == [sorted(map(str, op(frame(spark, rows)).collect()))
                     for op in (substrings.substring_dedup, suffixes.suffix_dedup)]
     assert any("n_removed=60" in r for r in want[0])
+
+
+def test_the_imagined_votes_hold_the_prior_that_was_passed():
+    for prior in (0.3, 0.8):
+        assert quality_rules.fit_votes([], ["a"], prior=prior).prior == pytest.approx(prior)
+    low, high = (quality_rules.fit_votes([((0,), 2)], ["a"], prior=p).prior for p in (0.3, 0.8))
+    assert low == pytest.approx(0.3) and high == pytest.approx(0.8)
