@@ -2,7 +2,7 @@
 
 from datetime import date, datetime
 
-from ebbtide.operators import content
+from ebbtide.operators import content, quality
 from ebbtide.plans import feature_set
 from ebbtide.plans.feature_set import Blocks
 from ebbtide.sources import schemas
@@ -36,6 +36,29 @@ def _nodes(plan):
         yield from _nodes(children.apply(i))
 
 
+def test_counting_nulls_leaves_tables_packed(spark):
+    """Columns behind a default are not read, which must not unpack the others below the joins."""
+    base = spark.createDataFrame([(1, 0, 1.5, None), (2, 0, None, 4), (4, 0, 2.5, 3)],
+                                 "user_id long, fresh int, time double, n int")
+    people = spark.createDataFrame([(1, 0, "a", None), (2, 0, None, "x"), (3, 0, "c", "y")],
+                                   "user_id long, fresh int, name string, place string")
+    types = "user_id long, fresh int, " + ", ".join(f"c{i} int" for i in range(40))
+    wide = spark.createDataFrame([(2, 0, None, *range(39))], types)
+    out = feature_set.join_packed([base, people], [wide], [
+        "user_id", "fresh", "name", "coalesce(place, 'none') AS place", "time", "0 * n AS n",
+        *[f"c{i}" for i in range(20)], *[f"coalesce(c{i}, -1) AS c{i}" for i in range(20, 40)]])
+    counts = quality.na_counts(out)
+    found = {r["column_name"]: r["n_null"] for r in counts.collect()}
+    assert found == {"user_id": 0, "fresh": 0, "name": 1, "place": 0, "time": 1, "n": 1,
+                     "c0": 2, **{f"c{i}": 1 if i < 20 else 0 for i in range(1, 40)}}
+    assert {r["user_id"]: (r["place"], r["c39"]) for r in out.collect()} == {
+        1: ("none", -1), 2: ("x", 38)}
+    joins = [node for node in _nodes(counts._jdf.queryExecution().optimizedPlan())
+             if node.nodeName() == "Join"]
+    assert len(joins) == 2
+    assert max(node.output().size() for node in joins) <= 9
+
+
 class Counted:
     """Sources that count how often a table is asked for."""
 
