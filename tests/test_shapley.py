@@ -90,6 +90,26 @@ def test_a_lone_leaf_pays_nothing():
     assert shapley.values_of(leaves, background, np.ones((2, 1))).tolist() == [[0.0], [0.0]]
 
 
+def test_background_is_counted_without_sorting_its_rows(monkeypatch):
+    draw = np.random.default_rng(5)
+    inputs = ["a", "a__missing", *[f"f{i}" for i in range(8)]]
+    values = [-1.0, 0.0, 0.25, 1.0]
+    trees = [random_tree(draw, len(inputs), 5, values) for _ in range(60)]
+    trees.append(random_tree(draw, len(inputs), 9, values))
+    leaves = shapley.leaves_of(trees, inputs)
+    assert leaves.slots.max() > shapley.FEW_SLOTS
+    table = draw.choice([*values, 2.0, float("nan"), float("inf")], (5003, len(inputs)))
+    bits = leaves.satisfied(table)
+    want = {(leaf, int(b)): int(n) for leaf in range(len(leaves.value))
+            for b, n in zip(*np.unique(bits[:, leaf], return_counts=True))}
+    unique, sizes = np.unique, []
+    monkeypatch.setattr(np, "unique", lambda a, *args, **named: (
+        sizes.append(np.size(a)), unique(a, *args, **named))[1])
+    leaf, found, count = shapley.counted(leaves, table)
+    assert dict(zip(zip(leaf.tolist(), found.tolist()), count.tolist())) == want
+    assert max(sizes) < len(table) * len(leaves.value) / 50
+
+
 @pytest.mark.parametrize("algorithm, params", [
     ("gbt", {"maxIter": 5, "maxDepth": 3}), ("rf", {"numTrees": 4, "maxDepth": 4})])
 def test_fitted_models_over_tables(spark, algorithm, params):
