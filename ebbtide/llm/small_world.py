@@ -287,13 +287,16 @@ class Shard:
 def searched(pairs: DataFrame, width: int, most: int) -> DataFrame:
     """(size, k1, k2, id, score) from rows of a block of queries beside a shard."""
     def run(items):
+        known = None
         for batch in items:
             for at in range(batch.num_rows):
                 one = {name: batch.column(name)[at] for name in batch.schema.names}
                 size = one["size"].as_py()
                 queries = one["queries"].values
-                shard = Shard(size, one["vectors"].values.to_numpy(), one["layers"].as_py(),
-                              one["links"].values.to_numpy(), one["ids"].values)
+                if known != (size, one["shard"].as_py()):  # a shard's blocks mostly come in a row
+                    known = size, one["shard"].as_py()
+                    shard = Shard(size, one["vectors"].values.to_numpy(), one["layers"].as_py(),
+                                  one["links"].values.to_numpy(), one["ids"].values)
                 k1, k2 = (queries.field(name).to_numpy() for name in ("k1", "k2"))
                 vectors = matrix(queries.field("vector"), size)
                 for row, ids, score in shard.nearest(vectors, width, most):
@@ -305,6 +308,25 @@ def searched(pairs: DataFrame, width: int, most: int) -> DataFrame:
     return pairs.mapInArrow(run, "size int, k1 long, k2 long, id long, score double")
 
 
+def paired(blocks: DataFrame, index: DataFrame, count: int, shards: int) -> DataFrame:
+    """Each of the count blocks of queries beside each shard's row.
+
+    Blocks are sent to the shards: a shard is sent once, or to a few tasks that share its blocks
+    where shards are fewer than partitions. Neither side may be broadcast, since Spark takes the
+    blocks to be as large as before they are repeated for every shard.
+    """
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = min(count, -(-2 * parts // shards))
+
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    sent = (blocks.withColumn("group", F.pmod("block", F.lit(groups).cast("long")))
+            .withColumn("shard", every(shards)))
+    return sent.hint("merge").join(index.withColumn("group", every(groups)),
+                                   ["size", "shard", "group"])
+
+
 def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
     """(id, vector, size, k1, k2) of the rows whose vector can be compared."""
     listed = only(rows, id=key, vector=vector)
@@ -346,12 +368,9 @@ def nearest_neighbours(queries: DataFrame, rows: DataFrame, *, k: int = 5,
     asked = keep(usable(queries, key, vector).dropDuplicates(["id", "k1", "k2", "size"]))
     wanted = asked.groupBy("size", "k1", "k2").agg(F.any_value("vector").alias("vector"))
     blocks = max(1, -(-asked.count() // query_rows))
-    pairs = (wanted.groupBy("size", F.pmod("k2", F.lit(blocks)).alias("block"))
-             .agg(F.collect_list(F.struct("k1", "k2", "vector")).alias("queries"))
-             .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                       F.lit(shards - 1).cast("long"))))
-             .join(index, ["size", "shard"]).repartition("size", "shard", "block"))
-    found = keep(searched(pairs, width, k + 1), 1)
+    listed = wanted.groupBy("size", F.pmod("k2", F.lit(blocks)).alias("block")).agg(
+        F.collect_list(F.struct("k1", "k2", "vector")).alias("queries"))
+    found = keep(searched(paired(listed, index, blocks, shards), width, k + 1), 1)
     best = Window.partitionBy("size", "k1", "k2").orderBy(F.desc("score"), "id")
     hits = (found.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1)
             .groupBy("size", "k1", "k2")

@@ -150,6 +150,26 @@ def test_shards_and_blocks_are_merged(spark):
     assert as_set(got) == nearest(rows, 3)
 
 
+def test_no_side_of_the_pairs_is_broadcast(spark, monkeypatch):
+    draw = np.random.default_rng(9)
+    rows = [(i, draw.standard_normal(4).astype(np.float32).tolist()) for i in range(600)]
+    rows += [(1000 + i, draw.standard_normal(3).astype(np.float32).tolist()) for i in range(300)]
+    df = vectors_of(spark, rows)
+    plans, searched = [], small_world.searched
+
+    def spy(pairs, *args):
+        met = pairs.select("size", "shard", F.explode("queries.k1").alias("k1"))
+        assert met.count() == met.distinct().count() == 9 * 18
+        plans.append(pairs._jdf.queryExecution().executedPlan().toString())
+        return searched(pairs, *args)
+
+    monkeypatch.setattr(small_world, "searched", spy)
+    got = small_world.nearest_neighbours(df.where("vec_id % 50 = 0"), df, k=2, shard_rows=100,
+                                         query_rows=2)
+    assert as_set(got) == nearest(rows, 2)
+    assert len(plans) == 1 and "Broadcast" not in plans[0]
+
+
 def crowded(kind, rows):
     draw = np.random.default_rng(7)
     noise = draw.standard_normal((rows, 64))
